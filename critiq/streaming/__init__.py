@@ -1,0 +1,8 @@
+"""Streaming.
+
+The job this library re-expresses is a daily batch over ``odate=`` partitions
+and has no streaming operator, state or watermark; none is built here. An
+incremental run is a batch run restricted to new load dates
+(``critiq.sources.read_feed(..., odate_from=...)``), which prunes partitions
+before any file is opened.
+"""
