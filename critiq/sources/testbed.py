@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from critiq.functions.text import Lexicon
 from critiq.sources.feeds import DEFAULT_FEEDS
 
 
@@ -112,3 +113,12 @@ def write_landing_zone(spark: SparkSession, sf_dir: str, root: str) -> dict[str,
         )
         paths[name] = path
     return paths
+
+
+# Lexicon for the test tables: their invented prose has none of the job's
+# Portuguese words, so these checked English words exercise the same matching.
+DATA_LEXICON = Lexicon(
+    positive=("that", "this", "pour", "und"),
+    negative=("worthless", "idiot", "stupid"),
+    negators=("from", "with"),
+)
