@@ -68,6 +68,42 @@ def non_numeric_ratings(df: DataFrame) -> DataFrame:
     return df.filter(legacy_int("rating").isNull())
 
 
+SUMMARY_FIELDS = (
+    "total_records",
+    "dup_keys",
+    "dup_rows",
+    *[f"null_{c}" for c in CRITICAL_COLUMNS],
+    "bad_rating",
+    "n_valid",
+    "n_invalid_base",
+    "n_invalid",
+)
+
+
+def summary_aggregates() -> list[Column]:
+    """The summary measures that need no grouping by key, as global aggregates.
+
+    Usable in ``agg`` or in ``DataFrame.observe`` (metrics gathered while
+    another action runs, with no extra scan).
+    """
+    return [
+        F.count(F.lit(1)).alias("total_records"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in CRITICAL_COLUMNS],
+        F.count_if(legacy_int("rating").isNull()).alias("bad_rating"),
+        F.count_if(valid_predicate()).alias("n_valid"),
+        F.count_if(invalid_predicate()).alias("n_invalid_base"),
+    ]
+
+
+def summary_of_unique_keys(metrics: dict) -> Row:
+    """The full summary row for rows whose key is unique (``dedup_by_key``
+    output: one row per key, NULL included), so no key repeats by
+    construction. ``metrics`` holds the values of ``summary_aggregates``."""
+    values = {k: int(v) for k, v in metrics.items() if k in SUMMARY_FIELDS}
+    values.update(dup_keys=0, dup_rows=0, n_invalid=values["n_invalid_base"])
+    return Row(**{k: values[k] for k in SUMMARY_FIELDS})
+
+
 def quality_summary(df: DataFrame, key: str = "id") -> DataFrame:
     """One-row summary of every check, in one job.
 

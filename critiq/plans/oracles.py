@@ -160,8 +160,8 @@ def _gold_body(lex: Lexicon, source: str, spread: bool = False, date: str = "iso
     measures = [
         f"{round_half_up('avg(try_cast(rating as double))', 1)} as avg_rating",
         "count(*) as n_reviews",
-        f"count_if({lexicon_match(comment, lex.positive, lex.negators)}) as n_positive",
-        f"count_if({lexicon_match(comment, lex.negative, lex.negators)}) as n_negative",
+        f"cast(count_if({lexicon_match(comment, lex.positive, lex.negators)}) as bigint) as n_positive",
+        f"cast(count_if({lexicon_match(comment, lex.negative, lex.negators)}) as bigint) as n_negative",
     ]
     if spread:
         r = "try_cast(rating as double)"
@@ -191,7 +191,7 @@ per_key AS (
 ),
 summary AS (
   select cast(sum(n) as bigint) as total_records,
-         count_if(n > 1) as dup_keys,
+         cast(count_if(n > 1) as bigint) as dup_keys,
          cast(coalesce(sum(case when n > 1 and id is not null then n end), 0) as bigint) as dup_rows,
          cast(sum(null_id) as bigint) as null_id, cast(sum(null_app) as bigint) as null_app,
          cast(sum(null_iso_date) as bigint) as null_iso_date,
@@ -347,8 +347,9 @@ union all select 'apple_store', (select count(*) from feed_c)"""
     q["duplicate_keys"] = base + dup_keys
     q["duplicate_rows"] = base + f"select u.* from unified u where u.id in (select id from ({dup_keys}))"
     q["quality_nulls"] = base + (
-        "select count_if(id is null) as id, count_if(app is null) as app, count_if(iso_date is null) as iso_date, "
-        "count_if(snippet is null) as snippet, count_if(app_source is null) as app_source from unified"
+        "select cast(count_if(id is null) as bigint) as id, cast(count_if(app is null) as bigint) as app, "
+        "cast(count_if(iso_date is null) as bigint) as iso_date, cast(count_if(snippet is null) as bigint) as snippet, "
+        "cast(count_if(app_source is null) as bigint) as app_source from unified"
     )
     q["quality_type"] = base + f"select id, app_source, rating from unified where {legacy_int('rating')} is null"
     q["quality_summary"] = summary_u + "select * from summary"

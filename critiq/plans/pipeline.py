@@ -1,40 +1,48 @@
 """The daily gold job: feeds -> unified -> dedup -> checks -> gold and views.
 
-Spark work per run (the original job triggered 24 actions, each re-reading
+Spark jobs per run (the original job triggered 24 actions, each re-reading
 every feed):
 
-1. feed row counts (Parquet footers only) - the all-empty guard;
-2. union + dedup, checkpointed once to the shared folder. The checkpoint
-   cuts the lineage, survives lost executors and keeps the hash
-   partitioning on ``id``, so the quality summary needs no new shuffle;
-3. quality summary (one aggregation: all checks and both set sizes);
-4. segment list (distinct segments of valid rows);
-5. gold rollup -> Parquet; 6. invalid rows -> Parquet;
-7. gold documents (read back from the gold Parquet, not recomputed);
-8. history view documents; 9. run report append.
-
-Only one-row results (counts, summary, segment list) reach the driver.
+1. union + dedup, checkpointed once to the shared folder. While it runs,
+   ``observe`` gathers every quality count and the segment list from the
+   deduplicated rows: the metrics sit after the shuffle, in the result stage,
+   whose accumulator updates Spark applies once per partition, so they stay
+   exact when tasks are retried. The checkpoint cuts the lineage and
+   survives lost executors. An all-empty input stops the run here;
+2. gold rollup -> Parquet;  3. invalid rows -> Parquet;
+4. gold documents (read back from the gold Parquet, not recomputed);
+5. history view documents;  6. run report append.
+
+Only one-row results (metrics, verdicts) reach the driver.
 """
 
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from critiq.functions.text import DEFAULT_LEXICON, Lexicon
 from critiq.operators.dedup import dedup_by_key
 from critiq.operators.harmonize import harmonize_all
-from critiq.operators.quality import quality_summary, validate_ingest, verdicts
+from critiq.operators.quality import (
+    summary_aggregates,
+    summary_of_unique_keys,
+    valid_predicate,
+    validate_ingest,
+    verdicts,
+)
 from critiq.operators.rollup import consolidate, gold_rollup, preview
 from critiq.operators.views import history_view
-from critiq.plans.report import RunInfo, failure_report, run_report, segment_list
+from critiq.plans.report import RunInfo, failure_report, run_report, segment_of, type_client_agg
 from critiq.session import shared_root
-from critiq.sources.feeds import DEFAULT_FEEDS, FeedSpec, feed_row_counts, require_rows
+from critiq.sources.feeds import DEFAULT_FEEDS, EmptyFeedsError, FeedSpec
 from critiq.sources.sinks import append_report, read_partitioned_parquet, write_documents, write_partitioned_parquet
 
 log = logging.getLogger(__name__)
@@ -76,7 +84,7 @@ class PipelineConfig:
 
 @dataclass
 class PipelineResult:
-    feed_counts: dict[str, int]
+    rows_by_source: dict[str, int]
     summary: Row
     verdicts: list[Row]
     type_client: str
@@ -84,46 +92,73 @@ class PipelineResult:
     wrote_invalid: bool
     report: Row
     preview: list[Row] = field(default_factory=list)
+    seconds: dict[str, float] = field(default_factory=dict)
+
+
+@contextmanager
+def _step(seconds: dict[str, float], name: str):
+    t0 = time.perf_counter()
+    try:
+        yield
+    finally:
+        seconds[name] = round(time.perf_counter() - t0, 3)
 
 
 def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: PipelineConfig) -> PipelineResult:
     """Run the whole job over ``feeds`` (raw feed frames keyed by spec name)."""
     run = cfg.run
-    valid = None
+    sec: dict[str, float] = {}
     try:
-        counts = require_rows(feed_row_counts(feeds))
         shared_root(spark)  # checkpoints go to the shared folder
-        deduped = dedup_by_key(harmonize_all(feeds, cfg.feeds), priority=[s.name for s in cfg.feeds])
-        deduped = deduped.checkpoint(eager=True)
-
-        summary = quality_summary(deduped).collect()[0]
+        names = [s.name for s in cfg.feeds]
+        with _step(sec, "dedup_checkpoint"):
+            metrics = Observation("quality")
+            deduped = dedup_by_key(harmonize_all(feeds, cfg.feeds), priority=names).observe(
+                metrics,
+                *summary_aggregates(),
+                type_client_agg(F.when(valid_predicate(), segment_of())).alias("type_client"),
+                *[F.count_if(F.col("app_source") == n).alias(f"source:{n}") for n in names],
+            )
+            deduped = deduped.checkpoint(eager=True)
+            observed = metrics.get
+        summary = summary_of_unique_keys(observed)
+        by_source = {n: int(observed[f"source:{n}"]) for n in names}
+        if summary["total_records"] == 0:
+            raise EmptyFeedsError("no data loaded to unify: every feed is empty")
+        type_client = observed["type_client"]
         verdict_rows = verdicts(spark.createDataFrame([summary])).collect()
         valid, invalid = validate_ingest(deduped, cfg.run_date, summary)
-        type_client = segment_list(valid).collect()[0]["type_client"]
 
-        gold = gold_rollup(consolidate(valid), cfg.lexicon)
         t = cfg.targets
-        wrote_gold = write_partitioned_parquet(gold, t.gold, cfg.run_date, "valid", empty=summary["n_valid"] == 0)
-        wrote_invalid = write_partitioned_parquet(
-            invalid, t.invalid, cfg.run_date, "invalid", empty=summary["n_invalid"] == 0
-        )
-        shown: list[Row] = []
-        if wrote_gold:
-            published = (
-                read_partitioned_parquet(spark, t.gold)
-                .filter(F.col("odate") == cfg.run_date)
-                .drop("odate")
+        with _step(sec, "gold"):
+            gold = gold_rollup(consolidate(valid), cfg.lexicon)
+            wrote_gold = write_partitioned_parquet(
+                gold, t.gold, cfg.run_date, "valid", empty=summary["n_valid"] == 0
             )
-            write_documents(published, t.gold_documents, empty=False)
-            if cfg.preview_rows > 0:
-                shown = preview(published, cfg.preview_rows).collect()
-        write_documents(history_view(valid), t.history_documents, empty=summary["n_valid"] == 0)
-
-        done = replace(run, end=run.end or datetime.now(), timestamp=run.timestamp or datetime.now())
-        report = run_report(spark, summary, verdict_rows, type_client, done)
-        append_report(report, t.report)
+        with _step(sec, "invalid"):
+            wrote_invalid = write_partitioned_parquet(
+                invalid, t.invalid, cfg.run_date, "invalid", empty=summary["n_invalid"] == 0
+            )
+        shown: list[Row] = []
+        with _step(sec, "gold_documents"):
+            if wrote_gold:
+                published = (
+                    read_partitioned_parquet(spark, t.gold)
+                    .filter(F.col("odate") == cfg.run_date)
+                    .drop("odate")
+                )
+                write_documents(published, t.gold_documents, empty=False)
+                if cfg.preview_rows > 0:
+                    shown = preview(published, cfg.preview_rows).collect()
+        with _step(sec, "history_documents"):
+            write_documents(history_view(valid), t.history_documents, empty=summary["n_valid"] == 0)
+
+        with _step(sec, "report"):
+            done = replace(run, end=run.end or datetime.now(), timestamp=run.timestamp or datetime.now())
+            report = run_report(spark, summary, verdict_rows, type_client, done)
+            append_report(report, t.report)
         return PipelineResult(
-            feed_counts=counts,
+            rows_by_source=by_source,
             summary=summary,
             verdicts=verdict_rows,
             type_client=type_client,
@@ -131,6 +166,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
             wrote_invalid=wrote_invalid,
             report=report.collect()[0],
             preview=shown,
+            seconds=sec,
         )
     except Exception as exc:
         log.error("gold job failed: %s", exc)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,19 @@ class RunInfo:
     timestamp: datetime | None = None
 
 
+def type_client_agg(segments: Column) -> Column:
+    """Aggregate: the distinct non-NULL values of ``segments``, sorted,
+    comma-joined and upper-cased; ``NA`` when there are none. The set held
+    per task is bounded by the number of segments."""
+    items = F.array_sort(F.collect_set(segments))
+    return F.when(F.size(items) == 0, F.lit(NO_SEGMENTS)).otherwise(F.upper(F.array_join(items, ",")))
+
+
+def segment_of(column: str = "segmento") -> Column:
+    """The segment as reported: NULL reads ``UNKNOWN``."""
+    return F.coalesce(F.col(column), F.lit(UNKNOWN_SEGMENT))
+
+
 def segment_list(df: DataFrame, column: str = "segmento") -> DataFrame:
     """One row, ``type_client``: distinct segments (NULL as ``UNKNOWN``), sorted,
     comma-joined and upper-cased; ``NA`` when there are no rows.
@@ -43,13 +56,8 @@ def segment_list(df: DataFrame, column: str = "segmento") -> DataFrame:
     The distinct runs as a grouped aggregate first; only the distinct values,
     bounded by the number of segments, are gathered.
     """
-    distinct = df.select(F.coalesce(F.col(column), F.lit(UNKNOWN_SEGMENT)).alias("s")).distinct()
-    items = F.array_sort(F.collect_list("s"))
-    return distinct.agg(
-        F.when(F.size(items) == 0, F.lit(NO_SEGMENTS))
-        .otherwise(F.upper(F.array_join(items, ",")))
-        .alias("type_client")
-    )
+    distinct = df.select(segment_of(column).alias("s")).distinct()
+    return distinct.agg(type_client_agg(F.col("s")).alias("type_client"))
 
 
 def rows_to_json(df: DataFrame) -> DataFrame:
@@ -169,7 +177,7 @@ def client_segments(df: DataFrame | None, column: str = "segmento") -> DataFrame
     """Distinct segments of ``df`` as one sorted array (``client``)."""
     if df is None:
         return None
-    distinct = df.select(F.coalesce(F.col(column), F.lit(UNKNOWN_SEGMENT)).alias("s")).distinct()
+    distinct = df.select(segment_of(column).alias("s")).distinct()
     return distinct.agg(F.array_sort(F.collect_list("s")).alias("client"))
 
 
