@@ -240,6 +240,10 @@ def q_history_view(spark, sf_dir):
     )
 
 
+def history_view_rows(spark, sf_dir) -> int:
+    return history_view(valid(spark, sf_dir)).count()
+
+
 def _report_inputs(spark, sf_dir):
     d = deduped(spark, sf_dir)
     summary = quality_summary(d).collect()[0]
