@@ -137,7 +137,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
             )
         with _step(sec, "invalid"):
             wrote_invalid = write_partitioned_parquet(
-                invalid, t.invalid, cfg.run_date, "invalid", empty=summary["n_invalid"] == 0
+                invalid, t.invalid, cfg.run_date, "invalid", empty=summary["n_invalid"] == 0, rebalance=True
             )
         shown: list[Row] = []
         with _step(sec, "gold_documents"):

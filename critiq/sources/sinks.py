@@ -30,13 +30,17 @@ def write_partitioned_parquet(
     partition_column: str = PARTITION_COLUMN,
     compression: str = "snappy",
     empty: bool | None = None,
+    rebalance: bool = False,
 ) -> bool:
     """Overwrite the ``<partition_column>=<run_date>`` partition under ``path``.
 
     Other load dates under ``path`` stay (dynamic partition overwrite), so a
     rerun of one day replaces only that day. An empty frame writes nothing and
     returns False; pass ``empty`` when the caller already knows the row count
-    to skip the emptiness probe.
+    to skip the emptiness probe. ``rebalance`` lets AQE regroup the rows into
+    partitions of the advisory size before writing: use it for a sparse
+    subset of a large input, which would otherwise leave one small file per
+    input partition.
     """
     if not isinstance(df, DataFrame):
         raise TypeError(f"expected a DataFrame, got {type(df).__name__}")
@@ -48,6 +52,8 @@ def write_partitioned_parquet(
     if empty:
         log.warning("no %s rows to save at %s", label, path)
         return False
+    if rebalance:
+        stamped = stamped.hint("rebalance")
     (
         stamped.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
