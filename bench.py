@@ -51,6 +51,13 @@ def main() -> None:
             best = min(best, time.perf_counter() - t0)
         timings[name] = round(best, 3)
 
+    # Spark jobs of one daily run (AQE submits one job per query stage).
+    sc = spark.sparkContext
+    sc.setJobGroup("critiq-pipeline-count", "one pipeline run", False)
+    registry["pipeline_gold"](spark, sf_dir)
+    pipeline_jobs = len(sc.statusTracker().getJobIdsForGroup("critiq-pipeline-count"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+
     sf = os.path.basename(sf_dir)
     print(
         json.dumps(
@@ -61,6 +68,7 @@ def main() -> None:
                 "queries": timings,
                 "sf": sf[2:] if sf.startswith("sf") else sf,
                 "cpus": cpus,
+                "pipeline_spark_jobs": pipeline_jobs,
             }
         )
     )

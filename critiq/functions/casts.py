@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Legacy string casts strip ASCII control characters and blanks at both ends.
-_EDGE_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_EDGE_CHARS = "".join(chr(i) for i in range(0x21))
 # Accepted shape: optional sign, digits with an optional fraction, or a bare fraction.
 _DECIMAL_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*)$"
 _WHOLE_PART = r"^([+-]?[0-9]*)"
@@ -24,13 +24,18 @@ def _col(c: Column | str) -> Column:
 
 def legacy_int(c: Column | str) -> Column:
     """String to int like the legacy cast: trims, truncates a fraction, NULL on
-    anything else (exponents, letters, overflow)."""
-    text = F.regexp_replace(_col(c).cast("string"), _EDGE_BLANKS, "")
+    anything else (exponents, letters, overflow).
+
+    Whole numbers take the plain ``try_cast`` (same parser, same trimming);
+    only text it rejects goes through the fraction-truncating path.
+    """
+    text = F.trim(_col(c).cast("string"), F.lit(_EDGE_CHARS))
     whole = F.nullif(F.regexp_extract(text, _WHOLE_PART, 1), F.lit(""))
-    return F.when(
+    truncated = F.when(
         text.rlike(_DECIMAL_TEXT),
         F.coalesce(whole.try_cast("int"), F.when(text.rlike(_BARE_FRACTION), F.lit(0))),
-    ).cast("int")
+    )
+    return F.coalesce(text.try_cast("int"), truncated).cast("int")
 
 
 def lenient_double(c: Column | str) -> Column:

@@ -22,16 +22,18 @@ def _col(c: Column | str) -> Column:
 def parse_review_ts(c: Column | str) -> Column:
     """Parse a review timestamp text to a TIMESTAMP instant; NULL if unparseable.
 
-    Each format is tried in turn with ``try_to_timestamp``; none raises.
+    The text's ending picks the one format to try (a failed parse costs an
+    exception inside the parser, so formats are not tried blindly); the
+    parse itself still validates the whole text and never raises.
     """
     text = _col(c)
-    return F.coalesce(
-        F.try_to_timestamp(text, F.lit(_WITH_ISO_OFFSET)),
-        F.try_to_timestamp(text, F.lit(_WITH_BASIC_OFFSET)),
-        F.when(
+    return (
+        F.when(text.rlike(r"(Z|[+-][0-9]{2}:[0-9]{2})$"), F.try_to_timestamp(text, F.lit(_WITH_ISO_OFFSET)))
+        .when(text.rlike(r"[+-][0-9]{4}$"), F.try_to_timestamp(text, F.lit(_WITH_BASIC_OFFSET)))
+        .when(
             text.rlike(r"[.][0-9]{6}$"),
             F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(_MICROS_UTC)),
-        ),
+        )
     )
 
 

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from critiq.functions.casts import legacy_int
 from critiq.schema import CRITICAL_COLUMNS, INVALID_PREDICATE_COLUMNS, UNIFIED_COLUMNS
@@ -95,6 +96,16 @@ def summary_aggregates() -> list[Column]:
     ]
 
 
+SUMMARY_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in SUMMARY_FIELDS])
+
+
+def summary_frame(spark, summary: Row) -> DataFrame:
+    """A collected summary row as a one-row DataFrame, built from JVM literals."""
+    return spark.range(0, 1, 1, 1).select(
+        *[F.lit(int(summary[c])).cast("bigint").alias(c) for c in SUMMARY_FIELDS]
+    )
+
+
 def summary_of_unique_keys(metrics: dict) -> Row:
     """The full summary row for rows whose key is unique (``dedup_by_key``
     output: one row per key, NULL included), so no key repeats by

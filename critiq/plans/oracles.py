@@ -369,7 +369,7 @@ from (select distinct {java_upper("title")} as title, {java_upper("snippet")} as
     q["segment_list"] = valid + TYPE_CLIENT
     q["row_to_json"] = gold + _row_to_json()
 
-    q["run_report"] = summary_d + f""",
+    q["run_report"] = RUN_REPORT = summary_d + f""",
 tc AS ({TYPE_CLIENT}),
 checks AS (
   select count_if(status) as passed, count(*) as n from ({VERDICTS_BODY})
@@ -398,4 +398,13 @@ select '2024-05-01T06:03:30' as "timestamp", 'gold' as layer, 'reviews' as proje
     q["sink_invalid_roundtrip"] = dedup + f"select *, '{RUN_DATE}' as odate from deduped where {INVALID_WHERE}"
     q["sink_json_roundtrip"] = gold + "select * from gold"
     q["pipeline_gold"] = gold + f"select *, '{RUN_DATE}' as odate from gold"
+    q["sink_report_roundtrip"] = f"select * from ({RUN_REPORT}) union all select * from ({RUN_REPORT})"
+    q["sink_history_roundtrip"] = q["history_view"]
+    q["pipeline_history"] = q["history_view"]
+    q["pipeline_outputs"] = gold + f"""
+select 'gold' as output, count(*) as n_rows from gold
+union all select 'invalid', count(*) from deduped where {INVALID_WHERE}
+union all select 'gold_documents', count(*) from gold
+union all select 'history_documents', count(*) from ({q["history_view"]})
+union all select 'report', 1"""
     return q

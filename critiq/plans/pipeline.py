@@ -33,6 +33,7 @@ from critiq.operators.dedup import dedup_by_key
 from critiq.operators.harmonize import harmonize_all
 from critiq.operators.quality import (
     summary_aggregates,
+    summary_frame,
     summary_of_unique_keys,
     valid_predicate,
     validate_ingest,
@@ -126,7 +127,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
         if summary["total_records"] == 0:
             raise EmptyFeedsError("no data loaded to unify: every feed is empty")
         type_client = observed["type_client"]
-        verdict_rows = verdicts(spark.createDataFrame([summary])).collect()
+        verdict_rows = verdicts(summary_frame(spark, summary)).collect()
         valid, invalid = validate_ingest(deduped, cfg.run_date, summary)
 
         t = cfg.targets

@@ -25,11 +25,12 @@ from critiq.operators.quality import (
     non_numeric_ratings,
     null_counts,
     quality_summary,
+    summary_frame,
     validate_ingest,
     verdicts,
 )
 from critiq.operators.rollup import consolidate, filter_period, gold_rollup, lexicon_flags, preview
-from critiq.operators.views import history_view
+from critiq.operators.views import history_projection, history_view
 from critiq.plans.pipeline import PipelineConfig, Targets, run_pipeline
 from critiq.plans.report import RunInfo, failure_report, rows_to_json, run_report, segment_list
 from critiq.schema import UNIFIED_COLUMNS
@@ -45,6 +46,8 @@ from critiq.sources.feeds import (
     with_provenance,
 )
 from critiq.sources.sinks import (
+    append_report,
+    read_documents,
     read_partitioned_parquet,
     stamp_run_date,
     write_documents,
@@ -228,16 +231,7 @@ def q_gold_rollup_spread(spark, sf_dir):
 
 # -- views and reports ----------------------------------------------------------
 def q_history_view(spark, sf_dir):
-    h = history_view(valid(spark, sf_dir))
-    return h.select(
-        "title",
-        "snippet",
-        "app_source",
-        "app",
-        "segmento",
-        "rating",
-        F.unix_micros("iso_date").alias("iso_date_us"),
-    )
+    return _history_out(history_view(valid(spark, sf_dir)))
 
 
 def history_view_rows(spark, sf_dir) -> int:
@@ -247,7 +241,7 @@ def history_view_rows(spark, sf_dir) -> int:
 def _report_inputs(spark, sf_dir):
     d = deduped(spark, sf_dir)
     summary = quality_summary(d).collect()[0]
-    verdict_rows = verdicts(spark.createDataFrame([summary])).collect()
+    verdict_rows = verdicts(summary_frame(spark, summary)).collect()
     v, _ = validate_ingest(d, RUN_DATE, summary)
     type_client = segment_list(v).collect()[0]["type_client"]
     return summary, verdict_rows, type_client
@@ -310,11 +304,62 @@ def q_sink_json_roundtrip(spark, sf_dir):
     return spark.read.schema(GOLD_SCHEMA).json(path)
 
 
-def q_pipeline_gold(spark, sf_dir):
+def q_sink_report_roundtrip(spark, sf_dir):
+    """The run report appended twice to a fresh table and read back."""
+    path = scratch_path(spark, "report")
+    summary, verdict_rows, type_client = _report_inputs(spark, sf_dir)
+    report = run_report(spark, summary, verdict_rows, type_client, RUN)
+    append_report(report, path)
+    append_report(report, path)
+    return flatten_report(spark.read.schema(report.schema).json(path))
+
+
+def _history_out(df: DataFrame) -> DataFrame:
+    return df.select(
+        "title", "snippet", "app_source", "app", "segmento", "rating",
+        F.unix_micros("iso_date").alias("iso_date_us"),
+    )
+
+
+def q_sink_history_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "history_documents")
+    h = history_view(valid(spark, sf_dir))
+    write_documents(h, path)
+    return _history_out(read_documents(spark, path, h.schema))
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str) -> PipelineConfig:
+    """One full run of the daily job per fresh call; its outputs are read back."""
     base = scratch_path(spark, "pipeline")
     cfg = PipelineConfig(targets=Targets.under(base), run_date=RUN_DATE, run=RUN, lexicon=DATA_LEXICON)
     run_pipeline(spark, derived_feeds(spark, sf_dir), cfg)
-    return read_partitioned_parquet(spark, cfg.targets.gold)
+    return cfg
+
+
+def q_pipeline_gold(spark, sf_dir):
+    return read_partitioned_parquet(spark, pipeline_run(spark, sf_dir).targets.gold)
+
+
+def q_pipeline_outputs(spark, sf_dir):
+    """Row counts of every published output of one run, by output name."""
+    t = pipeline_run(spark, sf_dir).targets
+    parts = [
+        read_partitioned_parquet(spark, t.gold).select(F.lit("gold").alias("output")),
+        read_partitioned_parquet(spark, t.invalid).select(F.lit("invalid").alias("output")),
+        spark.read.text(t.gold_documents).select(F.lit("gold_documents").alias("output")),
+        spark.read.text(t.history_documents).select(F.lit("history_documents").alias("output")),
+        spark.read.text(t.report).select(F.lit("report").alias("output")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("output").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_pipeline_history(spark, sf_dir):
+    t = pipeline_run(spark, sf_dir).targets
+    schema = history_projection(valid(spark, sf_dir)).schema
+    return _history_out(read_documents(spark, t.history_documents, schema))
 
 
 def queries() -> dict[str, Query]:
@@ -355,5 +400,9 @@ def queries() -> dict[str, Query]:
         "sink_parquet_roundtrip": q_sink_parquet_roundtrip,
         "sink_invalid_roundtrip": q_sink_invalid_roundtrip,
         "sink_json_roundtrip": q_sink_json_roundtrip,
+        "sink_report_roundtrip": q_sink_report_roundtrip,
+        "sink_history_roundtrip": q_sink_history_roundtrip,
         "pipeline_gold": q_pipeline_gold,
+        "pipeline_outputs": q_pipeline_outputs,
+        "pipeline_history": q_pipeline_history,
     }

@@ -116,6 +116,31 @@ REPORT_SCHEMA = T.StructType(
 )
 
 
+def _literal(value, dtype: T.DataType) -> Column:
+    """A typed literal column for a (possibly nested) Python value."""
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.StructType):
+        values = value.asDict() if isinstance(value, Row) else value
+        if isinstance(values, dict):
+            values = [values.get(f.name) for f in dtype.fields]
+        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(values, dtype.fields)])
+    if isinstance(dtype, T.ArrayType):
+        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
+def one_row(spark: SparkSession, values, schema: T.StructType) -> DataFrame:
+    """A one-row DataFrame built from literals on the JVM side (no Python RDD,
+    so no Python worker is started to serve it)."""
+    if isinstance(values, Row):
+        values = values.asDict()
+    if isinstance(values, dict):
+        values = [values.get(f.name) for f in schema.fields]
+    cols = [_literal(v, f.dataType).alias(f.name) for v, f in zip(values, schema.fields)]
+    return spark.range(0, 1, 1, 1).select(*cols)
+
+
 def _pct(part: int, whole: int) -> float:
     return part / whole * 100 if whole > 0 else 0.0
 
@@ -156,7 +181,7 @@ def run_report(
         (run.start.strftime("%Y-%m-%d %H:%M:%S"), end.strftime("%Y-%m-%d %H:%M:%S")),
         stamp.strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z",
     )
-    return spark.createDataFrame([row], REPORT_SCHEMA)
+    return one_row(spark, row, REPORT_SCHEMA)
 
 
 FAILURE_SCHEMA = T.StructType(
@@ -210,4 +235,4 @@ def failure_report(
         clients,
         str(error) if error else "unknown error",
     )
-    return spark.createDataFrame([row], FAILURE_SCHEMA)
+    return one_row(spark, row, FAILURE_SCHEMA)

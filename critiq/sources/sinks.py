@@ -72,21 +72,35 @@ def read_partitioned_parquet(spark, path: str, partition_column: str = PARTITION
     return df.withColumn(partition_column, F.col(partition_column).cast("string"))
 
 
+# Timestamps in documents keep microseconds and carry their offset.
+DOCUMENT_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def write_documents(df: DataFrame, path: str, empty: bool | None = None) -> bool:
     """Replace a document collection with the rows of ``df`` as JSON lines.
 
-    Null fields are left out of each document. An empty frame leaves the
-    previous documents in place and returns False.
+    Null fields are left out of each document; timestamps keep microseconds.
+    An empty frame leaves the previous documents in place and returns False.
     """
     if empty is None:
         empty = df.isEmpty()
     if empty:
         log.warning("collection %s not replaced: no rows", path)
         return False
-    df.write.mode("overwrite").option("ignoreNullFields", "true").json(path)
+    (
+        df.write.mode("overwrite")
+        .option("ignoreNullFields", "true")
+        .option("timestampFormat", DOCUMENT_TIMESTAMP_FORMAT)
+        .json(path)
+    )
     return True
 
 
+def read_documents(spark, path: str, schema) -> DataFrame:
+    """Read a document collection back with its schema."""
+    return spark.read.schema(schema).option("timestampFormat", DOCUMENT_TIMESTAMP_FORMAT).json(path)
+
+
 def append_report(df: DataFrame, path: str) -> None:
     """Append report documents (one row each) to a JSON-lines table."""
     df.coalesce(1).write.mode("append").option("ignoreNullFields", "false").json(path)
