@@ -3,6 +3,7 @@
 Spark 4 runs with ANSI mode on: ``cast('4.0' as int)`` raises and
 ``try_cast('4.0' as int)`` is NULL, while the legacy cast truncated it to 4.
 These expressions give the legacy result without touching session config.
+Each takes a column name or a Spark SQL expression.
 """
 
 from __future__ import annotations
@@ -10,34 +11,40 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Legacy string casts strip ASCII control characters and blanks at both ends.
-_EDGE_CHARS = "".join(chr(i) for i in range(0x21))
-# Accepted shape: optional sign, digits with an optional fraction, or a bare fraction.
-_DECIMAL_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*)$"
-_WHOLE_PART = r"^([+-]?[0-9]*)"
-_BARE_FRACTION = r"^[+-]?[.]"
-
+from critiq.functions.sql import string_literal
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+# Legacy string casts ignore ASCII control characters and blanks at both ends.
+_PAD = r"[\x00-\x20]*"
+# Accepted shape: optional sign, digits with an optional fraction, or a bare fraction.
+_DECIMAL_TEXT = rf"^{_PAD}[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*){_PAD}$"
+_WHOLE_PART = rf"^{_PAD}([+-]?[0-9]*)"
+_BARE_FRACTION = rf"^{_PAD}[+-]?[.]"
 
 
-def legacy_int(c: Column | str) -> Column:
-    """String to int like the legacy cast: trims, truncates a fraction, NULL on
-    anything else (exponents, letters, overflow).
+def legacy_int_sql(expr: str) -> str:
+    """SQL text: string to int like the legacy cast (trims, truncates a
+    fraction, NULL for exponents, letters or overflow).
 
     Whole numbers take the plain ``try_cast`` (same parser, same trimming);
     only text it rejects goes through the fraction-truncating path.
     """
-    text = F.trim(_col(c).cast("string"), F.lit(_EDGE_CHARS))
-    whole = F.nullif(F.regexp_extract(text, _WHOLE_PART, 1), F.lit(""))
-    truncated = F.when(
-        text.rlike(_DECIMAL_TEXT),
-        F.coalesce(whole.try_cast("int"), F.when(text.rlike(_BARE_FRACTION), F.lit(0))),
+    x = f"CAST({expr} AS STRING)"
+    return (
+        f"CAST(coalesce(try_cast({x} AS INT), "
+        f"CASE WHEN {x} RLIKE {string_literal(_DECIMAL_TEXT)} THEN coalesce("
+        f"try_cast(nullif(regexp_extract({x}, {string_literal(_WHOLE_PART)}, 1), '') AS INT), "
+        f"CASE WHEN {x} RLIKE {string_literal(_BARE_FRACTION)} THEN 0 END) END) AS INT)"
     )
-    return F.coalesce(text.try_cast("int"), truncated).cast("int")
 
 
-def lenient_double(c: Column | str) -> Column:
-    """String to double, NULL when the text is not a number."""
-    return _col(c).try_cast("double")
+def legacy_int(expr: str) -> Column:
+    return F.expr(legacy_int_sql(expr))
+
+
+def lenient_double_sql(expr: str) -> str:
+    """SQL text: string to double, NULL when the text is not a number."""
+    return f"try_cast({expr} AS DOUBLE)"
+
+
+def lenient_double(expr: str) -> Column:
+    return F.expr(lenient_double_sql(expr))

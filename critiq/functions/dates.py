@@ -1,10 +1,12 @@
-"""Review timestamps and reporting periods."""
+"""Review timestamps and reporting periods (column name or SQL expression in)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from critiq.functions.sql import string_literal
+
 # Accepted review timestamp texts (fixed formats of the three feeds):
 #   2024-03-15T08:00:00Z            UTC designator
 #   2024-03-15T08:00:00-07:00       offset with colon
@@ -15,28 +17,33 @@ _WITH_BASIC_OFFSET = "yyyy-MM-dd'T'HH:mm:ssZ"
 _MICROS_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def parse_review_ts(c: Column | str) -> Column:
-    """Parse a review timestamp text to a TIMESTAMP instant; NULL if unparseable.
+def parse_review_ts_sql(expr: str) -> str:
+    """SQL text: a review timestamp text as a TIMESTAMP instant, NULL if
+    unparseable.
 
     The text's ending picks the one format to try (a failed parse costs an
     exception inside the parser, so formats are not tried blindly); the
     parse itself still validates the whole text and never raises.
     """
-    text = _col(c)
+    x = expr
     return (
-        F.when(text.rlike(r"(Z|[+-][0-9]{2}:[0-9]{2})$"), F.try_to_timestamp(text, F.lit(_WITH_ISO_OFFSET)))
-        .when(text.rlike(r"[+-][0-9]{4}$"), F.try_to_timestamp(text, F.lit(_WITH_BASIC_OFFSET)))
-        .when(
-            text.rlike(r"[.][0-9]{6}$"),
-            F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(_MICROS_UTC)),
-        )
+        f"CASE WHEN {x} RLIKE {string_literal('(Z|[+-][0-9]{2}:[0-9]{2})$')} "
+        f"THEN try_to_timestamp({x}, {string_literal(_WITH_ISO_OFFSET)}) "
+        f"WHEN {x} RLIKE {string_literal('[+-][0-9]{4}$')} "
+        f"THEN try_to_timestamp({x}, {string_literal(_WITH_BASIC_OFFSET)}) "
+        f"WHEN {x} RLIKE {string_literal('[.][0-9]{6}$')} "
+        f"THEN try_to_timestamp(concat({x}, 'Z'), {string_literal(_MICROS_UTC)}) END"
     )
 
 
-def period_of(c: Column | str) -> Column:
-    """Reporting period: the first seven characters (``yyyy-MM``) of the date text."""
-    return F.substring(_col(c), 1, 7)
+def parse_review_ts(expr: str) -> Column:
+    return F.expr(parse_review_ts_sql(expr))
+
+
+def period_of_sql(expr: str) -> str:
+    """SQL text: the reporting period, the first seven characters (``yyyy-MM``)."""
+    return f"substring({expr}, 1, 7)"
+
+
+def period_of(expr: str) -> Column:
+    return F.expr(period_of_sql(expr))

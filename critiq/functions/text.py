@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from critiq.functions.sql import string_literal
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the original job's for equal results).
 # Positive words, negative words and negators of the review lexicon:
@@ -57,13 +59,19 @@ def lexicon_pattern(words: tuple[str, ...], negators: tuple[str, ...]) -> str:
     return f"(?iu){word}(?!.*{negator})"
 
 
-def lexicon_flag(c: Column | str, words: tuple[str, ...], negators: tuple[str, ...]) -> Column:
-    """Boolean column: does the text match the lexicon list (NULL text -> NULL)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return col.rlike(lexicon_pattern(words, negators))
+def lexicon_flag_sql(expr: str, words: tuple[str, ...], negators: tuple[str, ...]) -> str:
+    """SQL text: does the text match the lexicon list (NULL text -> NULL)."""
+    return f"({expr} RLIKE {string_literal(lexicon_pattern(words, negators))})"
+
+
+def lexicon_flag(expr: str, words: tuple[str, ...], negators: tuple[str, ...]) -> Column:
+    return F.expr(lexicon_flag_sql(expr, words, negators))
+
+
+def strip_channel_suffix_sql(expr: str, pattern: str = CHANNEL_SUFFIX_PATTERN) -> str:
+    """SQL text: remove channel suffixes (``_pf`` / ``_pj``) anywhere in an app name."""
+    return f"regexp_replace({expr}, {string_literal(pattern)}, '')"
 
 
-def strip_channel_suffix(c: Column | str, pattern: str = CHANNEL_SUFFIX_PATTERN) -> Column:
-    """Remove channel suffixes (``_pf`` / ``_pj``) anywhere in an app name."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(col, pattern, "")
+def strip_channel_suffix(expr: str, pattern: str = CHANNEL_SUFFIX_PATTERN) -> Column:
+    return F.expr(strip_channel_suffix_sql(expr, pattern))

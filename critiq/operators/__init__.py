@@ -1,6 +1,6 @@
 """Review operators: harmonize, union, dedup, quality, rollup, views."""
 
-from critiq.operators.dedup import dedup_by_key, feed_rank, survivor_order
+from critiq.operators.dedup import dedup_by_key, feed_rank_sql, survivor_order_sql
 from critiq.operators.harmonize import harmonize, harmonize_all, union_feeds
 from critiq.operators.quality import (
     duplicate_keys,
@@ -29,7 +29,7 @@ __all__ = [
     "dedup_by_key",
     "duplicate_keys",
     "duplicate_rows",
-    "feed_rank",
+    "feed_rank_sql",
     "filter_period",
     "gold_rollup",
     "harmonize",
@@ -42,7 +42,7 @@ __all__ = [
     "null_counts",
     "preview",
     "quality_summary",
-    "survivor_order",
+    "survivor_order_sql",
     "union_feeds",
     "valid_rows",
     "validate_ingest",

@@ -4,31 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from critiq.functions.sql import ident, string_literal
 from critiq.sources.feeds import DEFAULT_FEEDS
 
 # Tie-break columns after feed priority and newest date, for a total order.
 _TIE_BREAK = ("app", "segmento", "rating", "title", "snippet")
 
 
-def feed_rank(priority: Sequence[str], column: str = "app_source") -> Column:
-    """0 for the first feed in ``priority``, 1 for the next, ...; unknown last."""
-    rank = F.lit(len(priority))
-    for i, name in reversed(list(enumerate(priority))):
-        rank = F.when(F.col(column) == name, F.lit(i)).otherwise(rank)
-    return rank
+def feed_rank_sql(priority: Sequence[str], column: str = "app_source") -> str:
+    """SQL text: 0 for the first feed in ``priority``, 1 for the next, ...; unknown last."""
+    whens = " ".join(f"WHEN {string_literal(n)} THEN {i}" for i, n in enumerate(priority))
+    return f"CASE {ident(column)} {whens} ELSE {len(priority)} END"
 
 
-def survivor_order(priority: Sequence[str]) -> list[Column]:
+def survivor_order_sql(priority: Sequence[str]) -> str:
     """Which row of a key survives: earlier feed, then newest date, then the
     smallest remaining values. Deterministic, so reruns pick the same row."""
-    return [
-        feed_rank(priority).asc(),
-        F.col("iso_date").desc_nulls_last(),
-        *[F.col(c).asc_nulls_last() for c in _TIE_BREAK],
-    ]
+    parts = [f"{feed_rank_sql(priority)} ASC", "iso_date DESC NULLS LAST"]
+    parts += [f"{c} ASC NULLS LAST" for c in _TIE_BREAK]
+    return ", ".join(parts)
 
 
 def dedup_by_key(
@@ -44,9 +40,5 @@ def dedup_by_key(
     one row per task to its reducer.
     """
     names = list(priority) if priority is not None else [s.name for s in DEFAULT_FEEDS]
-    w = Window.partitionBy(key).orderBy(*survivor_order(names))
-    return (
-        df.withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") == 1)
-        .drop("_rn")
-    )
+    rn = f"row_number() OVER (PARTITION BY {ident(key)} ORDER BY {survivor_order_sql(names)}) AS _rn"
+    return df.selectExpr("*", rn).where("_rn = 1").drop("_rn")

@@ -6,9 +6,9 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from critiq.functions.text import CHANNEL_SUFFIX_PATTERN, strip_channel_suffix
+from critiq.functions.sql import string_literal
+from critiq.functions.text import CHANNEL_SUFFIX_PATTERN, strip_channel_suffix_sql
 from critiq.schema import UNIFIED_COLUMNS
 from critiq.sources.feeds import DEFAULT_FEEDS, FeedSpec
 
@@ -25,12 +25,12 @@ def harmonize(df: DataFrame, spec: FeedSpec, suffix_pattern: str = CHANNEL_SUFFI
         raise ValueError(f"feed {spec.name!r} maps no expression for {missing}")
     exprs = []
     for c in UNIFIED_COLUMNS[:-1]:
-        e = F.expr(spec.mapping[c]).cast("string")
+        e = f"CAST({spec.mapping[c]} AS STRING)"
         if c == "app":
-            e = strip_channel_suffix(e, suffix_pattern)
-        exprs.append(e.alias(c))
-    exprs.append(F.lit(spec.name).alias("app_source"))
-    return df.select(*exprs)
+            e = strip_channel_suffix_sql(e, suffix_pattern)
+        exprs.append(f"{e} AS {c}")
+    exprs.append(f"{string_literal(spec.name)} AS app_source")
+    return df.selectExpr(*exprs)
 
 
 def union_feeds(frames: Iterable[DataFrame]) -> DataFrame:

@@ -8,35 +8,38 @@ the valid / invalid row counts, come from one aggregation job
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from critiq.functions.casts import legacy_int
+from critiq.functions.casts import legacy_int_sql
+from critiq.functions.sql import ident
 from critiq.schema import CRITICAL_COLUMNS, INVALID_PREDICATE_COLUMNS, UNIFIED_COLUMNS
 from critiq.sources.sinks import stamp_run_date
 
 CHECKS = ("duplicate_check", "null_check", "type_consistency_check")
 
+# Every critical column is set.
+VALID_SQL = " AND ".join(f"{c} IS NOT NULL" for c in CRITICAL_COLUMNS)
+# A key column other than ``snippet`` is NULL.
+INVALID_SQL = " OR ".join(f"{c} IS NULL" for c in INVALID_PREDICATE_COLUMNS)
+# The rating does not read as an integer (NULL included).
+BAD_RATING_SQL = f"{legacy_int_sql('rating')} IS NULL"
+
 
 def valid_predicate() -> Column:
-    """Every critical column is set."""
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in CRITICAL_COLUMNS])
+    return F.expr(VALID_SQL)
 
 
 def invalid_predicate() -> Column:
-    """A key column other than ``snippet`` is NULL."""
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in INVALID_PREDICATE_COLUMNS])
+    return F.expr(INVALID_SQL)
 
 
 def valid_rows(df: DataFrame) -> DataFrame:
-    return df.select(*UNIFIED_COLUMNS).filter(valid_predicate())
+    return df.select(*UNIFIED_COLUMNS).where(VALID_SQL)
 
 
 def invalid_rows(df: DataFrame) -> DataFrame:
-    return df.select(*UNIFIED_COLUMNS).filter(invalid_predicate())
+    return df.select(*UNIFIED_COLUMNS).where(INVALID_SQL)
 
 
 def duplicate_keys(df: DataFrame, key: str = "id") -> DataFrame:
@@ -45,15 +48,15 @@ def duplicate_keys(df: DataFrame, key: str = "id") -> DataFrame:
     Partial aggregation runs before the shuffle, so a hot key costs one row
     per map task.
     """
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return df.groupBy(key).agg(F.expr("count(1) AS n")).where("n > 1")
 
 
 def duplicate_rows(df: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key repeats (NULL keys never match).
 
-    A left semi join against the repeated keys: AQE turns it into a broadcast
-    join when the key set proves small at run time and splits a skewed key's
-    partition otherwise.
+    A left semi join against the repeated keys: NULL keys are filtered before
+    its shuffle, AQE turns it into a broadcast join when the key set proves
+    small at run time and splits a skewed key's partition otherwise.
     """
     keys = duplicate_keys(df, key).select(key)
     return df.join(keys, on=key, how="left_semi")
@@ -61,12 +64,12 @@ def duplicate_rows(df: DataFrame, key: str = "id") -> DataFrame:
 
 def null_counts(df: DataFrame, columns=CRITICAL_COLUMNS) -> DataFrame:
     """One row: the number of NULLs in each column."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return df.agg(*[F.expr(f"count_if({ident(c)} IS NULL) AS {ident(c)}") for c in columns])
 
 
 def non_numeric_ratings(df: DataFrame) -> DataFrame:
     """Rows whose rating does not read as an integer (NULL ratings included)."""
-    return df.filter(legacy_int("rating").isNull())
+    return df.where(BAD_RATING_SQL)
 
 
 SUMMARY_FIELDS = (
@@ -80,6 +83,13 @@ SUMMARY_FIELDS = (
     "n_invalid",
 )
 
+_ROW_COUNTS_SQL = (
+    *[f"count_if({c} IS NULL) AS null_{c}" for c in CRITICAL_COLUMNS],
+    f"count_if({BAD_RATING_SQL}) AS bad_rating",
+    f"count_if({VALID_SQL}) AS n_valid",
+    f"count_if({INVALID_SQL}) AS n_invalid_base",
+)
+
 
 def summary_aggregates() -> list[Column]:
     """The summary measures that need no grouping by key, as global aggregates.
@@ -87,22 +97,13 @@ def summary_aggregates() -> list[Column]:
     Usable in ``agg`` or in ``DataFrame.observe`` (metrics gathered while
     another action runs, with no extra scan).
     """
-    return [
-        F.count(F.lit(1)).alias("total_records"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in CRITICAL_COLUMNS],
-        F.count_if(legacy_int("rating").isNull()).alias("bad_rating"),
-        F.count_if(valid_predicate()).alias("n_valid"),
-        F.count_if(invalid_predicate()).alias("n_invalid_base"),
-    ]
-
-
-SUMMARY_SCHEMA = T.StructType([T.StructField(c, T.LongType()) for c in SUMMARY_FIELDS])
+    return [F.expr("count(1) AS total_records"), *[F.expr(e) for e in _ROW_COUNTS_SQL]]
 
 
 def summary_frame(spark, summary: Row) -> DataFrame:
     """A collected summary row as a one-row DataFrame, built from JVM literals."""
-    return spark.range(0, 1, 1, 1).select(
-        *[F.lit(int(summary[c])).cast("bigint").alias(c) for c in SUMMARY_FIELDS]
+    return spark.range(0, 1, 1, 1).selectExpr(
+        *[f"CAST({int(summary[c])} AS BIGINT) AS {c}" for c in SUMMARY_FIELDS]
     )
 
 
@@ -119,88 +120,59 @@ def quality_summary(df: DataFrame, key: str = "id") -> DataFrame:
     """One-row summary of every check, in one job.
 
     Rows are first aggregated per key (partial aggregation before the shuffle
-    on ``key``; no shuffle at all when ``df`` is already hash-partitioned on
-    it), then summed globally.
+    on ``key``), then summed globally.
     """
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in CRITICAL_COLUMNS]
-    per_key = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        *nulls,
-        F.count_if(legacy_int("rating").isNull()).alias("bad_rating"),
-        F.count_if(valid_predicate()).alias("n_valid"),
-        F.count_if(invalid_predicate()).alias("n_invalid_base"),
-    )
+    per_key = df.groupBy(key).agg(F.expr("count(1) AS n"), *[F.expr(e) for e in _ROW_COUNTS_SQL])
+    k = ident(key)
 
-    def total(c: Column | str) -> Column:
-        c = F.col(c) if isinstance(c, str) else c
-        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    def total(expr: str, name: str) -> Column:
+        return F.expr(f"CAST(coalesce(sum({expr}), 0) AS BIGINT) AS {name}")
 
-    repeated = F.col("n") > 1
     return per_key.agg(
-        total("n").alias("total_records"),
-        F.count_if(repeated).alias("dup_keys"),
-        total(F.when(repeated & F.col(key).isNotNull(), F.col("n"))).alias("dup_rows"),
-        *[total(f"null_{c}").alias(f"null_{c}") for c in CRITICAL_COLUMNS],
-        total("bad_rating").alias("bad_rating"),
-        total("n_valid").alias("n_valid"),
-        total("n_invalid_base").alias("n_invalid_base"),
-    ).withColumn(
+        total("n", "total_records"),
+        F.expr("count_if(n > 1) AS dup_keys"),
+        total(f"CASE WHEN n > 1 AND {k} IS NOT NULL THEN n END", "dup_rows"),
+        *[total(f"null_{c}", f"null_{c}") for c in CRITICAL_COLUMNS],
+        total("bad_rating", "bad_rating"),
+        total("n_valid", "n_valid"),
+        total("n_invalid_base", "n_invalid_base"),
         # Invalid rows = rows with a NULL key column + rows of repeated keys.
-        "n_invalid",
-        F.col("n_invalid_base") + F.col("dup_rows"),
+        total(f"n_invalid_base + CASE WHEN n > 1 AND {k} IS NOT NULL THEN n ELSE 0 END", "n_invalid"),
     )
 
 
 def verdicts(summary: DataFrame) -> DataFrame:
     """The three check verdicts: ``check, status, code, n_bad, message, total_records``."""
-    dup_ok = F.col("dup_keys") == 0
-    null_total = reduce(lambda a, b: a + b, [F.col(f"null_{c}") for c in CRITICAL_COLUMNS])
-    null_ok = null_total == 0
-    type_ok = F.col("bad_rating") == 0
-    null_detail = F.concat_ws(
-        ", ",
-        *[
-            F.when(F.col(f"null_{c}") > 0, F.concat(F.lit(f"{c}="), F.col(f"null_{c}").cast("string")))
-            for c in CRITICAL_COLUMNS
-        ],
+    null_total = " + ".join(f"null_{c}" for c in CRITICAL_COLUMNS)
+    null_detail = ", ".join(
+        f"CASE WHEN null_{c} > 0 THEN concat('{c}=', CAST(null_{c} AS STRING)) END" for c in CRITICAL_COLUMNS
     )
 
-    def verdict(name: str, ok: Column, fail_code: int, n_bad: Column, ok_msg: str, bad_msg: Column) -> Column:
-        return F.struct(
-            F.lit(name).alias("check"),
-            ok.alias("status"),
-            F.when(ok, F.lit(200)).otherwise(F.lit(fail_code)).alias("code"),
-            n_bad.cast("bigint").alias("n_bad"),
-            F.when(ok, F.lit(ok_msg)).otherwise(bad_msg).alias("message"),
+    def verdict(name: str, ok: str, fail_code: int, n_bad: str, ok_msg: str, bad_msg: str) -> str:
+        return (
+            f"named_struct('check', '{name}', 'status', {ok}, "
+            f"'code', CASE WHEN {ok} THEN 200 ELSE {fail_code} END, "
+            f"'n_bad', CAST({n_bad} AS BIGINT), "
+            f"'message', CASE WHEN {ok} THEN '{ok_msg}' ELSE {bad_msg} END)"
         )
 
-    items = F.array(
-        verdict(
-            "duplicate_check",
-            dup_ok,
-            409,
-            F.col("dup_keys"),
-            "no duplicate records found",
-            F.concat(F.lit("duplicate records found: "), F.col("dup_keys").cast("string"), F.lit(" ids repeat")),
-        ),
-        verdict(
-            "null_check",
-            null_ok,
-            400,
-            null_total,
-            "no null values in critical columns",
-            F.concat(F.lit("null values in critical columns: "), null_detail),
-        ),
-        verdict(
-            "type_consistency_check",
-            type_ok,
-            400,
-            F.col("bad_rating"),
-            "rating values are numeric",
-            F.concat(F.lit("non-numeric values in column rating: "), F.col("bad_rating").cast("string"), F.lit(" rows")),
-        ),
+    items = ", ".join(
+        [
+            verdict(
+                "duplicate_check", "dup_keys = 0", 409, "dup_keys", "no duplicate records found",
+                "concat('duplicate records found: ', CAST(dup_keys AS STRING), ' ids repeat')",
+            ),
+            verdict(
+                "null_check", f"({null_total}) = 0", 400, null_total, "no null values in critical columns",
+                f"concat('null values in critical columns: ', concat_ws(', ', {null_detail}))",
+            ),
+            verdict(
+                "type_consistency_check", "bad_rating = 0", 400, "bad_rating", "rating values are numeric",
+                "concat('non-numeric values in column rating: ', CAST(bad_rating AS STRING), ' rows')",
+            ),
+        ]
     )
-    return summary.select(F.inline(items), F.col("total_records"))
+    return summary.selectExpr(f"inline(array({items}))", "total_records")
 
 
 def validate_ingest(

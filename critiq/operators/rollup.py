@@ -5,50 +5,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from critiq.functions.casts import lenient_double
-from critiq.functions.dates import period_of
-from critiq.functions.text import DEFAULT_LEXICON, Lexicon, lexicon_flag
+from critiq.functions.casts import lenient_double_sql
+from critiq.functions.dates import period_of_sql
+from critiq.functions.sql import ident, string_literal
+from critiq.functions.text import DEFAULT_LEXICON, Lexicon, lexicon_flag_sql
 from critiq.schema import GOLD_KEYS
 
 # Fixed value: a well-formed reporting period is ``yyyy-MM``.
 PERIOD_PATTERN = r"^\d{4}-\d{2}$"
 
 
-def consolidate(valid: DataFrame, date_fallback: str | Column | None = None) -> DataFrame:
+def consolidate(valid: DataFrame, date_fallback: str | None = None) -> DataFrame:
     """One consolidated row per valid review.
 
     Rating becomes a double (NULL when not a number); the comment is the
     snippet, else the title; the client name is the title when a snippet
     exists; app, channel and segment are upper-cased and the period is the
-    date's ``yyyy-MM`` prefix. ``date_fallback`` (a column, e.g. the load
-    date) fills missing review dates.
+    date's ``yyyy-MM`` prefix. ``date_fallback`` (a column name or SQL
+    expression, e.g. the load date) fills missing review dates.
     """
-    date = F.col("iso_date")
-    if date_fallback is not None:
-        fallback = F.col(date_fallback) if isinstance(date_fallback, str) else date_fallback
-        date = F.coalesce(date, fallback)
-    return valid.select(
-        F.upper("app").alias("app_name"),
-        F.upper("app_source").alias("channel"),
-        F.upper("segmento").alias("segment"),
-        lenient_double("rating").alias("rating"),
-        date.alias("review_date"),
-        F.coalesce("snippet", "title").alias("comment"),
-        F.lit(None).cast("string").alias("app_version"),
-        F.when(F.col("snippet").isNotNull(), F.col("title")).alias("client_name"),
-        period_of(date).alias("period"),
+    date = "iso_date" if date_fallback is None else f"coalesce(iso_date, {date_fallback})"
+    return valid.selectExpr(
+        "upper(app) AS app_name",
+        "upper(app_source) AS channel",
+        "upper(segmento) AS segment",
+        f"{lenient_double_sql('rating')} AS rating",
+        f"{date} AS review_date",
+        "coalesce(snippet, title) AS comment",
+        "CAST(NULL AS STRING) AS app_version",
+        "CASE WHEN snippet IS NOT NULL THEN title END AS client_name",
+        f"{period_of_sql(date)} AS period",
     )
 
 
 def filter_period(df: DataFrame, pattern: str = PERIOD_PATTERN, column: str = "period") -> DataFrame:
     """Keep rows whose period is well formed."""
-    return df.filter(F.col(column).rlike(pattern))
+    return df.where(f"{ident(column)} RLIKE {string_literal(pattern)}")
 
 
 def lexicon_flags(df: DataFrame, text: str = "comment", lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """Add ``is_positive`` / ``is_negative`` (NULL when the text is NULL)."""
-    return df.withColumn("is_positive", lexicon_flag(text, lexicon.positive, lexicon.negators)).withColumn(
-        "is_negative", lexicon_flag(text, lexicon.negative, lexicon.negators)
+    t = ident(text)
+    return df.selectExpr(
+        "*",
+        f"{lexicon_flag_sql(t, lexicon.positive, lexicon.negators)} AS is_positive",
+        f"{lexicon_flag_sql(t, lexicon.negative, lexicon.negators)} AS is_negative",
     )
 
 
@@ -68,17 +69,15 @@ def gold_rollup(
     on the four keys, whose cardinality is apps x channels x months x
     segments; no global sort (see ``preview``).
     """
-    comment = F.col("comment")
     measures = [
-        F.round(F.avg("rating"), 1).alias("avg_rating"),
-        F.count(F.lit(1)).alias("n_reviews"),
-        F.count_if(lexicon_flag(comment, lexicon.positive, lexicon.negators)).alias("n_positive"),
-        F.count_if(lexicon_flag(comment, lexicon.negative, lexicon.negators)).alias("n_negative"),
+        "round(avg(rating), 1) AS avg_rating",
+        "count(1) AS n_reviews",
+        f"count_if({lexicon_flag_sql('comment', lexicon.positive, lexicon.negators)}) AS n_positive",
+        f"count_if({lexicon_flag_sql('comment', lexicon.negative, lexicon.negators)}) AS n_negative",
     ]
     if with_spread:
-        hi, lo = F.max("rating"), F.min("rating")
-        measures.append(F.round(F.try_divide(hi - lo, hi) * 100, 2).alias("rating_spread_pct"))
-    return consolidated.groupBy(*GOLD_KEYS).agg(*measures)
+        measures.append("round(try_divide(max(rating) - min(rating), max(rating)) * 100, 2) AS rating_spread_pct")
+    return consolidated.groupBy(*GOLD_KEYS).agg(*[F.expr(m) for m in measures])
 
 
 def display_order() -> list[Column]:

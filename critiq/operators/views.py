@@ -3,23 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from critiq.functions.casts import legacy_int
-from critiq.functions.dates import parse_review_ts
+from critiq.functions.casts import legacy_int_sql
+from critiq.functions.dates import parse_review_ts_sql
 
 
 def history_projection(valid: DataFrame) -> DataFrame:
     """title, snippet, app_source, app upper-cased; rating as int; iso_date as a
     TIMESTAMP instant parsed from any of the feeds' formats."""
-    return valid.select(
-        F.upper("title").alias("title"),
-        F.upper("snippet").alias("snippet"),
-        F.upper("app_source").alias("app_source"),
-        F.upper("app").alias("app"),
-        F.col("segmento"),
-        legacy_int("rating").alias("rating"),
-        parse_review_ts("iso_date").alias("iso_date"),
+    return valid.selectExpr(
+        "upper(title) AS title",
+        "upper(snippet) AS snippet",
+        "upper(app_source) AS app_source",
+        "upper(app) AS app",
+        "segmento",
+        f"{legacy_int_sql('rating')} AS rating",
+        f"{parse_review_ts_sql('iso_date')} AS iso_date",
     )
 
 

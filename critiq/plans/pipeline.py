@@ -35,13 +35,14 @@ from critiq.operators.quality import (
     summary_aggregates,
     summary_frame,
     summary_of_unique_keys,
-    valid_predicate,
     validate_ingest,
     verdicts,
 )
 from critiq.operators.rollup import consolidate, gold_rollup, preview
 from critiq.operators.views import history_view
-from critiq.plans.report import RunInfo, failure_report, run_report, segment_of, type_client_agg
+from critiq.functions.sql import string_literal
+from critiq.operators.quality import VALID_SQL
+from critiq.plans.report import RunInfo, failure_report, run_report, segment_of_sql, type_client_sql
 from critiq.session import shared_root
 from critiq.sources.feeds import DEFAULT_FEEDS, EmptyFeedsError, FeedSpec
 from critiq.sources.sinks import append_report, read_partitioned_parquet, write_documents, write_partitioned_parquet
@@ -117,8 +118,8 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
             deduped = dedup_by_key(harmonize_all(feeds, cfg.feeds), priority=names).observe(
                 metrics,
                 *summary_aggregates(),
-                type_client_agg(F.when(valid_predicate(), segment_of())).alias("type_client"),
-                *[F.count_if(F.col("app_source") == n).alias(f"source:{n}") for n in names],
+                F.expr(f"{type_client_sql(f'CASE WHEN {VALID_SQL} THEN {segment_of_sql()} END')} AS type_client"),
+                *[F.expr(f"count_if(app_source = {string_literal(n)}) AS `source:{n}`") for n in names],
             )
             deduped = deduped.checkpoint(eager=True)
             observed = metrics.get

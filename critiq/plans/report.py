@@ -9,10 +9,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from critiq.functions.sql import ident, literal
 from critiq.operators.quality import CHECKS
 
 UNKNOWN_SEGMENT = "UNKNOWN"
@@ -36,17 +37,17 @@ class RunInfo:
     timestamp: datetime | None = None
 
 
-def type_client_agg(segments: Column) -> Column:
-    """Aggregate: the distinct non-NULL values of ``segments``, sorted,
+def type_client_sql(segments: str) -> str:
+    """SQL aggregate: the distinct non-NULL values of ``segments``, sorted,
     comma-joined and upper-cased; ``NA`` when there are none. The set held
     per task is bounded by the number of segments."""
-    items = F.array_sort(F.collect_set(segments))
-    return F.when(F.size(items) == 0, F.lit(NO_SEGMENTS)).otherwise(F.upper(F.array_join(items, ",")))
+    items = f"array_sort(collect_set({segments}))"
+    return f"CASE WHEN size({items}) = 0 THEN '{NO_SEGMENTS}' ELSE upper(array_join({items}, ',')) END"
 
 
-def segment_of(column: str = "segmento") -> Column:
+def segment_of_sql(column: str = "segmento") -> str:
     """The segment as reported: NULL reads ``UNKNOWN``."""
-    return F.coalesce(F.col(column), F.lit(UNKNOWN_SEGMENT))
+    return f"coalesce({ident(column)}, '{UNKNOWN_SEGMENT}')"
 
 
 def segment_list(df: DataFrame, column: str = "segmento") -> DataFrame:
@@ -56,13 +57,13 @@ def segment_list(df: DataFrame, column: str = "segmento") -> DataFrame:
     The distinct runs as a grouped aggregate first; only the distinct values,
     bounded by the number of segments, are gathered.
     """
-    distinct = df.select(segment_of(column).alias("s")).distinct()
-    return distinct.agg(type_client_agg(F.col("s")).alias("type_client"))
+    distinct = df.selectExpr(f"{segment_of_sql(column)} AS s").distinct()
+    return distinct.agg(F.expr(f"{type_client_sql('s')} AS type_client"))
 
 
 def rows_to_json(df: DataFrame) -> DataFrame:
     """Each row as one JSON document string (``json``); NULL fields are left out."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("json"))
+    return df.selectExpr(f"to_json(struct({', '.join(ident(c) for c in df.columns)})) AS json")
 
 
 _CHECK_TYPE = T.StructType(
@@ -116,29 +117,16 @@ REPORT_SCHEMA = T.StructType(
 )
 
 
-def _literal(value, dtype: T.DataType) -> Column:
-    """A typed literal column for a (possibly nested) Python value."""
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, T.StructType):
-        values = value.asDict() if isinstance(value, Row) else value
-        if isinstance(values, dict):
-            values = [values.get(f.name) for f in dtype.fields]
-        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(values, dtype.fields)])
-    if isinstance(dtype, T.ArrayType):
-        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
-    return F.lit(value).cast(dtype)
-
-
 def one_row(spark: SparkSession, values, schema: T.StructType) -> DataFrame:
-    """A one-row DataFrame built from literals on the JVM side (no Python RDD,
-    so no Python worker is started to serve it)."""
+    """A one-row DataFrame built from SQL literals on the JVM side (no Python
+    RDD, so no Python worker is started to serve it)."""
     if isinstance(values, Row):
         values = values.asDict()
     if isinstance(values, dict):
         values = [values.get(f.name) for f in schema.fields]
-    cols = [_literal(v, f.dataType).alias(f.name) for v, f in zip(values, schema.fields)]
-    return spark.range(0, 1, 1, 1).select(*cols)
+    return spark.range(0, 1, 1, 1).selectExpr(
+        *[f"{literal(v, f.dataType)} AS {ident(f.name)}" for v, f in zip(values, schema.fields)]
+    )
 
 
 def _pct(part: int, whole: int) -> float:
@@ -202,8 +190,8 @@ def client_segments(df: DataFrame | None, column: str = "segmento") -> DataFrame
     """Distinct segments of ``df`` as one sorted array (``client``)."""
     if df is None:
         return None
-    distinct = df.select(segment_of(column).alias("s")).distinct()
-    return distinct.agg(F.array_sort(F.collect_list("s")).alias("client"))
+    distinct = df.selectExpr(f"{segment_of_sql(column)} AS s").distinct()
+    return distinct.agg(F.expr("array_sort(collect_list(s)) AS client"))
 
 
 def failure_report(

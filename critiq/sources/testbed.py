@@ -21,63 +21,63 @@ from critiq.functions.text import Lexicon
 from critiq.sources.feeds import DEFAULT_FEEDS
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_schemas: dict[str, object] = {}
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read a test table. Its footer schema is inferred once per path and then
+    given to the reader, which skips the inference job on later reads."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    known = _schemas.get(path)
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
+    df = spark.read.parquet(path)
+    _schemas[path] = df.schema
+    return df
 
 
-def _month(n: Column) -> Column:
-    return F.lpad(_s(F.lit(1) + n % 6), 2, "0")
+def _month(x: str) -> str:
+    return f"lpad(CAST(1 + {x} % 6 AS STRING), 2, '0')"
 
 
 def store_feed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns: id, app, segmento, rating (double), iso_date (``...Z``), title, snippet."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    d = docs.join(labels, "doc_id", "left")
-    doc_id = F.col("doc_id")
-    return d.select(
-        F.when(doc_id % 211 == 7, F.lit(None)).otherwise(_s(doc_id)).alias("id"),
-        F.concat(F.col("source"), F.lit("_pf")).alias("app"),
-        F.col("lang").alias("segmento"),
-        (F.lit(1) + F.lit(3) * F.col("quality") + F.col("toxic")).cast("double").alias("rating"),
-        F.concat(F.lit("2024-"), _month(doc_id), F.lit("-15T08:00:00Z")).alias("iso_date"),
-        F.concat(F.lit("reader "), _s(doc_id % 97)).alias("title"),
-        F.when(doc_id % 53 == 5, F.lit(None)).otherwise(F.col("text")).alias("snippet"),
+    return docs.join(labels, "doc_id", "left").selectExpr(
+        "CASE WHEN doc_id % 211 = 7 THEN NULL ELSE CAST(doc_id AS STRING) END AS id",
+        "concat(source, '_pf') AS app",
+        "lang AS segmento",
+        "CAST(1 + 3 * quality + toxic AS DOUBLE) AS rating",
+        f"concat('2024-', {_month('doc_id')}, '-15T08:00:00Z') AS iso_date",
+        "concat('reader ', CAST(doc_id % 97 AS STRING)) AS title",
+        "CASE WHEN doc_id % 53 = 5 THEN NULL ELSE text END AS snippet",
     )
 
 
 def internal_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns: id, app, segmento, rating (text), timestamp (microseconds), comment."""
-    conv = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
-    conv_id = F.col("conv_id")
-    return conv.select(
-        F.concat(F.lit("c"), _s(conv_id)).alias("id"),
-        F.concat(F.lit("src"), _s(conv_id % 20), F.lit("_pj")).alias("app"),
-        F.when(conv_id % 2 == 0, F.lit("pf")).otherwise(F.lit("pj")).alias("segmento"),
-        F.when(conv_id % 17 == 3, F.lit("n/a"))
-        .otherwise(F.concat(_s(F.lit(1) + F.col("turn") % 5), F.lit(".0")))
-        .alias("rating"),
-        F.concat(F.lit("2024-"), _month(conv_id), F.lit("-03T10:20:30.123456")).alias("timestamp"),
-        F.col("text").alias("comment"),
+    conv = table(spark, sf_dir, "conversations").where("role = 'user'")
+    return conv.selectExpr(
+        "concat('c', CAST(conv_id AS STRING)) AS id",
+        "concat('src', CAST(conv_id % 20 AS STRING), '_pj') AS app",
+        "CASE WHEN conv_id % 2 = 0 THEN 'pf' ELSE 'pj' END AS segmento",
+        "CASE WHEN conv_id % 17 = 3 THEN 'n/a' ELSE concat(CAST(1 + turn % 5 AS STRING), '.0') END AS rating",
+        f"concat('2024-', {_month('conv_id')}, '-03T10:20:30.123456') AS `timestamp`",
+        "text AS comment",
     )
 
 
 def store_feed_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns: id, app, segmento, im_rating, updated (``-0700`` offset), title, content."""
-    ev = table(spark, sf_dir, "events")
-    stamp = F.regexp_replace(F.substring(_s(F.col("ts")), 1, 19), " ", "T")
-    return ev.select(
-        _s(F.col("event_id") + 500).alias("id"),
-        F.concat(F.lit("src"), _s(F.col("user_id") % 20)).alias("app"),
-        F.col("event_type").alias("segmento"),
-        _s(F.lit(1) + F.floor(F.col("value")).cast("bigint") % 5).alias("im_rating"),
-        F.concat(stamp, F.lit("-0700")).alias("updated"),
-        F.col("event_type").alias("title"),
-        F.col("props").alias("content"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id + 500 AS STRING) AS id",
+        "concat('src', CAST(user_id % 20 AS STRING)) AS app",
+        "event_type AS segmento",
+        "CAST(1 + CAST(floor(value) AS BIGINT) % 5 AS STRING) AS im_rating",
+        "concat(replace(substring(CAST(ts AS STRING), 1, 19), ' ', 'T'), '-0700') AS updated",
+        "event_type AS title",
+        "props AS content",
     )
 
 
@@ -93,7 +93,7 @@ _DATE_COLUMN = {"google_play": "iso_date", "internal_database_mongodb": "timesta
 
 def load_date_of(feed_name: str) -> Column:
     """The ``YYYYMMDD`` load date used to lay a raw test feed out on disk."""
-    return F.regexp_replace(F.substring(F.col(_DATE_COLUMN[feed_name]), 1, 10), "-", "")
+    return F.expr(f"replace(substring(`{_DATE_COLUMN[feed_name]}`, 1, 10), '-', '')")
 
 
 def write_landing_zone(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
