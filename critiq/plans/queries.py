@@ -26,6 +26,7 @@ from critiq.operators.quality import (
     null_counts,
     quality_summary,
     summary_frame,
+    valid_rows,
     validate_ingest,
     verdicts,
 )
@@ -107,8 +108,7 @@ def deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v, _ = validate_ingest(deduped(spark, sf_dir), RUN_DATE, summary=None)
-    return v.drop("odate")
+    return valid_rows(deduped(spark, sf_dir))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:

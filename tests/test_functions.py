@@ -94,3 +94,22 @@ def test_period_and_suffix(spark):
     df = spark.createDataFrame([("2024-03-15T08:00:00Z", "app_pf_x_pj")], "d string, a string")
     row = df.select(period_of("d").alias("p"), strip_channel_suffix("a").alias("a")).collect()[0]
     assert (row["p"], row["a"]) == ("2024-03", "app_x")
+
+
+def test_explicit_boundaries_equal_unicode_word_boundary_on_documents(spark):
+    """On this JVM (Java 17: Unicode-aware \\b, as the original job ran on) the
+    explicit letter/digit/_ boundaries give the same flag for every document."""
+    from critiq.functions.text import lexicon_pattern
+    from critiq.sources.testbed import DATA_LEXICON, table
+
+    lex = DATA_LEXICON
+    words, negs = "|".join(lex.positive), "|".join(lex.negators)
+    java_b = rf"(?iu)\b({words})\b(?!.*\b({negs})\b)"
+    ours = lexicon_pattern(lex.positive, lex.negators)
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    got = docs.select(
+        F.count_if(F.col("text").rlike(java_b) != F.col("text").rlike(ours)).alias("diff"),
+        F.count_if(F.col("text").rlike(ours)).alias("hits"),
+    ).collect()[0]
+    assert got["diff"] == 0
+    assert got["hits"] > 0
