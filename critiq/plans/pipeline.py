@@ -93,7 +93,10 @@ class PipelineResult:
     wrote_gold: bool
     wrote_invalid: bool
     report: Row
-    preview: list[Row] = field(default_factory=list)
+    # First rows (``preview_rows`` > 0) and schemas of each feed, of the
+    # deduplicated rows and of the gold rollup in display order.
+    preview: dict[str, list[Row]] = field(default_factory=dict)
+    schemas: dict[str, str] = field(default_factory=dict)
     seconds: dict[str, float] = field(default_factory=dict)
 
 
@@ -110,7 +113,13 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
     """Run the whole job over ``feeds`` (raw feed frames keyed by spec name)."""
     run = cfg.run
     sec: dict[str, float] = {}
+    shown: dict[str, list[Row]] = {}
+    schemas = {name: df.schema.simpleString() for name, df in feeds.items()}
+    n = cfg.preview_rows
     try:
+        if n > 0:
+            with _step(sec, "preview_feeds"):
+                shown.update({name: df.limit(n).collect() for name, df in feeds.items()})
         shared_root(spark)  # checkpoints go to the shared folder
         names = [s.name for s in cfg.feeds]
         with _step(sec, "dedup_checkpoint"):
@@ -126,7 +135,11 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
         summary = summary_of_unique_keys(observed)
         by_source = {n: int(observed[f"source:{n}"]) for n in names}
         if summary["total_records"] == 0:
-            raise EmptyFeedsError("no data loaded to unify: every feed is empty")
+            volumes = ", ".join(f"{k}: {v}" for k, v in by_source.items())
+            raise EmptyFeedsError(f"no data loaded to unify: every feed is empty ({volumes})")
+        schemas["deduplicated"] = deduped.schema.simpleString()
+        if n > 0:
+            shown["deduplicated"] = deduped.limit(n).collect()
         type_client = observed["type_client"]
         verdict_rows = verdicts(summary_frame(spark, summary)).collect()
         valid, invalid = validate_ingest(deduped, cfg.run_date, summary)
@@ -141,7 +154,6 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
             wrote_invalid = write_partitioned_parquet(
                 invalid, t.invalid, cfg.run_date, "invalid", empty=summary["n_invalid"] == 0, rebalance=True
             )
-        shown: list[Row] = []
         with _step(sec, "gold_documents"):
             if wrote_gold:
                 published = (
@@ -150,8 +162,9 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
                     .drop("odate")
                 )
                 write_documents(published, t.gold_documents, empty=False)
-                if cfg.preview_rows > 0:
-                    shown = preview(published, cfg.preview_rows).collect()
+                schemas["gold"] = published.schema.simpleString()
+                if n > 0:
+                    shown["gold"] = preview(published, n).collect()
         with _step(sec, "history_documents"):
             write_documents(history_view(valid), t.history_documents, empty=summary["n_valid"] == 0)
 
@@ -168,6 +181,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
             wrote_invalid=wrote_invalid,
             report=report.collect()[0],
             preview=shown,
+            schemas=schemas,
             seconds=sec,
         )
     except Exception as exc:

@@ -47,7 +47,10 @@ def test_outputs(spark, run):
     assert r["validation_results"]["duplicate_check"]["code"] == 200
     assert r["success_count"] + r["error_count"] == 3
     assert r["type_client"] == result.type_client
-    assert len(result.preview) == 5
+    assert {k: len(v) for k, v in result.preview.items()} == {
+        "google_play": 5, "internal_database_mongodb": 5, "apple_store": 5, "deduplicated": 5, "gold": 5,
+    }
+    assert set(result.schemas) == {"google_play", "internal_database_mongodb", "apple_store", "deduplicated", "gold"}
     assert sum(result.rows_by_source.values()) == result.summary["total_records"]
 
 
