@@ -3,12 +3,14 @@
 Spark jobs per run (the original job triggered 24 actions, each re-reading
 every feed):
 
-1. union + dedup, checkpointed once to the shared folder. While it runs,
-   ``observe`` gathers every quality count and the segment list from the
-   deduplicated rows: the metrics sit after the shuffle, in the result stage,
+1. union + dedup, written once as a Parquet stage table in the shared
+   folder (``spark.checkpoint.dir``). While it is written, ``observe``
+   gathers every quality count and the segment list from the deduplicated
+   rows: the metrics sit after the shuffle, in the write's result stage,
    whose accumulator updates Spark applies once per partition, so they stay
-   exact when tasks are retried. The checkpoint cuts the lineage and
-   survives lost executors. An all-empty input stops the run here;
+   exact when tasks are retried. The stage table cuts the lineage, survives
+   lost executors, and later jobs read only the columns they need from it;
+   it is removed when the run ends. An all-empty input stops the run here;
 2. gold rollup -> Parquet;  3. invalid rows -> Parquet;
 4. gold documents (read back from the gold Parquet, not recomputed);
 5. history view documents;  6. run report append.
@@ -43,7 +45,8 @@ from critiq.operators.views import history_view
 from critiq.functions.sql import string_literal
 from critiq.operators.quality import VALID_SQL
 from critiq.plans.report import RunInfo, failure_report, run_report, segment_of_sql, type_client_sql
-from critiq.session import shared_root
+from critiq.schema import UNIFIED_SCHEMA
+from critiq.session import remove_path, scratch_path
 from critiq.sources.feeds import DEFAULT_FEEDS, EmptyFeedsError, FeedSpec
 from critiq.sources.sinks import append_report, read_partitioned_parquet, write_documents, write_partitioned_parquet
 
@@ -116,22 +119,23 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
     shown: dict[str, list[Row]] = {}
     schemas = {name: df.schema.simpleString() for name, df in feeds.items()}
     n = cfg.preview_rows
+    stage = None
     try:
         if n > 0:
             with _step(sec, "preview_feeds"):
                 shown.update({name: df.limit(n).collect() for name, df in feeds.items()})
-        shared_root(spark)  # checkpoints go to the shared folder
         names = [s.name for s in cfg.feeds]
-        with _step(sec, "dedup_checkpoint"):
+        with _step(sec, "dedup_stage"):
             metrics = Observation("quality")
-            deduped = dedup_by_key(harmonize_all(feeds, cfg.feeds), priority=names).observe(
+            stage = scratch_path(spark, f"stage-{cfg.run_date}")
+            dedup_by_key(harmonize_all(feeds, cfg.feeds), priority=names).observe(
                 metrics,
                 *summary_aggregates(),
                 F.expr(f"{type_client_sql(f'CASE WHEN {VALID_SQL} THEN {segment_of_sql()} END')} AS type_client"),
                 *[F.expr(f"count_if(app_source = {string_literal(n)}) AS `source:{n}`") for n in names],
-            )
-            deduped = deduped.checkpoint(eager=True)
+            ).write.mode("overwrite").parquet(stage)
             observed = metrics.get
+            deduped = spark.read.schema(UNIFIED_SCHEMA).parquet(stage)
         summary = summary_of_unique_keys(observed)
         by_source = {n: int(observed[f"source:{n}"]) for n in names}
         if summary["total_records"] == 0:
@@ -191,3 +195,6 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
         except Exception as report_exc:  # noqa: BLE001 - keep the original error
             log.error("failure report not written: %s", report_exc)
         raise
+    finally:
+        if stage is not None:
+            remove_path(spark, stage)

@@ -75,6 +75,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/critiq/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of the shared file system (recursively), if present."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(target) and fs.delete(target, True))
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme, for local-only checks in tests."""
     if path.startswith("file:"):

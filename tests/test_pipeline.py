@@ -70,3 +70,13 @@ def test_all_empty_feeds_fail_with_a_report(spark):
     failure = spark.read.json(cfg.targets.failures).collect()
     assert len(failure) == 1 and "every feed is empty" in failure[0]["error"]
     assert failure[0]["client"] == ["UNKNOWN_CLIENT"]
+
+
+def test_stage_table_is_removed_after_the_run(spark, run):
+    import glob
+    import os
+
+    from critiq.session import local_path, shared_root
+
+    root = local_path(shared_root(spark))
+    assert glob.glob(os.path.join(root, "critiq", "stage-*")) == []
