@@ -46,7 +46,7 @@ from critiq.functions.sql import string_literal
 from critiq.operators.quality import VALID_SQL
 from critiq.plans.report import RunInfo, failure_report, run_report, segment_of_sql, type_client_sql
 from critiq.schema import UNIFIED_SCHEMA
-from critiq.session import remove_path, scratch_path
+from critiq.session import remove_path, scratch_path, shuffle_partitions_for
 from critiq.sources.feeds import DEFAULT_FEEDS, EmptyFeedsError, FeedSpec
 from critiq.sources.sinks import append_report, read_partitioned_parquet, write_documents, write_partitioned_parquet
 
@@ -85,6 +85,11 @@ class PipelineConfig:
     lexicon: Lexicon = DEFAULT_LEXICON
     feeds: tuple[FeedSpec, ...] = DEFAULT_FEEDS
     preview_rows: int = 0
+    # Input bytes per shuffle partition for the run's full shuffles (dedup,
+    # history view). The session's spark.sql.shuffle.partitions is raised to
+    # input / this for the run (never lowered) and restored after it; None
+    # leaves the session setting alone.
+    input_bytes_per_partition: int | None = 1 << 30
 
 
 @dataclass
@@ -120,7 +125,16 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
     schemas = {name: df.schema.simpleString() for name, df in feeds.items()}
     n = cfg.preview_rows
     stage = None
+    restore_partitions = None
     try:
+        if cfg.input_bytes_per_partition:
+            current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            unified = harmonize_all(feeds, cfg.feeds)
+            wanted = shuffle_partitions_for(unified, cfg.input_bytes_per_partition, current)
+            if wanted > current:
+                restore_partitions = str(current)
+                spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+                log.info("shuffle partitions raised to %d for this run", wanted)
         if n > 0:
             with _step(sec, "preview_feeds"):
                 shown.update({name: df.limit(n).collect() for name, df in feeds.items()})
@@ -198,3 +212,5 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
     finally:
         if stage is not None:
             remove_path(spark, stage)
+        if restore_partitions is not None:
+            spark.conf.set("spark.sql.shuffle.partitions", restore_partitions)

@@ -75,6 +75,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/critiq/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def input_bytes(df) -> int:
+    """Bytes of the files (or relations) a DataFrame scans: the sum of the size
+    statistics of its plan's leaves. Unlike the root estimate (a product
+    for joins without CBO), this tracks the actual input."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def shuffle_partitions_for(df, input_bytes_per_partition: int = 1 << 30, current: int = 0) -> int:
+    """Shuffle partitions for a full shuffle of ``df``: one per
+    ``input_bytes_per_partition`` of input, never fewer than ``current``.
+    Too many is cheap (AQE coalesces small partitions); too few is not (AQE
+    cannot split a window's partitions)."""
+    return max(current, -(-input_bytes(df) // input_bytes_per_partition))
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder of the shared file system (recursively), if present."""
     jvm = spark.sparkContext._jvm

@@ -80,3 +80,39 @@ def test_stage_table_is_removed_after_the_run(spark, run):
 
     root = local_path(shared_root(spark))
     assert glob.glob(os.path.join(root, "critiq", "stage-*")) == []
+
+
+def test_shuffle_partitions_follow_the_input_and_are_restored(spark):
+    from critiq.session import input_bytes, shuffle_partitions_for
+
+    feeds = derived_feeds(spark, SF_SMOKE)
+    unified = Q.unified(spark, SF_SMOKE)
+    size = input_bytes(unified)
+    assert size > 0
+    assert shuffle_partitions_for(unified, 1 << 40, current=8) == 8  # never lowered
+    assert shuffle_partitions_for(unified, size // 10 + 1, current=1) == 10
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    cfg = PipelineConfig(
+        targets=Targets.under(scratch_path(spark, "t_sized")),
+        run_date=Q.RUN_DATE,
+        run=Q.RUN,
+        lexicon=DATA_LEXICON,
+        input_bytes_per_partition=size // 40 + 1,
+    )
+    seen = {}
+    import critiq.plans.pipeline as P
+
+    original = P.dedup_by_key
+
+    def spy(df, **kw):
+        seen["partitions"] = spark.conf.get("spark.sql.shuffle.partitions")
+        return original(df, **kw)
+
+    P.dedup_by_key = spy
+    try:
+        run_pipeline(spark, feeds, cfg)
+    finally:
+        P.dedup_by_key = original
+    assert int(seen["partitions"]) == max(40, int(before))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
