@@ -1,7 +1,6 @@
 """Operators on small literal frames."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from critiq.operators import (
     consolidate,

@@ -33,3 +33,17 @@ def test_entry_smoke(spark):
         "app_name", "channel", "period", "segment",
         "avg_rating", "n_reviews", "n_positive", "n_negative",
     ]
+
+
+@pytest.mark.parametrize("name", ["history_view", "rating_casts", "gold_rollup_spread", "scan_load_date", "run_report"])
+def test_results_do_not_depend_on_session_zone_or_ansi(spark, con, name):
+    keys = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        ok, detail = compare(spark, con, name, QUERIES[name], ORACLES[name], SF_ORACLE)
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert ok, detail

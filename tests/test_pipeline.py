@@ -1,9 +1,7 @@
 """The whole job at sf0.001: outputs, rerun stability, failure path."""
 
-from dataclasses import replace
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMOKE
 from critiq.plans import queries as Q

@@ -1,7 +1,6 @@
 """Sinks and scans round trips in fresh folders under the shared root."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from critiq.session import local_path, scratch_path
 from critiq.sources import (
