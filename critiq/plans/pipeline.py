@@ -123,41 +123,41 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
     sec: dict[str, float] = {}
     shown: dict[str, list[Row]] = {}
     schemas = {name: df.schema.simpleString() for name, df in feeds.items()}
-    n = cfg.preview_rows
+    n_preview = cfg.preview_rows
     stage = None
     restore_partitions = None
     try:
+        unified = harmonize_all(feeds, cfg.feeds)
         if cfg.input_bytes_per_partition:
             current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            unified = harmonize_all(feeds, cfg.feeds)
             wanted = shuffle_partitions_for(unified, cfg.input_bytes_per_partition, current)
             if wanted > current:
                 restore_partitions = str(current)
                 spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
                 log.info("shuffle partitions raised to %d for this run", wanted)
-        if n > 0:
+        if n_preview > 0:
             with _step(sec, "preview_feeds"):
-                shown.update({name: df.limit(n).collect() for name, df in feeds.items()})
+                shown.update({name: df.limit(n_preview).collect() for name, df in feeds.items()})
         names = [s.name for s in cfg.feeds]
         with _step(sec, "dedup_stage"):
             metrics = Observation("quality")
             stage = scratch_path(spark, f"stage-{cfg.run_date}")
-            dedup_by_key(harmonize_all(feeds, cfg.feeds), priority=names).observe(
+            dedup_by_key(unified, priority=names).observe(
                 metrics,
                 *summary_aggregates(),
                 F.expr(f"{type_client_sql(f'CASE WHEN {VALID_SQL} THEN {segment_of_sql()} END')} AS type_client"),
-                *[F.expr(f"count_if(app_source = {string_literal(n)}) AS `source:{n}`") for n in names],
+                *[F.expr(f"count_if(app_source = {string_literal(x)}) AS `source:{x}`") for x in names],
             ).write.mode("overwrite").parquet(stage)
             observed = metrics.get
             deduped = spark.read.schema(UNIFIED_SCHEMA).parquet(stage)
         summary = summary_of_unique_keys(observed)
-        by_source = {n: int(observed[f"source:{n}"]) for n in names}
+        by_source = {x: int(observed[f"source:{x}"]) for x in names}
         if summary["total_records"] == 0:
             volumes = ", ".join(f"{k}: {v}" for k, v in by_source.items())
             raise EmptyFeedsError(f"no data loaded to unify: every feed is empty ({volumes})")
         schemas["deduplicated"] = deduped.schema.simpleString()
-        if n > 0:
-            shown["deduplicated"] = deduped.limit(n).collect()
+        if n_preview > 0:
+            shown["deduplicated"] = deduped.limit(n_preview).collect()
         type_client = observed["type_client"]
         verdict_rows = verdicts(summary_frame(spark, summary)).collect()
         valid, invalid = validate_ingest(deduped, cfg.run_date, summary)
@@ -181,8 +181,8 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
                 )
                 write_documents(published, t.gold_documents, empty=False)
                 schemas["gold"] = published.schema.simpleString()
-                if n > 0:
-                    shown["gold"] = preview(published, n).collect()
+                if n_preview > 0:
+                    shown["gold"] = preview(published, n_preview).collect()
         with _step(sec, "history_documents"):
             write_documents(history_view(valid), t.history_documents, empty=summary["n_valid"] == 0)
 
