@@ -294,7 +294,7 @@ def q_sink_invalid_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "invalid")
     _, inv = validate_ingest(deduped(spark, sf_dir), RUN_DATE, summary=None)
     if not write_partitioned_parquet(inv, path, RUN_DATE, "invalid"):
-        return spark.createDataFrame([], inv.schema)
+        return inv.limit(0)
     return read_partitioned_parquet(spark, path).select(*UNIFIED_COLUMNS, "odate")
 
 

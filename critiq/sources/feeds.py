@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from critiq.functions.sql import string_literal
+
 # Load date in a path: ``odate=`` followed by eight digits.
 LOAD_DATE_IN_PATH = r"odate=(\d{8})"
 
@@ -31,7 +33,6 @@ class FeedSpec:
 
     name: str
     mapping: Mapping[str, str] = field(default_factory=dict)
-    path: str | None = None
 
 
 # ---------------------------------------------------------------------------
@@ -147,7 +148,7 @@ def feed_row_counts(feeds: Mapping[str, DataFrame]) -> DataFrame:
     counts = tagged.agg(
         *[F.count_if(F.col("_feed") == i).alias(f"n{i}") for i in range(len(names))]
     )
-    pairs = ", ".join(f"'{name}', n{i}" for i, name in enumerate(names))
+    pairs = ", ".join(f"{string_literal(name)}, n{i}" for i, name in enumerate(names))
     return counts.selectExpr(f"stack({len(names)}, {pairs}) as (feed, n_rows)")
 
 
