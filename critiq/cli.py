@@ -74,6 +74,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Pi
         preview_rows=PREVIEW_ROWS[args.env],
     )
     result = run_pipeline(spark, feeds, cfg)
+    for v in result.verdicts:
+        print(f"{v['check']}: {'PASS' if v['status'] else 'FAIL'} ({v['code']}) {v['message']}")
     for name, rows in result.preview.items():
         print(f"-- {name}: {result.schemas.get(name, '')}")
         for row in rows:

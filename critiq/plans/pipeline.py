@@ -40,7 +40,7 @@ from critiq.operators.quality import (
     validate_ingest,
     verdicts,
 )
-from critiq.operators.rollup import consolidate, gold_rollup, preview
+from critiq.operators.rollup import consolidate, display_order, gold_rollup, preview
 from critiq.operators.views import history_view
 from critiq.functions.sql import string_literal
 from critiq.operators.quality import VALID_SQL
@@ -160,11 +160,15 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
             shown["deduplicated"] = deduped.limit(n_preview).collect()
         type_client = observed["type_client"]
         verdict_rows = verdicts(summary_frame(spark, summary)).collect()
+        log.info("validation of %d records", summary["total_records"])
+        for v in verdict_rows:
+            log.info("%s: %s (%d) %s", v["check"], "PASS" if v["status"] else "FAIL", v["code"], v["message"])
         valid, invalid = validate_ingest(deduped, cfg.run_date, summary)
 
         t = cfg.targets
         with _step(sec, "gold"):
-            gold = gold_rollup(consolidate(valid), cfg.lexicon)
+            # Sorted within each output file only: no global sort (range shuffle) for display order.
+            gold = gold_rollup(consolidate(valid), cfg.lexicon).sortWithinPartitions(*display_order())
             wrote_gold = write_partitioned_parquet(
                 gold, t.gold, cfg.run_date, "valid", empty=summary["n_valid"] == 0
             )
