@@ -87,12 +87,25 @@ def read_feed(
     path: str | list[str],
     odate_from: str | None = None,
     odate_to: str | None = None,
+    base_path: str | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Scan a feed directory (or glob). ``odate_from``/``odate_to`` (``YYYYMMDD``,
     inclusive) prune ``odate=`` partitions before any file is opened; without
-    them the whole history is read, like the original job."""
+    them the whole history is read, like the original job.
+
+    ``base_path`` keeps ``odate`` as a column when ``path`` names single day
+    folders or a glob below the base; ``merge_schema`` reconciles day folders
+    written with different columns (footers of every file are read, so leave
+    it off when the schema is stable).
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.parquet(*paths)
+    reader = spark.read
+    if base_path:
+        reader = reader.option("basePath", base_path)
+    if merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    df = reader.parquet(*paths)
     if (odate_from or odate_to) and "odate" in df.columns:
         day = F.col("odate").cast("string")
         if odate_from:

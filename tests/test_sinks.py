@@ -90,3 +90,12 @@ def test_schema_scan_takes_app_from_path_and_drops_response(spark):
     row = df.select("id", "app").collect()[0]
     assert (row["id"], row["app"]) == ("1", "bank")
     assert "response" not in df.columns
+
+
+def test_feed_scan_of_single_days_keeps_the_load_date_and_merges_schemas(spark):
+    path = scratch_path(spark, "t_days")
+    spark.createDataFrame([("1",)], "id string").write.parquet(f"{path}/odate=20240101")
+    spark.createDataFrame([("2", "x")], "id string, extra string").write.parquet(f"{path}/odate=20240102")
+    df = read_feed(spark, [f"{path}/odate=20240101", f"{path}/odate=20240102"], base_path=path, merge_schema=True)
+    got = sorted((r["id"], str(r["odate"]), r["extra"]) for r in df.collect())
+    assert got == [("1", "20240101", None), ("2", "20240102", "x")]
