@@ -22,6 +22,12 @@ CHECKS = ("duplicate_check", "null_check", "type_consistency_check")
 VALID_SQL = " AND ".join(f"{c} IS NOT NULL" for c in CRITICAL_COLUMNS)
 # A key column other than ``snippet`` is NULL.
 INVALID_SQL = " OR ".join(f"{c} IS NULL" for c in INVALID_PREDICATE_COLUMNS)
+# Strict: any critical column is NULL, so every row is valid or invalid.
+STRICT_INVALID_SQL = f"NOT ({VALID_SQL})"
+
+
+def invalid_sql(strict: bool = False) -> str:
+    return STRICT_INVALID_SQL if strict else INVALID_SQL
 # The rating does not read as an integer (NULL included).
 BAD_RATING_SQL = f"{legacy_int_sql('rating')} IS NULL"
 
@@ -38,8 +44,11 @@ def valid_rows(df: DataFrame) -> DataFrame:
     return df.select(*UNIFIED_COLUMNS).where(VALID_SQL)
 
 
-def invalid_rows(df: DataFrame) -> DataFrame:
-    return df.select(*UNIFIED_COLUMNS).where(INVALID_SQL)
+def invalid_rows(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Rows with a NULL key column other than ``snippet`` (parity with the
+    original job: a row whose only NULL is the snippet is in neither set);
+    ``strict`` also counts a NULL snippet, so every row is in one set."""
+    return df.select(*UNIFIED_COLUMNS).where(invalid_sql(strict))
 
 
 def duplicate_keys(df: DataFrame, key: str = "id") -> DataFrame:
@@ -83,21 +92,22 @@ SUMMARY_FIELDS = (
     "n_invalid",
 )
 
-_ROW_COUNTS_SQL = (
-    *[f"count_if({c} IS NULL) AS null_{c}" for c in CRITICAL_COLUMNS],
-    f"count_if({BAD_RATING_SQL}) AS bad_rating",
-    f"count_if({VALID_SQL}) AS n_valid",
-    f"count_if({INVALID_SQL}) AS n_invalid_base",
-)
+def _row_counts_sql(strict: bool = False) -> tuple[str, ...]:
+    return (
+        *[f"count_if({c} IS NULL) AS null_{c}" for c in CRITICAL_COLUMNS],
+        f"count_if({BAD_RATING_SQL}) AS bad_rating",
+        f"count_if({VALID_SQL}) AS n_valid",
+        f"count_if({invalid_sql(strict)}) AS n_invalid_base",
+    )
 
 
-def summary_aggregates() -> list[Column]:
+def summary_aggregates(strict: bool = False) -> list[Column]:
     """The summary measures that need no grouping by key, as global aggregates.
 
     Usable in ``agg`` or in ``DataFrame.observe`` (metrics gathered while
     another action runs, with no extra scan).
     """
-    return [F.expr("count(1) AS total_records"), *[F.expr(e) for e in _ROW_COUNTS_SQL]]
+    return [F.expr("count(1) AS total_records"), *[F.expr(e) for e in _row_counts_sql(strict)]]
 
 
 def summary_frame(spark, summary: Row) -> DataFrame:
@@ -116,13 +126,13 @@ def summary_of_unique_keys(metrics: dict) -> Row:
     return Row(**{k: values[k] for k in SUMMARY_FIELDS})
 
 
-def quality_summary(df: DataFrame, key: str = "id") -> DataFrame:
+def quality_summary(df: DataFrame, key: str = "id", strict: bool = False) -> DataFrame:
     """One-row summary of every check, in one job.
 
     Rows are first aggregated per key (partial aggregation before the shuffle
     on ``key``), then summed globally.
     """
-    per_key = df.groupBy(key).agg(F.expr("count(1) AS n"), *[F.expr(e) for e in _ROW_COUNTS_SQL])
+    per_key = df.groupBy(key).agg(F.expr("count(1) AS n"), *[F.expr(e) for e in _row_counts_sql(strict)])
     k = ident(key)
 
     def total(expr: str, name: str) -> Column:
@@ -180,16 +190,18 @@ def validate_ingest(
     run_date: str,
     summary: Row | None = None,
     key: str = "id",
+    strict: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Split into valid and invalid rows, both stamped with the run date.
 
-    Invalid rows are those with a NULL in a key column other than ``snippet``,
-    plus every row of a repeated key (which also stays in the valid set).
+    Invalid rows are those with a NULL in a key column other than ``snippet``
+    (any critical column with ``strict``), plus every row of a repeated key
+    (which also stays in the valid set).
     Given an already collected ``summary`` row with no repeated keys, the
     repeated-key join is left out of the plan.
     """
     valid = valid_rows(df)
-    invalid = invalid_rows(df)
+    invalid = invalid_rows(df, strict)
     if summary is None or summary["dup_keys"] > 0:
         invalid = invalid.unionByName(duplicate_rows(df.select(*UNIFIED_COLUMNS), key))
     return stamp_run_date(valid, run_date), stamp_run_date(invalid, run_date)

@@ -85,6 +85,9 @@ class PipelineConfig:
     lexicon: Lexicon = DEFAULT_LEXICON
     feeds: tuple[FeedSpec, ...] = DEFAULT_FEEDS
     preview_rows: int = 0
+    # False keeps the original split (a row whose only NULL is the snippet is
+    # in neither output); True sends such rows to the invalid output.
+    strict_validity: bool = False
     # Input bytes per shuffle partition for the run's full shuffles (dedup,
     # history view). The session's spark.sql.shuffle.partitions is raised to
     # input / this for the run (never lowered) and restored after it; None
@@ -144,7 +147,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
             stage = scratch_path(spark, f"stage-{cfg.run_date}")
             dedup_by_key(unified, priority=names).observe(
                 metrics,
-                *summary_aggregates(),
+                *summary_aggregates(cfg.strict_validity),
                 F.expr(f"{type_client_sql(f'CASE WHEN {VALID_SQL} THEN {segment_of_sql()} END')} AS type_client"),
                 *[F.expr(f"count_if(app_source = {string_literal(x)}) AS `source:{x}`") for x in names],
             ).write.mode("overwrite").parquet(stage)
@@ -163,7 +166,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
         log.info("validation of %d records", summary["total_records"])
         for v in verdict_rows:
             log.info("%s: %s (%d) %s", v["check"], "PASS" if v["status"] else "FAIL", v["code"], v["message"])
-        valid, invalid = validate_ingest(deduped, cfg.run_date, summary)
+        valid, invalid = validate_ingest(deduped, cfg.run_date, summary, strict=cfg.strict_validity)
 
         t = cfg.targets
         with _step(sec, "gold"):

@@ -190,3 +190,13 @@ def test_custom_lexicon(spark):
     lex = Lexicon(positive=("great",), negative=("bad",), negators=("not",))
     r = gold_rollup(consolidate(df), lex).collect()[0]
     assert (r["n_positive"], r["n_negative"]) == (1, 1)
+
+
+def test_strict_split_puts_every_row_in_one_set(spark):
+    df = rows(spark, [("b", "x", "s", "3", "d", "t", None, "src"), ("c", "x", "s", "3", "d", "t", "s", "src")])
+    _, lax = validate_ingest(df, "20240501")
+    valid, strict = validate_ingest(df, "20240501", strict=True)
+    assert lax.count() == 0
+    assert [r["id"] for r in strict.collect()] == ["b"]
+    assert [r["id"] for r in valid.collect()] == ["c"]
+    assert quality_summary(df, strict=True).collect()[0]["n_invalid"] == 1
