@@ -46,7 +46,7 @@ from critiq.functions.sql import string_literal
 from critiq.operators.quality import VALID_SQL
 from critiq.plans.report import RunInfo, failure_report, run_report, segment_of_sql, type_client_sql
 from critiq.schema import UNIFIED_SCHEMA
-from critiq.session import remove_path, scratch_path, shuffle_partitions_for
+from critiq.session import input_bytes, remove_path, scratch_path, shuffle_partitions_for
 from critiq.sources.feeds import DEFAULT_FEEDS, EmptyFeedsError, FeedSpec
 from critiq.sources.sinks import append_report, read_partitioned_parquet, write_documents, write_partitioned_parquet
 
@@ -93,6 +93,9 @@ class PipelineConfig:
     # input / this for the run (never lowered) and restored after it; None
     # leaves the session setting alone.
     input_bytes_per_partition: int | None = 1 << 30
+    # Stage tables at least this large build the history view with
+    # ``distinct_by_hash`` (shuffles row hashes, not rows); None never does.
+    hashed_history_min_bytes: int | None = 1 << 40
 
 
 @dataclass
@@ -191,7 +194,9 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
                 if n_preview > 0:
                     shown["gold"] = preview(published, n_preview).collect()
         with _step(sec, "history_documents"):
-            write_documents(history_view(valid), t.history_documents, empty=summary["n_valid"] == 0)
+            big = cfg.hashed_history_min_bytes is not None and input_bytes(deduped) >= cfg.hashed_history_min_bytes
+            history = history_view(valid, method="hashed" if big and summary["n_valid"] > 0 else "shuffle")
+            write_documents(history, t.history_documents, empty=summary["n_valid"] == 0)
 
         with _step(sec, "report"):
             done = replace(run, end=run.end or datetime.now(), timestamp=run.timestamp or datetime.now())

@@ -234,6 +234,10 @@ def q_history_view(spark, sf_dir):
     return _history_out(history_view(valid(spark, sf_dir)))
 
 
+def q_history_view_hashed(spark, sf_dir):
+    return _history_out(history_view(valid(spark, sf_dir), method="hashed"))
+
+
 def history_view_rows(spark, sf_dir) -> int:
     return history_view(valid(spark, sf_dir)).count()
 
@@ -393,6 +397,7 @@ def queries() -> dict[str, Query]:
         "quality_verdicts": lambda s, d: verdicts(quality_summary(unified(s, d))),
         "invalid_rows_with_dups": q_invalid_rows_with_dups,
         "history_view": q_history_view,
+        "history_view_hashed": q_history_view_hashed,
         "segment_list": lambda s, d: segment_list(valid(s, d)),
         "row_to_json": lambda s, d: rows_to_json(gold(s, d)),
         "run_report": q_run_report,

@@ -114,3 +114,18 @@ def test_shuffle_partitions_follow_the_input_and_are_restored(spark):
         P.dedup_by_key = original
     assert int(seen["partitions"]) == max(40, int(before))
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_hashed_history_path_publishes_the_same_documents(spark, run):
+    cfg, _ = run
+    hashed = PipelineConfig(
+        targets=Targets.under(scratch_path(spark, "t_hashed")),
+        run_date=Q.RUN_DATE,
+        run=Q.RUN,
+        lexicon=DATA_LEXICON,
+        hashed_history_min_bytes=0,
+    )
+    run_pipeline(spark, derived_feeds(spark, SF_SMOKE), hashed)
+    a = spark.read.text(cfg.targets.history_documents)
+    b = spark.read.text(hashed.targets.history_documents)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
