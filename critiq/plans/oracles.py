@@ -401,6 +401,8 @@ select '2024-05-01T06:03:30' as "timestamp", 'gold' as layer, 'reviews' as proje
     q["sink_report_roundtrip"] = f"select * from ({RUN_REPORT}) union all select * from ({RUN_REPORT})"
     q["sink_history_roundtrip"] = q["history_view"]
     q["history_view_hashed"] = q["history_view"]
+    q["pipeline_report"] = q["run_report"]
+    q["pipeline_invalid"] = q["sink_invalid_roundtrip"]
     q["pipeline_history"] = q["history_view"]
     q["pipeline_outputs"] = gold + f"""
 select 'gold' as output, count(*) as n_rows from gold

@@ -33,7 +33,7 @@ from critiq.operators.quality import (
 from critiq.operators.rollup import consolidate, filter_period, gold_rollup, lexicon_flags, preview
 from critiq.operators.views import history_projection, history_view
 from critiq.plans.pipeline import PipelineConfig, Targets, run_pipeline
-from critiq.plans.report import RunInfo, failure_report, rows_to_json, run_report, segment_list
+from critiq.plans.report import REPORT_SCHEMA, RunInfo, failure_report, rows_to_json, run_report, segment_list
 from critiq.schema import UNIFIED_COLUMNS
 from critiq.session import scratch_path
 from critiq.sources.feeds import (
@@ -360,6 +360,17 @@ def q_pipeline_outputs(spark, sf_dir):
     return out.groupBy("output").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def q_pipeline_report(spark, sf_dir):
+    """The run report the job appended (its counts come from the observed metrics)."""
+    t = pipeline_run(spark, sf_dir).targets
+    return flatten_report(spark.read.schema(REPORT_SCHEMA).json(t.report))
+
+
+def q_pipeline_invalid(spark, sf_dir):
+    t = pipeline_run(spark, sf_dir).targets
+    return read_partitioned_parquet(spark, t.invalid).select(*UNIFIED_COLUMNS, "odate")
+
+
 def q_pipeline_history(spark, sf_dir):
     t = pipeline_run(spark, sf_dir).targets
     schema = history_projection(valid(spark, sf_dir)).schema
@@ -410,4 +421,6 @@ def queries() -> dict[str, Query]:
         "pipeline_gold": q_pipeline_gold,
         "pipeline_outputs": q_pipeline_outputs,
         "pipeline_history": q_pipeline_history,
+        "pipeline_report": q_pipeline_report,
+        "pipeline_invalid": q_pipeline_invalid,
     }
