@@ -52,6 +52,13 @@ from critiq.sources.sinks import append_report, read_partitioned_parquet, write_
 
 log = logging.getLogger(__name__)
 
+# The stage table lives for one run: free-text columns skip the dictionary
+# encoding attempt (their values rarely repeat, so Parquet would fall back).
+STAGE_WRITE_OPTIONS = {
+    "parquet.enable.dictionary#title": "false",
+    "parquet.enable.dictionary#snippet": "false",
+}
+
 
 @dataclass(frozen=True)
 class Targets:
@@ -153,7 +160,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
                 *summary_aggregates(cfg.strict_validity),
                 F.expr(f"{type_client_sql(f'CASE WHEN {VALID_SQL} THEN {segment_of_sql()} END')} AS type_client"),
                 *[F.expr(f"count_if(app_source = {string_literal(x)}) AS `source:{x}`") for x in names],
-            ).write.mode("overwrite").parquet(stage)
+            ).write.mode("overwrite").options(**STAGE_WRITE_OPTIONS).parquet(stage)
             observed = metrics.get
             deduped = spark.read.schema(UNIFIED_SCHEMA).parquet(stage)
         summary = summary_of_unique_keys(observed)
