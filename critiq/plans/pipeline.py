@@ -192,8 +192,8 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
         with _step(sec, "gold_documents"):
             if wrote_gold:
                 published = (
-                    read_partitioned_parquet(spark, t.gold)
-                    .filter(F.col("odate") == cfg.run_date)
+                    read_partitioned_parquet(spark, t.gold, schema=gold.schema)
+                    .where(F.col("odate") == cfg.run_date)
                     .drop("odate")
                 )
                 write_documents(published, t.gold_documents, empty=False)

@@ -9,6 +9,7 @@ import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from critiq.schema import PARTITION_COLUMN
 
@@ -65,9 +66,16 @@ def write_partitioned_parquet(
     return True
 
 
-def read_partitioned_parquet(spark, path: str, partition_column: str = PARTITION_COLUMN) -> DataFrame:
-    """Read a sink output back; partition discovery types ``odate`` as a number,
-    so it is returned as text again."""
+def read_partitioned_parquet(
+    spark, path: str, partition_column: str = PARTITION_COLUMN, schema: T.StructType | None = None
+) -> DataFrame:
+    """Read a sink output back with ``odate`` as text (partition discovery
+    would type it as a number). With the data ``schema`` known, nothing is
+    inferred from file footers."""
+    if schema is not None:
+        full = T.StructType([f for f in schema.fields if f.name != partition_column])
+        full = full.add(partition_column, T.StringType())
+        return spark.read.schema(full).parquet(path)
     df = spark.read.parquet(path)
     return df.withColumn(partition_column, F.col(partition_column).cast("string"))
 
