@@ -11,9 +11,11 @@ every feed):
    exact when tasks are retried. The stage table cuts the lineage, survives
    lost executors, and later jobs read only the columns they need from it;
    it is removed when the run ends. An all-empty input stops the run here;
-2. gold rollup -> Parquet;  3. invalid rows -> Parquet;
-4. gold documents (read back from the gold Parquet, not recomputed);
-5. history view documents;  6. run report append.
+2. gold rollup -> Parquet, then 3. gold documents (read back from the gold
+   Parquet, not recomputed);  4. invalid rows -> Parquet;  5. history view
+   documents. These three branches only read the stage table, so they are
+   submitted from parallel driver threads and Spark runs their jobs side by
+   side;  6. run report append.
 
 Only one-row results (metrics, verdicts) reach the driver.
 """
@@ -23,6 +25,7 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor, wait
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import datetime
@@ -100,6 +103,9 @@ class PipelineConfig:
     # input / this for the run (never lowered) and restored after it; None
     # leaves the session setting alone.
     input_bytes_per_partition: int | None = 1 << 30
+    # Publish gold, invalid rows and history documents from parallel driver
+    # threads (independent jobs over the stage table).
+    parallel_outputs: bool = True
     # Stage tables at least this large build the history view with
     # ``distinct_by_hash`` (shuffles row hashes, not rows); None never does.
     hashed_history_min_bytes: int | None = 1 << 40
@@ -121,6 +127,18 @@ class PipelineResult:
     seconds: dict[str, float] = field(default_factory=dict)
 
 
+def _run_side_by_side(spark: SparkSession, parallel: bool, *actions):
+    """Run independent Spark actions, each from its own driver thread when
+    ``parallel`` (Spark schedules their jobs together); results in order.
+    The first error is raised after all actions have ended."""
+    if not parallel:
+        return [a() for a in actions]
+    with ThreadPoolExecutor(max_workers=len(actions), thread_name_prefix="critiq-publish") as pool:
+        futures = [pool.submit(a) for a in actions]
+        wait(futures)
+    return [f.result() for f in futures]
+
+
 @contextmanager
 def _step(seconds: dict[str, float], name: str):
     t0 = time.perf_counter()
@@ -179,31 +197,46 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
         valid, invalid = validate_ingest(deduped, cfg.run_date, summary, strict=cfg.strict_validity)
 
         t = cfg.targets
-        with _step(sec, "gold"):
-            # Sorted within each output file only: no global sort (range shuffle) for display order.
-            gold = gold_rollup(consolidate(valid), cfg.lexicon).sortWithinPartitions(*display_order())
-            wrote_gold = write_partitioned_parquet(
-                gold, t.gold, cfg.run_date, "valid", empty=summary["n_valid"] == 0
-            )
-        with _step(sec, "invalid"):
-            wrote_invalid = write_partitioned_parquet(
-                invalid, t.invalid, cfg.run_date, "invalid", empty=summary["n_invalid"] == 0, rebalance=True
-            )
-        with _step(sec, "gold_documents"):
-            if wrote_gold:
-                published = (
-                    read_partitioned_parquet(spark, t.gold, schema=gold.schema)
-                    .where(F.col("odate") == cfg.run_date)
-                    .drop("odate")
+
+        def publish_gold() -> bool:
+            with _step(sec, "gold"):
+                # Sorted within each output file only: no global sort (range shuffle) for display order.
+                gold = gold_rollup(consolidate(valid), cfg.lexicon).sortWithinPartitions(*display_order())
+                wrote = write_partitioned_parquet(gold, t.gold, cfg.run_date, "valid", empty=summary["n_valid"] == 0)
+            with _step(sec, "gold_documents"):
+                if wrote:
+                    published = (
+                        read_partitioned_parquet(spark, t.gold, schema=gold.schema)
+                        .where(F.col("odate") == cfg.run_date)
+                        .drop("odate")
+                    )
+                    write_documents(published, t.gold_documents, empty=False)
+                    schemas["gold"] = published.schema.simpleString()
+                    if n_preview > 0:
+                        shown["gold"] = preview(published, n_preview).collect()
+            return wrote
+
+        def publish_invalid() -> bool:
+            with _step(sec, "invalid"):
+                return write_partitioned_parquet(
+                    invalid, t.invalid, cfg.run_date, "invalid", empty=summary["n_invalid"] == 0, rebalance=True
+                )
+
+        def publish_history() -> bool:
+            with _step(sec, "history_documents"):
+                big = (
+                    cfg.hashed_history_min_bytes is not None
+                    and input_bytes(deduped) >= cfg.hashed_history_min_bytes
                 )
-                write_documents(published, t.gold_documents, empty=False)
-                schemas["gold"] = published.schema.simpleString()
-                if n_preview > 0:
-                    shown["gold"] = preview(published, n_preview).collect()
-        with _step(sec, "history_documents"):
-            big = cfg.hashed_history_min_bytes is not None and input_bytes(deduped) >= cfg.hashed_history_min_bytes
-            history = history_view(valid, method="hashed" if big and summary["n_valid"] > 0 else "shuffle")
-            write_documents(history, t.history_documents, empty=summary["n_valid"] == 0)
+                history = history_view(valid, method="hashed" if big and summary["n_valid"] > 0 else "shuffle")
+                return write_documents(history, t.history_documents, empty=summary["n_valid"] == 0)
+
+        # The three outputs only read the stage table: their jobs run side by
+        # side, so one job's narrow final stage does not leave the cluster idle.
+        with _step(sec, "publish"):
+            wrote_gold, wrote_invalid, _ = _run_side_by_side(
+                spark, cfg.parallel_outputs, publish_gold, publish_invalid, publish_history
+            )
 
         with _step(sec, "report"):
             done = replace(run, end=run.end or datetime.now(), timestamp=run.timestamp or datetime.now())

@@ -129,3 +129,22 @@ def test_hashed_history_path_publishes_the_same_documents(spark, run):
     a = spark.read.text(cfg.targets.history_documents)
     b = spark.read.text(hashed.targets.history_documents)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_sequential_publishing_gives_the_same_outputs(spark, run):
+    cfg, _ = run
+    seq = PipelineConfig(
+        targets=Targets.under(scratch_path(spark, "t_seq")),
+        run_date=Q.RUN_DATE,
+        run=Q.RUN,
+        lexicon=DATA_LEXICON,
+        parallel_outputs=False,
+    )
+    run_pipeline(spark, derived_feeds(spark, SF_SMOKE), seq)
+    for out in ("gold", "invalid"):
+        a = spark.read.parquet(getattr(cfg.targets, out))
+        b = spark.read.parquet(getattr(seq.targets, out))
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    a = spark.read.text(cfg.targets.history_documents)
+    b = spark.read.text(seq.targets.history_documents)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
