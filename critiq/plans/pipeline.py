@@ -25,11 +25,11 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor, wait
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,13 +130,31 @@ class PipelineResult:
 def _run_side_by_side(spark: SparkSession, parallel: bool, *actions):
     """Run independent Spark actions, each from its own driver thread when
     ``parallel`` (Spark schedules their jobs together); results in order.
-    The first error is raised after all actions have ended."""
+
+    The threads inherit the caller's local properties (job group, scheduler
+    pool), so cancelling or accounting the caller's group covers their jobs.
+    The first error is raised after all actions have ended.
+    """
     if not parallel:
         return [a() for a in actions]
-    with ThreadPoolExecutor(max_workers=len(actions), thread_name_prefix="critiq-publish") as pool:
-        futures = [pool.submit(a) for a in actions]
-        wait(futures)
-    return [f.result() for f in futures]
+    results: list = [None] * len(actions)
+    errors: list = [None] * len(actions)
+
+    def runner(i: int) -> None:
+        try:
+            results[i] = actions[i]()
+        except BaseException as exc:  # noqa: BLE001 - re-raised below
+            errors[i] = exc
+
+    threads = [InheritableThread(target=runner, args=(i,)) for i in range(len(actions))]
+    for th in threads:
+        th.start()
+    for th in threads:
+        th.join()
+    for exc in errors:
+        if exc is not None:
+            raise exc
+    return results
 
 
 @contextmanager

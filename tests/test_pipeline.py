@@ -148,3 +148,17 @@ def test_sequential_publishing_gives_the_same_outputs(spark, run):
     a = spark.read.text(cfg.targets.history_documents)
     b = spark.read.text(seq.targets.history_documents)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_publishing_threads_keep_the_callers_job_group(spark):
+    sc = spark.sparkContext
+    cfg = PipelineConfig(
+        targets=Targets.under(scratch_path(spark, "t_group")), run_date=Q.RUN_DATE, run=Q.RUN, lexicon=DATA_LEXICON
+    )
+    sc.setJobGroup("t-group", "pipeline under a job group", False)
+    try:
+        run_pipeline(spark, derived_feeds(spark, SF_SMOKE), cfg)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    # staging, gold, gold documents, invalid, history and report jobs all carry the group
+    assert len(sc.statusTracker().getJobIdsForGroup("t-group")) >= 8
