@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from critiq.functions.sql import string_literal
 
@@ -48,3 +49,40 @@ def lenient_double_sql(expr: str) -> str:
 
 def lenient_double(expr: str) -> Column:
     return F.expr(lenient_double_sql(expr))
+
+
+_INT_MAX, _INT_MIN = 2147483647, -2147483648
+
+
+def _wrap_long_to_int(x: str) -> str:
+    """Keep the low 32 bits of a BIGINT as a signed INT (no overflow on the way)."""
+    low = f"({x} & 4294967295)"
+    return f"CAST(CASE WHEN {low} >= 2147483648 THEN {low} - 4294967296 ELSE {low} END AS INT)"
+
+
+def legacy_int_of_sql(expr: str, dtype: T.DataType) -> str:
+    """SQL text: the legacy ``cast(x as int)`` of an ``expr`` of type ``dtype``.
+
+    Text as ``legacy_int_sql``; doubles and floats truncate toward zero,
+    saturate at the int range and read NaN as 0; longs keep their low 32
+    bits; decimals truncate; booleans give 1 / 0.
+    """
+    if isinstance(dtype, T.StringType):
+        return legacy_int_sql(expr)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return (
+            f"CAST(CASE WHEN isnan({expr}) THEN 0 WHEN {expr} >= {_INT_MAX} THEN {_INT_MAX} "
+            f"WHEN {expr} <= {_INT_MIN} THEN {_INT_MIN} ELSE CAST({expr} AS INT) END AS INT)"
+        )
+    if isinstance(dtype, T.LongType):
+        return _wrap_long_to_int(expr)
+    if isinstance(dtype, T.DecimalType):
+        return _wrap_long_to_int(f"try_cast({expr} AS BIGINT)")
+    if isinstance(dtype, (T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
+        return f"CAST({expr} AS INT)"
+    return f"try_cast({expr} AS INT)"
+
+
+def legacy_int_of(df, column: str) -> str:
+    """``legacy_int_of_sql`` for a column of ``df``, typed from its schema."""
+    return legacy_int_of_sql(f"`{column}`", df.schema[column].dataType)

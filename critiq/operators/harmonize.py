@@ -25,7 +25,8 @@ def harmonize(df: DataFrame, spec: FeedSpec, suffix_pattern: str = CHANNEL_SUFFI
         raise ValueError(f"feed {spec.name!r} maps no expression for {missing}")
     exprs = []
     for c in UNIFIED_COLUMNS[:-1]:
-        e = f"CAST({spec.mapping[c]} AS STRING)"
+        m = spec.mapping[c]
+        e = f"CAST({m(df) if callable(m) else m} AS STRING)"
         if c == "app":
             e = strip_channel_suffix_sql(e, suffix_pattern)
         exprs.append(f"{e} AS {c}")

@@ -7,7 +7,7 @@ so adding a feed adds no operator.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from critiq.functions.casts import legacy_int_of
 from critiq.functions.sql import string_literal
 
 # Load date in a path: ``odate=`` followed by eight digits.
@@ -28,11 +29,17 @@ class FeedSpec:
     ``name`` is the value of ``app_source`` for its rows and its rank in
     ``priority`` orders duplicate keys across feeds. ``mapping`` gives, for
     each unified column except ``app_source``, a Spark SQL expression over the
-    feed's own columns.
+    feed's own columns, or a function of the feed's DataFrame returning one
+    (for expressions that depend on a column's type).
     """
 
     name: str
-    mapping: Mapping[str, str] = field(default_factory=dict)
+    mapping: Mapping[str, str | Callable[[DataFrame], str]] = field(default_factory=dict)
+
+
+def _rating_as_int_text(df: DataFrame) -> str:
+    """The rating cast to int and back to text with the legacy cast of its type."""
+    return f"CAST({legacy_int_of(df, 'rating')} AS STRING)"
 
 
 # ---------------------------------------------------------------------------
@@ -43,7 +50,7 @@ STORE_A = FeedSpec(
         "id": "id",
         "app": "app",
         "segmento": "segmento",
-        "rating": "cast(try_cast(rating as int) as string)",
+        "rating": _rating_as_int_text,
         "iso_date": "iso_date",
         "title": "title",
         "snippet": "snippet",

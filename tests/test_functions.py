@@ -113,3 +113,28 @@ def test_explicit_boundaries_equal_unicode_word_boundary_on_documents(spark):
     ).collect()[0]
     assert got["diff"] == 0
     assert got["hits"] > 0
+
+
+def test_legacy_int_follows_the_input_type(spark):
+    from critiq.functions.casts import legacy_int_of_sql
+    from pyspark.sql import types as T
+
+    cases = [
+        ("CAST('NaN' AS DOUBLE)", T.DoubleType(), 0),
+        ("3e9D", T.DoubleType(), 2147483647),
+        ("-3e9D", T.DoubleType(), -2147483648),
+        ("4.7D", T.DoubleType(), 4),
+        ("-4.7D", T.DoubleType(), -4),
+        ("CAST('Infinity' AS DOUBLE)", T.DoubleType(), 2147483647),
+        ("1e-5D", T.DoubleType(), 0),
+        ("CAST(4.9 AS FLOAT)", T.FloatType(), 4),
+        ("3000000000L", T.LongType(), -1294967296),
+        ("-3000000000L", T.LongType(), 1294967296),
+        ("4.7BD", T.DecimalType(2, 1), 4),
+        ("TRUE", T.BooleanType(), 1),
+        ("'4.9'", T.StringType(), 4),
+        ("CAST(NULL AS DOUBLE)", T.DoubleType(), None),
+    ]
+    exprs = [f"{legacy_int_of_sql(e, t)} AS c{i}" for i, (e, t, _) in enumerate(cases)]
+    row = spark.range(1).selectExpr(*exprs).collect()[0]
+    assert [row[f"c{i}"] for i in range(len(cases))] == [want for _, _, want in cases]
