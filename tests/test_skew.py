@@ -75,3 +75,29 @@ def test_summary_on_skewed_input(spark):
     df, _ = skewed(spark)
     s = quality_summary(df).collect()[0]
     assert (s["total_records"], s["dup_keys"], s["dup_rows"], s["null_id"]) == (N, 2, N // 3, N // 3)
+
+
+def test_gold_rollup_hot_group_combines_before_the_shuffle(spark):
+    from critiq.operators import consolidate, gold_rollup
+
+    df, cold = skewed(spark)
+    valid = df.where("id IS NOT NULL")  # hot id rows stay: one gold group gets a third of all rows
+    gold = gold_rollup(consolidate(valid))
+    written = shuffle_records_written(gold)
+    # one partial row per group and map task: the hot group costs MAP_TASKS rows, not N / 3
+    assert written <= MAP_TASKS * gold.count(), written
+
+
+def test_history_view_hot_duplicate_row_combines_before_the_shuffle(spark):
+    from critiq.operators import history_view
+
+    df, cold = skewed(spark)
+    # a third of the rows are the very same review (same text, date, rating, ...)
+    copies = df.selectExpr(
+        "id", "app", "segmento", "CASE WHEN id = 'hot' THEN '4' ELSE rating END AS rating",
+        "iso_date", "title", "CASE WHEN id = 'hot' THEN 'same' ELSE snippet END AS snippet", "app_source",
+    ).where("id IS NOT NULL")
+    view = history_view(copies)
+    written = shuffle_records_written(view)
+    assert written <= cold + MAP_TASKS, written
+    assert view.count() == cold + 1
