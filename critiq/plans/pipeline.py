@@ -33,10 +33,12 @@ from pyspark import InheritableThread
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from critiq.functions.sql import string_literal
 from critiq.functions.text import DEFAULT_LEXICON, Lexicon
 from critiq.operators.dedup import dedup_by_key
 from critiq.operators.harmonize import harmonize_all
 from critiq.operators.quality import (
+    VALID_SQL,
     summary_aggregates,
     summary_frame,
     summary_of_unique_keys,
@@ -45,8 +47,6 @@ from critiq.operators.quality import (
 )
 from critiq.operators.rollup import consolidate, display_order, gold_rollup, preview
 from critiq.operators.views import history_view
-from critiq.functions.sql import string_literal
-from critiq.operators.quality import VALID_SQL
 from critiq.plans.report import RunInfo, failure_report, run_report, segment_of_sql, type_client_sql
 from critiq.schema import UNIFIED_SCHEMA
 from critiq.session import input_bytes, remove_path, scratch_path, shuffle_partitions_for
