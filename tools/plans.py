@@ -6,11 +6,14 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from critiq.operators import duplicate_rows, history_view, quality_summary  # noqa: E402
+from critiq.operators import duplicate_rows, history_view, invalid_rows, quality_summary  # noqa: E402
+from critiq.schema import UNIFIED_SCHEMA  # noqa: E402
+from critiq.session import scratch_path  # noqa: E402
 from critiq.plans import queries as Q  # noqa: E402
 from critiq.session import build_session  # noqa: E402
 from critiq.sources.feeds import read_feed  # noqa: E402
@@ -21,6 +24,8 @@ NOTES = {
     "quality_summary (un-deduplicated input)": "Per-key partial aggregation before the shuffle on id, then one global aggregation.",
     "duplicate_rows": "Left semi joins; null ids are filtered before the shuffle (isnotnull in the scans); the repeated-key aggregation is one exchange that AQE reuses.",
     "history_view": "Distinct as a partial + final HashAggregate over all columns.",
+    "history_view (hashed, large inputs)": "Row hashes only are aggregated (earlier job); the repeated-hash set, counted and bounded, is broadcast: rows with a unique hash need no shuffle, only the rest get an exact distinct.",
+    "invalid rows from the stage table": "The IS NULL predicates reach the Parquet scan (PushedFilters), so row groups without NULLs can be skipped.",
     "scan with load-date range": "PartitionFilters on odate: only the matching directories are listed and read.",
 }
 
@@ -33,12 +38,16 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=16)
     landing = Q.landing_zone(spark, sf)
+    stage = scratch_path(spark, "plans-stage")
+    Q.deduped(spark, sf).write.parquet(stage)
     frames = {
         "dedup_by_key": Q.deduped(spark, sf),
         "gold_rollup": Q.gold(spark, sf),
         "quality_summary (un-deduplicated input)": quality_summary(Q.unified(spark, sf)),
         "duplicate_rows": duplicate_rows(Q.unified(spark, sf)),
         "history_view": history_view(Q.valid(spark, sf)),
+        "history_view (hashed, large inputs)": history_view(Q.valid(spark, sf), method="hashed"),
+        "invalid rows from the stage table": invalid_rows(spark.read.schema(UNIFIED_SCHEMA).parquet(stage)),
         "scan with load-date range": read_feed(
             spark, landing["apple_store"], odate_from="20240110", odate_to="20240120"
         ).select("id", "odate"),
@@ -49,6 +58,13 @@ def main() -> None:
         print(f"## {name}\n\n{NOTES[name]}\n\n```")
         for line in plan(df).splitlines():
             print(line if len(line) <= 160 else line[:157] + "...")
+            if "FileScan" in line:
+                pad = " " * (len(line) - len(line.lstrip(" :+-")) + 4)
+                for pattern in (r"PartitionFilters: \[[^\]]*\]", r"PushedFilters: \[.*?\](?=, ReadSchema)", r"ReadSchema: \S+"):
+                    found = re.search(pattern, line)
+                    if found and found.group(0) not in ("PartitionFilters: []", "PushedFilters: []"):
+                        text = found.group(0)
+                        print(pad + (text if len(text) <= 150 else text[:147] + "..."))
         print("```\n")
     spark.stop()
 
