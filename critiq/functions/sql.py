@@ -47,6 +47,13 @@ def literal(value, dtype: T.DataType) -> str:
             f"{string_literal(f.name)}, {literal(v, f.dataType)}" for v, f in zip(value, dtype.fields)
         )
         return f"named_struct({parts})"
+    if isinstance(dtype, T.MapType):
+        if not value:
+            return f"CAST(map() AS {type_sql})"
+        pairs = ", ".join(
+            f"{literal(k, dtype.keyType)}, {literal(v, dtype.valueType)}" for k, v in value.items()
+        )
+        return f"CAST(map({pairs}) AS {type_sql})"
     if isinstance(dtype, T.ArrayType):
         items = ", ".join(literal(v, dtype.elementType) for v in value)
         return f"CAST(array({items}) AS {type_sql})"

@@ -258,7 +258,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
 
         with _step(sec, "report"):
             done = replace(run, end=run.end or datetime.now(), timestamp=run.timestamp or datetime.now())
-            report = run_report(spark, summary, verdict_rows, type_client, done)
+            report = run_report(spark, summary, verdict_rows, type_client, done, steps=dict(sec))
             append_report(report, t.report)
         return PipelineResult(
             rows_by_source=by_source,

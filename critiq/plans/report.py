@@ -113,6 +113,9 @@ REPORT_SCHEMA = T.StructType(
             T.StructType([T.StructField("start_ts", T.StringType()), T.StructField("end_ts", T.StringType())]),
         ),
         T.StructField("timestamp", T.StringType()),
+        # Wall seconds per pipeline step (the run's own timing; Spark's event
+        # log holds the stage-level metrics).
+        T.StructField("steps", T.MapType(T.StringType(), T.DoubleType())),
     ]
 )
 
@@ -139,12 +142,14 @@ def run_report(
     verdict_rows: list[Row],
     type_client: str,
     run: RunInfo,
+    steps: dict[str, float] | None = None,
 ) -> DataFrame:
     """The one-row run report.
 
     ``summary`` is the collected ``quality_summary`` row, ``verdict_rows`` the
     collected ``verdicts``. Total = valid + invalid, as in the original job
-    (rows that are in neither set do not count).
+    (rows that are in neither set do not count). ``steps`` are the wall
+    seconds of the run's steps, if measured.
     """
     n_valid, n_invalid = int(summary["n_valid"]), int(summary["n_invalid"])
     total = n_valid + n_invalid
@@ -168,6 +173,7 @@ def run_report(
         (run.job, run.search),
         (run.start.strftime("%Y-%m-%d %H:%M:%S"), end.strftime("%Y-%m-%d %H:%M:%S")),
         stamp.strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z",
+        dict(steps) if steps is not None else None,
     )
     return one_row(spark, row, REPORT_SCHEMA)
 

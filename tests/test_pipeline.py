@@ -162,3 +162,10 @@ def test_publishing_threads_keep_the_callers_job_group(spark):
         sc.setLocalProperty("spark.jobGroup.id", None)
     # staging, gold, gold documents, invalid, history and report jobs all carry the group
     assert len(sc.statusTracker().getJobIdsForGroup("t-group")) >= 8
+
+
+def test_report_carries_step_seconds(spark, run):
+    cfg, result = run
+    steps = spark.read.json(cfg.targets.report).collect()[0]["steps"].asDict()
+    assert {"dedup_stage", "gold", "invalid", "history_documents", "publish"} <= set(steps)
+    assert all(v >= 0 for v in steps.values())

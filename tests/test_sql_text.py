@@ -51,3 +51,9 @@ def test_special_doubles_and_empty_array(spark):
 def test_ident_quotes_backticks(spark):
     got = spark.range(1).selectExpr(f"1 AS {ident('we`ird name')}").columns
     assert got == ["we`ird name"]
+
+
+def test_map_literals(spark):
+    t = T.MapType(T.StringType(), T.DoubleType())
+    got = spark.range(1).selectExpr(f"{literal({'gold': 0.5, 'dedup': 1.25}, t)} AS m", f"{literal({}, t)} AS e").collect()[0]
+    assert got["m"] == {"gold": 0.5, "dedup": 1.25} and got["e"] == {}
