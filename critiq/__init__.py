@@ -20,6 +20,8 @@ __version__ = "0.1.0"
 
 _EXPORTS = {
     "run_pipeline": "critiq.plans.pipeline",
+    "load_reviews": "critiq.plans.pipeline",
+    "validate": "critiq.plans.pipeline",
     "PipelineConfig": "critiq.plans.pipeline",
     "PipelineResult": "critiq.plans.pipeline",
     "Targets": "critiq.plans.pipeline",

@@ -39,6 +39,7 @@ from critiq.operators.dedup import dedup_by_key
 from critiq.operators.harmonize import harmonize_all
 from critiq.operators.quality import (
     VALID_SQL,
+    quality_summary,
     summary_aggregates,
     summary_frame,
     summary_of_unique_keys,
@@ -50,7 +51,7 @@ from critiq.operators.views import history_view
 from critiq.plans.report import RunInfo, failure_report, run_report, segment_of_sql, type_client_sql
 from critiq.schema import UNIFIED_SCHEMA
 from critiq.session import input_bytes, remove_path, scratch_path, shuffle_partitions_for
-from critiq.sources.feeds import DEFAULT_FEEDS, EmptyFeedsError, FeedSpec
+from critiq.sources.feeds import DEFAULT_FEEDS, EmptyFeedsError, FeedSpec, read_feed
 from critiq.sources.sinks import append_report, read_partitioned_parquet, write_documents, write_partitioned_parquet
 
 log = logging.getLogger(__name__)
@@ -63,6 +64,38 @@ STAGE_WRITE_OPTIONS = {
 }
 
 
+@dataclass(frozen=True)
+class Validation:
+    """Result of ``validate``: all lazy DataFrames (nothing runs until used)."""
+
+    valid: DataFrame
+    invalid: DataFrame
+    verdicts: DataFrame
+    summary: DataFrame
+
+
+def load_reviews(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    feeds: tuple[FeedSpec, ...] = DEFAULT_FEEDS,
+    odate_from: str | None = None,
+    odate_to: str | None = None,
+) -> DataFrame:
+    """Read the feeds at ``paths`` (keyed by spec name), harmonize, union and
+    keep one row per id: the unified, deduplicated review rows (lazy)."""
+    frames = {name: read_feed(spark, path, odate_from=odate_from, odate_to=odate_to) for name, path in paths.items()}
+    order = [s.name for s in feeds]
+    return dedup_by_key(harmonize_all(frames, feeds), priority=order)
+
+
+def validate(df: DataFrame, run_date: str, strict: bool = False) -> Validation:
+    """The three checks and the valid / invalid split of unified rows, lazily:
+    ``verdicts`` and ``summary`` come from one aggregation job when used."""
+    summary = quality_summary(df, strict=strict)
+    valid, invalid = validate_ingest(df, run_date, strict=strict)
+    return Validation(valid=valid, invalid=invalid, verdicts=verdicts(summary), summary=summary)
+
+
 @dataclass(frozen=True)
 class Targets:
     """Where a run publishes."""
