@@ -28,8 +28,9 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 
 from critiq.plans.pipeline import PipelineConfig, PipelineResult, Targets, run_pipeline  # noqa: E402
-from critiq.plans.report import RunInfo  # noqa: E402
+from critiq.plans.report import RunInfo, failure_report  # noqa: E402
 from critiq.sources.feeds import DEFAULT_FEEDS, read_feed  # noqa: E402
+from critiq.sources.sinks import append_report  # noqa: E402
 
 PREVIEW_ROWS = {"pre": 5, "pro": 0}
 
@@ -62,14 +63,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Pi
     args = parse_args(sys.argv[1:] if argv is None else argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     spark = spark or SparkSession.builder.appName("critiq gold job").getOrCreate()
-    feeds = {
-        name: read_feed(spark, path, odate_from=args.odate_from, odate_to=args.odate_to)
-        for name, path in args.feeds.items()
-    }
+    targets = Targets.under(args.target)
+    run = RunInfo(application_id=spark.sparkContext.applicationId, job=args.job)
+    try:
+        feeds = {
+            name: read_feed(spark, path, odate_from=args.odate_from, odate_to=args.odate_to)
+            for name, path in args.feeds.items()
+        }
+    except Exception as exc:
+        # A feed that cannot be opened fails the run like any later step: report it.
+        append_report(failure_report(spark, exc, run), targets.failures)
+        raise
     cfg = PipelineConfig(
-        targets=Targets.under(args.target),
+        targets=targets,
         run_date=args.run_date,
-        run=RunInfo(application_id=spark.sparkContext.applicationId, job=args.job),
+        run=run,
         feeds=tuple(s for s in DEFAULT_FEEDS if s.name in feeds),
         preview_rows=PREVIEW_ROWS[args.env],
     )

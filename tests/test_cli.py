@@ -39,3 +39,12 @@ def test_cli_rejects_unknown_feeds():
         cli.parse_args(["--feed", "nope=/x", "--target", "/t"])
     with pytest.raises(SystemExit):
         cli.parse_args(["--feed", "google_play", "--target", "/t"])
+
+
+def test_cli_reports_a_feed_it_cannot_open(spark):
+    target = scratch_path(spark, "t_cli_missing")
+    argv = ["--feed", f"google_play={scratch_path(spark, 'does-not-exist')}", "--target", target, "--run-date", "20240601"]
+    with pytest.raises(Exception):
+        cli.main(argv, spark=spark)
+    failure = spark.read.json(f"{target}/report/failure").collect()
+    assert len(failure) == 1 and failure[0]["client"] == ["UNKNOWN_CLIENT"]
