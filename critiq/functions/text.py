@@ -20,9 +20,16 @@ NEGATORS = ("não", "nem", "nunca", "jamais")
 CHANNEL_SUFFIX_PATTERN = "_pf|_pj"
 # ---------------------------------------------------------------------------
 
-# A word character for whole-word matching: any letter, decimal digit or '_'.
-# Spelled out instead of \b so the result does not depend on the JVM's \b.
+# Whole-word matching, spelled out instead of \b so the result does not
+# depend on the JVM's \b: a word character is a letter, a decimal digit or
+# '_'; a non-spacing mark also counts when a letter or digit precedes it
+# (through further marks), as in Unicode-aware \b.
 _WORD_CHAR = r"[\p{L}\p{Nd}_]"
+_MARKED_BASE = r"[\p{L}\p{Nd}]\p{Mn}{1,32}"
+# Before a word: not a word character, nor a mark resting on one.
+_WORD_START = rf"(?<!{_WORD_CHAR})(?<!{_MARKED_BASE})"
+# After a word (which ends in a letter): any mark rests on that letter.
+_WORD_END = r"(?![\p{L}\p{Nd}\p{Mn}_])"
 
 
 @dataclass(frozen=True)
@@ -54,8 +61,8 @@ def lexicon_pattern(words: tuple[str, ...], negators: tuple[str, ...]) -> str:
     ``.`` does not cross line terminators, so the negator look-ahead stays on
     the line of the matched word.
     """
-    word = f"(?<!{_WORD_CHAR})(?:{_alternation(words)})(?!{_WORD_CHAR})"
-    negator = f"(?<!{_WORD_CHAR})(?:{_alternation(negators)})(?!{_WORD_CHAR})"
+    word = f"{_WORD_START}(?:{_alternation(words)}){_WORD_END}"
+    negator = f"{_WORD_START}(?:{_alternation(negators)}){_WORD_END}"
     return f"(?iu){word}(?!.*{negator})"
 
 

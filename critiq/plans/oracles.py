@@ -96,7 +96,10 @@ valid AS (select * from deduped where {VALID_WHERE})"""
 RUN_DATE = "20240501"
 
 # -- scalar helpers -------------------------------------------------------------
-WORD = r"[^\p{L}\p{Nd}_]"
+# Word boundaries as Unicode-aware \b: letters, decimal digits and '_' are word
+# characters, and so is a non-spacing mark resting on a letter or digit.
+BEFORE_WORD = r"(?:^|[^\p{L}\p{Nd}\p{Mn}_]|(?:^|[^\p{L}\p{Nd}\p{Mn}])\p{Mn}+)"
+AFTER_WORD = r"(?:[^\p{L}\p{Nd}\p{Mn}_]|$)"
 LINE_BREAKS = r"[\n\r\x{85}\x{2028}\x{2029}]"
 
 
@@ -115,9 +118,9 @@ def lexicon_match(x: str, words: tuple[str, ...], negators: tuple[str, ...]) ->
     """Some line of ``x`` has a listed whole word with no negator after it."""
     w = "|".join(words)
     n = "|".join(negators)
-    has = f"(?i)(?:^|{WORD})(?:{w})(?:{WORD}|$)"
-    tail = f"(?i)^.*(?:^|{WORD})(?:{w})((?:{WORD}|$).*)$"
-    neg = f"(?i)(?:^|{WORD})(?:{n})(?:{WORD}|$)"
+    has = f"(?i){BEFORE_WORD}(?:{w}){AFTER_WORD}"
+    tail = f"(?i)^.*{BEFORE_WORD}(?:{w})({AFTER_WORD}.*)$"
+    neg = f"(?i){BEFORE_WORD}(?:{n}){AFTER_WORD}"
     return (
         f"coalesce(len(list_filter(regexp_split_to_array({x}, '{LINE_BREAKS}'), "
         f"lambda l: regexp_matches(l, '{has}') "

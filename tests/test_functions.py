@@ -138,3 +138,32 @@ def test_legacy_int_follows_the_input_type(spark):
     exprs = [f"{legacy_int_of_sql(e, t)} AS c{i}" for i, (e, t, _) in enumerate(cases)]
     row = spark.range(1).selectExpr(*exprs).collect()[0]
     assert [row[f"c{i}"] for i in range(len(cases))] == [want for _, _, want in cases]
+
+
+def test_lexicon_on_random_texts_equals_unicode_word_boundaries_and_the_oracle(spark):
+    """Random texts of words, accents, combining marks, digits, '_' and line
+    breaks: our pattern equals Java's Unicode-aware \\b pattern (this JVM,
+    Java 17) and the DuckDB statement used by the oracles."""
+    import random
+
+    import duckdb
+
+    from critiq.functions.text import lexicon_pattern
+    from critiq.plans.oracles import lexicon_match
+
+    rnd = random.Random(3)
+    pieces = ["bom", "BOM", "ótimo", "não", "nem", " ", ",", ".", "\n", "a", "é", "_", "1", "́", "x", "Ó", "²"]
+    texts = sorted({"".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 8))) for _ in range(6000)})
+    words, negs = ("ótimo", "excelente", "bom"), ("não", "nem", "nunca", "jamais")
+    java_b = r"(?iu)\b(" + "|".join(words) + r")\b(?!.*\b(" + "|".join(negs) + r")\b)"
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
+    got = df.select(
+        "i", F.col("x").rlike(lexicon_pattern(words, negs)).alias("ours"), F.col("x").rlike(java_b).alias("java")
+    ).collect()
+    con = duckdb.connect()
+    con.execute("create table t(i int, x varchar)")
+    con.executemany("insert into t values (?, ?)", list(enumerate(texts)))
+    oracle = dict(con.execute(f"select i, {lexicon_match('x', words, negs)} from t").fetchall())
+    assert [r["i"] for r in got if r["ours"] != r["java"]] == []
+    assert [r["i"] for r in got if r["ours"] != oracle[r["i"]]] == []
+    assert 0 < sum(r["ours"] for r in got) < len(got)
