@@ -25,9 +25,14 @@ CHANNEL_SUFFIX_PATTERN = "_pf|_pj"
 # '_'; a non-spacing mark also counts when a letter or digit precedes it
 # (through further marks), as in Unicode-aware \b.
 _WORD_CHAR = r"[\p{L}\p{Nd}_]"
-_MARKED_BASE = r"[\p{L}\p{Nd}]\p{Mn}{1,32}"
-# Before a word: not a word character, nor a mark resting on one.
-_WORD_START = rf"(?<!{_WORD_CHAR})(?<!{_MARKED_BASE})"
+# Up to this many stacked marks on one base letter are recognised exactly.
+# (A variable-length look-behind would do any number, but Java evaluates it
+# at every position and the match cost doubles; fixed lengths cost nothing.)
+_MAX_STACKED_MARKS = 4
+# Before a word: not a word character, nor a mark (run) resting on one.
+_WORD_START = f"(?<!{_WORD_CHAR})" + "".join(
+    rf"(?<![\p{{L}}\p{{Nd}}]\p{{Mn}}{{{k}}})" for k in range(1, _MAX_STACKED_MARKS + 1)
+)
 # After a word (which ends in a letter): any mark rests on that letter.
 _WORD_END = r"(?![\p{L}\p{Nd}\p{Mn}_])"
 
