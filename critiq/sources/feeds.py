@@ -80,6 +80,9 @@ STORE_B = FeedSpec(
         "snippet": "content",
     },
 )
+# App name taken from the file path by the original explicit-schema scan
+# (layout <base>/googlePlay/<app>/odate=YYYYMMDD/):
+STORE_A_APP_FROM_PATH = r"/googlePlay/(.*?)/odate="
 # ---------------------------------------------------------------------------
 
 DEFAULT_FEEDS: tuple[FeedSpec, ...] = (STORE_A, INTERNAL_DB, STORE_B)

@@ -99,3 +99,17 @@ def test_feed_scan_of_single_days_keeps_the_load_date_and_merges_schemas(spark):
     df = read_feed(spark, [f"{path}/odate=20240101", f"{path}/odate=20240102"], base_path=path, merge_schema=True)
     got = sorted((r["id"], str(r["odate"]), r["extra"]) for r in df.collect())
     assert got == [("1", "20240101", None), ("2", "20240102", "x")]
+
+
+def test_schema_scan_with_the_original_layout(spark):
+    from pyspark.sql import types as T
+
+    from critiq.sources.feeds import STORE_A_APP_FROM_PATH
+
+    root = scratch_path(spark, "t_layout")
+    spark.createDataFrame([("1", "x")], "id string, response string").write.parquet(
+        f"{root}/googlePlay/bank_app/odate=20250510"
+    )
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("response", T.StringType())])
+    df = read_feed_with_schema(spark, schema, f"{root}/googlePlay/*/*", app_from_path=STORE_A_APP_FROM_PATH)
+    assert [(r["id"], r["app"]) for r in df.select("id", "app").collect()] == [("1", "bank_app")]
