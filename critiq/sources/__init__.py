@@ -4,6 +4,7 @@ from critiq.sources.feeds import (
     DEFAULT_FEEDS,
     INTERNAL_DB,
     STORE_A,
+    STORE_A_APP_FROM_PATH,
     STORE_B,
     EmptyFeedsError,
     FeedSpec,
@@ -25,6 +26,7 @@ __all__ = [
     "DEFAULT_FEEDS",
     "INTERNAL_DB",
     "STORE_A",
+    "STORE_A_APP_FROM_PATH",
     "STORE_B",
     "EmptyFeedsError",
     "FeedSpec",
