@@ -99,6 +99,22 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target) and fs.delete(target, True))
 
 
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Make ``source`` (a folder just written) the new ``target``: the old
+    target is deleted and ``source`` renamed onto it."""
+    jvm = spark.sparkContext._jvm
+    src = jvm.org.apache.hadoop.fs.Path(source)
+    dst = jvm.org.apache.hadoop.fs.Path(target)
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    parent = dst.getParent()
+    if parent is not None and not fs.exists(parent):
+        fs.mkdirs(parent)
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme, for local-only checks in tests."""
     if path.startswith("file:"):

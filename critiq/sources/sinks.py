@@ -6,12 +6,14 @@ Every write is a distributed Spark write; no row passes through the driver.
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from critiq.schema import PARTITION_COLUMN
+from critiq.session import remove_path, replace_path
 
 log = logging.getLogger(__name__)
 
@@ -89,18 +91,29 @@ def write_documents(df: DataFrame, path: str, empty: bool | None = None) -> bool
 
     Null fields are left out of each document; timestamps keep microseconds.
     An empty frame leaves the previous documents in place and returns False.
+    The new documents are written next to the collection first and swapped
+    in only when the write has succeeded, so a failed write leaves the
+    previous documents whole (the swap is a rename, atomic on HDFS-like file
+    systems).
     """
     if empty is None:
         empty = df.isEmpty()
     if empty:
         log.warning("collection %s not replaced: no rows", path)
         return False
-    (
-        df.write.mode("overwrite")
-        .option("ignoreNullFields", "true")
-        .option("timestampFormat", DOCUMENT_TIMESTAMP_FORMAT)
-        .json(path)
-    )
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}.__writing-{uuid.uuid4().hex[:12]}"
+    try:
+        (
+            df.write.mode("errorifexists")
+            .option("ignoreNullFields", "true")
+            .option("timestampFormat", DOCUMENT_TIMESTAMP_FORMAT)
+            .json(staging)
+        )
+    except Exception:
+        remove_path(spark, staging)
+        raise
+    replace_path(spark, staging, path)
     return True
 
 

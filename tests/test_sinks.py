@@ -113,3 +113,19 @@ def test_schema_scan_with_the_original_layout(spark):
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("response", T.StringType())])
     df = read_feed_with_schema(spark, schema, f"{root}/googlePlay/*/*", app_from_path=STORE_A_APP_FROM_PATH)
     assert [(r["id"], r["app"]) for r in df.select("id", "app").collect()] == [("1", "bank_app")]
+
+
+def test_failed_document_write_keeps_the_previous_documents(spark):
+    import glob
+
+    from critiq.session import local_path
+
+    path = scratch_path(spark, "t_docs_fail")
+    assert write_documents(spark.createDataFrame([("old",)], "x string"), path)
+    broken = spark.range(3).selectExpr("CASE WHEN id = 2 THEN raise_error('boom') ELSE 'new' END AS x")
+    with pytest.raises(Exception):
+        write_documents(broken, path, empty=False)
+    assert [r[0] for r in spark.read.text(path).collect()] == ['{"x":"old"}']
+    assert glob.glob(local_path(path) + ".__writing-*") == []
+    assert write_documents(spark.createDataFrame([("new",)], "x string"), path)
+    assert [r[0] for r in spark.read.text(path).collect()] == ['{"x":"new"}']
