@@ -129,3 +129,13 @@ def test_failed_document_write_keeps_the_previous_documents(spark):
     assert glob.glob(local_path(path) + ".__writing-*") == []
     assert write_documents(spark.createDataFrame([("new",)], "x string"), path)
     assert [r[0] for r in spark.read.text(path).collect()] == ['{"x":"new"}']
+
+
+def test_failed_parquet_write_keeps_the_previous_day(spark):
+    path = scratch_path(spark, "t_parquet_fail")
+    assert write_partitioned_parquet(frame(spark, 3, "old"), path, "20240101")
+    broken = spark.range(3).selectExpr("CAST(id AS INT) AS k", "CASE WHEN id = 2 THEN raise_error('boom') ELSE 'new' END AS tag")
+    with pytest.raises(Exception):
+        write_partitioned_parquet(broken, path, "20240101", empty=False)
+    got = read_partitioned_parquet(spark, path).groupBy("odate", "tag").count().collect()
+    assert [(r["odate"], r["tag"], r["count"]) for r in got] == [("20240101", "old", 3)]
