@@ -45,6 +45,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--odate-from")
     p.add_argument("--odate-to")
     p.add_argument("--job", default="gold_aggregate")
+    p.add_argument("--original-names", action="store_true", help="publish gold under the original column names")
     args = p.parse_args(argv)
     known = {s.name for s in DEFAULT_FEEDS}
     feeds = {}
@@ -80,6 +81,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Pi
         run=run,
         feeds=tuple(s for s in DEFAULT_FEEDS if s.name in feeds),
         preview_rows=PREVIEW_ROWS[args.env],
+        original_gold_names=args.original_names,
     )
     result = run_pipeline(spark, feeds, cfg)
     for v in result.verdicts:

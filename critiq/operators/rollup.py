@@ -9,7 +9,7 @@ from critiq.functions.casts import lenient_double_sql
 from critiq.functions.dates import period_of_sql
 from critiq.functions.sql import ident, string_literal
 from critiq.functions.text import DEFAULT_LEXICON, Lexicon, lexicon_flag_sql
-from critiq.schema import GOLD_KEYS
+from critiq.schema import GOLD_KEYS, ORIGINAL_GOLD_NAMES
 
 # Fixed value: a well-formed reporting period is ``yyyy-MM``.
 PERIOD_PATTERN = r"^\d{4}-\d{2}$"
@@ -80,16 +80,23 @@ def gold_rollup(
     return consolidated.groupBy(*GOLD_KEYS).agg(*[F.expr(m) for m in measures])
 
 
-def display_order() -> list[Column]:
-    """Newest period first, then app name descending; channel and segment make it total."""
+def display_order(names: dict[str, str] | None = None) -> list[Column]:
+    """Newest period first, then app name descending; channel and segment make
+    it total. ``names`` maps our column names to the ones in use."""
+    n = names or {}
     return [
-        F.col("period").desc_nulls_last(),
-        F.col("app_name").desc_nulls_last(),
-        F.col("channel").asc_nulls_last(),
-        F.col("segment").asc_nulls_last(),
+        F.col(n.get("period", "period")).desc_nulls_last(),
+        F.col(n.get("app_name", "app_name")).desc_nulls_last(),
+        F.col(n.get("channel", "channel")).asc_nulls_last(),
+        F.col(n.get("segment", "segment")).asc_nulls_last(),
     ]
 
 
-def preview(gold: DataFrame, n: int = 20) -> DataFrame:
+def preview(gold: DataFrame, n: int = 20, names: dict[str, str] | None = None) -> DataFrame:
     """The first ``n`` gold rows in display order (a top-k, not a full sort)."""
-    return gold.orderBy(*display_order()).limit(n)
+    return gold.orderBy(*display_order(names)).limit(n)
+
+
+def with_original_names(gold: DataFrame) -> DataFrame:
+    """Gold columns under the original job's names (for its consumers)."""
+    return gold.withColumnsRenamed({k: v for k, v in ORIGINAL_GOLD_NAMES.items() if k in gold.columns})

@@ -46,10 +46,10 @@ from critiq.operators.quality import (
     validate_ingest,
     verdicts,
 )
-from critiq.operators.rollup import consolidate, display_order, gold_rollup, preview
+from critiq.operators.rollup import consolidate, display_order, gold_rollup, preview, with_original_names
 from critiq.operators.views import history_view
 from critiq.plans.report import RunInfo, failure_report, run_report, segment_of_sql, type_client_sql
-from critiq.schema import UNIFIED_SCHEMA
+from critiq.schema import ORIGINAL_GOLD_NAMES, UNIFIED_SCHEMA
 from critiq.session import input_bytes, remove_path, scratch_path, shuffle_partitions_for
 from critiq.sources.feeds import DEFAULT_FEEDS, EmptyFeedsError, FeedSpec, read_feed
 from critiq.sources.sinks import append_report, read_partitioned_parquet, write_documents, write_partitioned_parquet
@@ -136,6 +136,9 @@ class PipelineConfig:
     # input / this for the run (never lowered) and restored after it; None
     # leaves the session setting alone.
     input_bytes_per_partition: int | None = 1 << 30
+    # Publish gold (Parquet and documents) under the original job's column
+    # names, for consumers of its output.
+    original_gold_names: bool = False
     # Publish gold, invalid rows and history documents from parallel driver
     # threads (independent jobs over the stage table).
     parallel_outputs: bool = True
@@ -253,6 +256,8 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
             with _step(sec, "gold"):
                 # Sorted within each output file only: no global sort (range shuffle) for display order.
                 gold = gold_rollup(consolidate(valid), cfg.lexicon).sortWithinPartitions(*display_order())
+                if cfg.original_gold_names:
+                    gold = with_original_names(gold)
                 wrote = write_partitioned_parquet(gold, t.gold, cfg.run_date, "valid", empty=summary["n_valid"] == 0)
             with _step(sec, "gold_documents"):
                 if wrote:
@@ -264,7 +269,8 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
                     write_documents(published, t.gold_documents, empty=False)
                     schemas["gold"] = published.schema.simpleString()
                     if n_preview > 0:
-                        shown["gold"] = preview(published, n_preview).collect()
+                        names = ORIGINAL_GOLD_NAMES if cfg.original_gold_names else None
+                        shown["gold"] = preview(published, n_preview, names).collect()
             return wrote
 
         def publish_invalid() -> bool:

@@ -29,6 +29,19 @@ INVALID_PREDICATE_COLUMNS = ("id", "app", "iso_date", "app_source")
 GOLD_KEYS = ("app_name", "channel", "period", "segment")
 GOLD_MEASURES = ("avg_rating", "n_reviews", "n_positive", "n_negative")
 
+# The original job's gold column names, by our column name.
+ORIGINAL_GOLD_NAMES = {
+    "app_name": "app_nome",
+    "channel": "app_source",
+    "period": "periodo_referencia",
+    "segment": "segmento",
+    "avg_rating": "nota_media",
+    "n_reviews": "avaliacoes_total",
+    "n_positive": "comentarios_positivos",
+    "n_negative": "comentarios_negativos",
+    "rating_spread_pct": "nota_tendencia",
+}
+
 # Consolidated review row used by the rollup.
 CONSOLIDATED_COLUMNS = (
     "app_name",

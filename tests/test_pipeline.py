@@ -187,3 +187,26 @@ def test_load_and_validate_from_feed_directories(spark):
     # a load-date window prunes the feeds before they are read
     feb = load_reviews(spark, paths, odate_from="20240201", odate_to="20240229")
     assert 0 < feb.count() < reviews.count()
+
+
+def test_gold_can_be_published_under_the_original_names(spark, run):
+    from critiq.schema import ORIGINAL_GOLD_NAMES
+
+    cfg, _ = run
+    named = PipelineConfig(
+        targets=Targets.under(scratch_path(spark, "t_names")),
+        run_date=Q.RUN_DATE,
+        run=Q.RUN,
+        lexicon=DATA_LEXICON,
+        original_gold_names=True,
+        preview_rows=3,
+    )
+    result = run_pipeline(spark, derived_feeds(spark, SF_SMOKE), named)
+    gold = spark.read.parquet(named.targets.gold).drop("odate")
+    expected = [ORIGINAL_GOLD_NAMES[c] for c in Q.gold(spark, SF_SMOKE).columns]
+    assert gold.columns == expected
+    ours = spark.read.parquet(cfg.targets.gold).drop("odate")
+    assert gold.toDF(*ours.columns).exceptAll(ours).count() == 0 and gold.count() == ours.count()
+    docs = spark.read.json(named.targets.gold_documents)
+    assert set(docs.columns) <= set(expected) and "nota_media" in docs.columns
+    assert len(result.preview["gold"]) == 3
