@@ -16,17 +16,21 @@ from critiq.operators.quality import (
 from critiq.operators.rollup import (
     PERIOD_PATTERN,
     consolidate,
+    display_order,
     filter_period,
     gold_rollup,
     lexicon_flags,
     preview,
+    with_original_names,
 )
-from critiq.operators.views import history_projection, history_view
+from critiq.operators.views import distinct_by_hash, history_projection, history_view
 
 __all__ = [
     "PERIOD_PATTERN",
     "consolidate",
     "dedup_by_key",
+    "display_order",
+    "distinct_by_hash",
     "duplicate_keys",
     "duplicate_rows",
     "feed_rank_sql",
@@ -47,4 +51,5 @@ __all__ = [
     "valid_rows",
     "validate_ingest",
     "verdicts",
+    "with_original_names",
 ]
