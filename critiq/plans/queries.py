@@ -54,7 +54,7 @@ from critiq.sources.sinks import (
     write_documents,
     write_partitioned_parquet,
 )
-from critiq.sources.testbed import DATA_LEXICON, derived_feeds, load_date_of, write_landing_zone
+from critiq.sources.testbed import DATA_LEXICON, derived_feeds, load_date_of, plan_key, write_landing_zone
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,12 +99,24 @@ STORE_A_SCHEMA = T.StructType(
 
 
 # -- shared inputs --------------------------------------------------------------
+_plans: dict[tuple, DataFrame] = {}
+
+
+def _reused(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Lazy plans over the read-only test tables, built once per application,
+    session and analysis settings (each query still reads the tables)."""
+    key = (*plan_key(spark, sf_dir), name)
+    if key not in _plans:
+        _plans[key] = build()
+    return _plans[key]
+
+
 def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return harmonize_all(derived_feeds(spark, sf_dir))
+    return _reused(spark, sf_dir, "unified", lambda: harmonize_all(derived_feeds(spark, sf_dir)))
 
 
 def deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_by_key(unified(spark, sf_dir))
+    return _reused(spark, sf_dir, "deduped", lambda: dedup_by_key(unified(spark, sf_dir)))
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:

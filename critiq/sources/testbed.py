@@ -88,6 +88,16 @@ _feeds: dict[tuple, dict[str, DataFrame]] = {}
 _ANALYSIS_SETTINGS = ("spark.sql.ansi.enabled", "spark.sql.session.timeZone")
 
 
+def plan_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identity under which a lazy plan over the test tables can be reused."""
+    return (
+        spark.sparkContext.applicationId,
+        id(spark),
+        sf_dir,
+        *(spark.conf.get(k) for k in _ANALYSIS_SETTINGS),
+    )
+
+
 def derived_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Raw feeds keyed by the name of their ``FeedSpec`` (job order).
 
@@ -95,12 +105,7 @@ def derived_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     per application, session and analysis settings and reused; each query
     still reads the tables when it runs.
     """
-    key = (
-        spark.sparkContext.applicationId,
-        id(spark),
-        sf_dir,
-        *(spark.conf.get(k) for k in _ANALYSIS_SETTINGS),
-    )
+    key = plan_key(spark, sf_dir)
     if key not in _feeds:
         builders = (store_feed_a, internal_feed, store_feed_b)
         _feeds[key] = {spec.name: build(spark, sf_dir) for spec, build in zip(DEFAULT_FEEDS, builders)}
