@@ -65,3 +65,41 @@ def compare(spark, con, name, query, sql, sf_dir):
         only_d = list((dc - sc).elements())[:3]
         return False, f"values differ ({len(list((sc - dc).elements()))} rows): spark-only={only_s} duck-only={only_d}"
     return True, f"{len(s_rows)} rows"
+
+
+def main(argv: list[str]) -> int:
+    """``python tests/oracle_compare.py [SF_DIR] [QUERY ...]``: compare every
+    (or the named) registered query with its oracle; exit 1 on a difference."""
+    import os
+    import sys
+    import time
+
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    import __spark_entry__ as entry_module
+    from critiq.session import build_session
+
+    sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
+    only = set(argv[1:])
+    spark = build_session("local[8]")
+    con = duck(sf_dir)
+    registry, oracles = entry_module.queries(), entry_module.oracle_sql()
+    failed = 0
+    for name, query in registry.items():
+        if only and name not in only:
+            continue
+        start = time.perf_counter()
+        try:
+            ok, detail = compare(spark, con, name, query, oracles[name], sf_dir)
+        except Exception as exc:  # noqa: BLE001 - reported per query
+            ok, detail = False, f"error: {exc}"[:500]
+        failed += not ok
+        print(f"{'OK ' if ok else 'BAD'} {name:28s} {time.perf_counter() - start:6.1f}s {detail}", flush=True)
+    print(f"{failed} failed")
+    spark.stop()
+    return 1 if failed else 0
+
+
+if __name__ == "__main__":
+    import sys
+
+    sys.exit(main(sys.argv[1:]))
