@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critiq.llm import compression_bands, mixing, simhash_dedup, url_filter
+from critiq.llm import compression_bands, mixing, packing, simhash_dedup, toxicity, url_filter
 from critiq.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,14 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(spark, read_table(spark, sf_dir, "pages"))
 
