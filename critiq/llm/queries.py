@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critiq.llm import compression_bands, mixing, packing, simhash_dedup, toxicity, url_filter
+from critiq.llm import compression_bands, mixing, packing, simhash_dedup, toxicity, url_filter, warc_index
 from critiq.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_index.archive_round_trip(spark, read_table(spark, sf_dir, "pages"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -116,6 +120,24 @@ left join hits h on p.url = h.url
 """
 
 
+WARC_SQL = r"""
+with rows as (
+  select page_id, url, encode(coalesce(html, '')) as payload, unhex(sha1(coalesce(html, ''))) as d from pages),
+bits as (
+  select d, string_agg(lpad(bin(('0x' || substr(hex(d), 1 + 2 * i, 2))::int), 8, '0'), '' order by i) as b
+  from (select distinct d from rows), range(20) t(i) group by d),
+digests as (
+  select d, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ('0b' || substr(b, 1 + 5 * i, 5))::int, 1), '' order by i) as digest
+  from bits, range(32) t(i) group by d),
+held as (
+  select *, min(page_id) over (partition by d) as holder from rows)
+select page_id, octet_length(payload)::bigint as payload_bytes, digest as payload_digest,
+       case when holder is null or page_id is not distinct from holder then 'response' else 'revisit' end as record_type,
+       case when holder is null or page_id is not distinct from holder then null else holder end as refers_to, url
+from held join digests using (d)
+"""
+
+
 def _values(rows) -> str:
     quoted = ["('{}', '{}')".format(*(x.replace("'", "''") for x in row[:2])) for row in rows]
     return ", ".join(quoted)
@@ -124,6 +146,7 @@ def _values(rows) -> str:
 def oracle_sql() -> dict[str, str]:
     urls = URL_SQL.replace("SITE_RULES", _values(url_filter.SITE_RULES))
     return {
+        "op4_warc_index": WARC_SQL,
         "op8_url_filter": urls.replace("PATTERN_RULES", _values(url_filter.PATTERN_RULES)),
         "op10_mix_sources": MIX_SQL,
     }
