@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critiq.llm import compression_bands, mixing, packing, simhash_dedup, toxicity, url_filter, warc_index
+from critiq.llm import ann, compression_bands, mixing, packing, simhash_dedup, toxicity, url_filter, warc_index
 from critiq.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(spark, read_table(spark, sf_dir, "pages"))
 
 
+def op9_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(spark, read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
