@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critiq.llm import ann, compression_bands, mixing, packing, simhash_dedup, toxicity, url_filter, warc_index
+from critiq.llm import ann, compression_bands, fuzzy_lines, mixing, packing, simhash_dedup, toxicity, url_filter, warc_index
 from critiq.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = fuzzy_lines.dedup_lines(spark, read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_index.archive_round_trip(spark, read_table(spark, sf_dir, "pages"))
 
