@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critiq.llm import ann, compression_bands, fuzzy_lines, mixing, packing, simhash_dedup, toxicity, url_filter, warc_index
+from critiq.llm import ann, compression_bands, fuzzy_lines, mixing, packing, simhash_dedup, suffix_dedup, toxicity, url_filter, warc_index
 from critiq.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.dedup_substrings(spark, read_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(spark, read_table(spark, sf_dir, "pages"))
 
