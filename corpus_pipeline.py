@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from critiq.llm import compression_bands, mixing, simhash_dedup
+from critiq.llm import compression_bands, fuzzy_lines, mixing, packing, simhash_dedup
 from critiq.llm.common import read_table, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,6 +21,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return compression_bands.keep_clean(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that occur, near enough, earlier; those that lose all words go."""
+    return fuzzy_lines.dedup_documents(spark, docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
     return simhash_dedup.keep_first(spark, docs)
@@ -31,10 +36,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(spark, docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of all documents and their places in sequences."""
+    return packing.pack(spark, docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
+    ("lines", lines),
     ("near_duplicates", near_duplicates),
     ("mix", mix),
+    ("pack", pack),
 ]
 
 #: Compression, edit similarity, fingerprints and tokenizers are beyond SQL.
