@@ -38,6 +38,17 @@ def forget_at_exit(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
+def per_worker(name: str, make):
+    """``make()``, called once in each Python worker and kept for its later tasks."""
+    import sys
+    from types import ModuleType
+
+    kept = sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

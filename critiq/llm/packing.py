@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from critiq.llm.common import staged, text_bytes
+from critiq.llm.common import per_worker, staged, text_bytes
 
 CAPACITY = 4096
 END_ID = 1
@@ -51,42 +51,74 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes as: printable Latin-1 as itself, the
+    rest from code point 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 def word_encoder(tokenizer_path: str):
     """ids of a UTF-8 text as little-endian unsigned 32-bit bytes.
 
-    For tokenizers that drop white space, so that a text's ids are its words' ids in a row. Words
-    of ASCII letters are looked up in lower case; any other run between white space goes to the
-    tokenizer as it is. Both are remembered up to a bound.
+    For tokenizers that drop white space, so that a text's ids are its words' ids in a row. A word of
+    Latin letters with closing punctuation, which such tokenizers part, lower-case and write in byte
+    letters, goes straight to the model, if that gives the tokenizer's ids for a set of trial words.
+    Any other run between white space goes to the tokenizer as it is. Both are remembered up to a bound.
     """
+    import re
+
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
+    model, letters = tokenizer.model, _byte_letters()
     young: dict[bytes, bytes] = {}
     old: dict[bytes, bytes] = {}
+    # precomposed letters that normalize to themselves and have one lower-case letter
+    plain = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+)([.,;:!?]*)")
 
-    def encode(words: list[bytes]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+    def whole(words: list[str]) -> list[bytes]:
+        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(f.ids, "<u4").tobytes() for f in found]
 
-    def parts(word: bytes) -> tuple[bytes, bytes]:
-        """Letters and closing punctuation of a plain word, else (word, nothing)."""
-        if word.isascii():
-            letters = word.rstrip(b".,;:!?")
-            if letters.isalpha():
-                return letters.lower(), word[len(letters) :]
-        return word, b""
+    def direct(word: str) -> bytes:
+        written = word.encode().decode("latin-1").translate(letters)
+        return b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(written)])
+
+    def part(word: bytes) -> tuple[str, str] | None:
+        match = plain.fullmatch(word.decode("utf-8", "replace"))
+        return (match[1].lower(), match[2]) if match else None
+
+    def by_part(pair: tuple[str, str]) -> bytes:
+        for p in pair:
+            if p and p not in parts:
+                parts[p] = direct(p)
+        return parts[pair[0]] + (parts[pair[1]] if pair[1] else b"")
+
+    parts: dict[str, bytes] = {}
+    trial = "The,words isn't, \u00dcber \u00c9t\u00e9!? na\u00efve \u0141\u00f3d\u017a \u0152uvre... Kurz: antidisestablishmentarianism;".split()
+    try:
+        trusted = all(p is None or by_part(p) == ids for p, ids in zip([part(w.encode()) for w in trial], whole(trial), strict=True))
+    except Exception:  # noqa: BLE001 - a model that does not take byte letters
+        trusted = False
 
     def look_up(words: set[bytes]) -> dict[bytes, bytes]:
-        nonlocal young, old
+        nonlocal young, old, parts
         if len(young) > CACHED_WORDS:
             young, old = {}, young
-        out = {w: old[w] for w in words if w in old}
-        cut = {w: parts(w) for w in words if w not in out}
-        have = {p: young.get(p) or old.get(p) for pair in cut.values() for p in pair if p}
-        new = [p for p, ids in have.items() if ids is None]
-        have.update(zip(new, encode(new), strict=True))
-        out.update((w, have[a] + (have[b] if b else b"")) for w, (a, b) in cut.items())
-        young.update((w, ids) for w, ids in [*have.items(), *out.items()] if len(w) <= CACHED_BYTES)
+        if len(parts) > CACHED_WORDS:
+            parts = {}
+        out, rest = {}, []
+        for w in words:
+            if w in old:
+                out[w] = old[w]
+            elif trusted and len(w) <= CACHED_BYTES and (pair := part(w)):
+                out[w] = by_part(pair)
+            else:
+                rest.append(w)
+        out.update(zip(rest, whole([w.decode("utf-8", "replace") for w in rest]), strict=True))
+        young.update((w, ids) for w, ids in out.items() if len(w) <= CACHED_BYTES)
         return out
 
     def ids(text: bytes) -> bytes:
@@ -113,7 +145,8 @@ def token_pieces(
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids, end = word_encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        ids = per_worker(f"ids {tokenizer_path}", lambda: word_encoder(tokenizer_path))
+        end = np.array([end_id], "<u4").tobytes()
         task, seen = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             rows = []
