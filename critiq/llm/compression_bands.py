@@ -32,11 +32,11 @@ from critiq.llm.common import text_bytes
 #: and cannot fall far, long ones gain from their own vocabulary.
 BANDS = (
     (0, 0.0, 4.0),
-    (256, 1.05, 4.0),
-    (1024, 1.20, 4.5),
-    (4096, 1.30, 5.0),
-    (16384, 1.35, 5.5),
-    (65536, 1.40, 6.0),
+    (256, 1.10, 4.0),
+    (1024, 1.35, 4.5),
+    (4096, 1.45, 5.0),
+    (16384, 1.55, 5.5),
+    (65536, 1.60, 6.0),
 )
 LEVEL = 3
 CHUNK_BYTES = 4096
