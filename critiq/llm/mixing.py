@@ -63,9 +63,9 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget=BUDGET, max_epochs=
     after = by_ratio.rowsBetween(0, W.unboundedFollowing)
     level = (F.col("words") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(after)
     leveled = ranked.withColumn("level", level)
-    # the first source in that order that its share does not fill sets the level
-    fits = F.when(F.col("level") * F.col("w") <= F.col("cap"), F.struct(F.col("cap") / F.col("w"), F.col("level")))
-    return leveled.withColumn("final", F.min(fits).over(everything)["level"]).select(
+    # the first source in that order whose share stays within its cap sets the level; levels fall from there on
+    fits = F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))
+    return leveled.withColumn("final", F.max(fits).over(everything)).select(
         "source",
         "source_size",
         F.when(F.col("final").isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("final") * F.col("w"))).alias("target"),

@@ -83,7 +83,7 @@ shared as (
   from level),
 targets as (
   select source, source_size,
-         least(cap::double, coalesce(min_by(level, cap / w) filter (where level * w <= cap) over () * w, cap::double)) as target
+         least(cap::double, coalesce(max(level) filter (where level * w <= cap) over () * w, cap::double)) as target
   from shared),
 parts as (
   select *, case when source_size > 0 then floor(target / source_size) else 0 end::bigint as epochs from targets),
