@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Pi
         }
     except Exception as exc:
         # A feed that cannot be opened fails the run like any later step: report it.
-        append_report(failure_report(spark, exc, run), targets.failures)
+        append_report(failure_report(spark, exc, run), targets.failures, "failure")
         raise
     cfg = PipelineConfig(
         targets=targets,

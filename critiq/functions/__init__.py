@@ -11,7 +11,9 @@ from critiq.functions.text import (
     Lexicon,
     lexicon_flag,
     lexicon_flag_sql,
-    lexicon_pattern,
+    lexicon_text_sql,
+    negated_pattern,
+    word_pattern,
     strip_channel_suffix,
     strip_channel_suffix_sql,
 )
@@ -25,7 +27,9 @@ __all__ = [
     "lenient_double_sql",
     "lexicon_flag",
     "lexicon_flag_sql",
-    "lexicon_pattern",
+    "lexicon_text_sql",
+    "negated_pattern",
+    "word_pattern",
     "parse_review_ts",
     "parse_review_ts_sql",
     "period_of",

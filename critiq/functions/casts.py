@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 
 from critiq.functions.sql import string_literal
 
-# Legacy string casts ignore ASCII control characters and blanks at both ends.
-_PAD = r"[\x00-\x20]*"
+# Legacy string casts ignore ASCII control characters, DEL included, and blanks at both ends.
+_PAD = r"[\x00-\x20\x7f]*"
 # Accepted shape: optional sign, digits with an optional fraction, or a bare fraction.
 _DECIMAL_TEXT = rf"^{_PAD}[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*){_PAD}$"
 _WHOLE_PART = rf"^{_PAD}([+-]?[0-9]*)"

@@ -24,15 +24,13 @@ CHANNEL_SUFFIX_PATTERN = "_pf|_pj"
 # depend on the JVM's \b: a word character is a letter, a decimal digit or
 # '_'; a non-spacing mark also counts when a letter or digit precedes it
 # (through further marks), as in Unicode-aware \b.
-_WORD_CHAR = r"[\p{L}\p{Nd}_]"
-# Up to this many stacked marks on one base letter are recognised exactly.
-# (A variable-length look-behind would do any number, but Java evaluates it
-# at every position and the match cost doubles; fixed lengths cost nothing.)
-_MAX_STACKED_MARKS = 4
-# Before a word: not a word character, nor a mark (run) resting on one.
-_WORD_START = f"(?<!{_WORD_CHAR})" + "".join(
-    rf"(?<![\p{{L}}\p{{Nd}}]\p{{Mn}}{{{k}}})" for k in range(1, _MAX_STACKED_MARKS + 1)
-)
+_BREAKS = r"\n\r\x85\u2028\u2029"
+# Before a word: the line's start, no word character, or marks that rest on
+# neither a letter nor a digit. These are consumed, so any number of stacked
+# marks is one step.
+_START = r"(?:^|[^\p{{L}}\p{{Nd}}\p{{Mn}}_{x}]|(?:^|[^\p{{L}}\p{{Nd}}\p{{Mn}}{x}])\p{{Mn}}+)"
+_WORD_START = _START.format(x="")
+_WORD_START_IN_LINE = _START.format(x=_BREAKS)
 # After a word (which ends in a letter): any mark rests on that letter.
 _WORD_END = r"(?![\p{L}\p{Nd}\p{Mn}_])"
 
@@ -60,20 +58,38 @@ def _alternation(words: tuple[str, ...]) -> str:
     return "|".join(re.escape(w) for w in words)
 
 
-def lexicon_pattern(words: tuple[str, ...], negators: tuple[str, ...]) -> str:
-    """Java regex: a whole word of ``words`` not followed on its line by a negator.
+def word_pattern(words: tuple[str, ...]) -> str:
+    """Java regex: a whole word of ``words``, somewhere."""
+    return f"(?ium){_WORD_START}(?:{_alternation(words)}){_WORD_END}"
 
-    ``.`` does not cross line terminators, so the negator look-ahead stays on
-    the line of the matched word.
+
+def negated_pattern(negators: tuple[str, ...]) -> str:
+    """Java regex: each line's beginning, up to and with its last negator.
+
+    ``.`` does not cross line terminators and the negator's start excludes them.
+    """
+    return f"(?ium)^.*{_WORD_START_IN_LINE}(?:{_alternation(negators)}){_WORD_END}"
+
+
+def lexicon_text_sql(expr: str, negators: tuple[str, ...]) -> str:
+    """SQL text: the text without what a negator on the same line follows.
+
+    One pass over each line. What is left of a line comes after its last negator,
+    so a listed word in it has no negator after it. Both lists are matched
+    against this text.
     """
-    word = f"{_WORD_START}(?:{_alternation(words)}){_WORD_END}"
-    negator = f"{_WORD_START}(?:{_alternation(negators)}){_WORD_END}"
-    return f"(?iu){word}(?!.*{negator})"
+    return f"regexp_replace({expr}, {string_literal(negated_pattern(negators))}, ' ')"
 
 
 def lexicon_flag_sql(expr: str, words: tuple[str, ...], negators: tuple[str, ...]) -> str:
-    """SQL text: does the text match the lexicon list (NULL text -> NULL)."""
-    return f"({expr} RLIKE {string_literal(lexicon_pattern(words, negators))})"
+    """SQL text: does the text match the lexicon list (NULL text -> NULL).
+
+    A word that is itself a negator is rejected: cutting through it would hide it.
+    """
+    both = {w.lower() for w in words} & {n.lower() for n in negators}
+    if both:
+        raise ValueError(f"words that are also negators: {sorted(both)}")
+    return f"({lexicon_text_sql(expr, negators)} RLIKE {string_literal(word_pattern(words))})"
 
 
 def lexicon_flag(expr: str, words: tuple[str, ...], negators: tuple[str, ...]) -> Column:

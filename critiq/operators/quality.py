@@ -63,12 +63,26 @@ def duplicate_keys(df: DataFrame, key: str = "id") -> DataFrame:
 def duplicate_rows(df: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key repeats (NULL keys never match).
 
-    A left semi join against the repeated keys: NULL keys are filtered before
-    its shuffle, AQE turns it into a broadcast join when the key set proves
-    small at run time and splits a skewed key's partition otherwise.
+    An inner join against the repeated keys, each of which is there once. Unlike a
+    semi join it stays above a union, so the wide rows are read and shuffled once; AQE turns
+    it into a broadcast join when the key set proves small at run time and splits a
+    skewed key's partition otherwise.
     """
-    keys = duplicate_keys(df, key).select(key)
-    return df.join(keys, on=key, how="left_semi")
+    keys = duplicate_keys(df, key).select(F.col(key).alias("_repeated"))
+    return df.join(keys, F.col(key) == F.col("_repeated")).drop("_repeated")
+
+
+def invalid_and_duplicate_rows(df: DataFrame, key: str = "id", strict: bool = False) -> DataFrame:
+    """``invalid_rows`` and ``duplicate_rows`` in one pass: each row once for each reason.
+
+    The repeated keys are flagged by one left outer join; a row for which both reasons hold
+    comes twice.
+    """
+    rows = df.select(*UNIFIED_COLUMNS)
+    keys = duplicate_keys(rows, key).select(F.col(key).alias("_repeated"))
+    reasons = f"array_compact(array(CASE WHEN {invalid_sql(strict)} THEN 1 END, CASE WHEN _repeated IS NOT NULL THEN 2 END))"
+    flagged = rows.join(keys, F.col(key) == F.col("_repeated"), "left")
+    return flagged.withColumn("_reason", F.explode(F.expr(reasons))).select(*UNIFIED_COLUMNS)
 
 
 def null_counts(df: DataFrame, columns=CRITICAL_COLUMNS) -> DataFrame:
@@ -201,7 +215,8 @@ def validate_ingest(
     repeated-key join is left out of the plan.
     """
     valid = valid_rows(df)
-    invalid = invalid_rows(df, strict)
     if summary is None or summary["dup_keys"] > 0:
-        invalid = invalid.unionByName(duplicate_rows(df.select(*UNIFIED_COLUMNS), key))
+        invalid = invalid_and_duplicate_rows(df, key, strict)
+    else:
+        invalid = invalid_rows(df, strict)
     return stamp_run_date(valid, run_date), stamp_run_date(invalid, run_date)

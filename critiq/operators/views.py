@@ -3,15 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from critiq.functions.casts import legacy_int_sql
 from critiq.functions.dates import parse_review_ts_sql
-from critiq.functions.sql import ident
-
-# Repeated row hashes that may be broadcast: 8 bytes each, 8 MB at most.
-MAX_BROADCAST_HASHES = 1_000_000
-
 
 def history_projection(valid: DataFrame) -> DataFrame:
     """title, snippet, app_source, app upper-cased; rating as int; iso_date as a
@@ -27,40 +21,7 @@ def history_projection(valid: DataFrame) -> DataFrame:
     )
 
 
-def distinct_by_hash(df: DataFrame, max_broadcast: int = MAX_BROADCAST_HASHES) -> DataFrame:
-    """Exact ``distinct`` that shuffles 8-byte row hashes instead of whole rows.
-
-    Equal rows have equal hashes, so a row whose hash occurs once is distinct
-    already and needs no shuffle; only rows whose hash repeats (true copies or
-    hash collisions) go through an exact ``distinct``. The set of repeated
-    hashes is computed first (a partial-aggregated shuffle of hashes only),
-    written to the shared checkpoint folder and counted: it is broadcast only
-    when it holds at most ``max_broadcast`` hashes; above that the plain
-    ``distinct`` runs instead. Evaluates that hash set eagerly.
-    """
-    cols = ", ".join(ident(c) for c in df.columns)
-    hashed = df.selectExpr("*", f"xxhash64({cols}) AS _h")
-    repeated = (
-        hashed.groupBy("_h").agg(F.expr("count(1) AS n")).where("n > 1").select("_h").checkpoint(eager=True)
-    )
-    if repeated.count() > max_broadcast:
-        return df.distinct()
-    small = F.broadcast(repeated)
-    once = hashed.join(small, "_h", "left_anti").drop("_h")
-    copies = hashed.join(small, "_h", "left_semi").drop("_h").distinct()
-    return once.unionByName(copies)
-
-
-def history_view(valid: DataFrame, method: str = "shuffle") -> DataFrame:
-    """Distinct rows of the history projection.
-
-    ``shuffle``: one hash aggregate over all columns (partial aggregation
-    before the shuffle). ``hashed``: ``distinct_by_hash``, which avoids
-    shuffling whole rows when few of them repeat (large inputs).
-    """
-    proj = history_projection(valid)
-    if method == "shuffle":
-        return proj.distinct()
-    if method == "hashed":
-        return distinct_by_hash(proj)
-    raise ValueError(f"unknown method {method!r}")
+def history_view(valid: DataFrame) -> DataFrame:
+    """Distinct rows of the history projection: one hash aggregate over all columns, with
+    partial aggregation before the shuffle, so repeated rows collapse in their map task."""
+    return history_projection(valid).distinct()

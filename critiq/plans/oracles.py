@@ -10,16 +10,18 @@ negator", which is equivalent.
 
 from __future__ import annotations
 
-from critiq.functions.text import Lexicon
+from critiq.functions.text import DEFAULT_LEXICON, Lexicon
 from critiq.sources.testbed import DATA_LEXICON
 
 # -- feeds (FIXTURES.md section 2) -------------------------------------------
 FEEDS = """
 feed_a AS (
   select case when d.doc_id % 211 = 7 then null else cast(d.doc_id as varchar) end as id,
-         d.source || '_pf' as app, d.lang as segmento,
+         case when d.doc_id % 59 = 8 then null else d.source || '_pf' end as app,
+         case when d.doc_id % 43 = 9 then null else d.lang end as segmento,
          cast(1 + 3*l.quality + l.toxic as double) as rating,
-         '2024-' || lpad(cast(1 + d.doc_id % 6 as varchar), 2, '0') || '-15T08:00:00Z' as iso_date,
+         case when d.doc_id % 37 = 4 then null when d.doc_id % 41 = 6 then 'unknown date'
+              else '2024-' || lpad(cast(1 + d.doc_id % 6 as varchar), 2, '0') || '-15T08:00:00Z' end as iso_date,
          'reader ' || cast(d.doc_id % 97 as varchar) as title,
          case when d.doc_id % 53 = 5 then null else d.text end as snippet
   from documents d left join labels l on d.doc_id = l.doc_id
@@ -31,21 +33,22 @@ feed_b AS (
          case when conv_id % 17 = 3 then 'n/a' else cast(1 + turn % 5 as varchar) || '.0' end as rating,
          '2024-' || lpad(cast(1 + conv_id % 6 as varchar), 2, '0') || '-03T10:20:30.123456' as "timestamp",
          text as comment
-  from conversations where role = 'user'
+  from conversations
 ),
 feed_c AS (
   select cast(event_id + 500 as varchar) as id,
-         'src' || cast(user_id % 20 as varchar) as app, event_type as segmento,
-         cast(1 + cast(floor(value) as bigint) % 5 as varchar) as im_rating,
-         replace(substr(cast(ts as varchar), 1, 19), ' ', 'T') || '-0700' as updated,
-         event_type as title, props as content
-  from events
+         if(copy, 'src7', 'src' || cast(user_id % 20 as varchar)) as app, if(copy, 'view', event_type) as segmento,
+         if(copy, '4', cast(1 + cast(floor(value) as bigint) % 5 as varchar)) as im_rating,
+         if(copy, '2024-03-01T09:00:00' || if(event_id % 2 = 0, 'Z', '+00:00'),
+            replace(substr(cast(ts as varchar), 1, 19), ' ', 'T') || '-0700') as updated,
+         if(copy, 'again', event_type) as title, if(copy, 'the very same review', props) as content
+  from (select *, event_id % 23 = 5 as copy from events)
 )"""
 
 LOAD_DATE = {
-    "a": "replace(substr(iso_date, 1, 10), '-', '')",
-    "b": "replace(substr(\"timestamp\", 1, 10), '-', '')",
-    "c": "replace(substr(updated, 1, 10), '-', '')",
+    "a": "case when iso_date like '2024%' then replace(substr(iso_date, 1, 10), '-', '') else '19700101' end",
+    "b": "case when \"timestamp\" like '2024%' then replace(substr(\"timestamp\", 1, 10), '-', '') else '19700101' end",
+    "c": "case when updated like '2024%' then replace(substr(updated, 1, 10), '-', '') else '19700101' end",
 }
 
 # -- unified rows ---------------------------------------------------------------
@@ -106,7 +109,7 @@ LINE_BREAKS = r"[\n\r\x{85}\x{2028}\x{2029}]"
 def legacy_int(x: str) -> str:
     """Legacy string-to-int cast: trim ASCII blanks/controls, truncate a
     fraction, NULL for anything else."""
-    t = rf"regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
+    t = rf"regexp_replace({x}, '^[\x00-\x20\x7f]+|[\x00-\x20\x7f]+$', '', 'g')"
     return (
         f"(case when regexp_matches({t}, '^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*)$') then "
         f"coalesce(try_cast(nullif(regexp_extract({t}, '^([+-]?[0-9]*)', 1), '') as integer), "
@@ -203,8 +206,10 @@ summary AS (
          cast(sum(bad_rating) as bigint) as bad_rating,
          cast(sum(n_valid) as bigint) as n_valid,
          cast(sum(n_invalid_base) as bigint) as n_invalid_base,
-         cast(sum(n_invalid_base) + coalesce(sum(case when n > 1 and id is not null then n end), 0) as bigint)
-           as n_invalid
+         (select count(*) from (
+            select 1 from {{source}} where {INVALID_WHERE}
+            union all
+            select 1 from {{source}} where id in (select id from {{source}} group by id having count(*) > 1))) as n_invalid
   from per_key
 )"""
 
@@ -241,6 +246,12 @@ select case when count(*) = 0 then 'NA'
             else upper(string_agg(s, ',' order by s)) end as type_client
 from (select distinct coalesce(segmento, 'UNKNOWN') as s from valid)"""
 
+# The prose of the test tables has no word of the default lexicon: common words of it are
+# read as the lexicon's, the same in the query.
+DEFAULT_TEXT = """
+select id, replace(replace(replace(coalesce(snippet, title), ' that ', ' ÓTIMO '), ' with ', ' não '),
+                   ' this ', ' ruim ') as x from valid"""
+
 GOLD_COLS = "app_name, channel, period, segment, avg_rating, n_reviews, n_positive, n_negative"
 UNIFIED_COLS = "id, app, segmento, rating, iso_date, title, snippet, app_source"
 
@@ -302,7 +313,7 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
     q["scan_feeds"] = with_(FEEDS) + _feed_scan_union(lambda f, k: "app, segmento")
-    q["scan_with_schema"] = with_(FEEDS) + "select id, app, segmento, rating, iso_date, title, snippet from feed_a"
+    q["scan_with_schema"] = with_(FEEDS) + "select id, coalesce(app, 'none') as app, segmento, rating, iso_date, title, snippet from feed_a"
     q["scan_provenance"] = with_(FEEDS) + _feed_scan_union(
         lambda f, k: f"'{f}/odate=' || {LOAD_DATE[k]} as source_file"
     )
@@ -326,14 +337,19 @@ union all select 'apple_store', (select count(*) from feed_c)"""
     q["invalid_rows"] = dedup + f"select * from deduped where {INVALID_WHERE}"
     q["stamp_run_date"] = valid + f"select *, '{RUN_DATE}' as odate from valid"
     q["consolidate"] = valid + _consolidated("valid")
-    q["consolidate_date_fallback"] = valid + _consolidated(
-        f"(select *, '{RUN_DATE}' as odate from valid)", date="coalesce(iso_date, odate)"
+    q["consolidate_date_fallback"] = dedup + _consolidated(
+        f"(select *, '{RUN_DATE}' as odate from deduped)", date="coalesce(iso_date, odate)"
     )
     q["period_filter"] = valid + "select * from (" + _consolidated("valid") + ") where regexp_matches(period, '^\\d{4}-\\d{2}$')"
     q["lexicon_flags"] = valid + (
         f"select id, {lexicon_match('coalesce(snippet, title)', lex.positive, lex.negators)} as is_positive, "
         f"{lexicon_match('coalesce(snippet, title)', lex.negative, lex.negators)} as is_negative from valid"
     )
+    default = DEFAULT_LEXICON
+    q["lexicon_flags_default"] = valid + ", said as (" + DEFAULT_TEXT + ")" + (
+        f"select id, {lexicon_match('x', default.positive, default.negators)} as is_positive, "
+        f"{lexicon_match('x', default.negative, default.negators)} as is_negative from said"
+    )
     q["gold_rollup"] = gold + "select * from gold"
     q["gold_rollup_spread"] = valid + _gold_body(
         lex,
@@ -364,11 +380,10 @@ union all select 'apple_store', (select count(*) from feed_c)"""
     )
 
     q["history_view"] = valid + f"""
-select title, snippet, app_source, app, segmento, rating, {epoch_us("iso_text")} as iso_date_us
-from (select distinct {java_upper("title")} as title, {java_upper("snippet")} as snippet,
-             upper(app_source) as app_source, {java_upper("app")} as app, segmento,
-             {legacy_int("rating")} as rating, iso_date as iso_text
-      from valid)"""
+select distinct {java_upper("title")} as title, {java_upper("snippet")} as snippet,
+       upper(app_source) as app_source, {java_upper("app")} as app, segmento,
+       {legacy_int("rating")} as rating, {epoch_us("iso_date")} as iso_date_us
+from valid"""
     q["segment_list"] = valid + TYPE_CLIENT
     q["row_to_json"] = gold + _row_to_json()
 
@@ -403,7 +418,6 @@ select '2024-05-01T06:03:30' as "timestamp", 'gold' as layer, 'reviews' as proje
     q["pipeline_gold"] = gold + f"select *, '{RUN_DATE}' as odate from gold"
     q["sink_report_roundtrip"] = f"select * from ({RUN_REPORT}) union all select * from ({RUN_REPORT})"
     q["sink_history_roundtrip"] = q["history_view"]
-    q["history_view_hashed"] = q["history_view"]
     q["pipeline_report"] = q["run_report"]
     q["pipeline_invalid"] = q["sink_invalid_roundtrip"]
     q["pipeline_history"] = q["history_view"]

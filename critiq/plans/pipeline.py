@@ -3,14 +3,15 @@
 Spark jobs per run (the original job triggered 24 actions, each re-reading
 every feed):
 
+0. row count of each feed (its files' footers); an all-empty input stops the run here;
 1. union + dedup, written once as a Parquet stage table in the shared
    folder (``spark.checkpoint.dir``). While it is written, ``observe``
-   gathers every quality count and the segment list from the deduplicated
+   gathers every quality count from the deduplicated
    rows: the metrics sit after the shuffle, in the write's result stage,
    whose accumulator updates Spark applies once per partition, so they stay
    exact when tasks are retried. The stage table cuts the lineage, survives
    lost executors, and later jobs read only the columns they need from it;
-   it is removed when the run ends. An all-empty input stops the run here;
+   it is removed when the run ends. The distinct segments come from it by a grouped aggregate;
 2. gold rollup -> Parquet, then 3. gold documents (read back from the gold
    Parquet, not recomputed);  4. invalid rows -> Parquet;  5. history view
    documents. These three branches only read the stage table, so they are
@@ -48,10 +49,10 @@ from critiq.operators.quality import (
 )
 from critiq.operators.rollup import consolidate, display_order, gold_rollup, preview, with_original_names
 from critiq.operators.views import history_view
-from critiq.plans.report import RunInfo, failure_report, run_report, segment_of_sql, type_client_sql
+from critiq.plans.report import RunInfo, failure_report, run_report, segment_list
 from critiq.schema import ORIGINAL_GOLD_NAMES, UNIFIED_SCHEMA
-from critiq.session import input_bytes, remove_path, scratch_path, shuffle_partitions_for
-from critiq.sources.feeds import DEFAULT_FEEDS, EmptyFeedsError, FeedSpec, read_feed
+from critiq.session import remove_path, scratch_path
+from critiq.sources.feeds import DEFAULT_FEEDS, FeedSpec, feed_row_counts, read_feed, require_rows
 from critiq.sources.sinks import append_report, read_partitioned_parquet, write_documents, write_partitioned_parquet
 
 log = logging.getLogger(__name__)
@@ -131,25 +132,18 @@ class PipelineConfig:
     # False keeps the original split (a row whose only NULL is the snippet is
     # in neither output); True sends such rows to the invalid output.
     strict_validity: bool = False
-    # Input bytes per shuffle partition for the run's full shuffles (dedup,
-    # history view). The session's spark.sql.shuffle.partitions is raised to
-    # input / this for the run (never lowered) and restored after it; None
-    # leaves the session setting alone.
-    input_bytes_per_partition: int | None = 1 << 30
     # Publish gold (Parquet and documents) under the original job's column
     # names, for consumers of its output.
     original_gold_names: bool = False
     # Publish gold, invalid rows and history documents from parallel driver
     # threads (independent jobs over the stage table).
     parallel_outputs: bool = True
-    # Stage tables at least this large build the history view with
-    # ``distinct_by_hash`` (shuffles row hashes, not rows); None never does.
-    hashed_history_min_bytes: int | None = 1 << 40
 
 
 @dataclass
 class PipelineResult:
-    rows_by_source: dict[str, int]
+    rows_by_source: dict[str, int]  # of each feed as read
+    kept_by_source: dict[str, int]  # after dedup
     summary: Row
     verdicts: list[Row]
     type_client: str
@@ -210,40 +204,31 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
     schemas = {name: df.schema.simpleString() for name, df in feeds.items()}
     n_preview = cfg.preview_rows
     stage = None
-    restore_partitions = None
     try:
         unified = harmonize_all(feeds, cfg.feeds)
-        if cfg.input_bytes_per_partition:
-            current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            wanted = shuffle_partitions_for(unified, cfg.input_bytes_per_partition, current)
-            if wanted > current:
-                restore_partitions = str(current)
-                spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-                log.info("shuffle partitions raised to %d for this run", wanted)
         if n_preview > 0:
             with _step(sec, "preview_feeds"):
                 shown.update({name: df.limit(n_preview).collect() for name, df in feeds.items()})
         names = [s.name for s in cfg.feeds]
+        with _step(sec, "feed_counts"):
+            by_source = require_rows(feed_row_counts({x: feeds[x] for x in names}))
         with _step(sec, "dedup_stage"):
             metrics = Observation("quality")
             stage = scratch_path(spark, f"stage-{cfg.run_date}")
             dedup_by_key(unified, priority=names).observe(
                 metrics,
                 *summary_aggregates(cfg.strict_validity),
-                F.expr(f"{type_client_sql(f'CASE WHEN {VALID_SQL} THEN {segment_of_sql()} END')} AS type_client"),
                 *[F.expr(f"count_if(app_source = {string_literal(x)}) AS `source:{x}`") for x in names],
             ).write.mode("overwrite").options(**STAGE_WRITE_OPTIONS).parquet(stage)
             observed = metrics.get
             deduped = spark.read.schema(UNIFIED_SCHEMA).parquet(stage)
         summary = summary_of_unique_keys(observed)
-        by_source = {x: int(observed[f"source:{x}"]) for x in names}
-        if summary["total_records"] == 0:
-            volumes = ", ".join(f"{k}: {v}" for k, v in by_source.items())
-            raise EmptyFeedsError(f"no data loaded to unify: every feed is empty ({volumes})")
+        kept = {x: int(observed[f"source:{x}"]) for x in names}
         schemas["deduplicated"] = deduped.schema.simpleString()
         if n_preview > 0:
             shown["deduplicated"] = deduped.limit(n_preview).collect()
-        type_client = observed["type_client"]
+        with _step(sec, "segments"):
+            type_client = segment_list(deduped.where(VALID_SQL)).collect()[0]["type_client"]
         verdict_rows = verdicts(summary_frame(spark, summary)).collect()
         log.info("validation of %d records", summary["total_records"])
         for v in verdict_rows:
@@ -281,11 +266,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
 
         def publish_history() -> bool:
             with _step(sec, "history_documents"):
-                big = (
-                    cfg.hashed_history_min_bytes is not None
-                    and input_bytes(deduped) >= cfg.hashed_history_min_bytes
-                )
-                history = history_view(valid, method="hashed" if big and summary["n_valid"] > 0 else "shuffle")
+                history = history_view(valid)
                 return write_documents(history, t.history_documents, empty=summary["n_valid"] == 0)
 
         # The three outputs only read the stage table: their jobs run side by
@@ -298,9 +279,10 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
         with _step(sec, "report"):
             done = replace(run, end=run.end or datetime.now(), timestamp=run.timestamp or datetime.now())
             report = run_report(spark, summary, verdict_rows, type_client, done, steps=dict(sec))
-            append_report(report, t.report)
+            append_report(report, t.report, "success")
         return PipelineResult(
             rows_by_source=by_source,
+            kept_by_source=kept,
             summary=summary,
             verdicts=verdict_rows,
             type_client=type_client,
@@ -314,12 +296,10 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
     except Exception as exc:
         log.error("gold job failed: %s", exc)
         try:
-            append_report(failure_report(spark, exc, cfg.run, df=None), cfg.targets.failures)
+            append_report(failure_report(spark, exc, cfg.run, df=None), cfg.targets.failures, "failure")
         except Exception as report_exc:  # noqa: BLE001 - keep the original error
             log.error("failure report not written: %s", report_exc)
         raise
     finally:
         if stage is not None:
             remove_path(spark, stage)
-        if restore_partitions is not None:
-            spark.conf.set("spark.sql.shuffle.partitions", restore_partitions)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from critiq.functions.casts import legacy_int, lenient_double
+from critiq.functions.text import DEFAULT_LEXICON
 from critiq.operators.dedup import dedup_by_key
 from critiq.operators.harmonize import harmonize, harmonize_all
 from critiq.operators.quality import (
@@ -35,11 +36,12 @@ from critiq.operators.views import history_projection, history_view
 from critiq.plans.pipeline import PipelineConfig, Targets, run_pipeline
 from critiq.plans.report import REPORT_SCHEMA, RunInfo, failure_report, rows_to_json, run_report, segment_list
 from critiq.schema import UNIFIED_COLUMNS
-from critiq.session import scratch_path
+from critiq.session import rename_children, scratch_path
 from critiq.sources.feeds import (
     DEFAULT_FEEDS,
     INTERNAL_DB,
     STORE_A,
+    STORE_A_APP_FROM_PATH,
     STORE_B,
     feed_row_counts,
     read_feed,
@@ -54,7 +56,7 @@ from critiq.sources.sinks import (
     write_documents,
     write_partitioned_parquet,
 )
-from critiq.sources.testbed import DATA_LEXICON, derived_feeds, load_date_of, plan_key, write_landing_zone
+from critiq.sources.testbed import DATA_LEXICON, derived_feeds, load_date_of, write_landing_zone
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,24 +101,12 @@ STORE_A_SCHEMA = T.StructType(
 
 
 # -- shared inputs --------------------------------------------------------------
-_plans: dict[tuple, DataFrame] = {}
-
-
-def _reused(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Lazy plans over the read-only test tables, built once per application,
-    session and analysis settings (each query still reads the tables)."""
-    key = (*plan_key(spark, sf_dir), name)
-    if key not in _plans:
-        _plans[key] = build()
-    return _plans[key]
-
-
 def unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _reused(spark, sf_dir, "unified", lambda: harmonize_all(derived_feeds(spark, sf_dir)))
+    return harmonize_all(derived_feeds(spark, sf_dir))
 
 
 def deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _reused(spark, sf_dir, "deduped", lambda: dedup_by_key(unified(spark, sf_dir)))
+    return dedup_by_key(unified(spark, sf_dir))
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,15 +117,9 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_rollup(consolidate(valid(spark, sf_dir)), DATA_LEXICON)
 
 
-_landing: dict[tuple[str, str], dict[str, str]] = {}
-
-
 def landing_zone(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Feeds laid out on disk once per application and scale."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landing:
-        _landing[key] = write_landing_zone(spark, sf_dir, scratch_path(spark, "landing"))
-    return _landing[key]
+    """The feeds laid out on disk."""
+    return write_landing_zone(spark, sf_dir, scratch_path(spark, "landing"))
 
 
 # -- sources ----------------------------------------------------------------------
@@ -152,15 +136,12 @@ def q_scan_feeds(spark, sf_dir):
 
 
 def q_scan_with_schema(spark, sf_dir):
-    root = scratch_path(spark, "by_app")
-    feed = derived_feeds(spark, sf_dir)[STORE_A.name]
-    (
-        feed.withColumn("odate", load_date_of(STORE_A.name))
-        .write.mode("overwrite")
-        .partitionBy("app", "odate")
-        .parquet(root)
-    )
-    df = read_feed_with_schema(spark, STORE_A_SCHEMA, root, app_from_path=r"/app=([^/]*)/odate=")
+    """Store A under ``googlePlay/<app>/odate=YYYYMMDD``: the app is in the path, but no partition column."""
+    root = scratch_path(spark, "by_app") + "/googlePlay"
+    feed = derived_feeds(spark, sf_dir)[STORE_A.name].withColumn("folder", F.coalesce("app", F.lit("none"))).drop("app")
+    feed.withColumn("odate", load_date_of(STORE_A.name)).write.partitionBy("folder", "odate").parquet(root)
+    rename_children(spark, root, "folder=", "")
+    df = read_feed_with_schema(spark, STORE_A_SCHEMA, root, app_from_path=STORE_A_APP_FROM_PATH, recursive=True)
     return df.select("id", "app", "segmento", "rating", "iso_date", "title", "snippet")
 
 
@@ -226,8 +207,8 @@ def q_stamp_run_date(spark, sf_dir):
 
 # -- rollup -------------------------------------------------------------------------
 def q_consolidate_date_fallback(spark, sf_dir):
-    v = stamp_run_date(valid(spark, sf_dir), RUN_DATE)
-    return consolidate(v, date_fallback="odate")
+    """Over all deduplicated rows: those without a date get the load date's."""
+    return consolidate(stamp_run_date(deduped(spark, sf_dir), RUN_DATE), date_fallback="odate")
 
 
 def q_lexicon_flags(spark, sf_dir):
@@ -235,6 +216,15 @@ def q_lexicon_flags(spark, sf_dir):
     return lexicon_flags(v, "comment", DATA_LEXICON).select("id", "is_positive", "is_negative")
 
 
+def q_lexicon_flags_default(spark, sf_dir):
+    """The default lexicon. Common words of the test prose are read as words of it."""
+    said = "coalesce(snippet, title)"
+    for word, other in ((" that ", " ÓTIMO "), (" with ", " não "), (" this ", " ruim ")):
+        said = f"replace({said}, '{word}', '{other}')"
+    v = valid(spark, sf_dir).selectExpr("id", f"{said} AS comment")
+    return lexicon_flags(v, "comment", DEFAULT_LEXICON).select("id", "is_positive", "is_negative")
+
+
 def q_gold_rollup_spread(spark, sf_dir):
     v = stamp_run_date(valid(spark, sf_dir), RUN_DATE)
     c = filter_period(consolidate(v, date_fallback="odate"))
@@ -246,10 +236,6 @@ def q_history_view(spark, sf_dir):
     return _history_out(history_view(valid(spark, sf_dir)))
 
 
-def q_history_view_hashed(spark, sf_dir):
-    return _history_out(history_view(valid(spark, sf_dir), method="hashed"))
-
-
 def history_view_rows(spark, sf_dir) -> int:
     return history_view(valid(spark, sf_dir)).count()
 
@@ -409,6 +395,7 @@ def queries() -> dict[str, Query]:
         "consolidate_date_fallback": q_consolidate_date_fallback,
         "period_filter": lambda s, d: filter_period(consolidate(valid(s, d))),
         "lexicon_flags": q_lexicon_flags,
+        "lexicon_flags_default": q_lexicon_flags_default,
         "gold_rollup": gold,
         "gold_rollup_spread": q_gold_rollup_spread,
         "preview_gold": lambda s, d: preview(gold(s, d), 20),
@@ -420,7 +407,6 @@ def queries() -> dict[str, Query]:
         "quality_verdicts": lambda s, d: verdicts(quality_summary(unified(s, d))),
         "invalid_rows_with_dups": q_invalid_rows_with_dups,
         "history_view": q_history_view,
-        "history_view_hashed": q_history_view_hashed,
         "segment_list": lambda s, d: segment_list(valid(s, d)),
         "row_to_json": lambda s, d: rows_to_json(gold(s, d)),
         "run_report": q_run_report,

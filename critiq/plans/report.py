@@ -39,8 +39,7 @@ class RunInfo:
 
 def type_client_sql(segments: str) -> str:
     """SQL aggregate: the distinct non-NULL values of ``segments``, sorted,
-    comma-joined and upper-cased; ``NA`` when there are none. The set held
-    per task is bounded by the number of segments."""
+    comma-joined and upper-cased; ``NA`` when there are none."""
     items = f"array_sort(collect_set({segments}))"
     return f"CASE WHEN size({items}) = 0 THEN '{NO_SEGMENTS}' ELSE upper(array_join({items}, ',')) END"
 
@@ -74,6 +73,7 @@ _CHECK_TYPE = T.StructType(
     ]
 )
 
+# Field names and nesting of the run report, as its consumers read them.
 REPORT_SCHEMA = T.StructType(
     [
         T.StructField("application_id", T.StringType()),
@@ -132,10 +132,6 @@ def one_row(spark: SparkSession, values, schema: T.StructType) -> DataFrame:
     )
 
 
-def _pct(part: int, whole: int) -> float:
-    return part / whole * 100 if whole > 0 else 0.0
-
-
 def run_report(
     spark: SparkSession,
     summary: Row,
@@ -144,40 +140,67 @@ def run_report(
     run: RunInfo,
     steps: dict[str, float] | None = None,
 ) -> DataFrame:
-    """The one-row run report.
+    """The one-row run report, put together in SQL.
 
     ``summary`` is the collected ``quality_summary`` row, ``verdict_rows`` the
-    collected ``verdicts``. Total = valid + invalid, as in the original job
-    (rows that are in neither set do not count). ``steps`` are the wall
-    seconds of the run's steps, if measured.
+    collected ``verdicts``; both must be complete. Total = valid + invalid: rows that are
+    in neither set do not count. ``steps`` are the wall seconds of the run's steps, if measured.
     """
-    n_valid, n_invalid = int(summary["n_valid"]), int(summary["n_invalid"])
-    total = n_valid + n_invalid
-    end = run.end or datetime.now()
-    stamp = run.timestamp or datetime.now()
-    minutes = (end - run.start).total_seconds() / 60
-    by_check = {r["check"]: r for r in verdict_rows}
-    checks = tuple((by_check[c]["message"], bool(by_check[c]["status"]), int(by_check[c]["code"])) for c in CHECKS)
-    passed = sum(1 for c in checks if c[1])
-    row = (
-        run.application_id,
-        (run.team, run.project, run.layer),
-        (n_valid, _pct(n_valid, total)),
-        (n_invalid, _pct(n_invalid, total)),
-        total,
-        f"{minutes:.2f} min",
-        checks,
-        passed,
-        len(checks) - passed,
-        type_client,
-        (run.job, run.search),
-        (run.start.strftime("%Y-%m-%d %H:%M:%S"), end.strftime("%Y-%m-%d %H:%M:%S")),
-        stamp.strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z",
-        dict(steps) if steps is not None else None,
+    missing = [k for k in ("n_valid", "n_invalid") if summary[k] is None] + [
+        c for c in CHECKS if c not in {r["check"] for r in verdict_rows}
+    ]
+    if missing:
+        raise ValueError(f"incomplete run metrics: {', '.join(missing)}")
+    end, stamp = run.end or datetime.now(), run.timestamp or datetime.now()
+    facts = T.StructType(
+        [
+            T.StructField("run", T.StructType([T.StructField(k, T.StringType()) for k in ("id", "team", "project", "layer", "job", "search", "t0", "t1", "stamp")])),
+            T.StructField("n_ok", T.LongType()),
+            T.StructField("n_bad", T.LongType()),
+            T.StructField("minutes", T.DoubleType()),
+            T.StructField("checks", T.MapType(T.StringType(), _CHECK_TYPE)),
+            T.StructField("segments", T.StringType()),
+            T.StructField("steps", T.MapType(T.StringType(), T.DoubleType())),
+        ]
     )
-    return one_row(spark, row, REPORT_SCHEMA)
-
-
+    values = {
+        "run": (
+            run.application_id, run.team, run.project, run.layer, run.job, run.search,
+            run.start.isoformat(" ", "seconds"), end.isoformat(" ", "seconds"), stamp.isoformat(timespec="milliseconds") + "Z",
+        ),
+        "n_ok": int(summary["n_valid"]),
+        "n_bad": int(summary["n_invalid"]),
+        "minutes": (end - run.start).total_seconds() / 60,
+        "checks": {r["check"]: (r["message"], bool(r["status"]), int(r["code"])) for r in verdict_rows},
+        "segments": type_client,
+        "steps": dict(steps) if steps is not None else None,
+    }
+
+    def share(part: str) -> str:
+        return f"coalesce(try_divide(CAST({part} AS DOUBLE), CAST(n_ok + n_bad AS DOUBLE)), 0D) * 100"
+
+    checks = ", ".join(f"'{c}', checks['{c}']" for c in CHECKS)
+    passed = "size(filter(map_values(checks), c -> c.status))"
+    columns = {
+        "application_id": "run.id",
+        "owner": "named_struct('team', run.team, 'project', run.project, 'layer', run.layer)",
+        "valid_data": f"named_struct('count', n_ok, 'percentage', {share('n_ok')})",
+        "invalid_data": f"named_struct('count', n_bad, 'percentage', {share('n_bad')})",
+        "total_records": "n_ok + n_bad",
+        "total_processing_time": "concat(CAST(CAST(minutes AS DECIMAL(18, 2)) AS STRING), ' min')",
+        "validation_results": f"named_struct({checks})",
+        "success_count": passed,
+        "error_count": f"size(checks) - {passed}",
+        "type_client": "segments",
+        "source": "named_struct('app', run.job, 'search', run.search)",
+        "run_ts": "named_struct('start_ts', run.t0, 'end_ts', run.t1)",
+        "timestamp": "run.stamp",
+        "steps": "steps",
+    }
+    return one_row(spark, values, facts).selectExpr(*[f"{columns[f.name]} AS {ident(f.name)}" for f in REPORT_SCHEMA])
+
+
+# Field names of the failure document.
 FAILURE_SCHEMA = T.StructType(
     [
         T.StructField("timestamp", T.StringType()),
@@ -210,7 +233,9 @@ def failure_report(
 ) -> DataFrame:
     """The one-row failure document: run identity, the client segments of
     ``df`` (``[UNKNOWN_CLIENT]`` without one, or when they cannot be read) and
-    the error text."""
+    the error text. Without an error there is nothing to report: that is refused."""
+    if not str(error or ""):
+        raise ValueError("a failure report needs an error")
     clients = [UNKNOWN_CLIENT]
     if df is not None:
         try:
@@ -227,6 +252,6 @@ def failure_report(
         priority,
         tower,
         clients,
-        str(error) if error else "unknown error",
+        str(error),
     )
     return one_row(spark, row, FAILURE_SCHEMA)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Unified review row: every feed is mapped onto these eight string columns.
+# Fixed values (as the original job names them). Unified review row: every feed is mapped onto these eight string columns.
 UNIFIED_COLUMNS = (
     "id",
     "app",
@@ -18,10 +18,10 @@ UNIFIED_COLUMNS = (
 
 UNIFIED_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in UNIFIED_COLUMNS])
 
-# Columns whose nulls fail the null check; a row is valid only if all are set.
+# Columns whose nulls fail the null check; a row is valid only if all are set.
 CRITICAL_COLUMNS = ("id", "app", "iso_date", "snippet", "app_source")
 
-# The invalid set leaves `snippet` out of its predicate, so a row whose only
+# The invalid set leaves `snippet` out of its predicate, so a row whose only
 # null is the snippet is in neither set (kept for parity, see README).
 INVALID_PREDICATE_COLUMNS = ("id", "app", "iso_date", "app_source")
 

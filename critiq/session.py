@@ -70,9 +70,16 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path under the shared folder."""
-    root = shared_root(spark).rstrip("/")
-    return f"{root}/critiq/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused path under the shared folder.
+
+    Everything under it goes when the application ends.
+    """
+    base = f"{shared_root(spark).rstrip('/')}/critiq"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def input_bytes(df) -> int:
@@ -86,8 +93,12 @@ def input_bytes(df) -> int:
 def shuffle_partitions_for(df, input_bytes_per_partition: int = 1 << 30, current: int = 0) -> int:
     """Shuffle partitions for a full shuffle of ``df``: one per
     ``input_bytes_per_partition`` of input, never fewer than ``current``.
-    Too many is cheap (AQE coalesces small partitions); too few is not (AQE
-    cannot split a window's partitions)."""
+
+    For whoever owns the session to set before a run. A window's partitions cannot be split later,
+    and small ones are coalesced; but map tasks times partitions is the number of shuffle
+    blocks, so at 100 TB raise ``spark.sql.files.maxPartitionBytes`` too, or merge blocks on the
+    push side.
+    """
     return max(current, -(-input_bytes(df) // input_bytes_per_partition))
 
 
@@ -100,19 +111,47 @@ def remove_path(spark: SparkSession, path: str) -> bool:
 
 
 def replace_path(spark: SparkSession, source: str, target: str) -> None:
-    """Make ``source`` (a folder just written) the new ``target``: the old
-    target is deleted and ``source`` renamed onto it."""
+    """Make ``source`` (a folder just written) the new ``target``.
+
+    The old target is renamed aside, ``source`` renamed in, and the old one deleted last. If the
+    second rename fails the old one is renamed back. The two renames are not one step: a
+    reader can find no target between them, and after a crash there the old
+    folder is still beside it, as ``<target>.__old-...``.
+    """
     jvm = spark.sparkContext._jvm
-    src = jvm.org.apache.hadoop.fs.Path(source)
-    dst = jvm.org.apache.hadoop.fs.Path(target)
+    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    old = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.__old-{uuid.uuid4().hex[:12]}")
     fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(dst):
-        fs.delete(dst, True)
+    had = fs.exists(dst)
+    if had and not _renamed(fs, dst, old):
+        raise OSError(f"could not move {target} aside")
     parent = dst.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    if not fs.rename(src, dst):
-        raise OSError(f"could not move {source} to {target}")
+    try:
+        if parent is not None and not fs.exists(parent):
+            fs.mkdirs(parent)
+        if not _renamed(fs, src, dst):
+            raise OSError(f"could not move {source} to {target}")
+    except Exception:
+        if had:
+            fs.rename(old, dst)
+        raise
+    if had:
+        fs.delete(old, True)
+
+
+def _renamed(fs, source, target) -> bool:
+    return bool(fs.rename(source, target))
+
+
+def rename_children(spark: SparkSession, folder: str, prefix: str, new_prefix: str) -> None:
+    """Rename the direct children of ``folder`` that begin with ``prefix``."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for child in fs.listStatus(path):
+        name = child.getPath().getName()
+        if name.startswith(prefix):
+            fs.rename(child.getPath(), jvm.org.apache.hadoop.fs.Path(path, new_prefix + name[len(prefix) :]))
 
 
 def local_path(path: str) -> str:

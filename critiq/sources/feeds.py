@@ -140,14 +140,19 @@ def read_feed_with_schema(
     path: str,
     app_from_path: str | None = None,
     drop: Iterable[str] = ("response",),
+    recursive: bool = False,
 ) -> DataFrame:
     """Scan with a declared schema instead of footer inference.
 
     ``app_from_path`` is a regex whose first group, applied to each row's file
     path, becomes the ``app`` column (``''`` when it does not match). Columns in
-    ``drop`` are removed when present.
+    ``drop`` are removed when present. ``recursive`` reads every file below ``path`` whatever
+    its folders are called (no partition columns).
     """
-    df = spark.read.schema(schema).parquet(path)
+    reader = spark.read.schema(schema)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    df = reader.parquet(path)
     if app_from_path is not None:
         df = df.withColumn("app", F.regexp_extract(F.col("_metadata.file_path"), app_from_path, 1))
     present = [c for c in drop if c in df.columns]
@@ -183,5 +188,5 @@ def require_rows(counts: DataFrame) -> dict[str, int]:
     per_feed = {r["feed"]: int(r["n_rows"]) for r in counts.collect()}
     if all(n == 0 for n in per_feed.values()):
         detail = ", ".join(f"{k}: {v}" for k, v in per_feed.items())
-        raise EmptyFeedsError(f"no data loaded to unify ({detail})")
+        raise EmptyFeedsError(f"no data loaded to unify: every feed is empty ({detail})")
     return per_feed

@@ -93,8 +93,8 @@ def write_documents(df: DataFrame, path: str, empty: bool | None = None) -> bool
     An empty frame leaves the previous documents in place and returns False.
     The new documents are written next to the collection first and swapped
     in only when the write has succeeded, so a failed write leaves the
-    previous documents whole (the swap is a rename, atomic on HDFS-like file
-    systems).
+    previous documents whole. The swap is two renames (``replace_path``); if the second
+    fails, the first is undone.
     """
     if empty is None:
         empty = df.isEmpty()
@@ -113,7 +113,11 @@ def write_documents(df: DataFrame, path: str, empty: bool | None = None) -> bool
     except Exception:
         remove_path(spark, staging)
         raise
-    replace_path(spark, staging, path)
+    try:
+        replace_path(spark, staging, path)
+    except Exception:
+        remove_path(spark, staging)
+        raise
     return True
 
 
@@ -122,6 +126,24 @@ def read_documents(spark, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("timestampFormat", DOCUMENT_TIMESTAMP_FORMAT).json(path)
 
 
-def append_report(df: DataFrame, path: str) -> None:
-    """Append report documents (one row each) to a JSON-lines table."""
+# Columns that a report of each kind must have, and those that must not be null.
+REPORT_COLUMNS = {
+    "success": ("application_id", "valid_data", "invalid_data", "total_records", "validation_results", "timestamp"),
+    "failure": ("timestamp", "job", "error"),
+}
+
+
+def append_report(df: DataFrame, path: str, kind: str = "success") -> None:
+    """Append a report document (one row) to a JSON-lines table.
+
+    Refused: an unknown ``kind``, and a report that lacks one of its kind's columns or has null there.
+    """
+    if kind not in REPORT_COLUMNS:
+        raise ValueError(f"unknown kind of report {kind!r}; known: {', '.join(REPORT_COLUMNS)}")
+    missing = [c for c in REPORT_COLUMNS[kind] if c not in df.columns]
+    if not missing:
+        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in REPORT_COLUMNS[kind]], F.count("*").alias("_rows")).first()
+        missing = [c for c in REPORT_COLUMNS[kind] if nulls[c] or not nulls["_rows"]]
+    if missing:
+        raise ValueError(f"incomplete {kind} report, nothing in: {', '.join(missing)}")
     df.coalesce(1).write.mode("append").option("ignoreNullFields", "false").json(path)

@@ -4,7 +4,7 @@ The original job reads three review feeds; the test tables hold no reviews,
 so each feed is a projection of one of them (FIXTURES.md section 2):
 
 * store feed A   <- ``documents`` left join ``labels``
-* internal feed  <- ``conversations`` (user turns)
+* internal feed  <- ``conversations`` (every turn)
 * store feed B   <- ``events``
 
 Everything is lazy; the work grows with the tables. ``write_landing_zone``
@@ -21,19 +21,8 @@ from critiq.functions.text import Lexicon
 from critiq.sources.feeds import DEFAULT_FEEDS
 
 
-_schemas: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a test table. Its footer schema is inferred once per path and then
-    given to the reader, which skips the inference job on later reads."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    known = _schemas.get(path)
-    if known is not None:
-        return spark.read.schema(known).parquet(path)
-    df = spark.read.parquet(path)
-    _schemas[path] = df.schema
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _month(x: str) -> str:
@@ -46,10 +35,11 @@ def store_feed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return docs.join(labels, "doc_id", "left").selectExpr(
         "CASE WHEN doc_id % 211 = 7 THEN NULL ELSE CAST(doc_id AS STRING) END AS id",
-        "concat(source, '_pf') AS app",
-        "lang AS segmento",
+        "CASE WHEN doc_id % 59 = 8 THEN NULL ELSE concat(source, '_pf') END AS app",
+        "CASE WHEN doc_id % 43 = 9 THEN NULL ELSE lang END AS segmento",
         "CAST(1 + 3 * quality + toxic AS DOUBLE) AS rating",
-        f"concat('2024-', {_month('doc_id')}, '-15T08:00:00Z') AS iso_date",
+        "CASE WHEN doc_id % 37 = 4 THEN NULL WHEN doc_id % 41 = 6 THEN 'unknown date' "
+        f"ELSE concat('2024-', {_month('doc_id')}, '-15T08:00:00Z') END AS iso_date",
         "concat('reader ', CAST(doc_id % 97 AS STRING)) AS title",
         "CASE WHEN doc_id % 53 = 5 THEN NULL ELSE text END AS snippet",
     )
@@ -57,8 +47,7 @@ def store_feed_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def internal_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns: id, app, segmento, rating (text), timestamp (microseconds), comment."""
-    conv = table(spark, sf_dir, "conversations").where("role = 'user'")
-    return conv.selectExpr(
+    return table(spark, sf_dir, "conversations").selectExpr(
         "concat('c', CAST(conv_id AS STRING)) AS id",
         "concat('src', CAST(conv_id % 20 AS STRING), '_pj') AS app",
         "CASE WHEN conv_id % 2 = 0 THEN 'pf' ELSE 'pj' END AS segmento",
@@ -68,48 +57,28 @@ def internal_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Events that become one review under many ids, at one instant written in two ways.
+_COPY = "event_id % 23 = 5"
+
+
 def store_feed_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns: id, app, segmento, im_rating, updated (``-0700`` offset), title, content."""
     return table(spark, sf_dir, "events").selectExpr(
         "CAST(event_id + 500 AS STRING) AS id",
-        "concat('src', CAST(user_id % 20 AS STRING)) AS app",
-        "event_type AS segmento",
-        "CAST(1 + CAST(floor(value) AS BIGINT) % 5 AS STRING) AS im_rating",
-        "concat(replace(substring(CAST(ts AS STRING), 1, 19), ' ', 'T'), '-0700') AS updated",
-        "event_type AS title",
-        "props AS content",
-    )
-
-
-_feeds: dict[tuple, dict[str, DataFrame]] = {}
-
-# Settings that analysis bakes into a plan; a cached plan is reused only
-# under the same values.
-_ANALYSIS_SETTINGS = ("spark.sql.ansi.enabled", "spark.sql.session.timeZone")
-
-
-def plan_key(spark: SparkSession, sf_dir: str) -> tuple:
-    """Identity under which a lazy plan over the test tables can be reused."""
-    return (
-        spark.sparkContext.applicationId,
-        id(spark),
-        sf_dir,
-        *(spark.conf.get(k) for k in _ANALYSIS_SETTINGS),
+        f"CASE WHEN {_COPY} THEN 'src7' ELSE concat('src', CAST(user_id % 20 AS STRING)) END AS app",
+        f"CASE WHEN {_COPY} THEN 'view' ELSE event_type END AS segmento",
+        f"CASE WHEN {_COPY} THEN '4' ELSE CAST(1 + CAST(floor(value) AS BIGINT) % 5 AS STRING) END AS im_rating",
+        f"CASE WHEN {_COPY} THEN concat('2024-03-01T09:00:00', CASE WHEN event_id % 2 = 0 THEN 'Z' ELSE '+00:00' END) "
+        "ELSE concat(replace(substring(CAST(ts AS STRING), 1, 19), ' ', 'T'), '-0700') END AS updated",
+        f"CASE WHEN {_COPY} THEN 'again' ELSE event_type END AS title",
+        f"CASE WHEN {_COPY} THEN 'the very same review' ELSE props END AS content",
     )
 
 
 def derived_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Raw feeds keyed by the name of their ``FeedSpec`` (job order).
-
-    The test tables are read-only, so the (lazy) feed plans are built once
-    per application, session and analysis settings and reused; each query
-    still reads the tables when it runs.
-    """
-    key = plan_key(spark, sf_dir)
-    if key not in _feeds:
-        builders = (store_feed_a, internal_feed, store_feed_b)
-        _feeds[key] = {spec.name: build(spark, sf_dir) for spec, build in zip(DEFAULT_FEEDS, builders)}
-    return dict(_feeds[key])
+    """Raw feeds keyed by the name of their ``FeedSpec`` (job order)."""
+    builders = (store_feed_a, internal_feed, store_feed_b)
+    return {spec.name: build(spark, sf_dir) for spec, build in zip(DEFAULT_FEEDS, builders)}
 
 
 # Column of each raw feed that carries the review date text.
@@ -117,8 +86,9 @@ _DATE_COLUMN = {"google_play": "iso_date", "internal_database_mongodb": "timesta
 
 
 def load_date_of(feed_name: str) -> Column:
-    """The ``YYYYMMDD`` load date used to lay a raw test feed out on disk."""
-    return F.expr(f"replace(substring(`{_DATE_COLUMN[feed_name]}`, 1, 10), '-', '')")
+    """The ``YYYYMMDD`` load date used to lay a raw test feed out on disk; undated rows go to 19700101."""
+    date = f"`{_DATE_COLUMN[feed_name]}`"
+    return F.expr(f"CASE WHEN {date} LIKE '2024%' THEN replace(substring({date}, 1, 10), '-', '') ELSE '19700101' END")
 
 
 def write_landing_zone(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:

@@ -98,23 +98,39 @@ def test_period_and_suffix(spark):
 
 def test_explicit_boundaries_equal_unicode_word_boundary_on_documents(spark):
     """On this JVM (Java 17: Unicode-aware \\b, as the original job ran on) the
-    explicit letter/digit/_ boundaries give the same flag for every document."""
-    from critiq.functions.text import lexicon_pattern
+    cut text and the explicit boundaries give the same flag for every document."""
     from critiq.sources.testbed import DATA_LEXICON, table
 
     lex = DATA_LEXICON
     words, negs = "|".join(lex.positive), "|".join(lex.negators)
     java_b = rf"(?iu)\b({words})\b(?!.*\b({negs})\b)"
-    ours = lexicon_pattern(lex.positive, lex.negators)
     docs = table(spark, "/root/testdata/sf0.01", "documents")
-    got = docs.select(
-        F.count_if(F.col("text").rlike(java_b) != F.col("text").rlike(ours)).alias("diff"),
-        F.count_if(F.col("text").rlike(ours)).alias("hits"),
-    ).collect()[0]
+    flags = docs.select(F.col("text").rlike(java_b).alias("java"), lexicon_flag("text", lex.positive, lex.negators).alias("ours"))
+    got = flags.selectExpr("count_if(java != ours) AS diff", "count_if(ours) AS hits").first()
     assert got["diff"] == 0
     assert got["hits"] > 0
 
 
+def test_stacked_marks_and_long_lines(spark):
+    import time
+
+    lex = DEFAULT_LEXICON
+    texts = ["a" + "\u0301" * k + "bom" for k in range(9)] + ["_" + "\u0301" * k + "bom" for k in range(9)]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    java_b = r"(?iu)\b(ótimo|excelente|bom)\b"
+    rows = df.select(lexicon_flag("x", lex.positive, lex.negators), F.col("x").rlike(java_b)).collect()
+    assert [r[0] for r in rows] == [r[1] for r in rows]
+    for tail in ("não", "sim"):
+        line = "muito bom isso " * 17_000 + tail
+        one = spark.createDataFrame([(line,)], "x string")
+        one.select(lexicon_flag("x", lex.positive, lex.negators)).collect()
+        t0 = time.perf_counter()
+        assert one.select(lexicon_flag("x", lex.positive, lex.negators)).collect()[0][0] == (tail == "sim")
+        assert time.perf_counter() - t0 < 1.5
+    with pytest.raises(ValueError):
+        lexicon_flag("x", ("bom", "Nem"), ("nem",))
+
+
 def test_legacy_int_follows_the_input_type(spark):
     from critiq.functions.casts import legacy_int_of_sql
     from pyspark.sql import types as T
@@ -148,7 +164,6 @@ def test_lexicon_on_random_texts_equals_unicode_word_boundaries_and_the_oracle(s
 
     import duckdb
 
-    from critiq.functions.text import lexicon_pattern
     from critiq.plans.oracles import lexicon_match
 
     rnd = random.Random(3)
@@ -158,7 +173,7 @@ def test_lexicon_on_random_texts_equals_unicode_word_boundaries_and_the_oracle(s
     java_b = r"(?iu)\b(" + "|".join(words) + r")\b(?!.*\b(" + "|".join(negs) + r")\b)"
     df = spark.createDataFrame(list(enumerate(texts)), "i int, x string")
     got = df.select(
-        "i", F.col("x").rlike(lexicon_pattern(words, negs)).alias("ours"), F.col("x").rlike(java_b).alias("java")
+        "i", lexicon_flag("x", words, negs).alias("ours"), F.col("x").rlike(java_b).alias("java")
     ).collect()
     con = duckdb.connect()
     con.execute("create table t(i int, x varchar)")

@@ -29,9 +29,9 @@ def _same(a, b):
 
 def test_text_to_int_on_random_strings(spark):
     rnd = random.Random(20240501)
-    alphabet = "0123456789+-.  \t\nE1e9"
+    alphabet = "0123456789+-.  \t\nE1e9\x7f"
     texts = {"".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 9))) for _ in range(4000)}
-    texts |= {"2147483647", "2147483648", "-2147483648", "-2147483649", "00012", "+.", "-0", "1.", ".9", "\x00 7 \x1f"}
+    texts |= {"2147483647", "2147483648", "-2147483648", "-2147483649", "00012", "+.", "-0", "1.", ".9", "\x00 7 \x1f", "4.0\x7f", "\x7f4.9", "4\x7f"}
     df = spark.createDataFrame([(t,) for t in sorted(texts)], "x string")
     ours, legacy = _both(spark, df, legacy_int_sql("x"), "CAST(x AS INT)")
     diff = {k: (ours[k], legacy[k]) for k in ours if ours[k] != legacy[k]}

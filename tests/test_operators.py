@@ -202,15 +202,14 @@ def test_strict_split_puts_every_row_in_one_set(spark):
     assert quality_summary(df, strict=True).collect()[0]["n_invalid"] == 1
 
 
-def test_distinct_by_hash_is_exact_with_collisions_and_falls_back(spark):
-    from critiq.operators.views import distinct_by_hash
+def test_invalid_and_duplicate_rows_come_once_for_each_reason(spark):
+    from collections import Counter
 
-    # xxhash64 skips NULLs, so ("a", NULL) and (NULL, "a") share a hash: a real collision.
-    df = spark.createDataFrame(
-        [("a", None), (None, "a"), ("a", None), ("b", "c"), ("b", "c"), ("d", "e")], "x string, y string"
-    )
-    expected = sorted(map(tuple, df.distinct().collect()), key=str)
-    assert sorted(map(tuple, distinct_by_hash(df).collect()), key=str) == expected
-    assert sorted(map(tuple, distinct_by_hash(df, max_broadcast=0).collect()), key=str) == expected
-    plan = distinct_by_hash(df)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" in plan
+    from critiq.operators.quality import duplicate_rows, invalid_and_duplicate_rows, invalid_rows
+    from critiq.schema import UNIFIED_COLUMNS
+
+    rows = [("a", "x"), ("a", None), ("b", "x"), ("c", None), (None, "x"), (None, "x"), ("a", "x")]
+    df = spark.createDataFrame([(i, p, "s", "4", "d", "t", "n", "g") for i, p in rows], ", ".join(f"{c} string" for c in UNIFIED_COLUMNS))
+    apart = Counter(map(tuple, invalid_rows(df).collect())) + Counter(map(tuple, duplicate_rows(df).collect()))
+    assert Counter(map(tuple, invalid_and_duplicate_rows(df).collect())) == apart
+    assert sum(apart.values()) == 4 + 3

@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry_module
 from conftest import SF_ORACLE
+from critiq.plans import oracles, queries
 from oracle_compare import compare, duck
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = queries.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +26,10 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, detail
 
 
+def test_entry_has_every_query_and_oracle():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
+
+
 def test_entry_smoke(spark):
     df = entry_module.entry(spark)
     rows = df.collect()

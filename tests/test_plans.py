@@ -2,7 +2,6 @@
 
 import pytest
 
-import __spark_entry__ as entry_module
 from conftest import SF_SMOKE
 from critiq.plans import queries as Q
 
@@ -17,9 +16,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(Q.queries()) - EAGER))
 def test_no_python_and_no_pair_joins(spark, name):
-    plan = plan_of(entry_module.queries()[name](spark, SF_SMOKE))
+    plan = plan_of(Q.queries()[name](spark, SF_SMOKE))
     for node in PYTHON_NODES + PAIR_JOINS:
         assert node not in plan, f"{name}: {node} in plan"
 
@@ -35,9 +34,17 @@ def test_dedup_limits_rows_before_the_shuffle(spark):
 
 def test_scans_are_pruned_and_filtered(spark):
     plan = Q.unified(spark, SF_SMOKE)._jdf.queryExecution().executedPlan().toString()
-    # documents: n_chars is never read; conversations: the role filter reaches the scan
+    # documents: n_chars is never read; conversations: every turn, without its role
     assert "n_chars" not in plan
-    assert "EqualTo(role,user)" in plan
+    assert "role" not in plan
+
+
+def test_repeated_keys_are_flagged_above_the_union(spark):
+    """The wide feeds are read once and the keys once: each table twice at most."""
+    for name in ("duplicate_rows", "invalid_rows_with_dups"):
+        plan = plan_of(Q.queries()[name](spark, SF_SMOKE))
+        for table in ("events", "conversations", "documents"):
+            assert plan.count(f"{table}.parquet") <= 2, (name, table)
 
 
 def test_gold_rollup_aggregates_partially_before_shuffle(spark):

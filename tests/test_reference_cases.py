@@ -15,12 +15,12 @@ from critiq.sources.feeds import read_feed
 def test_each_feed_has_rows(spark):
     paths = write_landing_zone(spark, SF_ORACLE, scratch_path(spark, "t_ref_read"))
     counts = {name: read_feed(spark, path).count() for name, path in paths.items()}
-    assert counts == {"google_play": 1000, "internal_database_mongodb": 279, "apple_store": 10000}
+    assert counts == {"google_play": 1000, "internal_database_mongodb": 536, "apple_store": 10000}
 
 
 def test_union_and_dedup_counts(spark):
     unified = harmonize_all(derived_feeds(spark, SF_ORACLE))
-    assert unified.count() == 11279
+    assert unified.count() == 11536
     assert dedup_by_key(unified).count() == 10598
 
 
@@ -31,18 +31,18 @@ def test_validation_with_a_feed_appended_onto_itself(spark):
     deduped = dedup_by_key(harmonize_all(feeds))
     valid, invalid = validate_ingest(deduped, Q.RUN_DATE)
     assert deduped.count() == 10598  # the copies are gone before validation
-    assert valid.count() == 10579 and invalid.count() == 1
+    assert valid.count() == 10535 and invalid.count() == 45
 
 
 def test_end_to_end_rollup_and_publication(spark):
     gold = gold_rollup(consolidate(Q.valid(spark, SF_ORACLE)), DATA_LEXICON)
     totals = gold.agg(F.count(F.lit(1)), F.sum("n_positive"), F.sum("n_negative")).collect()[0]
-    assert tuple(totals) == (380, 744, 52)
+    assert tuple(totals) == (418, 714, 49)
     cfg = PipelineConfig(
         targets=Targets.under(scratch_path(spark, "t_ref_e2e")), run_date=Q.RUN_DATE, run=Q.RUN, lexicon=DATA_LEXICON
     )
     result = run_pipeline(spark, derived_feeds(spark, SF_ORACLE), cfg)
     assert result.wrote_gold and result.wrote_invalid
     # both document collections were written (the original asserted two document-sink calls)
-    assert spark.read.json(cfg.targets.gold_documents).count() == 380
-    assert spark.read.json(cfg.targets.history_documents).count() == 10579
+    assert spark.read.json(cfg.targets.gold_documents).count() == 418
+    assert spark.read.json(cfg.targets.history_documents).count() == 10123

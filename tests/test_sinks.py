@@ -1,6 +1,7 @@
 """Sinks and scans round trips in fresh folders under the shared root."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from critiq.session import local_path, scratch_path
 from critiq.sources import (
@@ -52,11 +53,22 @@ def test_documents_sink_keeps_old_documents_when_empty(spark):
     assert [r[0] for r in lines] == ['{"x":"a"}']
 
 
-def test_report_appends(spark):
-    path = scratch_path(spark, "t_report")
-    append_report(frame(spark, 1, "r1"), path)
-    append_report(frame(spark, 1, "r2"), path)
-    assert sorted(r["tag"] for r in spark.read.json(path).collect()) == ["r1", "r2"]
+def test_report_appends_and_refuses_incomplete_ones(spark):
+    from critiq.plans.report import RunInfo, failure_report
+
+    path, run = scratch_path(spark, "t_report"), RunInfo(application_id="a")
+    append_report(failure_report(spark, "r1", run), path, "failure")
+    append_report(failure_report(spark, ValueError("r2"), run), path, "failure")
+    assert sorted(r["error"] for r in spark.read.json(path).collect()) == ["r1", "r2"]
+    whole = failure_report(spark, "r3", run)
+    for report, kind in ((whole, "other"), (whole, "success"), (whole.drop("error"), "failure"), (whole.limit(0), "failure"),
+                         (whole.withColumn("error", F.lit(None).cast("string")), "failure")):
+        with pytest.raises(ValueError):
+            append_report(report, path, kind)
+    for error in (None, ""):
+        with pytest.raises(ValueError):
+            failure_report(spark, error, run)
+    assert spark.read.json(path).count() == 2
 
 
 def test_feed_scan_prunes_load_dates_and_reads_provenance(spark):
@@ -131,6 +143,28 @@ def test_failed_document_write_keeps_the_previous_documents(spark):
     assert [r[0] for r in spark.read.text(path).collect()] == ['{"x":"new"}']
 
 
+def test_failed_swap_keeps_the_previous_documents(spark, monkeypatch):
+    import glob
+
+    import critiq.session as session
+
+    path = scratch_path(spark, "t_swap_fail")
+    assert write_documents(spark.createDataFrame([("old",)], "x string"), path)
+    rename, calls = session._renamed, []
+
+    def second_fails(fs, source, target):
+        calls.append(1)
+        return rename(fs, source, target) if len(calls) == 1 else False
+
+    monkeypatch.setattr(session, "_renamed", second_fails)
+    with pytest.raises(OSError):
+        write_documents(spark.createDataFrame([("new",)], "x string"), path)
+    monkeypatch.undo()
+    assert len(calls) == 2
+    assert [r[0] for r in spark.read.text(path).collect()] == ['{"x":"old"}']
+    assert glob.glob(session.local_path(path) + ".__*") == []
+
+
 def test_failed_parquet_write_keeps_the_previous_day(spark):
     path = scratch_path(spark, "t_parquet_fail")
     assert write_partitioned_parquet(frame(spark, 3, "old"), path, "20240101")

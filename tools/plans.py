@@ -20,11 +20,10 @@ from critiq.sources.feeds import read_feed  # noqa: E402
 
 NOTES = {
     "dedup_by_key": "Partial WindowGroupLimit before the exchange: at most one row per key and map task crosses the shuffle.",
-    "gold_rollup": "Partial HashAggregate before the exchange on the four keys; scans read only the needed columns, the role filter is pushed into the conversations scan.",
+    "gold_rollup": "Partial HashAggregate before the exchange on the four keys; scans read only the needed columns.",
     "quality_summary (un-deduplicated input)": "Per-key partial aggregation before the shuffle on id, then one global aggregation.",
-    "duplicate_rows": "Left semi joins; null ids are filtered before the shuffle (isnotnull in the scans); the repeated-key aggregation is one exchange that AQE reuses.",
+    "duplicate_rows": "One inner join above the union: the feeds are read once for their keys and once for their rows.",
     "history_view": "Distinct as a partial + final HashAggregate over all columns.",
-    "history_view (hashed, large inputs)": "Row hashes only are aggregated (earlier job); the repeated-hash set, counted and bounded, is broadcast: rows with a unique hash need no shuffle, only the rest get an exact distinct.",
     "invalid rows from the stage table": "The IS NULL predicates reach the Parquet scan (PushedFilters), so row groups without NULLs can be skipped.",
     "scan with load-date range": "PartitionFilters on odate: only the matching directories are listed and read.",
 }
@@ -72,7 +71,6 @@ def main() -> None:
         "quality_summary (un-deduplicated input)": quality_summary(Q.unified(spark, sf)),
         "duplicate_rows": duplicate_rows(Q.unified(spark, sf)),
         "history_view": history_view(Q.valid(spark, sf)),
-        "history_view (hashed, large inputs)": history_view(Q.valid(spark, sf), method="hashed"),
         "invalid rows from the stage table": invalid_rows(spark.read.schema(UNIFIED_SCHEMA).parquet(stage)),
         "scan with load-date range": read_feed(
             spark, landing["apple_store"], odate_from="20240110", odate_to="20240120"
