@@ -29,15 +29,9 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    forget_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def forget_at_exit(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-
-
 def per_worker(name: str, make):
     """``make()``, called once in each Python worker and kept for its later tasks."""
     import sys

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critiq.llm.common import forget_at_exit, shuffle_partitions, sorted_groups, staged
+from critiq.llm.common import shuffle_partitions, sorted_groups, staged
 from critiq.session import scratch_path
 
 BLOCK_LINES = 1024
@@ -142,7 +142,6 @@ def write_archive(
     """
     if root is None:
         root = scratch_path(spark, "warc")
-        forget_at_exit(spark, root)
     for name in ("records", "index"):
         files, path = _open(f"{root}/{name}")
         files.create_dir(path, recursive=True)
