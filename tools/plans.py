@@ -36,12 +36,11 @@ def plan(df) -> str:
 def shuffle_table(spark, sf: str) -> None:
     """Shuffles, broadcasts and file scans planned by every registered query
     (before AQE re-planning; eager queries show the plan of their read-back)."""
-    import __spark_entry__ as entry_module
 
     print("## Shuffles per registered query\n")
     print("| query | shuffles (Exchange hashpartitioning / rangepartitioning / single) | broadcasts | file scans |")
     print("|---|---|---|---|")
-    for name, query in entry_module.queries().items():
+    for name, query in Q.queries().items():
         text = plan(query(spark, sf))
         hashed = text.count("Exchange hashpartitioning")
         ranged = text.count("Exchange rangepartitioning")
