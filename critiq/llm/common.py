@@ -67,6 +67,13 @@ def text_bytes(column: pa.Array) -> Iterator[bytes | None]:
             yield bytes(data[offsets[i] : offsets[i + 1]])
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, for work that holds many Python objects for each row."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def n_words(text: Column) -> Column:
     """Words of a text; null counts none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

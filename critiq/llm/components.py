@@ -57,7 +57,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 
     Links shrink to stars inside each task first. Then rounds of the large-star and
     small-star steps: a node hands its larger neighbours, then its smaller ones, to
-    its smallest neighbour, until nothing changes; about log of the longest path
+    its smallest neighbour, until every component is a star; about log of the longest path
     many. Each round's links are a table in the shared folder. A node's smallest
     neighbour is a partial aggregate, and the join that hands it on is one whose
     hot keys AQE splits.
@@ -70,8 +70,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         .distinct()
     )
     edges = staged(spark, edges, "links")  # v > u throughout
-    state = _state(edges)
-    while state[0]:
+    while not _loose(edges).isEmpty():
         both = edges.unionByName(edges.selectExpr("u as v", "v as u"))
         least = both.groupBy(F.col("v").alias("n")).agg(F.least(F.min("u"), F.first("v")).alias("m"))
         large = (
@@ -83,19 +82,13 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct("v", F.col("m").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("e")
         )
         edges = staged(spark, small.select("e.*").where("v != u").distinct(), "links")
-        before, state = state, _state(edges)
-        if state == before:
-            break
     roots = edges.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()
     return edges.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(roots)
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Count and two order-free checksums of the links; equal after a round that changed nothing."""
-    return tuple(
-        edges.agg(
-            F.count("*"),
-            F.coalesce(F.sum(F.xxhash64("v", "u").cast("decimal(20,0)")), F.lit(0)),
-            F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)),
-        ).first()
-    )
+def _loose(edges: DataFrame) -> DataFrame:
+    """Nodes linked to several smaller ones, or to one that is itself linked to a smaller one. If there
+    are none, every component is a star around its smallest node."""
+    several = edges.groupBy("v").agg(F.count("*").alias("n")).where("n > 1").select("v")
+    inner = edges.select(F.col("v").alias("w")).distinct()
+    return several.union(edges.join(inner, F.col("u") == F.col("w"), "left_semi").select("v"))
