@@ -40,7 +40,7 @@ CAPACITY = 4096
 END_ID = 1
 #: Words after which a task's memory of ids starts a new generation (it keeps two), and the
 #: longest word it remembers.
-CACHED_WORDS, CACHED_BYTES = 300_000, 48
+CACHED_WORDS, CACHED_BYTES = 60_000, 48
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
