@@ -10,9 +10,9 @@ vector is in the list of its nearest centroid.
 A query scans the lists it probes block of columns by block. After d of D
 coordinates its partial distance, times D / d, estimates the whole; a candidate is
 abandoned as soon as that is so far above the limit that the hypothesis "it is
-nearer than the limit" fails (limit * (1 + epsilon / sqrt(d))^2). The limit begins as the k-th best
-distance within the sample, a bound on the final one, and falls with what the scan
-finds; the sample's k nearest are results too, so a query never ends with fewer than k. Survivors get their exact product, in double precision on the original vectors.
+nearer than the limit" fails (limit * (1 + epsilon / sqrt(d))^2). The limit is the k-th best
+distance within the sample, a bound on the final one; the sample's k nearest are results too, so a query
+never ends with fewer than k. Survivors get their exact product, in double precision on the original vectors.
 
 How many lists a query probes is measured on the sample: the fewest that hold
 ``target_recall`` of its true neighbours there. The sample is thinner than the table, so its
@@ -45,7 +45,8 @@ TARGET_RECALL = 0.97
 EPSILON = 2.1
 BLOCK_COLUMNS = 16
 CHUNK_ROWS, CHUNK_QUERIES = 4096, 2048
-PIECE_ROWS = 1024
+#: Queries whose distances to a chunk are worked out together.
+QUERY_ROWS = 64
 SEED = 5
 
 RESULT = "query_id long, vec_id long, score double"
@@ -150,38 +151,32 @@ def _probes(sample, turned, centroids, rotation, k, target) -> int:
     return int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))))]) + 1
 
 
-def scan(
-    query: np.ndarray, blocks: list[np.ndarray], rows: np.ndarray, exact, limit: float, k: int, epsilon: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, distances) of the candidates that no test abandoned; holds the k nearest of them.
+def scan(queries: np.ndarray, blocks: list[np.ndarray], alive: np.ndarray, limits: np.ndarray, epsilon: float) -> np.ndarray:
+    """Which pairs of a query (rotated rows) and a candidate no test abandoned; ``alive`` says which to look at.
 
-    ``blocks`` are the candidates' rotated columns, ``exact(rows)`` their exact squared distances.
+    ``blocks`` are the candidates' rotated columns. A block of columns is one matrix product for all queries;
+    candidates that every query has abandoned, and queries that have abandoned every candidate, leave the
+    matrices before the next.
     """
-    dim = sum(b.shape[1] for b in blocks)
-    kept, found = [], []
-    for at in range(0, len(rows), PIECE_ROWS):
-        alive = rows[at : at + PIECE_ROWS]
-        partial, d, first = np.zeros(len(alive), np.float32), 0, 0
-        for block in blocks:
-            width = block.shape[1]
-            apart = block[alive] - query[first : first + width]
-            partial = partial + np.einsum("ij,ij->i", apart, apart)
-            first = d = first + width
-            factor = d / dim * (1 + epsilon / np.sqrt(d)) ** 2 if d < dim else 1.0
-            stay = partial <= limit * factor * (1 + 1e-5) + 1e-6
-            if not stay.all():
-                alive, partial = alive[stay], partial[stay]
-            if not len(alive):
-                break
-        if len(alive):
-            kept.append(alive)
-            found.append(exact(alive))
-            seen = np.concatenate(found)
-            if len(seen) >= k:
-                limit = min(limit, float(np.partition(seen, k - 1)[k - 1]))
-    if not kept:
-        return np.empty(0, np.int64), np.empty(0)
-    return np.concatenate(kept), np.concatenate(found)
+    dim, d = queries.shape[1], 0
+    rows, columns = np.arange(alive.shape[0]), np.arange(alive.shape[1])
+    out = np.zeros(alive.shape, bool)
+    partial = np.zeros(alive.shape, np.float32)
+    for block in blocks:
+        rows_left, columns_left = alive.any(axis=1), alive.any(axis=0)
+        if not (rows_left.all() and columns_left.all()):
+            rows, columns = rows[rows_left], columns[columns_left]
+            alive, partial = alive[np.ix_(rows_left, columns_left)], partial[np.ix_(rows_left, columns_left)]
+        if not len(rows):
+            return out
+        own, some = queries[rows, d : d + block.shape[1]], block[columns]
+        apart = (own**2).sum(axis=1)[:, None] + (some**2).sum(axis=1) - 2 * (own @ some.T)
+        partial += np.maximum(apart, 0)
+        d += block.shape[1]
+        factor = d / dim * (1 + epsilon / np.sqrt(d)) ** 2 if d < dim else 1.0
+        alive = alive & (partial <= (limits[rows] * (factor * (1 + 1e-5)) + 1e-5)[:, None])
+    out[np.ix_(rows, columns)] = alive
+    return out
 
 
 def search(spark: SparkSession, index: Index | None, queries: DataFrame, k: int = K, epsilon: float = EPSILON) -> DataFrame:
@@ -245,12 +240,18 @@ def search(spark: SparkSession, index: Index | None, queries: DataFrame, k: int
         points, ids = sample.value
         for batch in batches:
             out = [], [], []
-            for name, q in zip(batch.column(0).to_pylist(), matrix(batch.column(1), dim), strict=True):
-                other = np.flatnonzero(ids != name)
-                score = (points[other] * q).sum(axis=1)
-                best = np.lexsort((ids[other], -score))[:k]
-                for column, value in zip(out, (np.full(len(best), name), ids[other][best], score[best]), strict=True):
-                    column.append(value)
+            names, vectors = np.asarray(batch.column(0)), matrix(batch.column(1), dim)
+            for i in range(0, len(names), QUERY_ROWS):
+                products = vectors[i : i + QUERY_ROWS] @ points.T
+                products[names[i : i + QUERY_ROWS, None] == ids] = -np.inf
+                few = min(k + 12, len(ids)) - 1
+                near = np.argpartition(-products, few, axis=1)[:, : few + 1]
+                for name, q, some in zip(names[i : i + QUERY_ROWS], vectors[i : i + QUERY_ROWS], near, strict=True):
+                    some = some[ids[some] != name]
+                    score = (points[some] * q).sum(axis=1)
+                    best = np.lexsort((ids[some], -score))[:k]
+                    for column, value in zip(out, (np.full(len(best), name), ids[some][best], score[best]), strict=True):
+                        column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([*c, np.empty(0, t)]).astype(t)) for c, t in zip(out, (np.int64, np.int64, float), strict=True)],
                 ["query_id", "vec_id", "score"],
@@ -277,19 +278,16 @@ def search(spark: SparkSession, index: Index | None, queries: DataFrame, k: int
             rotated = np.hstack([asked, np.zeros((len(asked), 1))]) @ rotation
             apart = centroid_distances(rotated, centroids)
             names, worst, reach = (np.asarray(right[c]) for c in ("query_id", "worst", "reach"))
-            for j, q in enumerate(asked):
-                probed = apart[j] <= reach[j] + 1e-9
-                rows = np.flatnonzero(probed[own] & (ids != names[j]))
-                base = norm**2 + float(q @ q)
-
-                def exact(some: np.ndarray, q=q, base=base) -> np.ndarray:
-                    return base - 2 * (vectors[some] * q).sum(axis=1)
-
-                rows, _ = scan(rotated[j].astype(np.float32), blocks, rows, exact, base - 2 * worst[j], k, epsilon)
-                score = (vectors[rows] * q).sum(axis=1)
-                best = np.lexsort((ids[rows], -score))[:k]
-                for column, value in zip(out, (np.full(len(best), names[j]), ids[rows][best], score[best]), strict=True):
-                    column.append(value)
+            limits = norm**2 + (asked**2).sum(axis=1) - 2 * worst  # infinite without k rows in the sample
+            for i in range(0, len(asked), QUERY_ROWS):
+                part = slice(i, i + QUERY_ROWS)
+                alive = (apart[part] <= reach[part, None] + 1e-9)[:, own] & (names[part, None] != ids)
+                alive = scan(rotated[part].astype(np.float32), blocks, alive, limits[part], epsilon)
+                for j, rows in enumerate(map(np.flatnonzero, alive), i):
+                    score = (vectors[rows] * asked[j]).sum(axis=1)
+                    best = np.lexsort((ids[rows], -score))[:k]
+                    for column, value in zip(out, (np.full(len(best), names[j]), ids[rows][best], score[best]), strict=True):
+                        column.append(value)
         columns = [np.concatenate([*c, np.empty(0, t)]).astype(t) for c, t in zip(out, (np.int64, np.int64, float), strict=True)]
         return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 

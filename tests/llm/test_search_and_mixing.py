@@ -242,14 +242,13 @@ def test_scan_abandons_most_candidates():
     query = points[0] + 0.1 * rng.standard_normal(64).astype(np.float32)
     exact = ((points - query) ** 2).sum(axis=1)
     blocks = [points[:, c : c + 16] for c in range(0, 64, 16)]
-    asked = []
-
-    def distances(rows):
-        asked.extend(rows)
-        return exact[rows]
-
-    rows, _ = ann.scan(query, blocks, np.arange(4000), distances, float(np.sort(exact)[40]), 10, 2.1)
-    assert set(np.argsort(exact)[:10]) <= set(rows) and len(asked) < 60
+    far = rng.standard_normal(64).astype(np.float32)
+    queries, limits = np.stack([query, far, far]), np.array([np.sort(exact)[40], np.inf, 0.0])
+    alive = np.ones((3, 4000), bool)
+    alive[1, ::2] = False
+    left = ann.scan(queries, blocks, alive, limits, 2.1)
+    assert set(np.argsort(exact)[:10]) <= set(np.flatnonzero(left[0])) and left[0].sum() < 60
+    assert np.array_equal(left[1], alive[1]) and not left[2].any()
 
 
 def toxic_table(rng, n):
