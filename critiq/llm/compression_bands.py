@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from critiq.llm.common import text_bytes
+from critiq.llm.common import pieces, text_bytes
 
 #: From so many bytes on: lowest and highest ratio of prose. Short texts gain little
 #: and cannot fall far, long ones gain from their own vocabulary.
@@ -120,7 +120,7 @@ def quality_rules(
         import zstandard
 
         compress = zstandard.ZstdCompressor(level=level).compress
-        for batch in batches:
+        for batch in pieces(batches):
             rows = []
             for text in text_bytes(batch.column(1)):
                 stats = base_stats(text or b"")
@@ -147,7 +147,7 @@ def keep_clean(documents: DataFrame, **how) -> DataFrame:
         import zstandard
 
         compress = zstandard.ZstdCompressor(level=options["level"]).compress
-        for batch in batches:
+        for batch in pieces(batches):
             keep = []
             for text in text_bytes(batch.column(at)):
                 words = (text or b"").split()

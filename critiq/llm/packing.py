@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from critiq.llm.common import per_worker, staged, text_bytes
+from critiq.llm.common import per_worker, pieces, staged, text_bytes
 
 CAPACITY = 4096
 END_ID = 1
 #: Words after which a task's memory of ids starts a new generation (it keeps two), and the
 #: longest word it remembers.
-CACHED_WORDS, CACHED_BYTES = 60_000, 48
+CACHED_WORDS, CACHED_BYTES = 40_000, 48
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
@@ -148,7 +148,7 @@ def token_pieces(
         ids = per_worker(f"ids {tokenizer_path}", lambda: word_encoder(tokenizer_path))
         end = np.array([end_id], "<u4").tobytes()
         task, seen = TaskContext.get().partitionId(), Counter()
-        for batch in batches:
+        for batch in pieces(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
                 tokens = ids(text or b"") + end
