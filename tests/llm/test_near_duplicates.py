@@ -261,18 +261,3 @@ def test_substrings_on_odd_documents(spark, odd_documents):
     assert by[5].n_removed == by[5].n_bytes and by[1].n_removed == 0 and by[7].n_removed == 49_999
     assert by[None].n_removed == 0 and by[2].n_bytes == 0
     assert sd.dedup_substrings(spark, odd_documents.limit(0)).count() == 0
-
-
-def test_bounded_edits_equal_the_distance(spark, monkeypatch):
-    monkeypatch.setattr(fl, "EDIT_BOUNDS", (2, 5, 9))
-    rng = random.Random(6)
-    rows = []
-    for _ in range(150):
-        a = [rng.choice("abc") for _ in range(rng.randint(0, 30))]
-        b = list(a)
-        for _ in range(rng.randint(0, 14)):
-            b.insert(rng.randint(0, len(b)), rng.choice("abc"))
-        rows.append(("".join(a), "".join(b), rng.randint(0, 20)))
-    frame = spark.createDataFrame(rows, "a string, b string, m int")
-    got = frame.selectExpr("a", "b", "m", f"{fl.edits_within('a', 'b', 'm')} as near").collect()
-    assert all(r.near == (levenshtein(r.a, r.b) <= r.m) for r in got)
