@@ -18,6 +18,8 @@ a document with a smaller doc_id or earlier in the same one. Strings are judged
    the array (Kasai's, all positions at once, up to ``length``) give the strings that
    occur more than once; all but the first start are repeated. A group larger than a
    shard is merged shard by shard: the next one's strings are looked up in the arrays before it by binary search.
+   Of one larger than MOST_SHARDS shards, each shard's different strings are dealt out again, by all their bytes, so
+   no task holds such a group.
 3. *Spans.* The repeated starts of a document are joined to its text.
 
 Defined cases: null and empty texts, and texts under ``length`` bytes, lose nothing; documents with a null
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from critiq.llm.common import shuffle_partitions, sorted_groups, staged, text_bytes
@@ -41,6 +43,8 @@ LENGTH = 100
 ANCHOR = 32
 #: Bytes of text whose anchors a task settles at a time, and of snippets in one suffix array.
 CHUNK_BYTES, SHARD_BYTES = 1 << 24, 1 << 20
+#: Shards of one group that are merged in its task.
+MOST_SHARDS = 8
 #: Bits of the map that says which documents' texts are wanted.
 MAP_BITS = 24
 
@@ -303,31 +307,45 @@ def _before(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _repeated_in_groups(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(doc, start, n) of repeated starts, from snippets sorted by (key, doc, start)."""
-    names = ["doc", "start", "n"]
+    """(doc, start, n) of repeated starts, from snippets sorted by (key, doc, start); of groups of more than
+    MOST_SHARDS shards also (doc, start, 1, string) of what is still to be compared."""
+    names = ["doc", "start", "n", "string"]
 
     def rows_out(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         doc = np.concatenate([np.empty(0, np.int64), *(f[0] for f in found)])
         start = np.concatenate([np.empty(0, np.int64), *(f[1] for f in found)])
         ranges = merged(doc, start, np.ones(len(doc), np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in ranges], names)
+        none = pa.nulls(len(ranges[0]), pa.binary())
+        return pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)) for x in ranges), none], names)
+
+    def strings_out(shard: Shard) -> pa.RecordBatch:
+        strings = pa.array([row.tobytes() for row in shard.strings(shard.at)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(shard.doc), pa.array(shard.start), pa.array(np.ones(len(shard.at), np.int64)), strings], names)
+
+    def last_of_group() -> Iterator[pa.RecordBatch]:
+        if not flooded:
+            yield rows_out(_shard_repeats(held, earlier, length))
+        elif held:
+            shard = Shard(held, length)
+            yield rows_out([shard.repeated])
+            yield strings_out(shard)
 
     held: list[tuple[int, int, int, bytes]] = []  # rows of the next shard
-    size, earlier, whole_from, last = 0, [], 0, None
+    size, earlier, whole_from, last, flooded = 0, [], 0, None, False
     # earlier: the shards of a group that goes on; whole_from: where in held the last group begins
     for batch in batches:
         keys = batch.column(0).to_pylist()
         columns = [c.to_pylist() for c in batch.columns[1:]]
         for key, doc, start, n, piece in zip(keys, *columns, strict=True):
             if key != last:
-                if size >= SHARD_BYTES or earlier:  # the group that ends goes with what is held
-                    yield rows_out(_shard_repeats(held, earlier, length))
-                    held, size, earlier = [], 0, []
+                if size >= SHARD_BYTES or earlier or flooded:  # the group that ends goes with what is held
+                    yield from last_of_group()
+                    held, size, earlier, flooded = [], 0, [], False
                 last, whole_from = key, len(held)
             held.append((doc, start, n, piece))
             size += len(piece)
             if size >= 2 * SHARD_BYTES:  # a group larger than a shard: what is whole goes first
-                if whole_from and not earlier:
+                if whole_from and not earlier and not flooded:
                     yield rows_out(_shard_repeats(held[:whole_from], [], length))
                     held, whole_from = held[whole_from:], 0
                     size = sum(len(r[3]) for r in held)
@@ -336,8 +354,13 @@ def _repeated_in_groups(batches: Iterator[pa.RecordBatch], length: int) -> Itera
                     yield rows_out([shard.repeated, *_looked_up(shard, earlier)])
                     earlier.append(shard)
                     held, size = [], 0
+                    if flooded or len(earlier) > MOST_SHARDS:
+                        flooded = True
+                        for done in earlier:
+                            yield strings_out(done)
+                        earlier = []
     if held:
-        yield rows_out(_shard_repeats(held, earlier, length))
+        yield from last_of_group()
 
 
 def _shard_repeats(rows: list[tuple], earlier: list[Shard], length: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -419,7 +442,12 @@ def repeated_starts(spark: SparkSession, documents: DataFrame, length: int = LEN
         .repartition(n_parts, "key")
         .sortWithinPartitions("key", "doc", "start")
     )
-    partly = pieces.mapInArrow(lambda batches: _repeated_in_groups(batches, length), "doc long, start long, n long")
+    found = pieces.mapInArrow(lambda batches: _repeated_in_groups(batches, length), "doc long, start long, n long, string binary")
+    found = staged(spark, found, "in-groups")
+    # a shard passes a string on once, so a string has at most as many rows as its group has shards
+    first = F.min(F.struct("doc", "start")).over(Window.partitionBy("string"))
+    again = found.where("string is not null").withColumn("first", first).where("doc != first.doc or start != first.start")
+    partly = found.where("string is null").select("doc", "start", "n").union(again.select("doc", "start", "n"))
     return compared.where("kind = 1").select("doc", "start", "n").union(partly)
 
 
