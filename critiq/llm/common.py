@@ -43,6 +43,19 @@ def per_worker(name: str, make):
     return kept[name]
 
 
+def one_blas_thread() -> None:
+    """Matrix products of this process take one thread: an executor's tasks share its cores already, and
+    more threads would mostly wait for each other. Nothing happens where numpy brings no OpenBLAS of its own."""
+    import ctypes
+    import glob
+    import os
+
+    for path in glob.glob(os.path.join(os.path.dirname(os.path.dirname(np.__file__)), "numpy.libs", "*openblas*")):
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if set_threads := getattr(ctypes.CDLL(path), name, None):
+                set_threads(1)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

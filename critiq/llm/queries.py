@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critiq.llm import ann, compression_bands, fuzzy_lines, mixing, packing, simhash_dedup, suffix_dedup, toxicity, url_filter, warc_index
+from critiq.llm import (
+    ann, attention_lm, compression_bands, fuzzy_lines, lexical_search, mixing, packing, simhash_dedup, spelling, suffix_dedup,
+    toxicity, url_filter, warc_index,
+)
 from critiq.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +60,18 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op12_hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -152,6 +167,39 @@ from held join digests using (d)
 """
 
 
+SEARCH_SQL = r"""
+with found as (
+  select doc_id, row_number() over () as d,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents),
+held as (select doc_id, d, len(terms)::bigint as size, terms from found where len(terms) > 0),
+corpus as (select count(*)::bigint as n, sum(size)::bigint as l from held),
+asked as (
+  select item_id, term, count(*)::bigint as times from (
+    select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select item_id, min(text) as text from benchmark where item_id is not null group by item_id))
+  group by all),
+counts as (
+  select d, term, count(*)::bigint as tf from (select d, unnest(terms) as term from held)
+  where term in (select term from asked) group by all),
+weights as (
+  select term, floor(1000 * ln((2 * n + 2)::double / (2 * count(*) + 1)))::bigint as w
+  from counts, corpus group by term, n),
+impacts as (
+  select d, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * size * n) // l)) as impact
+  from counts join held using (d), corpus),
+scores as (
+  select item_id, doc_id, sum(times * w * impact)::bigint as score
+  from asked join weights using (term) join impacts using (term) join held using (d)
+  group by item_id, d, doc_id),
+ranked as (
+  select *, (row_number() over (partition by item_id order by score desc, doc_id nulls last))::int as rank from scores where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
+
 def _values(rows) -> str:
     quoted = ["('{}', '{}')".format(*(x.replace("'", "''") for x in row[:2])) for row in rows]
     return ", ".join(quoted)
@@ -163,4 +211,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc_index": WARC_SQL,
         "op8_url_filter": urls.replace("PATTERN_RULES", _values(url_filter.PATTERN_RULES)),
         "op10_mix_sources": MIX_SQL,
+        "op12_hybrid_search": SEARCH_SQL,
     }
