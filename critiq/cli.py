@@ -46,6 +46,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--odate-to")
     p.add_argument("--job", default="gold_aggregate")
     p.add_argument("--original-names", action="store_true", help="publish gold under the original column names")
+    p.add_argument("--survivors", metavar="PATH",
+                   help="keep one row per id of all runs here, and give only new days as feeds")
     args = p.parse_args(argv)
     known = {s.name for s in DEFAULT_FEEDS}
     feeds = {}
@@ -73,7 +75,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Pi
         }
     except Exception as exc:
         # A feed that cannot be opened fails the run like any later step: report it.
-        append_report(failure_report(spark, exc, run), targets.failures, "failure")
+        append_report(failure_report(spark, exc, run), targets.failures, "failure", f"{run.application_id}:{args.run_date}")
         raise
     cfg = PipelineConfig(
         targets=targets,
@@ -82,6 +84,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Pi
         feeds=tuple(s for s in DEFAULT_FEEDS if s.name in feeds),
         preview_rows=PREVIEW_ROWS[args.env],
         original_gold_names=args.original_names,
+        survivors=args.survivors,
     )
     result = run_pipeline(spark, feeds, cfg)
     for v in result.verdicts:

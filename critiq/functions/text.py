@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from critiq.functions.sql import string_literal
+from critiq.functions.sql import ident, string_literal
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the original job's for equal results).
@@ -81,15 +82,36 @@ def lexicon_text_sql(expr: str, negators: tuple[str, ...]) -> str:
     return f"regexp_replace({expr}, {string_literal(negated_pattern(negators))}, ' ')"
 
 
-def lexicon_flag_sql(expr: str, words: tuple[str, ...], negators: tuple[str, ...]) -> str:
-    """SQL text: does the text match the lexicon list (NULL text -> NULL).
-
-    A word that is itself a negator is rejected: cutting through it would hide it.
-    """
+def _checked(words: tuple[str, ...], negators: tuple[str, ...]) -> str:
+    """The pattern of ``words``. A word that is itself a negator is rejected: cutting through it would hide it."""
     both = {w.lower() for w in words} & {n.lower() for n in negators}
     if both:
         raise ValueError(f"words that are also negators: {sorted(both)}")
-    return f"({lexicon_text_sql(expr, negators)} RLIKE {string_literal(word_pattern(words))})"
+    return string_literal(word_pattern(words))
+
+
+def lexicon_flag_sql(expr: str, words: tuple[str, ...], negators: tuple[str, ...]) -> str:
+    """SQL text: does the text match the lexicon list (NULL text -> NULL)."""
+    return f"({lexicon_text_sql(expr, negators)} RLIKE {_checked(words, negators)})"
+
+
+# What is left of a text once its negated parts are cut (``classified``).
+_LEFT = "_text_left"
+
+
+def classified(df: DataFrame, text: str, lexicon: Lexicon, keep: Sequence[str]) -> DataFrame:
+    """Columns ``keep`` (SQL) of ``df`` with ``is_positive`` / ``is_negative`` of the column ``text``, in one pass.
+
+    The text is cut once for each row, in a projection of its own below the two tests. Since both use
+    it, Catalyst keeps that projection and does not copy the cut into them, or into an aggregate above.
+    """
+    cut = df.selectExpr(*keep, f"{lexicon_text_sql(ident(text), lexicon.negators)} AS {_LEFT}")
+    names = [c for c in cut.columns if c != _LEFT]
+    return cut.selectExpr(
+        *map(ident, names),
+        f"({_LEFT} RLIKE {_checked(lexicon.positive, lexicon.negators)}) AS is_positive",
+        f"({_LEFT} RLIKE {_checked(lexicon.negative, lexicon.negators)}) AS is_negative",
+    )
 
 
 def lexicon_flag(expr: str, words: tuple[str, ...], negators: tuple[str, ...]) -> Column:

@@ -13,25 +13,31 @@ from critiq.operators.quality import (
     validate_ingest,
     verdicts,
 )
+from critiq.operators.repeats import distinct_rows
 from critiq.operators.rollup import (
     PERIOD_PATTERN,
     consolidate,
     display_order,
+    exact_mean_sql,
     filter_period,
     gold_rollup,
     lexicon_flags,
     preview,
     with_original_names,
 )
+from critiq.operators.survivors import SurvivorStore
 from critiq.operators.views import history_projection, history_view
 
 __all__ = [
     "PERIOD_PATTERN",
+    "SurvivorStore",
     "consolidate",
     "dedup_by_key",
     "display_order",
+    "distinct_rows",
     "duplicate_keys",
     "duplicate_rows",
+    "exact_mean_sql",
     "feed_rank_sql",
     "filter_period",
     "gold_rollup",

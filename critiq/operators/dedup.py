@@ -15,8 +15,19 @@ _TIE_BREAK = ("app", "segmento", "rating", "title", "snippet")
 
 def feed_rank_sql(priority: Sequence[str], column: str = "app_source") -> str:
     """SQL text: 0 for the first feed in ``priority``, 1 for the next, ...; unknown last."""
+    return rank_of_sql(priority, ident(column))
+
+
+def rank_of_sql(priority: Sequence[str], expr: str) -> str:
+    """``feed_rank_sql`` of any SQL expression."""
     whens = " ".join(f"WHEN {string_literal(n)} THEN {i}" for i, n in enumerate(priority))
-    return f"CASE {ident(column)} {whens} ELSE {len(priority)} END"
+    return f"CASE {expr} {whens} ELSE {len(priority)} END"
+
+
+def survivor_columns() -> list[tuple[str, bool]]:
+    """Columns of the survivor order, and whether their smallest value comes first (nulls come last).
+    ``app_source`` stands for its rank."""
+    return [("app_source", True), ("iso_date", False), *[(c, True) for c in _TIE_BREAK]]
 
 
 def survivor_order_sql(priority: Sequence[str]) -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from critiq.functions.casts import legacy_int_sql
 from critiq.functions.sql import ident
+from critiq.operators.repeats import marks, with_mark
 from critiq.schema import CRITICAL_COLUMNS, INVALID_PREDICATE_COLUMNS, UNIFIED_COLUMNS
 from critiq.sources.sinks import stamp_run_date
 
@@ -63,23 +64,35 @@ def duplicate_keys(df: DataFrame, key: str = "id") -> DataFrame:
 def duplicate_rows(df: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key repeats (NULL keys never match).
 
-    An inner join against the repeated keys, each of which is there once. Unlike a
-    semi join it stays above a union, so the wide rows are read and shuffled once; AQE turns
-    it into a broadcast join when the key set proves small at run time and splits a
-    skewed key's partition otherwise.
+    An inner join against the repeated keys, each of which is there once. A bit map of those keys, broadcast
+    to the scan (``critiq.operators.repeats``), lets only rows through whose key may repeat, so the rows that are shuffled
+    are in proportion to the repeated keys. AQE turns the join into a broadcast join when the key set proves small at
+    run time and splits a skewed key's partition otherwise.
     """
-    keys = duplicate_keys(df, key).select(F.col(key).alias("_repeated"))
-    return df.join(keys, F.col(key) == F.col("_repeated")).drop("_repeated")
+    keys = _repeated_keys(df, key)
+    rows = may_repeat(df, keys, key, unmarked=False).where("_marked").drop("_marked")
+    return rows.join(keys, F.col(key) == F.col("_repeated")).drop("_repeated")
+
+
+def _repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    return duplicate_keys(df, key).where(F.col(key).isNotNull()).select(F.col(key).alias("_repeated"))
+
+
+def may_repeat(df: DataFrame, keys: DataFrame, key: str = "id", unmarked: bool = True) -> DataFrame:
+    """``df`` with ``_marked``: false for rows whose key is certainly not among ``keys`` (``_repeated``)."""
+    mapped = marks(keys.selectExpr("xxhash64(_repeated) AS h"), "h")
+    return with_mark(df, f"CASE WHEN {ident(key)} IS NOT NULL THEN xxhash64({ident(key)}) END", mapped, unmarked=unmarked)
 
 
 def invalid_and_duplicate_rows(df: DataFrame, key: str = "id", strict: bool = False) -> DataFrame:
     """``invalid_rows`` and ``duplicate_rows`` in one pass: each row once for each reason.
 
     The repeated keys are flagged by one left outer join; a row for which both reasons hold
-    comes twice.
+    comes twice. Valid rows whose key certainly does not repeat (``may_repeat``) leave before it.
     """
     rows = df.select(*UNIFIED_COLUMNS)
-    keys = duplicate_keys(rows, key).select(F.col(key).alias("_repeated"))
+    keys = _repeated_keys(rows, key)
+    rows = may_repeat(rows, keys, key).where(f"_marked OR {invalid_sql(strict)}").drop("_marked")
     reasons = f"array_compact(array(CASE WHEN {invalid_sql(strict)} THEN 1 END, CASE WHEN _repeated IS NOT NULL THEN 2 END))"
     flagged = rows.join(keys, F.col(key) == F.col("_repeated"), "left")
     return flagged.withColumn("_reason", F.explode(F.expr(reasons))).select(*UNIFIED_COLUMNS)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from critiq.functions.casts import lenient_double_sql
 from critiq.functions.dates import period_of_sql
 from critiq.functions.sql import ident, string_literal
-from critiq.functions.text import DEFAULT_LEXICON, Lexicon, lexicon_flag_sql
+from critiq.functions.text import DEFAULT_LEXICON, Lexicon, classified
 from critiq.schema import GOLD_KEYS, ORIGINAL_GOLD_NAMES
 
 # Fixed value: a well-formed reporting period is ``yyyy-MM``.
@@ -45,12 +45,26 @@ def filter_period(df: DataFrame, pattern: str = PERIOD_PATTERN, column: str = "p
 
 def lexicon_flags(df: DataFrame, text: str = "comment", lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
     """Add ``is_positive`` / ``is_negative`` (NULL when the text is NULL)."""
-    t = ident(text)
-    return df.selectExpr(
-        "*",
-        f"{lexicon_flag_sql(t, lexicon.positive, lexicon.negators)} AS is_positive",
-        f"{lexicon_flag_sql(t, lexicon.negative, lexicon.negators)} AS is_negative",
-    )
+    return classified(df, text, lexicon, ["*"])
+
+
+# Ratings are added up as whole numbers of this share, if every one of a group is a whole number of them.
+_RATING_UNIT = 1_000_000
+
+
+def exact_mean_sql(column: str) -> str:
+    """SQL text: the mean of a double column, the same however its rows are partitioned.
+
+    Values of up to six decimals are added up as integers, whose sum does not depend on the order, and the
+    sum is divided once. A group with any other value (more decimals, beyond 2**53 units, NaN, infinite), or
+    whose integers overflow, takes the plain average.
+    """
+    x = ident(column)
+    units = f"try_cast(round({x} * {_RATING_UNIT}) AS BIGINT)"
+    fits = f"({units} IS NOT NULL AND abs({units}) < 9007199254740992 AND CAST({units} AS DOUBLE) / {_RATING_UNIT} = {x})"
+    whole = f"try_sum(CASE WHEN {fits} THEN {units} END)"
+    other = f"count_if({x} IS NOT NULL AND NOT {fits})"
+    return f"CASE WHEN {other} = 0 AND {whole} IS NOT NULL THEN {whole} / {_RATING_UNIT}D / count({x}) ELSE avg({x}) END"
 
 
 def gold_rollup(
@@ -61,7 +75,7 @@ def gold_rollup(
     """Monthly rollup per app, channel, period and segment.
 
     ``avg_rating`` is the mean rating rounded to one decimal (NULL ratings
-    skipped); ``n_positive`` / ``n_negative`` count comments that match the
+    skipped; see ``exact_mean_sql``); ``n_positive`` / ``n_negative`` count comments that match the
     lexicon. ``with_spread`` adds ``rating_spread_pct``: (max - min) / max in
     percent, two decimals, NULL when max is 0.
 
@@ -70,14 +84,15 @@ def gold_rollup(
     segments; no global sort (see ``preview``).
     """
     measures = [
-        "round(avg(rating), 1) AS avg_rating",
+        f"round({exact_mean_sql('rating')}, 1) AS avg_rating",
         "count(1) AS n_reviews",
-        f"count_if({lexicon_flag_sql('comment', lexicon.positive, lexicon.negators)}) AS n_positive",
-        f"count_if({lexicon_flag_sql('comment', lexicon.negative, lexicon.negators)}) AS n_negative",
+        "count_if(is_positive) AS n_positive",
+        "count_if(is_negative) AS n_negative",
     ]
     if with_spread:
         measures.append("round(try_divide(max(rating) - min(rating), max(rating)) * 100, 2) AS rating_spread_pct")
-    return consolidated.groupBy(*GOLD_KEYS).agg(*[F.expr(m) for m in measures])
+    rows = classified(consolidated, "comment", lexicon, [*GOLD_KEYS, "rating"])
+    return rows.groupBy(*GOLD_KEYS).agg(*[F.expr(m) for m in measures])
 
 
 def display_order(names: dict[str, str] | None = None) -> list[Column]:

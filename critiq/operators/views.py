@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from critiq.functions.casts import legacy_int_sql
 from critiq.functions.dates import parse_review_ts_sql
+from critiq.operators.repeats import distinct_rows
 
 def history_projection(valid: DataFrame) -> DataFrame:
     """title, snippet, app_source, app upper-cased; rating as int; iso_date as a
@@ -22,6 +23,6 @@ def history_projection(valid: DataFrame) -> DataFrame:
 
 
 def history_view(valid: DataFrame) -> DataFrame:
-    """Distinct rows of the history projection: one hash aggregate over all columns, with
-    partial aggregation before the shuffle, so repeated rows collapse in their map task."""
-    return history_projection(valid).distinct()
+    """Distinct rows of the history projection. Texts of rows that repeat nothing are not shuffled (see
+    ``distinct_rows``): what is, for them, is a 64-bit hash."""
+    return distinct_rows(history_projection(valid))

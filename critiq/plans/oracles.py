@@ -97,6 +97,8 @@ VALID = f"""
 valid AS (select * from deduped where {VALID_WHERE})"""
 
 RUN_DATE = "20240501"
+# The last load date of the first of two days.
+FIRST_DAY = "20240315"
 
 # -- scalar helpers -------------------------------------------------------------
 # Word boundaries as Unicode-aware \b: letters, decimal digits and '_' are word
@@ -418,6 +420,26 @@ select '2024-05-01T06:03:30' as "timestamp", 'gold' as layer, 'reviews' as proje
     q["pipeline_gold"] = gold + f"select *, '{RUN_DATE}' as odate from gold"
     q["sink_report_roundtrip"] = f"select * from ({RUN_REPORT}) union all select * from ({RUN_REPORT})"
     q["sink_history_roundtrip"] = q["history_view"]
+    q["sink_report_replay"] = (
+        f"select * from ({RUN_REPORT}) union all select * replace ('run-0002' as application_id) from ({RUN_REPORT})"
+    )
+    month = "replace(regexp_extract(iso_date, '^[0-9]{4}-[0-9]{2}'), '-', '')"
+    q["sink_dated_roundtrip"] = dedup + (
+        "select id, app, app_source, iso_date, "
+        f"case when coalesce({month}, '') = '' then '19700101' else {month} || '01' end as odate from deduped"
+    )
+    q["incremental_dedup"] = q["dedup_by_key"]
+    q["incremental_changes"] = dedup + f""",
+dated as (
+  select id, case when iso_date like '2024%' then replace(substr(iso_date, 1, 10), '-', '') else '19700101' end > '{FIRST_DAY}' as later
+  from unified),
+keys as (select id, bool_or(not later) as before, bool_or(later) as after from dated group by id),
+winners as (
+  select id, case when iso_date like '2024%' then replace(substr(iso_date, 1, 10), '-', '') else '19700101' end > '{FIRST_DAY}' as later
+  from deduped)
+select case when not before then 'inserted' when later then 'replaced' else 'kept' end as change, count(*) as n_keys
+from keys join winners on keys.id is not distinct from winners.id where after group by 1"""
+    q["pipeline_incremental"] = q["pipeline_gold"]
     q["pipeline_report"] = q["run_report"]
     q["pipeline_invalid"] = q["sink_invalid_roundtrip"]
     q["pipeline_history"] = q["history_view"]

@@ -38,6 +38,7 @@ from critiq.functions.sql import string_literal
 from critiq.functions.text import DEFAULT_LEXICON, Lexicon
 from critiq.operators.dedup import dedup_by_key
 from critiq.operators.harmonize import harmonize_all
+from critiq.operators.survivors import BUCKETS, SurvivorStore
 from critiq.operators.quality import (
     VALID_SQL,
     quality_summary,
@@ -138,6 +139,10 @@ class PipelineConfig:
     # Publish gold, invalid rows and history documents from parallel driver
     # threads (independent jobs over the stage table).
     parallel_outputs: bool = True
+    # Folder of a ``SurvivorStore``: the feeds are merged into it, instead of being
+    # the whole history, and the outputs are of all that it then holds.
+    survivors: str | None = None
+    survivor_buckets: int = BUCKETS  # of a store that is new
 
 
 @dataclass
@@ -203,6 +208,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
     shown: dict[str, list[Row]] = {}
     schemas = {name: df.schema.simpleString() for name, df in feeds.items()}
     n_preview = cfg.preview_rows
+    run_key = f"{run.application_id}:{cfg.run_date}"
     stage = None
     try:
         unified = harmonize_all(feeds, cfg.feeds)
@@ -213,15 +219,22 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
         with _step(sec, "feed_counts"):
             by_source = require_rows(feed_row_counts({x: feeds[x] for x in names}))
         with _step(sec, "dedup_stage"):
-            metrics = Observation("quality")
-            stage = scratch_path(spark, f"stage-{cfg.run_date}")
-            dedup_by_key(unified, priority=names).observe(
-                metrics,
+            measures = [
                 *summary_aggregates(cfg.strict_validity),
                 *[F.expr(f"count_if(app_source = {string_literal(x)}) AS `source:{x}`") for x in names],
-            ).write.mode("overwrite").options(**STAGE_WRITE_OPTIONS).parquet(stage)
-            observed = metrics.get
-            deduped = spark.read.schema(UNIFIED_SCHEMA).parquet(stage)
+            ]
+            if cfg.survivors is None:
+                metrics = Observation("quality")
+                stage = scratch_path(spark, f"stage-{cfg.run_date}")
+                staged = dedup_by_key(unified, priority=names).observe(metrics, *measures)
+                staged.write.mode("overwrite").options(**STAGE_WRITE_OPTIONS).parquet(stage)
+                observed = metrics.get
+                deduped = spark.read.schema(UNIFIED_SCHEMA).parquet(stage)
+            else:  # the feeds are the new days; what earlier runs have kept is in the store
+                store = SurvivorStore(spark, cfg.survivors, cfg.survivor_buckets)
+                store.merge(unified, names)
+                deduped = store.read()
+                observed = deduped.agg(*measures).first().asDict()
         summary = summary_of_unique_keys(observed)
         kept = {x: int(observed[f"source:{x}"]) for x in names}
         schemas["deduplicated"] = deduped.schema.simpleString()
@@ -239,11 +252,14 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
 
         def publish_gold() -> bool:
             with _step(sec, "gold"):
-                # Sorted within each output file only: no global sort (range shuffle) for display order.
-                gold = gold_rollup(consolidate(valid), cfg.lexicon).sortWithinPartitions(*display_order())
+                gold = gold_rollup(consolidate(valid), cfg.lexicon)
+                names = ORIGINAL_GOLD_NAMES if cfg.original_gold_names else None
                 if cfg.original_gold_names:
                     gold = with_original_names(gold)
-                wrote = write_partitioned_parquet(gold, t.gold, cfg.run_date, "valid", empty=summary["n_valid"] == 0)
+                # Sorted within each output file only: no global sort (range shuffle) for display order.
+                wrote = write_partitioned_parquet(
+                    gold, t.gold, cfg.run_date, "valid", empty=summary["n_valid"] == 0, order=display_order(names)
+                )
             with _step(sec, "gold_documents"):
                 if wrote:
                     published = (
@@ -254,14 +270,13 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
                     write_documents(published, t.gold_documents, empty=False)
                     schemas["gold"] = published.schema.simpleString()
                     if n_preview > 0:
-                        names = ORIGINAL_GOLD_NAMES if cfg.original_gold_names else None
                         shown["gold"] = preview(published, n_preview, names).collect()
             return wrote
 
         def publish_invalid() -> bool:
             with _step(sec, "invalid"):
                 return write_partitioned_parquet(
-                    invalid, t.invalid, cfg.run_date, "invalid", empty=summary["n_invalid"] == 0, rebalance=True
+                    invalid, t.invalid, cfg.run_date, "invalid", empty=summary["n_invalid"] == 0
                 )
 
         def publish_history() -> bool:
@@ -279,7 +294,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
         with _step(sec, "report"):
             done = replace(run, end=run.end or datetime.now(), timestamp=run.timestamp or datetime.now())
             report = run_report(spark, summary, verdict_rows, type_client, done, steps=dict(sec))
-            append_report(report, t.report, "success")
+            append_report(report, t.report, "success", run_key)
         return PipelineResult(
             rows_by_source=by_source,
             kept_by_source=kept,
@@ -296,7 +311,7 @@ def run_pipeline(spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: Pipel
     except Exception as exc:
         log.error("gold job failed: %s", exc)
         try:
-            append_report(failure_report(spark, exc, cfg.run, df=None), cfg.targets.failures, "failure")
+            append_report(failure_report(spark, exc, cfg.run, df=None), cfg.targets.failures, "failure", run_key)
         except Exception as report_exc:  # noqa: BLE001 - keep the original error
             log.error("failure report not written: %s", report_exc)
         raise

@@ -9,6 +9,7 @@ under the shared checkpoint folder and read it back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,7 @@ from critiq.operators.quality import (
     verdicts,
 )
 from critiq.operators.rollup import consolidate, filter_period, gold_rollup, lexicon_flags, preview
+from critiq.operators.survivors import SurvivorStore
 from critiq.operators.views import history_projection, history_view
 from critiq.plans.pipeline import PipelineConfig, Targets, run_pipeline
 from critiq.plans.report import REPORT_SCHEMA, RunInfo, failure_report, rows_to_json, run_report, segment_list
@@ -50,9 +52,11 @@ from critiq.sources.feeds import (
 )
 from critiq.sources.sinks import (
     append_report,
+    documents_path,
     read_documents,
     read_partitioned_parquet,
     stamp_run_date,
+    write_dated_parquet,
     write_documents,
     write_partitioned_parquet,
 )
@@ -303,7 +307,7 @@ def q_sink_invalid_roundtrip(spark, sf_dir):
 def q_sink_json_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "gold_documents")
     write_documents(gold(spark, sf_dir), path)
-    return spark.read.schema(GOLD_SCHEMA).json(path)
+    return read_documents(spark, path, GOLD_SCHEMA)
 
 
 def q_sink_report_roundtrip(spark, sf_dir):
@@ -316,6 +320,56 @@ def q_sink_report_roundtrip(spark, sf_dir):
     return flatten_report(spark.read.schema(report.schema).json(path))
 
 
+def q_sink_report_replay(spark, sf_dir):
+    """The run report appended twice by one run (a retried driver) and once by the next."""
+    path = scratch_path(spark, "report")
+    summary, verdict_rows, type_client = _report_inputs(spark, sf_dir)
+    for run in (RUN, RUN, replace(RUN, application_id="run-0002")):
+        report = run_report(spark, summary, verdict_rows, type_client, run)
+        append_report(report, path, run_key=f"{run.application_id}:{RUN_DATE}")
+    return flatten_report(spark.read.schema(report.schema).json(path))
+
+
+def q_sink_dated_roundtrip(spark, sf_dir):
+    """All deduplicated rows as a backfill, each under its own review month, read back."""
+    path = scratch_path(spark, "dated")
+    month = "coalesce(regexp_replace(regexp_extract(iso_date, '^[0-9]{4}-[0-9]{2}', 0), '-', ''), '') AS month"
+    dated = deduped(spark, sf_dir).selectExpr("*", month).selectExpr("*", "if(month = '', '19700101', concat(month, '01')) AS odate")
+    write_dated_parquet(dated.drop("month"), path)
+    return read_partitioned_parquet(spark, path).select("id", "app", "app_source", "iso_date", "odate")
+
+
+# -- history, a day at a time -------------------------------------------------------
+# Load dates up to this one are the first day's feeds, later ones the second's.
+FIRST_DAY = "20240315"
+# Buckets of the queries' stores.
+QUERY_BUCKETS = 8
+
+
+def _two_days(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    feeds = derived_feeds(spark, sf_dir)
+    return [
+        harmonize_all({name: df.where(when(load_date_of(name))) for name, df in feeds.items()})
+        for when in (lambda d: d <= FIRST_DAY, lambda d: d > FIRST_DAY)
+    ]
+
+
+def q_incremental_dedup(spark, sf_dir):
+    """Survivors of two days, merged one after the other: the dedup of both together."""
+    store = SurvivorStore(spark, scratch_path(spark, "survivors"), QUERY_BUCKETS)
+    for day in _two_days(spark, sf_dir):
+        store.merge(day)
+    return store.read()
+
+
+def q_incremental_changes(spark, sf_dir):
+    """What the second day does to the keys of the first."""
+    store = SurvivorStore(spark, scratch_path(spark, "survivors"), QUERY_BUCKETS)
+    first, second = _two_days(spark, sf_dir)
+    store.merge(first)
+    return store.changes(second)
+
+
 def _history_out(df: DataFrame) -> DataFrame:
     return df.select(
         "title", "snippet", "app_source", "app", "segmento", "rating",
@@ -342,14 +396,24 @@ def q_pipeline_gold(spark, sf_dir):
     return read_partitioned_parquet(spark, pipeline_run(spark, sf_dir).targets.gold)
 
 
+def q_pipeline_incremental(spark, sf_dir):
+    """Gold of the second of two daily runs, each given only its own day's feeds."""
+    base, days = scratch_path(spark, "incremental"), derived_feeds(spark, sf_dir)
+    for date, when in (("20240430", lambda d: d <= FIRST_DAY), (RUN_DATE, lambda d: d > FIRST_DAY)):
+        feeds = {name: df.where(when(load_date_of(name))) for name, df in days.items()}
+        cfg = PipelineConfig(Targets.under(base), date, RUN, DATA_LEXICON, survivors=f"{base}/survivors", survivor_buckets=QUERY_BUCKETS)
+        run_pipeline(spark, feeds, cfg)
+    return read_partitioned_parquet(spark, cfg.targets.gold).where(F.col("odate") == RUN_DATE)
+
+
 def q_pipeline_outputs(spark, sf_dir):
     """Row counts of every published output of one run, by output name."""
     t = pipeline_run(spark, sf_dir).targets
     parts = [
         read_partitioned_parquet(spark, t.gold).select(F.lit("gold").alias("output")),
         read_partitioned_parquet(spark, t.invalid).select(F.lit("invalid").alias("output")),
-        spark.read.text(t.gold_documents).select(F.lit("gold_documents").alias("output")),
-        spark.read.text(t.history_documents).select(F.lit("history_documents").alias("output")),
+        spark.read.text(documents_path(spark, t.gold_documents)).select(F.lit("gold_documents").alias("output")),
+        spark.read.text(documents_path(spark, t.history_documents)).select(F.lit("history_documents").alias("output")),
         spark.read.text(t.report).select(F.lit("report").alias("output")),
     ]
     out = parts[0]
@@ -416,6 +480,11 @@ def queries() -> dict[str, Query]:
         "sink_json_roundtrip": q_sink_json_roundtrip,
         "sink_report_roundtrip": q_sink_report_roundtrip,
         "sink_history_roundtrip": q_sink_history_roundtrip,
+        "sink_report_replay": q_sink_report_replay,
+        "sink_dated_roundtrip": q_sink_dated_roundtrip,
+        "incremental_dedup": q_incremental_dedup,
+        "incremental_changes": q_incremental_changes,
+        "pipeline_incremental": q_pipeline_incremental,
         "pipeline_gold": q_pipeline_gold,
         "pipeline_outputs": q_pipeline_outputs,
         "pipeline_history": q_pipeline_history,

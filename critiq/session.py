@@ -110,37 +110,20 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target) and fs.delete(target, True))
 
 
-def replace_path(spark: SparkSession, source: str, target: str) -> None:
-    """Make ``source`` (a folder just written) the new ``target``.
-
-    The old target is renamed aside, ``source`` renamed in, and the old one deleted last. If the
-    second rename fails the old one is renamed back. The two renames are not one step: a
-    reader can find no target between them, and after a crash there the old
-    folder is still beside it, as ``<target>.__old-...``.
-    """
+def move_only_file(spark: SparkSession, folder: str, target: str) -> None:
+    """Move the one data file that a write left in ``folder`` to the path ``target``, in place of what is there."""
     jvm = spark.sparkContext._jvm
-    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
-    old = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.__old-{uuid.uuid4().hex[:12]}")
-    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    had = fs.exists(dst)
-    if had and not _renamed(fs, dst, old):
-        raise OSError(f"could not move {target} aside")
-    parent = dst.getParent()
-    try:
-        if parent is not None and not fs.exists(parent):
-            fs.mkdirs(parent)
-        if not _renamed(fs, src, dst):
-            raise OSError(f"could not move {source} to {target}")
-    except Exception:
-        if had:
-            fs.rename(old, dst)
-        raise
-    if had:
-        fs.delete(old, True)
-
-
-def _renamed(fs, source, target) -> bool:
-    return bool(fs.rename(source, target))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    source, goal = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(target)
+    fs = goal.getFileSystem(conf)
+    files = [s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-")]
+    if len(files) != 1:
+        raise OSError(f"{folder} holds {len(files)} data files, not one")
+    options = jvm.org.apache.hadoop.fs.Options.Rename
+    overwrite = spark.sparkContext._gateway.new_array(options, 1)
+    overwrite[0] = options.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    context.rename(fs.makeQualified(files[0]), fs.makeQualified(goal), overwrite)
 
 
 def rename_children(spark: SparkSession, folder: str, prefix: str, new_prefix: str) -> None:

@@ -16,8 +16,11 @@ from critiq.sources.feeds import (
 )
 from critiq.sources.sinks import (
     append_report,
+    documents_path,
+    read_documents,
     read_partitioned_parquet,
     stamp_run_date,
+    write_dated_parquet,
     write_documents,
     write_partitioned_parquet,
 )
@@ -31,13 +34,16 @@ __all__ = [
     "EmptyFeedsError",
     "FeedSpec",
     "append_report",
+    "documents_path",
     "feed_row_counts",
+    "read_documents",
     "read_feed",
     "read_feed_with_schema",
     "read_partitioned_parquet",
     "require_rows",
     "stamp_run_date",
     "with_provenance",
+    "write_dated_parquet",
     "write_documents",
     "write_partitioned_parquet",
 ]

@@ -5,15 +5,18 @@ Every write is a distributed Spark write; no row passes through the driver.
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from critiq.schema import PARTITION_COLUMN
-from critiq.session import remove_path, replace_path
+from critiq.session import move_only_file, remove_path
+from critiq.sources import versions
 
 log = logging.getLogger(__name__)
 
@@ -33,7 +36,8 @@ def write_partitioned_parquet(
     partition_column: str = PARTITION_COLUMN,
     compression: str = "snappy",
     empty: bool | None = None,
-    rebalance: bool = False,
+    rebalance: bool = True,
+    order: Sequence[Column] = (),
 ) -> bool:
     """Overwrite the ``<partition_column>=<run_date>`` partition under ``path``.
 
@@ -41,9 +45,8 @@ def write_partitioned_parquet(
     rerun of one day replaces only that day. An empty frame writes nothing and
     returns False; pass ``empty`` when the caller already knows the row count
     to skip the emptiness probe. ``rebalance`` lets AQE regroup the rows into
-    partitions of the advisory size before writing: use it for a sparse
-    subset of a large input, which would otherwise leave one small file per
-    input partition.
+    partitions of the advisory size before writing (small ones are joined, large ones split), so the day is not one small file
+    for each input partition. ``order`` sorts the rows of each file.
     """
     if not isinstance(df, DataFrame):
         raise TypeError(f"expected a DataFrame, got {type(df).__name__}")
@@ -55,17 +58,44 @@ def write_partitioned_parquet(
     if empty:
         log.warning("no %s rows to save at %s", label, path)
         return False
-    if rebalance:
-        stamped = stamped.hint("rebalance")
+    _write_partitions(stamped.hint("rebalance") if rebalance else stamped, path, partition_column, compression, order)
+    log.info("saved %s rows at %s", label, path)
+    return True
+
+
+def _write_partitions(
+    df: DataFrame, path: str, partition_column: str, compression: str, order: Sequence[Column]
+) -> None:
+    if order:
+        df = df.sortWithinPartitions(partition_column, *order)
     (
-        stamped.write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
         .partitionBy(partition_column)
         .parquet(path)
     )
-    log.info("saved %s rows at %s", label, path)
-    return True
+
+
+def write_dated_parquet(
+    df: DataFrame,
+    path: str,
+    partition_column: str = PARTITION_COLUMN,
+    compression: str = "snappy",
+    order: Sequence[Column] = (),
+) -> None:
+    """Overwrite the load dates that ``df`` holds (its ``partition_column``), each in files of the advisory size.
+
+    A backfill of many days: rows are dealt by date, AQE joins the small dates' shuffle partitions and splits those of a date
+    that holds more than the advisory size, so a hot date becomes several files written by
+    several tasks, and no date a file for each input partition. Rows without a date are refused (their folder would
+    not be read back as null).
+    """
+    if partition_column not in df.columns:
+        raise ValueError(f"no column {partition_column!r} to partition by")
+    dated = F.raise_error(F.lit(f"a row without {partition_column}"))
+    checked = df.withColumn(partition_column, F.coalesce(F.col(partition_column).cast("string"), dated))
+    _write_partitions(checked.hint("rebalance", partition_column), path, partition_column, compression, order)
 
 
 def read_partitioned_parquet(
@@ -91,10 +121,10 @@ def write_documents(df: DataFrame, path: str, empty: bool | None = None) -> bool
 
     Null fields are left out of each document; timestamps keep microseconds.
     An empty frame leaves the previous documents in place and returns False.
-    The new documents are written next to the collection first and swapped
-    in only when the write has succeeded, so a failed write leaves the
-    previous documents whole. The swap is two renames (``replace_path``); if the second
-    fails, the first is undone.
+    The collection is a versioned folder (``critiq.sources.versions``): the new documents are written to a version of
+    their own and become current in one step, when the write has succeeded. So readers (``read_documents``,
+    ``documents_path``) always find a whole collection, a failed write leaves the previous one, and one that
+    is being read stays until the swap after the next.
     """
     if empty is None:
         empty = df.isEmpty()
@@ -102,28 +132,35 @@ def write_documents(df: DataFrame, path: str, empty: bool | None = None) -> bool
         log.warning("collection %s not replaced: no rows", path)
         return False
     spark = df.sparkSession
-    staging = f"{path.rstrip('/')}.__writing-{uuid.uuid4().hex[:12]}"
+    number, _ = versions.current(spark, path)
+    version = versions.new_version(path)
     try:
         (
             df.write.mode("errorifexists")
             .option("ignoreNullFields", "true")
             .option("timestampFormat", DOCUMENT_TIMESTAMP_FORMAT)
-            .json(staging)
+            .json(version)
         )
+        versions.publish(spark, path, version.rsplit("/", 1)[1], number)
     except Exception:
-        remove_path(spark, staging)
-        raise
-    try:
-        replace_path(spark, staging, path)
-    except Exception:
-        remove_path(spark, staging)
+        remove_path(spark, version)
         raise
+    versions.clean(spark, path, lambda content: {content})
     return True
 
 
+def documents_path(spark, path: str) -> str:
+    """The folder of JSON lines that is the collection ``path`` now."""
+    _, version = versions.current(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no document collection at {path}")
+    return f"{path.rstrip('/')}/{version}"
+
+
 def read_documents(spark, path: str, schema) -> DataFrame:
     """Read a document collection back with its schema."""
-    return spark.read.schema(schema).option("timestampFormat", DOCUMENT_TIMESTAMP_FORMAT).json(path)
+    reader = spark.read.schema(schema).option("timestampFormat", DOCUMENT_TIMESTAMP_FORMAT)
+    return reader.json(documents_path(spark, path))
 
 
 # Columns that a report of each kind must have, and those that must not be null.
@@ -133,9 +170,12 @@ REPORT_COLUMNS = {
 }
 
 
-def append_report(df: DataFrame, path: str, kind: str = "success") -> None:
+def append_report(df: DataFrame, path: str, kind: str = "success", run_key: str | None = None) -> None:
     """Append a report document (one row) to a JSON-lines table.
 
+    ``run_key`` names the run (the daily job gives its application id and run date). A report of a run that
+    has one already takes its place, so a retried driver leaves one document: the file's name comes from the key, and
+    it gets there by one rename. Without a key every call adds a document.
     Refused: an unknown ``kind``, and a report that lacks one of its kind's columns or has null there.
     """
     if kind not in REPORT_COLUMNS:
@@ -146,4 +186,15 @@ def append_report(df: DataFrame, path: str, kind: str = "success") -> None:
         missing = [c for c in REPORT_COLUMNS[kind] if nulls[c] or not nulls["_rows"]]
     if missing:
         raise ValueError(f"incomplete {kind} report, nothing in: {', '.join(missing)}")
-    df.coalesce(1).write.mode("append").option("ignoreNullFields", "false").json(path)
+    whole = df.coalesce(1).write.option("ignoreNullFields", "false")
+    if run_key is None:
+        whole.mode("append").json(path)
+        return
+    spark = df.sparkSession
+    name = f"report-{hashlib.sha256(f'{kind}:{run_key}'.encode()).hexdigest()[:32]}.json"
+    draft = f"{path.rstrip('/')}/_draft-{uuid.uuid4().hex[:12]}"
+    try:
+        whole.json(draft)
+        move_only_file(spark, draft, f"{path.rstrip('/')}/{name}")
+    finally:
+        remove_path(spark, draft)

@@ -7,10 +7,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMOKE = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from critiq.session import build_session, shared_root

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMOKE
+from scales import SF_SMOKE
 from critiq import cli
 from critiq.plans import queries as Q
 from critiq.session import scratch_path

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
-from conftest import SF_ORACLE
+from scales import SF_ORACLE
 from critiq.plans import oracles, queries
 from oracle_compare import compare, duck
 

@@ -3,7 +3,7 @@
 
 import pytest
 
-from conftest import SF_SMOKE
+from scales import SF_SMOKE
 from critiq.plans import queries as Q
 from critiq.plans.pipeline import PipelineConfig, Targets, run_pipeline
 from critiq.session import scratch_path

@@ -3,7 +3,7 @@ tables, with the golden numbers FIXTURES.md records for sf0.01."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_ORACLE
+from scales import SF_ORACLE
 from critiq.operators import consolidate, dedup_by_key, gold_rollup, harmonize_all, validate_ingest
 from critiq.plans import queries as Q
 from critiq.plans.pipeline import PipelineConfig, Targets, run_pipeline

@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 from critiq.session import local_path, scratch_path
 from critiq.sources import (
     append_report,
+    documents_path,
+    read_documents,
     read_feed,
     read_feed_with_schema,
     read_partitioned_parquet,
     with_provenance,
+    write_dated_parquet,
     write_documents,
     write_partitioned_parquet,
 )
@@ -49,7 +52,7 @@ def test_documents_sink_keeps_old_documents_when_empty(spark):
     path = scratch_path(spark, "t_docs")
     assert write_documents(spark.createDataFrame([("a", None)], "x string, y string"), path)
     assert write_documents(frame(spark, 0, "x"), path) is False
-    lines = spark.read.text(path).collect()
+    lines = spark.read.text(documents_path(spark, path)).collect()
     assert [r[0] for r in lines] == ['{"x":"a"}']
 
 
@@ -128,41 +131,125 @@ def test_schema_scan_with_the_original_layout(spark):
 
 
 def test_failed_document_write_keeps_the_previous_documents(spark):
-    import glob
-
-    from critiq.session import local_path
-
     path = scratch_path(spark, "t_docs_fail")
     assert write_documents(spark.createDataFrame([("old",)], "x string"), path)
     broken = spark.range(3).selectExpr("CASE WHEN id = 2 THEN raise_error('boom') ELSE 'new' END AS x")
     with pytest.raises(Exception):
         write_documents(broken, path, empty=False)
-    assert [r[0] for r in spark.read.text(path).collect()] == ['{"x":"old"}']
-    assert glob.glob(local_path(path) + ".__writing-*") == []
+    assert [r[0] for r in spark.read.text(documents_path(spark, path)).collect()] == ['{"x":"old"}']
+    assert len(versions_of(path)) == 1
     assert write_documents(spark.createDataFrame([("new",)], "x string"), path)
-    assert [r[0] for r in spark.read.text(path).collect()] == ['{"x":"new"}']
+    assert [r[0] for r in spark.read.text(documents_path(spark, path)).collect()] == ['{"x":"new"}']
+
+
+def versions_of(path):
+    from critiq.session import local_path
 
+    return sorted(n for n in os.listdir(local_path(path)) if n.startswith("v-"))
 
-def test_failed_swap_keeps_the_previous_documents(spark, monkeypatch):
-    import glob
 
-    import critiq.session as session
+def test_failed_publish_keeps_the_previous_documents(spark, monkeypatch):
+    from critiq.sources import versions
 
     path = scratch_path(spark, "t_swap_fail")
     assert write_documents(spark.createDataFrame([("old",)], "x string"), path)
-    rename, calls = session._renamed, []
+    before = versions_of(path)
 
-    def second_fails(fs, source, target):
-        calls.append(1)
-        return rename(fs, source, target) if len(calls) == 1 else False
+    def fails(*_):
+        raise OSError("no rename today")
 
-    monkeypatch.setattr(session, "_renamed", second_fails)
+    monkeypatch.setattr(versions, "publish", fails)
     with pytest.raises(OSError):
         write_documents(spark.createDataFrame([("new",)], "x string"), path)
     monkeypatch.undo()
-    assert len(calls) == 2
-    assert [r[0] for r in spark.read.text(path).collect()] == ['{"x":"old"}']
-    assert glob.glob(session.local_path(path) + ".__*") == []
+    assert [r[0] for r in spark.read.text(documents_path(spark, path)).collect()] == ['{"x":"old"}']
+    assert versions_of(path) == before
+
+
+def test_readers_find_a_whole_collection_during_swaps(spark):
+    """A reader that loops while the collection is replaced sees every time one whole version, newer ones later."""
+    import threading
+
+    path = scratch_path(spark, "t_swap_loop")
+    n_rows, n_swaps = 50, 8
+
+    def docs(k):
+        return spark.range(n_rows).selectExpr(f"{k} AS k", "id")
+
+    write_documents(docs(0), path)
+    seen, errors, done = [], [], threading.Event()
+
+    def reader():
+        while not done.is_set():
+            try:
+                rows = read_documents(spark, path, docs(0).schema).collect()
+                assert len(rows) == n_rows and len({r["k"] for r in rows}) == 1
+                seen.append(rows[0]["k"])
+            except Exception as exc:  # noqa: BLE001 - shown below
+                errors.append(exc)
+
+    thread = threading.Thread(target=reader)
+    thread.start()
+    for k in range(1, n_swaps + 1):
+        write_documents(docs(k), path)
+    done.set()
+    thread.join()
+    assert not errors and seen == sorted(seen)
+    assert len(versions_of(path)) == 2  # the current one and the one before
+    with pytest.raises(FileNotFoundError):
+        documents_path(spark, scratch_path(spark, "t_nothing"))
+
+
+def test_two_publishers_collide(spark):
+    from critiq.sources import versions
+
+    path = scratch_path(spark, "t_conflict")
+    assert versions.current(spark, path) == (0, None)
+    assert versions.publish(spark, path, "one", 0) == 1
+    with pytest.raises(versions.PublishConflict):
+        versions.publish(spark, path, "two", 0)
+    assert versions.publish(spark, path, "two", 1) == 2
+    assert versions.current(spark, path) == (2, "two")
+
+
+def test_a_replayed_report_leaves_one_document(spark):
+    from critiq.plans.report import RunInfo, failure_report
+
+    path = scratch_path(spark, "t_replay")
+    for app, day, error in (("a", "20240101", "first"), ("a", "20240101", "again"), ("a", "20240102", "x"), ("b", "20240101", "y")):
+        append_report(failure_report(spark, error, RunInfo(application_id=app)), path, "failure", run_key=f"{app}:{day}")
+    append_report(failure_report(spark, "no key", RunInfo(application_id="c")), path, "failure")
+    assert sorted(r["error"] for r in spark.read.json(path).collect()) == ["again", "no key", "x", "y"]
+
+
+def test_files_have_the_advisory_size_whatever_the_skew(spark):
+    """A date that holds most rows is cut into several files, small ones are one file each, and no file but
+    a date's last is under half of the advisory size."""
+    from critiq.session import local_path
+
+    path = scratch_path(spark, "t_sized")
+    advisory = 1 << 20
+    # bytes that do not compress, nine tenths of the rows on one date
+    text = "concat_ws('', transform(sequence(1, 8), x -> sha2(cast(id * 10 + x as string), 512)))"
+    days = "CASE WHEN id % 10 > 0 THEN '20240101' ELSE concat('2024010', cast(2 + id % 7 as string)) END AS odate"
+    rows = spark.range(0, 20_000, 1, 40).selectExpr("id", f"{text} AS text", days)
+    saved = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(advisory))
+        write_dated_parquet(rows, path, order=[F.col("id")])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", saved)
+    sizes = {}
+    for folder in os.listdir(local_path(path)):
+        if folder.startswith("odate="):
+            inside = os.path.join(local_path(path), folder)
+            sizes[folder[6:]] = sorted(os.path.getsize(os.path.join(inside, f)) for f in os.listdir(inside) if f.endswith(".parquet"))
+    assert len(sizes) == 8 and len(sizes["20240101"]) > 4
+    assert all(len(files) == 1 for day, files in sizes.items() if day != "20240101")
+    assert sum(s < advisory // 2 for s in sizes["20240101"]) <= 1
+    assert read_partitioned_parquet(spark, path).count() == 20_000
+    with pytest.raises(Exception, match="a row without odate"):
+        write_dated_parquet(rows.withColumn("odate", F.lit(None).cast("string")), scratch_path(spark, "t_undated"))
 
 
 def test_failed_parquet_write_keeps_the_previous_day(spark):
