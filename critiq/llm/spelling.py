@@ -186,17 +186,17 @@ def near_words(spark: SparkSession, vocabulary: DataFrame) -> DataFrame:
         import pyarrow.compute as pc
 
         for batch in sorted_groups(batches, 4):
-            m, side, half, part = (batch.column(batch.schema.get_field_index(c)) for c in ("m", "side", "half", "part"))
-            m, side, part = np.asarray(m), np.asarray(side), np.asarray(part)
+            m, side, half, part, parts = (batch.column(batch.schema.get_field_index(c)) for c in ("m", "side", "half", "part", "parts"))
+            m, side, part, parts = (np.asarray(x) for x in (m, side, part, parts))
             other_half = np.asarray(pc.not_equal(half[1:], half[:-1]))
             new = (m[1:] != m[:-1]) | (side[1:] != side[:-1]) | (part[1:] != part[:-1]) | other_half
             group = np.r_[0, np.cumsum(new)]
             starts = np.r_[0, np.flatnonzero(new) + 1, len(group)]
             at = 0
-            while at < len(starts) - 1:  # as many whole groups as a block may hold, of one length and side
+            while at < len(starts) - 1:  # as many whole groups as a block may hold, of one length and side, or a part of a large one
                 a, upto = starts[at], at + 1
-                most = min(BLOCK_WORDS, max(1, BLOCK_LETTERS // int(m[a] + 1)))
-                while upto < len(starts) - 1 and starts[upto + 1] - a <= most and m[starts[upto]] == m[a] and side[starts[upto]] == side[a]:
+                most = min(BLOCK_WORDS, max(1, BLOCK_LETTERS // int(m[a] + 1))) if parts[a] == 1 else 0
+                while upto < len(starts) - 1 and starts[upto + 1] - a <= most and all(x[starts[upto]] == x[a] for x in (m, side, parts)):
                     upto += 1
                 b = starts[upto]
                 yield from _block(batch.slice(a, b - a), group[a:b] - group[a])
