@@ -11,18 +11,20 @@ A query scans the lists it probes block of columns by block. After d of D
 coordinates its partial distance, times D / d, estimates the whole; a candidate is
 abandoned as soon as that is so far above the limit that the hypothesis "it is
 nearer than the limit" fails (limit * (1 + epsilon / sqrt(d))^2). The limit is the k-th best
-distance within the sample, a bound on the final one; the sample's k nearest are results too, so a query
-never ends with fewer than k. Survivors get their exact product, in double precision on the original vectors.
+distance among the sample's rows in the lists that the query probes, a bound on the final one there. Survivors get
+their exact product, in double precision on the original vectors. All results come out of the lists: the sample is
+only used for centroids, limits and the number of lists.
 
 How many lists a query probes is measured on the sample: the fewest that hold
 ``target_recall`` of its true neighbours there. The sample is thinner than the table, so its
-neighbours are farther and the number is, if anything, too large.
+neighbours are farther and the number is, if anything, too large. A query whose lists hold fewer than k candidates
+probes on, nearest list first, until they do. One that the tests leave with fewer than there are
+is searched again without them.
 
 Defined cases: vectors that are null, zero, hold a null or non-finite component, or have another
 dimension than most vectors (of two equally frequent ones, the larger) take no part,
 neither do rows without vec_id; of rows that share a vec_id the smallest vector stands; ties go to the
-smaller vec_id; fewer than k candidates are all returned if their lists are probed, and all lists are
-while the table has no more than a sample's rows; an empty table gives an empty result; other columns are ignored.
+smaller vec_id; fewer than k candidates are all returned; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 from critiq.llm.common import staged
 
 K = 20
-MAX_LISTS = 1024
+MAX_LISTS = 4096
 #: Rows of the sample for each list, and the most numbers it may hold.
 SAMPLE_PER_LIST, SAMPLE_NUMBERS = 32, 1 << 23
 TARGET_RECALL = 0.97
@@ -59,9 +61,10 @@ class Index:
     centroids: np.ndarray  # rotated
     sample: np.ndarray  # vectors of the sample, original
     sample_ids: np.ndarray
+    sample_lists: np.ndarray
     norm: float
     probes: int
-    n: int
+    sizes: np.ndarray  # rows of each list
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
@@ -114,14 +117,15 @@ def build(spark: SparkSession, embeddings: DataFrame, k: int = K, target_recall:
         return None
     dim, n, norm = most["d"], most["n"], float(np.sqrt(most["square"]))
     rows = rows.where(F.size("embedding") == dim)
-    n_lists = int(min(MAX_LISTS, max(1, round(n**0.5))))
+    n_lists = int(min(MAX_LISTS, max(1, round(n**0.5)), max(1, SAMPLE_NUMBERS // (SAMPLE_PER_LIST * dim))))
     bound = max(n_lists, min(SAMPLE_PER_LIST * n_lists, SAMPLE_NUMBERS // dim))
     table = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(bound).toArrow()
     sample, ids = matrix(table["embedding"], dim), np.asarray(table["vec_id"])
     rotation = np.linalg.qr(np.random.default_rng(SEED).standard_normal((dim + 1, dim + 1)))[0]
     turned = augmented(sample, norm) @ rotation
     centroids = fit_centroids(turned, min(n_lists, len(sample)))
-    probes = len(centroids) if n <= bound else _probes(sample, turned, centroids, rotation, k, target_recall)
+    sample_lists = centroid_distances(turned, centroids).argmin(axis=1)
+    probes = _probes(sample, sample_lists, centroids, rotation, k, target_recall)
 
     def assign(batches):
         for batch in batches:
@@ -135,18 +139,23 @@ def build(spark: SparkSession, embeddings: DataFrame, k: int = K, target_recall:
     counts = counts.select(F.col("list").alias("l"), "rows", before.alias("before"))
     place = F.col("before") + F.pmod(F.xxhash64("vec_id"), F.col("rows"))
     vectors = listed.join(counts, F.col("list") == F.col("l")).select("vec_id", "embedding", "list", place.alias("place"))
-    return Index(vectors, rotation, centroids, sample, ids, norm, probes, n)
+    sizes = np.zeros(len(centroids), np.int64)
+    for r in listed.groupBy("list").count().collect():  # one row for each list
+        sizes[r["list"]] = r["count"]
+    return Index(vectors, rotation, centroids, sample, ids, sample_lists, norm, probes, sizes)
 
 
-def _probes(sample, turned, centroids, rotation, k, target) -> int:
+def _probes(sample, own, centroids, rotation, k, target) -> int:
     """The fewest lists in which queries out of the sample find ``target`` of their k nearest of it."""
+    k = min(k, len(sample) - 1)
+    if not k:
+        return 1
     asked = np.arange(min(256, len(sample)))
     products = sample[asked] @ sample.T
     products[asked, asked] = -np.inf
-    best = np.argpartition(-products, k, axis=1)[:, :k]
+    best = np.argpartition(-products, k - 1, axis=1)[:, :k]
     queries = np.hstack([sample[asked], np.zeros((len(asked), 1))]) @ rotation
     rank = centroid_distances(queries, centroids).argsort(axis=1).argsort(axis=1)
-    own = centroid_distances(turned, centroids).argmin(axis=1)
     needed = np.sort(np.take_along_axis(rank, own[best], axis=1).ravel())
     return int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))))]) + 1
 
@@ -179,92 +188,81 @@ def scan(queries: np.ndarray, blocks: list[np.ndarray], alive: np.ndarray, limit
     return out
 
 
+def probed(apart: np.ndarray, sizes: np.ndarray, probes: int, k: int) -> np.ndarray:
+    """For each query (rows of distances to centroids) the lists it probes, as flags: the ``probes`` nearest
+    that hold rows, and on until they hold more than ``k``."""
+    apart = np.where(sizes > 0, apart, np.inf)
+    order = apart.argsort(axis=1, kind="stable")
+    held = np.cumsum(sizes[order], axis=1)
+    enough = (held > k).argmax(axis=1) + 1
+    enough[held[:, -1] <= k] = len(sizes)
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(len(sizes))[None, :], axis=1)
+    return (rank < np.maximum(enough, probes)[:, None]) & (sizes > 0)
+
+
 def search(spark: SparkSession, index: Index | None, queries: DataFrame, k: int = K, epsilon: float = EPSILON) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of each of ``queries`` (query_id, embedding),
-    but for the row of that vec_id itself.
-
-    Vectors lie in chunks of about CHUNK_ROWS, several lists or part of one, and queries in chunks of
-    CHUNK_QUERIES; a task scans one by the other, so neither a long list nor many queries for it
-    are gathered. A query goes once to each chunk that has rows of a list it probes, and at most k rows
-    come back.
-    """
+    but for the row of that vec_id itself."""
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, rotation, centroids, probes = len(index.rotation) - 1, index.rotation, index.centroids, index.probes
-    ends = (
-        index.vectors.withColumn("chunk", F.floor(F.col("place") / CHUNK_ROWS))
-        .groupBy("list")
-        .agg(F.min("chunk").alias("a"), F.max("chunk").alias("b"))
-        .collect()
-    )  # one row for each list
-    first, last = np.zeros(len(centroids), np.int64), np.full(len(centroids), -1)
-    for r in ends:
-        first[r["list"]], last[r["list"]] = r["a"], r["b"]
-    sample = spark.sparkContext.broadcast((index.sample, index.sample_ids))
-    norm, n_chunks = index.norm, -(-index.n // CHUNK_ROWS)
+    dim, most = len(index.rotation) - 1, int(min(k, index.sizes.sum() - 1))
+    asked = queries.select("query_id", "embedding").where(F.size("embedding") == dim)
+    found = staged(spark, _scanned(spark, index, asked, k, epsilon), "neighbours")
+    counts = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("found"))
+    few = asked.join(counts, "query_id", "left").where(F.coalesce("found", F.lit(0)) < most).select("query_id", "embedding")
+    few = staged(spark, few, "open-queries")
+    if not few.isEmpty():  # tests that went wrong; all distances are worked out
+        found = found.unionByName(_scanned(spark, index, few, k, None)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+
+
+def _scanned(spark: SparkSession, index: Index, asked: DataFrame, k: int, epsilon: float | None) -> DataFrame:
+    """``RESULT``: at most k rows for each query and chunk. Without ``epsilon`` there is no limit.
+
+    Vectors lie in chunks of about CHUNK_ROWS, several lists or part of one. A query goes once to each chunk
+    that has rows of a list it probes; the chunk is loaded once and goes through its queries in blocks. A chunk with more
+    than CHUNK_QUERIES queries is copied, once for each part of them, and no other one is: what is sent is
+    in proportion to the queries and the lists they probe.
+    """
+    dim, rotation, centroids, sizes, norm = len(index.rotation) - 1, index.rotation, index.centroids, index.sizes, index.norm
+    probes, n_chunks = index.probes, -(-int(sizes.sum()) // CHUNK_ROWS)
+    last = np.cumsum(sizes)  # lists lie end to end
+    first = (last - sizes) // CHUNK_ROWS
+    last = np.maximum(last - 1, 0) // CHUNK_ROWS
+    sample = spark.sparkContext.broadcast((index.sample, index.sample_ids, index.sample_lists))
 
     def probe(batches):
-        points, ids = sample.value
+        points, ids, lists = sample.value
         for batch in batches:
             own, vectors = np.asarray(batch.column(0)), matrix(batch.column(1), dim)
-            out = [], [], [], []
-            for i in range(0, len(own), 256):  # bounded: 256 queries by the sample
-                q, name = vectors[i : i + 256], own[i : i + 256]
+            rows, worst, chunks = [], [], []
+            for i in range(0, len(own), QUERY_ROWS):  # bounded: so many queries by the sample
+                q, name = vectors[i : i + QUERY_ROWS], own[i : i + QUERY_ROWS]
+                hit = probed(centroid_distances(np.hstack([q, np.zeros((len(q), 1))]) @ rotation, centroids), sizes, probes, k)
                 products = q @ points.T
-                products[name[:, None] == ids] = -np.inf
-                worst = np.partition(products, -k, axis=1)[:, -k] if products.shape[1] >= k else np.full(len(q), -np.inf)
-                apart = centroid_distances(np.hstack([q, np.zeros((len(q), 1))]) @ rotation, centroids)
-                reach = np.partition(apart, probes - 1, axis=1)[:, probes - 1]
+                products[(name[:, None] == ids) | ~hit[:, lists]] = -np.inf
+                least = np.partition(products, -k, axis=1)[:, -k] if products.shape[1] >= k else np.full(len(q), -np.inf)
                 for j in range(len(q)):
-                    hit = np.flatnonzero((apart[j] <= reach[j]) & (last >= 0))
-                    ends_of = np.zeros(n_chunks + 1, np.int64)
-                    np.add.at(ends_of, first[hit], 1)
-                    np.add.at(ends_of, last[hit] + 1, -1)
-                    chunks = np.flatnonzero(np.cumsum(ends_of)[:n_chunks])
-                    for column, value in zip(out, (i + j, worst[j], reach[j], chunks), strict=True):
-                        column.append(value)
-            many = [len(c) for c in out[3]]
-            pick = pa.array(np.repeat(np.array(out[0], np.int64), many))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pick),
-                    batch.column(1).take(pick),
-                    pa.array(np.repeat(np.array(out[1], float), many)),
-                    pa.array(np.repeat(np.array(out[2], float), many)),
-                    pa.array(np.concatenate([*out[3], np.empty(0, np.int64)]).astype(np.int64)),
-                ],
-                ["query_id", "embedding", "worst", "reach", "chunk"],
-            )
-
-    def of_sample(batches):
-        points, ids = sample.value
-        for batch in batches:
-            out = [], [], []
-            names, vectors = np.asarray(batch.column(0)), matrix(batch.column(1), dim)
-            for i in range(0, len(names), QUERY_ROWS):
-                products = vectors[i : i + QUERY_ROWS] @ points.T
-                products[names[i : i + QUERY_ROWS, None] == ids] = -np.inf
-                few = min(k + 12, len(ids)) - 1
-                near = np.argpartition(-products, few, axis=1)[:, : few + 1]
-                for name, q, some in zip(names[i : i + QUERY_ROWS], vectors[i : i + QUERY_ROWS], near, strict=True):
-                    some = some[ids[some] != name]
-                    score = (points[some] * q).sum(axis=1)
-                    best = np.lexsort((ids[some], -score))[:k]
-                    for column, value in zip(out, (np.full(len(best), name), ids[some][best], score[best]), strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([*c, np.empty(0, t)]).astype(t)) for c, t in zip(out, (np.int64, np.int64, float), strict=True)],
-                ["query_id", "vec_id", "score"],
-            )
-
-    asked = queries.select("query_id", "embedding").where(F.size("embedding") == dim)
-    seen = asked.mapInArrow(of_sample, RESULT)
-    blocks_of = -(-asked.count() // CHUNK_QUERIES)
-    asked = asked.mapInArrow(probe, "query_id long, embedding array<double>, worst double, reach double, chunk long")
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(max(1, blocks_of))))
-    stored = index.vectors.withColumn("chunk", F.floor(F.col("place") / CHUNK_ROWS)).withColumn(
-        "part", F.explode(F.expr(f"sequence(0L, {max(1, blocks_of) - 1}L)"))
-    )
+                    edges = np.zeros(n_chunks + 1, np.int64)
+                    np.add.at(edges, first[hit[j]], 1)
+                    np.add.at(edges, last[hit[j]] + 1, -1)
+                    some = np.flatnonzero(np.cumsum(edges)[:n_chunks])
+                    rows.append(np.full(len(some), i + j))
+                    worst.append(np.full(len(some), least[j] if epsilon is not None else -np.inf))
+                    chunks.append(some)
+            pick = pa.array(np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64))
+            columns = [batch.column(0).take(pick), batch.column(1).take(pick), pa.array(np.concatenate([*worst, np.empty(0)]))]
+            columns.append(pa.array(np.concatenate([*chunks, np.empty(0, np.int64)]).astype(np.int64)))
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "embedding", "worst", "chunk"])
+
+    asked = staged(spark, asked.mapInArrow(probe, "query_id long, embedding array<double>, worst double, chunk long"), "probes")
+    parts = asked.groupBy("chunk").agg(F.ceil(F.count("*") / CHUNK_QUERIES).cast("long").alias("parts"))
+    parts = staged(spark, parts, "chunk-parts").withColumnRenamed("chunk", "c")
+    asked = asked.join(parts, F.col("chunk") == F.col("c")).withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("parts")))
+    stored = index.vectors.withColumn("chunk", F.floor(F.col("place") / CHUNK_ROWS)).join(parts, F.col("chunk") == F.col("c"))
+    stored = stored.withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
 
     def near(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [], [], []
@@ -276,13 +274,13 @@ def search(spark: SparkSession, index: Index | None, queries: DataFrame, k: int
             blocks = [np.ascontiguousarray(turned[:, c : c + BLOCK_COLUMNS]) for c in range(0, dim + 1, BLOCK_COLUMNS)]
             asked = matrix(right["embedding"], dim)
             rotated = np.hstack([asked, np.zeros((len(asked), 1))]) @ rotation
-            apart = centroid_distances(rotated, centroids)
-            names, worst, reach = (np.asarray(right[c]) for c in ("query_id", "worst", "reach"))
+            names, worst = np.asarray(right["query_id"]), np.asarray(right["worst"])
             limits = norm**2 + (asked**2).sum(axis=1) - 2 * worst  # infinite without k rows in the sample
             for i in range(0, len(asked), QUERY_ROWS):
                 part = slice(i, i + QUERY_ROWS)
-                alive = (apart[part] <= reach[part, None] + 1e-9)[:, own] & (names[part, None] != ids)
-                alive = scan(rotated[part].astype(np.float32), blocks, alive, limits[part], epsilon)
+                alive = probed(centroid_distances(rotated[part], centroids), sizes, probes, k)[:, own] & (names[part, None] != ids)
+                if epsilon is not None:
+                    alive = scan(rotated[part].astype(np.float32), blocks, alive, limits[part], epsilon)
                 for j, rows in enumerate(map(np.flatnonzero, alive), i):
                     score = (vectors[rows] * asked[j]).sum(axis=1)
                     best = np.lexsort((ids[rows], -score))[:k]
@@ -291,15 +289,12 @@ def search(spark: SparkSession, index: Index | None, queries: DataFrame, k: int
         columns = [np.concatenate([*c, np.empty(0, t)]).astype(t) for c, t in zip(out, (np.int64, np.int64, float), strict=True)]
         return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
-    found = (
+    return (
         stored.select("chunk", "part", "vec_id", "list", "embedding")
         .groupBy("chunk", "part")
-        .cogroup(asked.groupBy("chunk", "part"))
+        .cogroup(asked.select("chunk", "part", "query_id", "embedding", "worst").groupBy("chunk", "part"))
         .applyInArrow(near, RESULT)
     )
-    found = found.union(seen).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
 
 
 def nearest(spark: SparkSession, embeddings: DataFrame, every: int = 20, k: int = K, **how) -> DataFrame:
