@@ -40,7 +40,7 @@ CAPACITY = 4096
 END_ID = 1
 #: Words after which a task's memory of ids starts a new generation (it keeps two), and the
 #: longest word it remembers.
-CACHED_WORDS, CACHED_BYTES = 40_000, 48
+CACHED_WORDS, CACHED_BYTES = 160_000, 48
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
@@ -59,7 +59,7 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-def word_encoder(tokenizer_path: str):
+def word_encoder(tokenizer_path: str, cached_words: int = CACHED_WORDS):
     """ids of a UTF-8 text as little-endian unsigned 32-bit bytes.
 
     For tokenizers that drop white space, so that a text's ids are its words' ids in a row. A word of
@@ -105,9 +105,9 @@ def word_encoder(tokenizer_path: str):
 
     def look_up(words: set[bytes]) -> dict[bytes, bytes]:
         nonlocal young, old, parts
-        if len(young) > CACHED_WORDS:
+        if len(young) > cached_words:
             young, old = {}, young
-        if len(parts) > CACHED_WORDS:
+        if len(parts) > cached_words:
             parts = {}
         out, rest = {}, []
         for w in words:
@@ -133,7 +133,7 @@ def word_encoder(tokenizer_path: str):
 
 
 def token_pieces(
-    documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID
+    documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, cached_words: int = CACHED_WORDS
 ) -> DataFrame:
     """One row (``PIECES``) for each piece. ``nth`` numbers the pieces of one length in one ``task``."""
 
@@ -145,7 +145,7 @@ def token_pieces(
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        ids = per_worker(f"ids {tokenizer_path}", lambda: word_encoder(tokenizer_path))
+        ids = per_worker(f"ids {tokenizer_path}", lambda: word_encoder(tokenizer_path, cached_words))
         end = np.array([end_id], "<u4").tobytes()
         task, seen = TaskContext.get().partitionId(), Counter()
         for batch in pieces(batches):
@@ -157,7 +157,8 @@ def token_pieces(
                     length = len(piece) // 4
                     rows.append((doc_id, k, at // 4, length, zlib.crc32(piece), task, seen[length]))
                     seen[length] += 1
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+            columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     names = [f.split()[0] for f in PIECES.split(", ")]
     kinds = {"long": pa.int64(), "int": pa.int32()}
@@ -294,6 +295,7 @@ def pack(
     tokenizer_path: str | None = None,
     capacity: int = CAPACITY,
     end_id: int = END_ID,
+    cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` for every piece.
 
@@ -306,13 +308,14 @@ def pack(
     or not, are packed each on its own; an empty table gives an empty result; other
     columns are ignored; texts of any length are cut into pieces.
     """
-    pieces = staged(spark, token_pieces(documents, tokenizer_path or default_tokenizer(), capacity, end_id), "pieces")
+    pieces = staged(spark, token_pieces(documents, tokenizer_path or default_tokenizer(), capacity, end_id, cached_words), "pieces")
     by_task = staged(spark, pieces.groupBy("task", "length").agg(F.count("*").alias("n")), "piece-counts")
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = Plan(counts, capacity).run()
     earlier = W.partitionBy("length").orderBy("task").rowsBetween(W.unboundedPreceding, -1)
     before = by_task.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = pieces.join(before, ["task", "length"])
+    # one row for each task and length: it grows with the input, so it is never broadcast, however small its file
+    ranked = pieces.join(before.hint("merge"), ["task", "length"])
     rows = np.array(sorted(plan.rows), np.int64).reshape(-1, 6)
     places = spark.sparkContext.broadcast(rows)
 
