@@ -22,10 +22,10 @@ a document with a smaller doc_id or earlier in the same one. Strings are judged
    no task holds such a group.
 3. *Spans.* The repeated starts of a document are joined to its text.
 
-Defined cases: null and empty texts, and texts under ``length`` bytes, lose nothing; documents with a null
-doc_id lose nothing and are not counted as earlier places; documents that share a doc_id are the
-same document listed again, with the same places, and lose the same bytes; an empty table gives an empty
-result; texts of any length are taken whole; other columns are ignored.
+Defined cases: null and empty texts, and texts under ``length`` bytes, lose nothing; documents without a
+doc_id have no place in the order: each is compared with itself alone; rows that share a doc_id and a text are the same document
+listed again and lose the same bytes; different texts that share a doc_id are parts of one document, in the order of
+their hashes, without strings that cross from one to the next; an empty table gives an empty result; texts of any length are taken whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,6 +45,8 @@ ANCHOR = 32
 CHUNK_BYTES, SHARD_BYTES = 1 << 24, 1 << 20
 #: Shards of one group that are merged in its task.
 MOST_SHARDS = 8
+#: A start holds the number of the text among those that share its doc_id above so many bits.
+PART_BITS = 40
 #: Bits of the map that says which documents' texts are wanted.
 MAP_BITS = 24
 
@@ -92,19 +94,18 @@ def snippets(text: bytes, length: int = LENGTH, block: int = 1 << 20) -> tuple[n
 def merged(doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ranges of starts, sorted and with those that touch put together."""
     order = np.lexsort((start, doc))
-    doc, start, n = doc[order], start[order], n[order]
+    doc, whole, n = doc[order], start[order], n[order]
     if not len(doc):
-        return doc, start, n
-    key = np.flatnonzero(doc[1:] != doc[:-1]) + 1
-    group = np.zeros(len(doc), np.int64)
-    group[key] = 1
-    group = np.cumsum(group)
+        return doc, whole, n
+    start = whole & ((1 << PART_BITS) - 1)
+    other = (doc[1:] != doc[:-1]) | (whole[1:] >> PART_BITS != whole[:-1] >> PART_BITS)
+    group = np.r_[0, np.cumsum(other)]
     span = int((start + n).max()) + 1
     end = np.maximum.accumulate(start + n + group * span) - group * span
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] > end[:-1])]
+    new = np.r_[True, other | (start[1:] > end[:-1])]
     at = np.flatnonzero(new)
     last = np.r_[at[1:], len(doc)] - 1
-    return doc[at], start[at], end[last] - start[at]
+    return doc[at], whole[at], end[last] - start[at]
 
 
 #: kind 0: a snippet to compare; kind 1: starts found repeated.
@@ -136,13 +137,13 @@ def _snippet_rows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
 
     held, size = [], 0
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
+        for doc, part, text in zip(*(c.to_pylist() for c in batch.columns[:2]), text_bytes(batch.column(2)), strict=True):
             h, start, n = snippets(text or b"", length)
             if not len(h):
                 continue
             digest, ends = xxhash.xxh3_64_intdigest, (start + n + length - 1).tolist()
             same = np.array([digest(text[a:b]) for a, b in zip(start.tolist(), ends, strict=True)], np.uint64)
-            held.append((h, n, same, np.full(len(h), doc), start))
+            held.append((h, n, same, np.full(len(h), doc), start + (part << PART_BITS)))
             size += len(text)
             if size >= CHUNK_BYTES:
                 yield settled(held)
@@ -400,9 +401,26 @@ def _only_marked(spark: SparkSession, rows: DataFrame, ids: DataFrame) -> DataFr
     return rows.withColumn("_place", place).mapInArrow(keep, rows.schema)
 
 
-def repeated_starts(spark: SparkSession, documents: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc, start, n``: runs of n consecutive starts of strings that also start earlier."""
-    own = documents.select(F.col("doc_id").cast("long").alias("doc"), "text").where("doc is not null")
+def numbered(documents: DataFrame) -> DataFrame:
+    """``doc, part, text`` of every row: part numbers the different texts of a doc_id (0 if there is one).
+
+    Which ids have several is found with narrow rows; mostly none have, and texts are not shuffled.
+    """
+    own = documents.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    hashes = own.where("doc is not null and text is not null").select("doc", F.xxhash64("text").alias("th"))
+    several = hashes.groupBy("doc").agg(F.min("th").alias("low"), F.max("th").alias("high")).where("low != high")
+    if several.isEmpty():
+        return own.select("doc", F.lit(0).cast("long").alias("part"), "text")
+    parts = hashes.join(several.select("doc"), "doc", "left_semi").distinct()
+    nth = (F.row_number().over(Window.partitionBy("doc").orderBy("th")) - 1).cast("long")
+    parts = parts.select(F.col("doc").alias("in_doc"), F.col("th").alias("of_text"), nth.alias("nth"))
+    joined = own.join(parts, (F.col("doc") == F.col("in_doc")) & (F.xxhash64("text") == F.col("of_text")), "left")
+    return joined.select("doc", F.coalesce("nth", F.lit(0)).alias("part"), "text")
+
+
+def repeated_starts(spark: SparkSession, rows: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``doc, start, n``: runs of n consecutive starts of strings that also start earlier, in rows (doc, part, text)."""
+    own = rows.where("doc is not null")
     n_parts, order = shuffle_partitions(spark), ["h", "n", "same", "doc", "start"]
     compared = staged(
         spark,
@@ -422,7 +440,10 @@ def repeated_starts(spark: SparkSession, documents: DataFrame, length: int = LEN
 
         for batch in batches:
             rows = []
-            for doc, text, places in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            columns = batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), batch.column(3).to_pylist()
+            for doc, part, text, places in zip(*columns, strict=True):
+                base = part << PART_BITS
+                places = [{"start": p["start"] - base, "n": p["n"]} for p in places if p["start"] >> PART_BITS == part] if text else []
                 anchors = _anchor_places(text, places, length)
                 for place, anchor in zip(places, anchors, strict=True):
                     a, b = place["start"], place["start"] + place["n"]
@@ -430,14 +451,15 @@ def repeated_starts(spark: SparkSession, documents: DataFrame, length: int = LEN
                     middle = min(max(a, anchor - (length - side)), b)
                     for s, e, near in ((middle, b, text[anchor : anchor + side]), (a, middle, text[anchor + ANCHOR - side : anchor + ANCHOR])):
                         if s < e:
-                            rows.append((xxhash.xxh64_intdigest(near, 1) >> 1, doc, s, e - s, text[s : e - 1 + length]))
+                            rows.append((xxhash.xxh64_intdigest(near, 1) >> 1, doc, s + base, e - s, text[s : e - 1 + length]))
             columns = list(zip(*rows, strict=True)) or [()] * 5
             kinds = [pa.int64()] * 4 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "doc", "start", "n", "piece"])
 
     pieces = (
         texts.join(wanted, F.col("doc") == F.col("in_doc"))
-        .select("doc", "text", "wanted")
+        .select("doc", "part", "text", "wanted")
+        .where(F.octet_length("text") >= length)  # shorter rows of the same doc_id have no strings
         .mapInArrow(cut, "key long, doc long, start long, n long, piece binary")
         .repartition(n_parts, "key")
         .sortWithinPartitions("key", "doc", "start")
@@ -462,21 +484,27 @@ def _anchor_places(text: bytes, places: list[dict], length: int) -> list[int]:
 
 def dedup_substrings(spark: SparkSession, documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every row of ``documents``."""
-    starts = staged(spark, repeated_starts(spark, documents, length), "repeated")
-    starts = starts.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("starts"))  # at most the document's strings
-    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    joined = own.join(starts, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "starts")
+    own = numbered(documents)
+    starts = staged(spark, repeated_starts(spark, own, length), "repeated").withColumnRenamed("doc", "in_doc")
+    starts = starts.groupBy("in_doc").agg(F.collect_list(F.struct("start", "n")).alias("starts"))  # at most the document's strings
+    joined = own.join(starts, F.col("doc") == F.col("in_doc"), "left").select("doc", "text", "starts", "part")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            runs = batch.column(2)
+            ids, runs, parts = batch.column(0), batch.column(2), batch.column(3).to_pylist()
             for i, text in enumerate(text_bytes(batch.column(1))):
                 text, own = text or b"", runs[i].values if runs[i].is_valid else None
-                if own is None or not len(own):
+                if not ids[i].is_valid and len(text) > length:  # compared with itself alone
+                    a = Shard([(0, 0, len(text) - length + 1, text)], length).repeated[1]
+                    n = np.ones(len(a), np.int64)
+                elif own is None or not len(own):
                     rows.append((len(text), 0, 0, text))
                     continue
-                a, n = np.asarray(own.field("start")), np.asarray(own.field("n"))
+                else:
+                    a, n = np.asarray(own.field("start")), np.asarray(own.field("n"))
+                    mine = a >> PART_BITS == parts[i]
+                    a, n = a[mine] - (parts[i] << PART_BITS), n[mine]
                 edge = np.zeros(len(text) + 1, np.int64)
                 inside = a < len(text)
                 np.add.at(edge, a[inside], 1)
