@@ -2,13 +2,13 @@
 
 Features are the distinct character n-grams of a lower-cased text, hashed into a fixed
 number of buckets. Over the training texts each bucket gets the ratio
-r = log((p / |p|) / (q / |q|)) of its smoothed document counts in toxic and in other
-texts. The buckets that tell the classes apart best are kept, and a logistic regression is
+r = log(((p + 1) / (P + 2)) / ((q + 1) / (Q + 2))): p of the P toxic and q of the Q other training texts
+have it. The buckets that tell the classes apart best are kept, and a logistic regression is
 trained on features of value r. A text's score is that regression's probability.
 
 Training uses a bounded sample, at most ``per_class`` labelled documents of each class, those
-with the smallest hash of their id; everything sent to the driver is bounded by it and by
-``n_features``. Scoring reads every text whole, in one narrow pass.
+with the smallest hash of their id, and one row of each (of rows that share a labelled id the text of the smallest hash). It is
+written once to the shared folder; what is sent to the driver are its rows' features and ``n_features`` buckets. Scoring reads every text whole, in one narrow pass.
 
 Defined cases: null and empty texts have no features and get the score of the intercept;
 a label row with a null id or label is no label, and a document labelled more than once is toxic if any
@@ -24,10 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from critiq.llm.common import text_bytes
+from critiq.llm.common import staged, text_bytes
 
 N_GRAMS = (3, 4, 5)
 BUCKET_BITS = 20
@@ -91,7 +91,7 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(documents: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
     """``text, toxic`` of at most per_class labelled documents of each class, none held out.
 
-    The chosen ids are at most 2 * per_class and so are broadcast: texts are not shuffled.
+    The chosen ids are at most 2 * per_class and so are broadcast; each task passes on one row of an id at most.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("labelled_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -103,7 +103,9 @@ def training_sample(documents: DataFrame, labels: DataFrame, per_class: int) ->
     order = [F.xxhash64(F.col("labelled_id")), F.col("labelled_id")]
     chosen = [known.where(F.col("toxic") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
     own = documents.select(F.col("doc_id").cast("long").alias("own_id"), "text")
-    return own.join(F.broadcast(chosen[0].union(chosen[1])), F.col("own_id") == F.col("labelled_id")).select("text", "toxic")
+    found = own.join(F.broadcast(chosen[0].union(chosen[1])), F.col("own_id") == F.col("labelled_id"))
+    nth = F.row_number().over(Window.partitionBy("own_id").orderBy(F.xxhash64("text"), "text"))
+    return found.withColumn("nth", nth).where("nth = 1").select("text", "toxic")
 
 
 def bucket_counts(sample: DataFrame) -> DataFrame:
@@ -151,7 +153,7 @@ def train(
     l2: float = 1e-4,
     steps: int = 300,
 ) -> Model:
-    sample = training_sample(documents, labels, per_class)
+    sample = staged(spark, training_sample(documents, labels, per_class), "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_other:
