@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from critiq.llm.common import n_words, staged
+from critiq.llm.common import WORD_PATTERN, n_words, staged
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
@@ -170,6 +170,7 @@ def mixed_documents(spark: SparkSession, documents: DataFrame, **how) -> DataFra
     cuts = cuts.select(F.col("source").alias("_mix_source"), "epochs", "below")
     cuts = cuts.withColumnsRenamed({"epochs": "_mix_epochs", "below": "_mix_below"})
     copies = F.col("_mix_epochs") + (doc_hash(documents["doc_id"]) < F.col("_mix_below")).cast("long")
+    copies = F.when(F.col("text").rlike(WORD_PATTERN), copies).otherwise(F.lit(0))  # without a word there is nothing to take
     joined = documents.join(cuts, documents["source"].eqNullSafe(F.col("_mix_source")), "left")
     repeated = joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.greatest(copies.cast("int"), F.lit(1)))))
     return repeated.where(copies >= F.col("_mix_copy")).select(*documents.columns)

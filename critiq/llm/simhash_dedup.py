@@ -27,11 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from critiq.llm.common import shuffle_partitions, sorted_groups, staged, text_bytes
 from critiq.llm.components import components
+from critiq.operators.repeats import marks, with_mark
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -205,18 +206,46 @@ def simhash_components(
     return rows.join(named, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
-def keep_first(spark: SparkSession, documents: DataFrame, **how) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all columns.
+def keep_first(
+    spark: SparkSession, documents: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """Exactly one document of each component, with all columns: the one with the smallest doc_id (rows without
+    one come last, ties go to the smallest text hash).
 
-    Rows without a doc_id cannot be told apart by one and all stay. Of rows that share a
-    kept doc_id, the one with the smallest text hash stays.
+    The decision is made on narrow rows (doc_id, text hash, fingerprint). Documents that go, and those listed
+    several times, are marked in a bit map of fixed size (``critiq.operators.repeats``), broadcast to the scan: a document without a mark stays and is
+    not shuffled. Only marked ones meet the exact decision in a join.
+
+    Defined cases: null and empty texts are one component; rows that share a doc_id are told apart by
+    their texts' 64-bit hashes, and rows equal in both count as one document listed again, of which one row
+    stays; an empty table gives an empty result.
     """
-    parts = simhash_components(spark, documents, **how)
-    kept = parts.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    own = F.col("doc_id").cast("long")
-    first = documents.where(own.isNotNull()).join(kept, own == F.col("kept_id"), "left_semi")
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy(own).orderBy(F.xxhash64("text"), "text"))
-    first = first.select("*", rank.alias("_nth_of_id")).where("_nth_of_id = 1").drop("_nth_of_id")
-    return first.unionByName(documents.where(own.isNull()))
+    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = np.array([fingerprint(t, shingle_words) for t in text_bytes(batch.column(1))], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(values.view(np.int64))], ["doc_id", "th", "fp"])
+
+    rows = own.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(each, "doc_id long, th long, fp long")
+    rows = staged(spark, rows.groupBy("doc_id", "th", "fp").agg(F.count("*").alias("n")), "simhash-rows")
+    fps = rows.select("fp").distinct()
+    parts = components(spark, fingerprint_links(spark, fps, max_bits))
+    rooted = rows.join(parts, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("component", "fp"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    first = rooted.groupBy(F.col("root").alias("r")).agg(F.min(order).alias("first"))
+    decided = rooted.join(first, F.col("root") == F.col("r")).select(
+        "doc_id", "th", "n", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))).alias("stays")
+    )
+    decided = staged(spark, decided, "simhash-decided")
+    key = "xxhash64(coalesce(cast({} as long), -1L), {} is null, {})"
+    asked = decided.where("not stays or n > 1").select(F.expr(key.format("doc_id", "doc_id", "th")).alias("h"))
+    doc_key = key.format("doc_id", "doc_id", "xxhash64(text)")
+    flagged = with_mark(documents, doc_key, marks(asked, "h"))
+    sure = flagged.where("not _marked").drop("_marked")
+    kept = decided.where("stays").select(F.col("doc_id").alias("_kept_id"), F.col("th").alias("_kept_th"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (F.xxhash64("text") == F.col("_kept_th"))
+    open_ = flagged.where("_marked").drop("_marked").join(kept, same)
+    nth = F.row_number().over(Window.partitionBy("_kept_id", "_kept_th").orderBy("_kept_th"))
+    open_ = open_.withColumn("_nth_of_row", nth).where("_nth_of_row = 1").drop("_nth_of_row", "_kept_id", "_kept_th")
+    return sure.unionByName(open_)

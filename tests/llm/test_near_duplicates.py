@@ -103,11 +103,33 @@ def test_simhash_on_odd_documents(spark, odd_documents):
     first = sh.keep_first(spark, odd_documents)
     assert first.columns == odd_documents.columns
     ids = [r.doc_id for r in first.select("doc_id").collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({c for c in of.values() if c is not None})
-    assert ids.count(None) == 2
+    assert None not in ids and sorted(ids) == sorted({c for c in of.values() if c is not None})
     assert sh.simhash_components(spark, odd_documents.limit(0)).count() == 0
 
 
+def test_one_document_of_each_component_stays(spark):
+    """Shared ids with different texts, copies without an id, and rows listed again."""
+    rng = random.Random(31)
+    a, b, c, d = (prose(rng, 80) for _ in range(4))
+    docs = [(1, a), (1, b), (2, a), (None, b), (None, c), (None, c), (3, c), (4, d), (4, d), (None, prose(rng, 70)), (5, None), (6, ""), (7, b)]
+    docs += [(20 + i, prose(rng, 60)) for i in range(30)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).selectExpr("*", "1 AS th", "'x' AS h", "2 AS n", "3 AS root")
+    got = sh.keep_first(spark, frame)
+    assert got.columns == frame.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    lone = docs[9]
+    assert kept == sorted([(1, a), (1, b), (3, c), (4, d), lone, (5, None), *docs[13:]], key=repr)
+    assert sh.keep_first(spark, frame.limit(0)).count() == 0
+
+
+def test_documents_that_stay_are_not_shuffled(spark):
+    rng = random.Random(32)
+    frame = spark.createDataFrame([(i, prose(rng, 60)) for i in range(50)] + [(100, None)], "doc_id long, text string")
+    plan = sh.keep_first(spark, frame)._jdf.queryExecution().optimizedPlan()
+    first = plan.children().apply(0).toString()  # the branch of documents without a mark
+    assert plan.nodeName() == "Union" and first.count("Join") == 1 and "broadcast" in first
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -229,12 +251,14 @@ def test_substrings_equal_brute_force(spark, monkeypatch, sizes):
     docs += [(300, None), (301, ""), (None, docs[0][1]), (5, docs[5][1])]
     rng.shuffle(docs)
     want = plain_substrings(docs, sd.LENGTH)
+    docs_of_null = {len((t or "").encode()): t for d, t in docs if d is None}
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     got = sd.dedup_substrings(spark, frame).collect()
     assert len(got) == len(docs)
     for r in got:
         if r.doc_id is None:
-            assert r.n_removed == 0
+            own = plain_substrings([(0, docs_of_null[r.n_bytes])], sd.LENGTH)[0]
+            assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == own
         else:
             assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id]
 
@@ -254,6 +278,45 @@ def test_suffix_array_and_common_prefixes():
             assert min(shared[i], depth) == min(m, depth)
 
 
+def substrings_of(spark, docs):
+    got = sd.dedup_substrings(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(2)).collect()
+    return sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got)
+
+
+def test_texts_that_share_an_id(spark):
+    """Null and short texts beside a long one; a passage at different places of two texts of one document."""
+    rng = random.Random(33)
+    passage, x, y, z = (prose(rng, n)[: 256 if n == 60 else 90] for n in (60, 20, 20, 20))
+    one, two = x + passage, y + z + passage
+    parts = plain_substrings([(1, one), (2, passage)], sd.LENGTH)
+    assert substrings_of(spark, [(1, one), (1, one), (2, passage)]) == sorted([(1, *parts[1])] * 2 + [(2, *parts[2])])
+    for other in (None, "short"):
+        empty = (0, 0, 0, b"") if other is None else (5, 0, 0, b"short")
+        assert substrings_of(spark, [(1, one), (1, other), (2, y + passage)]) == sorted(
+            [(1, *parts[1]), (1, *empty), (2, *plain_substrings([(1, one), (2, y + passage)], sd.LENGTH)[2])]
+        )
+    # one of the two keeps the passage, the other loses it, and nothing else goes
+    got = substrings_of(spark, [(1, one), (1, two), (3, x + z)])
+    either = []
+    for first, second in ((one, two), (two, one)):
+        want = plain_substrings([(1, first), (1.5, second), (3, x + z)], sd.LENGTH)
+        either.append(sorted([(1, *want[1]), (1, *want[1.5]), (3, *want[3])]))
+    assert got in either and either[0] != either[1]
+    # 100 and more texts of one document
+    many = [(1, prose(rng, 5) + passage + prose(rng, 5)) for _ in range(100)]
+    got = substrings_of(spark, many)
+    assert sum(r[2] == 0 for r in got) == 1 and all(r[2] >= 256 for r in got if r[2])
+
+
+def test_a_document_without_an_id_is_compared_with_itself(spark):
+    rng = random.Random(34)
+    passage = prose(rng, 60).replace("é", "e")[:256]
+    docs = [(None, passage + "x" + passage), (None, passage), (1, passage)]
+    got = {r[1]: r[2] for r in [(*r,) for r in map(lambda r: (r.doc_id, r.n_bytes, r.n_removed), sd.dedup_substrings(
+        spark, spark.createDataFrame(docs, "doc_id long, text string")).collect())]}
+    assert got == {513: 256, 256: 0}
+
+
 def test_substrings_on_odd_documents(spark, odd_documents):
     got = sd.dedup_substrings(spark, odd_documents).collect()
     assert len(got) == odd_documents.count()

@@ -316,3 +316,21 @@ def test_pipeline_stages_work_on_what_came_before(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_one_row_of_a_labelled_id_trains(spark):
+    """Rows that share a labelled id: the sample has as many rows as ids, whatever their number."""
+    docs = [(i % 2, f"text {i}") for i in range(3000)] + [(2, "other")]
+    documents = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(3)], "doc_id long, quality int, toxic int")
+    sample = toxicity.training_sample(documents, labels, 10)
+    held = {i for i in range(3) if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert sample.count() == len({0, 1, 2} - held)
+
+
+def test_texts_without_words_are_never_mixed_in(spark):
+    docs = [(i, None if i % 3 == 0 else " \n" if i % 3 == 1 else "a b c", "s") for i in range(300)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    mixed = mixing.mixed_documents(spark, frame)
+    assert mixed.columns == frame.columns
+    assert {r.text for r in mixed.select("text").distinct().collect()} == {"a b c"}
