@@ -40,7 +40,8 @@ def test_bands_reject_repetitive_and_incompressible_text_and_keep_prose():
 
     rng, compress = random.Random(2), zstandard.ZstdCompressor(level=3).compress
     noise = base64.b64encode(rng.randbytes(9000)).decode()
-    natural = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(3000))
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(800)]
+    natural = " ".join(rng.choice(vocabulary[: rng.randint(1, 800)]) for _ in range(4000))
     assert bands.compression_verdict(natural.encode(), compress)[0]
     assert not bands.compression_verdict(("the same words again " * 400).encode(), compress)[0]
     assert not bands.compression_verdict(noise.encode(), compress)[0]
@@ -164,3 +165,25 @@ def test_pack_round_trip(spark, odd_documents):
         assert ends <= 4096
     assert packing.pack(spark, odd_documents.limit(0)).count() == 0
 
+
+
+def test_noise_is_rejected_where_prose_is_clear_of_it():
+    import zstandard
+
+    compress = zstandard.ZstdCompressor(level=bands.LEVEL).compress
+    rng = random.Random(41)
+
+    def words(letters, n):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9))) for _ in range(n // 6))[:n].encode()
+
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    for noise, least in ((letters, 2500), (digits + "abcdef", 9000), (digits, 17_000), (letters + letters.upper() + digits + "+/", 700)):
+        for n in (least, 2 * least, 8 * least):
+            assert not bands.compression_verdict(words(noise, n), compress)[0], (noise, n)
+    # a quarter of noise within prose is found by its chunks
+    vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(900)]
+    prose_of = lambda n: " ".join(rng.choice(vocabulary[: rng.randint(1, 900)]) for _ in range(n // 5))[:n].encode()
+    for n in (300, 900, 3000, 6000, 12_000, 40_000):
+        assert bands.compression_verdict(prose_of(n), compress)[0], n
+    mixed = prose_of(16_384) + words(letters, 8192) + prose_of(8192)
+    assert not bands.compression_verdict(mixed, compress)[0]
