@@ -4,6 +4,7 @@ tables, with the golden numbers FIXTURES.md records for sf0.01."""
 from pyspark.sql import functions as F
 
 from scales import SF_ORACLE
+from critiq.sources import documents_path
 from critiq.operators import consolidate, dedup_by_key, gold_rollup, harmonize_all, validate_ingest
 from critiq.plans import queries as Q
 from critiq.plans.pipeline import PipelineConfig, Targets, run_pipeline
@@ -44,5 +45,5 @@ def test_end_to_end_rollup_and_publication(spark):
     result = run_pipeline(spark, derived_feeds(spark, SF_ORACLE), cfg)
     assert result.wrote_gold and result.wrote_invalid
     # both document collections were written (the original asserted two document-sink calls)
-    assert spark.read.json(cfg.targets.gold_documents).count() == 418
-    assert spark.read.json(cfg.targets.history_documents).count() == 10123
+    assert spark.read.json(documents_path(spark, cfg.targets.gold_documents)).count() == 418
+    assert spark.read.json(documents_path(spark, cfg.targets.history_documents)).count() == 10123
