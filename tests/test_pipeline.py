@@ -61,7 +61,7 @@ def test_rerun_of_the_same_day_is_stable(spark, run):
     before = rows(spark.read.parquet(cfg.targets.gold))
     run_pipeline(spark, derived_feeds(spark, SF_SMOKE), cfg)
     assert rows(spark.read.parquet(cfg.targets.gold)) == before
-    assert spark.read.json(cfg.targets.report).count() == 1  # the same run: its report is replaced  # the report is append-only
+    assert spark.read.json(cfg.targets.report).count() == 1  # the same run: its report is replaced
 
 
 def test_all_empty_feeds_fail_with_a_report(spark):
