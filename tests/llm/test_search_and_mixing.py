@@ -176,7 +176,7 @@ def test_mix_on_odd_documents(spark, odd_documents):
     assert all(r.taken <= 2 * r.size for r in got)
     taken = mixing.mixed_documents(spark, odd_documents)
     assert taken.columns == odd_documents.columns
-    assert taken.count() == sum(r.copies for r in got)
+    assert taken.count() == sum(r.copies for r in got if r.size)  # without words there is nothing to take
     assert mixing.mix(spark, odd_documents.limit(0)).count() == 0
     assert mixing.mixed_documents(spark, odd_documents.limit(0)).count() == 0
 
