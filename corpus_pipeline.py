@@ -38,7 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents and their places in sequences."""
-    return packing.pack(spark, docs)
+    # a smaller memory of words than packing alone takes: executors hold what earlier stages have left
+    return packing.pack(spark, docs, cached_words=160_000)
 
 
 STAGES: list[tuple[str, Stage]] = [
