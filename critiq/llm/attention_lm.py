@@ -2,31 +2,30 @@
 
 Text is lower-cased (A-Z), cut into words, and each word into the ids of a public tokenizer; a document ends with an end symbol.
 
-The model is one layer of masked self-attention with a feed-forward part (``Attention``). Its input are ids (frequent ones
-have a vector of their own), its output is a distribution over classes of ids: the most frequent ids are
-classes of their own, the rest is cut into classes of equal count, ids of like company (TOPICS) together. A word w with ids p1, p2, ... after a context has probability
+The model is one layer of masked self-attention with a feed-forward part (``Attention``). Its input are words, as the sum of the vectors
+of their first and last id (frequent ids have a vector of their own), its output is a distribution over classes of first ids: the most frequent are
+classes of their own, the rest is cut into classes of equal count, ids of like company (TOPICS) together. A word w with ids p1, ..., pk after a context has probability
 
-    P(class of p1 | context) * known * c(w) / C(class of p1)                     if the training texts have it, else
-    P(class of p1 | context) * (1 - known) * u(p1) * product over later pieces of P(class of p | context) * v(p)
+    P(class of p1 | context) * known * c(w) / C(class of p1)                      if the training texts have it, else
+    P(class of p1 | context) * (1 - known) * u(p1) * product over later pieces of (more * v(p)) * (1 - more)
 
-c(w) is the word's count in the training texts, C the count of words that begin with a class, u(p) and v(p) an id's share of its
-class among first and among later pieces, and 1 - known the share of tokens that are the only one of their word (Good-Turing: what a new token is unknown by). So the
-model says what kind of word follows, the counts which; unknown words are spelled. Word counts, class counts and shares come from
-all training texts. The network's weights are trained on one of every TRAIN_SHARE spans of SPAN_WORDS words (chosen by
-a hash of document and place), an amount that grows with the input.
+c(w) is the word's count in the training texts, C the count of words that begin with a class, u(p) an id's share of its
+class among first pieces, v(p) its share of all later pieces, more the share of pieces that another one follows, and 1 - known the share of tokens that are the only one
+of their word (Good-Turing: what a new token is unknown by). So the model says what kind of word follows, the counts which; unknown words are
+spelled. Counts, classes, shares and the network's weights all come from all training texts.
 
 On Spark:
 
 1. Documents are dealt into chunks of at most CHUNK_WORDS words (a longer document is a chunk). A chunk's rows: its documents
-   as codes of its own word list, that list with training counts (dealt into buckets by a hash of the word, one row each), and training windows.
+   as codes of its own word list, that list with training counts (dealt into buckets by a hash of the word, one row each), and groups of at most GROUP_WINDOWS
+   training windows, which together hold every training word once as what is to be said.
 2. Word lists are summed in their buckets, where each distinct word is tokenized once, and counts and ids of its words go back to each
    chunk; no vocabulary is broadcast or gathered. Counts of ids and classes have the tokenizer's size.
-3. Training: windows are dealt into groups of GROUP_WINDOWS. In each round every group goes on from the
+3. Training: one of ROUNDS parts of every group is a round's. In each round every group goes on from the
    same weights with its own windows (Adam), and the new weights are averaged by window counts, added up as integers, so
-   that their order does not matter. Only the average, of fixed size, comes to the driver.
-4. A chunk is scored with what came back: windows of WINDOW ids that overlap by OVERLAP, each token scored once, in the first window
-   that has it, with windows of like length in a batch. All ids are context (keys and values); queries and outputs are
-   worked out where a probability is wanted: at first pieces, and at later ones of unknown words.
+   that their order does not matter. Windows are never shuffled. Only the average, of fixed size, comes to the driver.
+4. A chunk is scored with what came back: windows of WINDOW words that overlap by OVERLAP, each token scored once, in the first window
+   that has it, with windows of like length in a batch.
 
 Defined cases: null and empty texts are the end symbol alone; documents that share a doc_id or have none are scored each on its
 own (without one: the hash of the empty text); a word that the tokenizer drops counts as one unknown id; without training texts counts are zero
@@ -52,15 +51,13 @@ HELD_OUT = 10
 START_ID, END_ID = 49406, 49407
 N_IDS = 49408
 CHUNK_WORDS = 1 << 21
-#: One of so many spans of words trains the weights.
-TRAIN_SHARE, SPAN_WORDS = 32, 48
 WINDOW, OVERLAP = 64, 8
 GROUP_WINDOWS, ROUNDS, BATCH, MIN_STEPS = 1 << 14, 4, 32, 96
-DIM, HEAD_CLASSES, CLASSES = 32, 64, 128
+DIM, HEAD_CLASSES, CLASSES = 16, 32, 64
 #: Groups of ids by the company they keep, and the ids whose company counts.
 TOPICS, MARKERS = 8, 48
 #: Ids with a vector of their own; the others have that of their class.
-OWN_ROWS = 4096
+OWN_ROWS = 2048
 RATE = 0.01
 #: Windows scored together.
 SCORE_BATCH = 64
@@ -68,11 +65,12 @@ SCORE_BATCH = 64
 SCALE, BLOCK = 20, 4096
 SEED = 11
 
+#: No id: after a window's end, and for the last id of a word that has one.
 PAD = 0xFFFF
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Buckets of words for each shuffle partition.
 BUCKETS = 8
-ROWS = "kind int, chunk long, bucket int, doc_id long, held_out boolean, size long, body binary, numbers binary, n long"
+ROWS = "kind int, chunk long, bucket int, doc_id long, held_out boolean, size long, body binary, numbers binary, n long, windows binary"
 REPLIES = "kind int, chunk long, n long, begin long, size long, body binary"
 
 
@@ -112,18 +110,23 @@ def word_ids(path: str):
     return ids
 
 
-def windows_of(ids: np.ndarray) -> Iterator[bytes]:
-    """``ids`` (the first one is context only) in rows of WINDOW + 1 ids, padded; rows share the id at their seam."""
-    for at in range(0, max(1, len(ids) - 1), WINDOW):
-        row = np.full(WINDOW + 1, PAD, "<u2")
-        part = ids[at : at + WINDOW + 1]
-        row[: len(part)] = part
-        yield row.tobytes()
+def windows_of(codes: list[np.ndarray], heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
+    """All words of documents (arrays of codes; ``heads`` and ``tails``: first and last ids of each code) and their end symbols in windows (n, 2, WINDOW + 1) of heads and
+    tails, padded. A window's first place is context only: the word before it, or the start symbol."""
+    size = np.array([len(c) + 2 for c in codes], np.int64)  # with start and end
+    every = np.concatenate([x for c in codes for x in ((len(heads),), c, (len(heads) + 1,))]).astype(np.int64)
+    both = np.stack([np.r_[heads, START_ID, END_ID][every], np.r_[tails, PAD, PAD][every]]).astype("<u2")
+    n = -(-(size - 1) // WINDOW)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    ends = np.cumsum(size)
+    at = np.repeat(ends - size, n)[:, None] + nth[:, None] * WINDOW + np.arange(WINDOW + 1)
+    inside = at < np.repeat(ends, n)[:, None]
+    return np.where(inside, both[:, np.minimum(at, len(every) - 1)], np.uint16(PAD)).transpose(1, 0, 2)
 
 
 def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
     """``ROWS``: documents (kind 0: codes of words, compressed), words by bucket (1: the words, compressed, their codes and training counts)
-    and training windows (2) of all chunks."""
+    and groups of training windows (2: how many, compressed, in a column of their own, so that a round of training reads no other) of all chunks."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
@@ -132,13 +135,12 @@ def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
 
         ids_of = per_worker(f"word ids {tokenizer}", lambda: word_ids(tokenizer))
         codec = pa.Codec("zstd", 1)
-        start, end = np.array([START_ID], "<u2"), np.array([END_ID], "<u2")
         schema = pa.schema(
             [("kind", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
-             ("size", pa.int64()), ("body", pa.binary()), ("numbers", pa.binary()), ("n", pa.int64())]
+             ("size", pa.int64()), ("body", pa.binary()), ("numbers", pa.binary()), ("n", pa.int64()), ("windows", pa.binary())]
         )
         chunk = TaskContext.get().partitionId() << 32
-        numbers, docs, spans, total = _Numbers(), [], [], 0
+        numbers, docs, total = _Numbers(), [], 0
 
         def table(kind: int, rows: int, **columns) -> pa.RecordBatch:
             given = {"kind": pa.array(np.full(rows, kind, np.int32)), "chunk": pa.array(np.full(rows, chunk, np.int64))} | columns
@@ -177,14 +179,19 @@ def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
                 1, len(some), bucket=pa.array(some, pa.int32()), size=pa.array(sizes, pa.int64()),
                 body=pa.array(lists, pa.binary()), numbers=pa.array(pairs, pa.binary()),
             )
-            used = sorted({w for before, span, _ in spans for w in (before, *span) if w is not None})
-            known = dict(zip(used, ids_of(used), strict=True)) | {None: start}
-            rows = []
-            for before, span, last in spans:
-                rows.extend(windows_of(np.concatenate([known[before][-1:], *(known[w] for w in span), *([end] if last else [])])))
-            for a in range(0, len(rows), 10_000):
-                part = rows[a : a + 10_000]
-                yield table(2, len(part), body=pa.array(part, pa.binary()), n=pa.array(np.arange(a, a + len(part))))
+            if all(held for _, held, _ in docs):
+                return
+            used = np.flatnonzero(n_train)
+            heads, tails = np.full(len(names), PAD, "<u2"), np.full(len(names), PAD, "<u2")
+            for i, ids in zip(used.tolist(), ids_of([names[i] for i in used.tolist()]), strict=True):
+                heads[i] = ids[0]
+                if len(ids) > 1:
+                    tails[i] = ids[-1]
+            windows = windows_of([codes for _, held, codes in docs if not held], heads, tails)
+            order = np.random.default_rng(SEED).permutation(len(windows))
+            for own in np.array_split(order, -(-len(order) // GROUP_WINDOWS)):
+                body = codec.compress(np.ascontiguousarray(windows[own]), asbytes=True)
+                yield table(2, 1, n=pa.array([len(own)], pa.int64()), windows=pa.array([body], pa.binary()))
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
@@ -192,42 +199,47 @@ def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
                 own = zlib.crc32(b"%d" % doc_id if doc_id is not None else b"")
                 held = own % HELD_OUT == 0
                 docs.append((doc_id, held, np.fromiter(map(numbers.__getitem__, words), "<u4", len(words))))
-                if not held:
-                    for k, at in enumerate(range(0, max(1, len(words)), SPAN_WORDS)):
-                        if zlib.crc32(b"%d" % k, own) % TRAIN_SHARE == 0:
-                            last = at + SPAN_WORDS >= len(words)
-                            spans.append((words[at - 1] if at else None, words[at : at + SPAN_WORDS], last))
                 total += len(words) + 1
                 if total >= CHUNK_WORDS:
                     yield from done()
                     chunk += 1
-                    numbers, docs, spans, total = _Numbers(), [], [], 0
+                    numbers, docs, total = _Numbers(), [], 0
         if docs:
             yield from done()
 
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(each, ROWS)
 
 
+def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The groups of windows (n, 2, WINDOW + 1) in rows (n, windows)."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        for n, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            raw = codec.decompress(body.as_buffer(), n * 4 * (WINDOW + 1), asbytes=True)
+            yield np.frombuffer(raw, "<u2").reshape(n, 2, WINDOW + 1)
+
+
 @dataclass(frozen=True)
 class Classes:
     of: np.ndarray  # class of each id
     first: np.ndarray  # log of an id's share of its class among ids that begin words
-    later: np.ndarray  # the same among other ids
-    row: np.ndarray  # input row of each id
+    later: np.ndarray  # log of its share of all other ids, and of that there is one more
+    row: np.ndarray  # input row of each id; PAD: of none
     prior: np.ndarray  # log share of each class
     begin: np.ndarray  # words that begin with each class
+    no_more: float  # log share of pieces that are their word's last
 
     def arrays(self) -> tuple:
         """What a broadcast carries: tasks need not be able to import this module."""
-        return self.of, self.first, self.later, self.row, self.prior, self.begin
+        return self.of, self.first, self.later, self.row, self.prior, self.begin, self.no_more
 
     @staticmethod
     def fit(counts: np.ndarray, starts: np.ndarray, topic: np.ndarray) -> Classes:
         """From the counts of ids, and of ids that begin words (the end symbol among both), and the ids' topics."""
-        weight = counts + 0.5
-        order = by_count(counts)
+        weight = starts + 0.5
+        order = by_count(starts)
         rank = np.empty(N_IDS, np.int64)
-        rank[order] = np.arange(N_IDS)
+        rank[by_count(counts)] = np.arange(N_IDS)
         order = np.r_[order[:HEAD_CLASSES], order[HEAD_CLASSES:][np.argsort(topic[order[HEAD_CLASSES:]], kind="stable")]]
         rest = weight[order[HEAD_CLASSES:]]
         n_bins = CLASSES - HEAD_CLASSES
@@ -235,12 +247,18 @@ class Classes:
         of = np.empty(N_IDS, np.int64)
         of[order] = np.r_[np.arange(HEAD_CLASSES), HEAD_CLASSES + bins]
         mass = np.maximum(np.bincount(of, weight, CLASSES), 1e-9)
+        first, later = starts + 0.25, counts - starts + 0.25
+        more = later.sum() / (later.sum() + first.sum())
+        row = np.full(PAD + 1, OWN_ROWS + CLASSES)
+        row[:N_IDS] = np.where(rank < OWN_ROWS, rank, OWN_ROWS + of)
         return Classes(
             of,
-            *(np.log(w / np.bincount(of, w, CLASSES)[of]).astype(np.float32) for w in (starts + 0.25, counts - starts + 0.25)),
-            np.where(rank < OWN_ROWS, rank, OWN_ROWS + of),
+            np.log(first / np.bincount(of, first, CLASSES)[of]).astype(np.float32),
+            np.log(more * later / later.sum()).astype(np.float32),
+            row,
             np.log(mass / mass.sum()).astype(np.float32),
             np.bincount(of, starts, CLASSES),
+            float(np.log(1 - more)),
         )
 
 
@@ -251,27 +269,23 @@ def by_count(counts: np.ndarray) -> np.ndarray:
 
 
 def company(windows: DataFrame, markers: np.ndarray) -> np.ndarray:
-    """How often each id is in a window with each of the ids ``markers``: a table of fixed size."""
+    """How often each id begins a word that follows one that begins with each of the ids ``markers``: a table of fixed size."""
     mark = np.full(1 << 16, len(markers))
     mark[markers] = np.arange(len(markers))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((1 << 16, len(markers)), np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                rows = np.frombuffer(b"".join(batch.column(0).slice(at, 1000).to_pylist()), "<u2").reshape(-1, WINDOW + 1)
-                held = np.zeros((len(rows), len(markers) + 1), np.int32)
-                np.add.at(held, (np.arange(len(rows))[:, None], mark[rows]), 1)
-                order = np.argsort(rows, axis=None, kind="stable")
-                ids = rows.ravel()[order]
-                first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-                sums[ids[first]] += np.add.reduceat(held[order // (WINDOW + 1), :-1], first, axis=0)
-        own = np.flatnonzero(sums[:N_IDS].any(axis=1))
+        sums = np.zeros(N_IDS * len(markers), np.int64)
+        for rows in opened(batches):
+            before, ids = mark[rows[:, 0, :-1]], rows[:, 0, 1:]
+            hit = (before < len(markers)) & (ids != PAD)
+            sums += np.bincount(ids[hit].astype(np.int64) * len(markers) + before[hit], minlength=len(sums))
+        sums = sums.reshape(N_IDS, len(markers))
+        own = np.flatnonzero(sums.any(axis=1))
         columns = [pa.array(own.astype(np.int32)), pa.array([sums[i].tobytes() for i in own], pa.binary()), pa.array(np.ones(len(own), np.int64))]
         yield pa.RecordBatch.from_arrays(columns, ["block", "sums", "n"])
 
     shape = "block int, sums binary, n long"
-    found = windows.select("body").mapInArrow(each, shape)
+    found = windows.mapInArrow(each, shape)
     found = found.repartition(shuffle_partitions(windows.sparkSession), "block").mapInArrow(_summed, shape)
     out = np.zeros((N_IDS, len(markers)))
     for r in found.collect():  # at most N_IDS rows
@@ -308,7 +322,7 @@ class Attention:
     """Causal self-attention with a feed-forward part; input rows of ids, logits of classes."""
 
     SHAPES = {
-        "rows": (OWN_ROWS + CLASSES, DIM), "places": (WINDOW, DIM), "q": (DIM, DIM), "k": (DIM, DIM), "v": (DIM, DIM), "o": (DIM, DIM),
+        "rows": (OWN_ROWS + CLASSES + 1, DIM), "places": (WINDOW, DIM), "q": (DIM, DIM), "k": (DIM, DIM), "v": (DIM, DIM), "o": (DIM, DIM),
         "w1": (DIM, 2 * DIM), "b1": (2 * DIM,), "w2": (2 * DIM, DIM), "out": (DIM, CLASSES), "bias": (CLASSES,),
     }
 
@@ -328,21 +342,20 @@ class Attention:
         parts[-1] = prior
         return np.concatenate([p.ravel() for p in parts]).astype(np.float32)
 
-    def hidden(self, x: np.ndarray, at: np.ndarray | None = None) -> tuple:
-        """What forward and backward share, for rows of ids ``x`` (their input rows); only at the
-        places ``at`` of each row, if given."""
+    def hidden(self, x: np.ndarray, tail: np.ndarray | None = None) -> tuple:
+        """What forward and backward share, for input rows ``x`` of places' first ids and ``tail`` of their last ones."""
         p, (m, n) = self.p, x.shape
         h0 = p["rows"][x]
+        if tail is not None:
+            h0 += p["rows"][tail]
         h0 += p["places"][:n]
         own = h0.reshape(-1, DIM)
-        k = (own @ p["k"]).reshape(m, n, DIM)
+        each = own @ np.concatenate([p["q"] * np.float32(DIM**-0.5), p["k"], p["v"]], axis=1)
+        q, k = each[:, :DIM].reshape(m, n, DIM), each[:, DIM : 2 * DIM].reshape(m, n, DIM)
         v = np.ones((m, n, DIM + 1), np.float32)  # the last column adds up the weights
-        v[..., :DIM] = (own @ p["v"]).reshape(m, n, DIM)
-        seen = np.tri(n, dtype=np.float32)  # no id sees a later one
-        if at is not None:
-            own, seen = h0[np.arange(m)[:, None], at].reshape(-1, DIM), seen[at]
-        q = (own @ (p["q"] * np.float32(DIM**-0.5))).reshape(m, -1, DIM)
-        s = exponentials(q @ k.transpose(0, 2, 1), longest(q.reshape(-1, DIM)) * longest(k.reshape(-1, DIM)))
+        v[..., :DIM] = each[:, 2 * DIM :].reshape(m, n, DIM)
+        seen = np.tri(n, dtype=np.float32)  # no place sees a later one
+        s = exponentials(q @ k.transpose(0, 2, 1), longest(each[:, :DIM]) * longest(each[:, DIM : 2 * DIM]))
         s *= seen
         a = s @ v
         total = np.maximum(a[..., DIM:], 1e-30)
@@ -353,9 +366,9 @@ class Attention:
         np.maximum(r, 0, out=r)
         return own, q, k, v[..., :DIM], s, total, a, h1, r, h1 + r @ p["w2"]
 
-    def log_classes(self, x: np.ndarray, target: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
-        """log P(class ``target``) after each position, or after the places ``at`` of each row."""
-        z = self.logits(self.hidden(x, at)[-1])
+    def log_classes(self, x: np.ndarray, target: np.ndarray, tail: np.ndarray | None = None) -> np.ndarray:
+        """log P(class ``target``) after each position."""
+        z = self.logits(self.hidden(x, tail)[-1])
         own = z[np.arange(len(z)), target.ravel()] / np.maximum(z @ np.ones(CLASSES, np.float32), 1e-30)
         return np.log(np.maximum(own, 1e-30)).reshape(target.shape)
 
@@ -364,10 +377,10 @@ class Attention:
         p = self.p
         return exponentials(h @ p["out"] + p["bias"], longest(h) * longest(p["out"].T) + float(np.abs(p["bias"]).max()))
 
-    def gradient(self, x: np.ndarray, target: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    def gradient(self, x: np.ndarray, target: np.ndarray, mask: np.ndarray, tail: np.ndarray | None = None) -> np.ndarray:
         """Of the mean cross entropy over the positions in ``mask``."""
         p, (m, n) = self.p, x.shape
-        h0, q, k, v, s, total, a, h1, r, h2 = self.hidden(x)
+        h0, q, k, v, s, total, a, h1, r, h2 = self.hidden(x, tail)
         z = self.logits(h2)
         z /= z.sum(axis=1, keepdims=True)
         z[np.arange(len(z)), target.ravel()] -= 1
@@ -391,11 +404,12 @@ class Attention:
             g[name] = h0.T @ d
         g["places"] = np.zeros_like(p["places"])
         g["places"][:n] = d0.reshape(m, n, DIM).sum(axis=0)
-        order = np.argsort(x, axis=None, kind="stable")
-        own = x.ravel()[order]
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
         g["rows"] = np.zeros_like(p["rows"])
-        g["rows"][own[first]] = np.add.reduceat(d0[order], first, axis=0)
+        rows = (x if tail is None else np.concatenate([x, tail])).astype(np.uint16).ravel()
+        order = np.argsort(rows, kind="stable")
+        own = rows[order]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        g["rows"][own[first]] = np.add.reduceat(d0[order % len(d0)], first, axis=0)
         return np.concatenate([g[name].ravel() for name in self.SHAPES])
 
 
@@ -413,7 +427,7 @@ def longest(rows: np.ndarray) -> float:
 
 
 def trained(weights: np.ndarray, windows: np.ndarray, classes: Classes, rate: float) -> np.ndarray:
-    """Weights after a pass of Adam over ``windows`` (rows of WINDOW + 1 ids, padded); more passes if there are
+    """Weights after a pass of Adam over ``windows`` (n, 2, WINDOW + 1); more passes if there are
     few, to make at least MIN_STEPS steps."""
     one_blas_thread()
     model = Attention(weights.copy())
@@ -421,10 +435,11 @@ def trained(weights: np.ndarray, windows: np.ndarray, classes: Classes, rate: fl
     starts = range(0, len(windows), BATCH)
     for step in range(1, max(MIN_STEPS, len(starts)) + 1):
         at = starts[(step - 1) % len(starts)]
-        rows = windows[at : at + BATCH].astype(np.int64)
-        mask = rows[:, 1:] != PAD
-        rows[rows == PAD] = START_ID
-        g = model.gradient(classes.row[rows[:, :-1]], classes.of[rows[:, 1:]], mask.astype(np.float32))
+        heads, tails = windows[at : at + BATCH, 0], windows[at : at + BATCH, 1]
+        mask = heads[:, 1:] != PAD
+        n = int(mask.any(axis=0).sum())
+        of = classes.of[np.where(mask, heads[:, 1:], START_ID)[:, :n]]
+        g = model.gradient(classes.row[heads[:, :n]], of, mask[:, :n].astype(np.float32), classes.row[tails[:, :n]])
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
         model.flat -= np.float32(rate) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -443,34 +458,32 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays(columns, ["block", "sums", "n"])
 
 
-def _fitter(shared, rate: float):
-    """Trains a group of windows from the broadcast weights on; gives the new weights in blocks."""
+def _fitter(shared, part: int, rate: float):
+    """Trains each group on its windows of a round, from the broadcast weights on; gives the sums of all new weights in blocks."""
 
-    def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("at", "ascending"), ("body", "ascending")])
-        rows = np.frombuffer(b"".join(table["body"].to_pylist()), "<u2").reshape(-1, WINDOW + 1)
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, classes = shared.value
-        new = np.rint(trained(weights, rows, Classes(*classes), rate).astype(np.float64) * (1 << SCALE)).astype("<i8") * len(rows)
-        parts = [new[a : a + BLOCK] for a in range(0, len(new), BLOCK)]
-        columns = {"block": pa.array(range(len(parts)), pa.int32()), "sums": pa.array([x.tobytes() for x in parts], pa.binary())}
-        return pa.table(columns | {"n": pa.array([len(rows)] * len(parts), pa.int64())})
+        classes, sums, n = Classes(*classes), np.zeros(len(weights), np.int64), 0
+        for group in opened(batches):
+            rows = group[part::ROUNDS]
+            if len(rows):
+                sums += np.rint(trained(weights, rows, classes, rate).astype(np.float64) * (1 << SCALE)).astype("<i8") * len(rows)
+                n += len(rows)
+        if n:
+            parts = [sums[a : a + BLOCK].tobytes() for a in range(0, len(sums), BLOCK)]
+            columns = [pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary()), pa.array([n] * len(parts), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "sums", "n"])
 
     return fit
 
 
 def train(spark: SparkSession, windows: DataFrame, classes: Classes, rate: float = RATE) -> np.ndarray:
-    """The network's weights, from ``windows`` (chunk, n, body)."""
+    """The network's weights, from ``windows`` (n, windows)."""
     weights = Attention.start(classes.prior)
-    n_groups = -(-windows.count() // GROUP_WINDOWS)
-    if not n_groups:
-        return weights
-    order = F.xxhash64("chunk", "n")
-    dealt = windows.select(F.pmod(order, F.lit(n_groups)).alias("g"), order.alias("at"), "body")
-    dealt = staged(spark, dealt.withColumn("round", F.pmod(F.xxhash64("at"), F.lit(ROUNDS))), "lm-windows")
+    shape = "block int, sums binary, n long"
     for r in range(ROUNDS):
-        fit = _fitter(spark.sparkContext.broadcast((weights, classes.arrays())), rate * (1 - r / ROUNDS))
-        shape = "block int, sums binary, n long"
-        sums = dealt.where(F.col("round") == r).groupBy("g").applyInArrow(fit, shape).mapInArrow(_summed, shape)
+        fit = _fitter(spark.sparkContext.broadcast((weights, classes.arrays())), r, rate * (1 - r / ROUNDS))
+        sums = windows.mapInArrow(fit, shape)
         blocks = sums.repartition(shuffle_partitions(spark), "block").mapInArrow(_summed, shape).collect()  # of fixed number
         if blocks:
             blocks.sort(key=lambda x: x["block"])
@@ -479,10 +492,10 @@ def train(spark: SparkSession, windows: DataFrame, classes: Classes, rate: float
 
 
 def scored(
-    model: Attention, classes: Classes, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, wanted: np.ndarray | None = None
+    model: Attention, classes: Classes, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, tails: np.ndarray | None = None
 ) -> np.ndarray:
-    """log P(class of the id | ids before it) of the ids in ``flat`` that are ``wanted`` (all by default; zero
-    elsewhere); documents are flat[starts:ends]."""
+    """log P(class of the id | ids before it) of the ids in ``flat``, the first ones of words (``tails``: the last ones, or PAD);
+    documents are flat[starts:ends]."""
     out = np.zeros(len(flat), np.float32)
     size = ends - starts
     n = 1 + np.maximum(0, -(-(size - WINDOW) // (WINDOW - OVERLAP)))  # windows of each document
@@ -492,27 +505,20 @@ def scored(
     first = starts[doc] + nth * (WINDOW - OVERLAP)  # the first id that the window predicts
     length = np.minimum(ends[doc] - first, WINDOW)
     skip = np.where(nth > 0, OVERLAP, 0)  # scored by the window before
-    row, of = classes.row[flat], classes.of[flat]
-    row_before = np.r_[classes.row[START_ID], row[:-1]]
-    row_before[starts[size > 0]] = classes.row[START_ID]
-    # windows of like length, and with like numbers of wanted ids, go together
-    held = np.r_[0, np.cumsum(np.ones(len(flat), bool) if wanted is None else wanted)]
-    order = np.lexsort((held[first + length] - held[np.minimum(first + skip, first + length)], length))
+    of = classes.of[flat]
+    before, tail_before = np.r_[classes.row[START_ID], classes.row[flat][:-1]], None
+    before[starts[size > 0]] = classes.row[START_ID]
+    if tails is not None:
+        tail_before = np.r_[classes.row[PAD], classes.row[tails][:-1]]
+        tail_before[starts[size > 0]] = classes.row[PAD]
+    order = np.argsort(length, kind="stable")  # windows of like length go together
     for a in range(0, len(order), SCORE_BATCH):
         some = order[a : a + SCORE_BATCH]
         inner = np.arange(int(length[some[-1]]))
         use = (inner < length[some, None]) & (inner >= skip[some, None])
         place = np.minimum(first[some, None] + inner, len(flat) - 1)
-        if wanted is not None:
-            use &= wanted[place]
-        most = int(use.sum(axis=1).max())
-        if not most:
-            continue
-        at = np.argsort(~use, axis=1, kind="stable")[:, :most]  # the places to score come first
-        asked = np.take_along_axis(place, at, axis=1)
-        found = model.log_classes(row_before[place], of[asked], at)
-        hit = np.take_along_axis(use, at, axis=1)
-        out[asked[hit]] = found[hit]
+        found = model.log_classes(before[place], of[place], None if tails is None else tail_before[place])
+        out[place[use]] = found[use]
     return out
 
 
@@ -594,8 +600,8 @@ def score(
     n_words, n_kinds, once = replies.where("kind = 2").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "begin", "size")]).first()
     total, kinds = n_words + n_docs, n_kinds + (n_docs > 0)
     known = 1 - min(0.5, max(once / max(1, n_words), 1e-4))
-    windows = table.where("kind = 2").select("chunk", "n", "body")
-    classes = Classes.fit(counts, begin, topics(company(windows, by_count(counts)[1 : MARKERS + 1])))
+    windows = table.where("windows is not null").select("n", "windows")
+    classes = Classes.fit(counts, begin, topics(company(windows, by_count(begin)[1 : MARKERS + 1])))
     weights = train(spark, windows, classes, rate)
     shared = spark.sparkContext.broadcast((weights, classes.arrays()))
     below = np.log10(total + 0.1 * (kinds + 1))
@@ -609,11 +615,17 @@ def score(
         n = len(c)
         c, many, pieces = np.r_[c, n_docs], np.r_[many, 1], np.r_[pieces, np.uint16(END_ID)]
         at = np.cumsum(many) - many
+        heads = pieces[at]
+        tails = np.where(many > 1, pieces[at + many - 1], np.uint16(PAD))
         base = np.log10(c + 0.1) - below
-        first_class = classes.of[pieces[at]]
+        first_class = classes.of[heads]
         with np.errstate(divide="ignore"):
             as_known = np.log(known * c / np.maximum(1, classes.begin[first_class]))
         as_known[n] = 0.0  # the end symbol is its class
+        later = classes.later[pieces].astype(np.float64)
+        later[at] = 0.0
+        spelled = np.log(1 - known) + classes.first[heads] + np.add.reduceat(later, at) + classes.no_more
+        own = np.where((c == 0) & (np.arange(n + 1) != n), spelled, as_known)  # within the class of the first id
         docs = docs.sort_by([("size", "ascending"), ("doc_id", "ascending")])
         size = np.asarray(docs["size"])
         bodies = docs["body"].to_pylist()
@@ -627,19 +639,8 @@ def score(
             ]
             tokens = np.concatenate(codes).astype(np.int64)
             doc_at = np.cumsum(size[a:b] + 1) - (size[a:b] + 1)
-            pieces_of = many[tokens]
-            token_at = np.cumsum(pieces_of) - pieces_of
-            flat = pieces[np.arange(pieces_of.sum()) + np.repeat(at[tokens] - token_at, pieces_of)]
-            starts = token_at[doc_at]
-            ends = np.r_[starts[1:], len(flat)]
-            unknown = (c[tokens] == 0) & (tokens != n)
-            wanted = np.repeat(unknown, pieces_of)
-            wanted[token_at] = True
-            by_class = scored(model, classes, flat, starts, ends, wanted).astype(np.float64)
-            both = by_class + classes.later[flat]
-            both[token_at] = classes.first[flat[token_at]]  # its class counts either way
-            spelled = np.add.reduceat(both, token_at)
-            log_p = by_class[token_at] + np.where(unknown, np.log(1 - known) + spelled, as_known[tokens])
+            ends = np.r_[doc_at[1:], len(tokens)]
+            log_p = scored(model, classes, heads[tokens], doc_at, ends, tails[tokens]).astype(np.float64) + own[tokens]
             out[0].append(size[a:b] + 1)
             out[1].append(np.add.reduceat((c[tokens] > 0).astype(np.int64), doc_at))
             out[2].append(np.add.reduceat(base[tokens], doc_at))

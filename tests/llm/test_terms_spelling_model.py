@@ -230,6 +230,28 @@ def test_counts_and_base_scores(spark, odd_documents, monkeypatch, chunk):
     assert model_rows(attention_lm.score(spark, odd_documents.repartition(2))) == base_rows(docs)
 
 
+def test_every_training_word_trains(spark):
+    """Each word and end symbol of the training texts is what is to be said once, after the word before it."""
+    import public_tokenizers
+
+    rng = random.Random(12)
+    docs = [(i, " ".join(rng.choice(["alpha", "the", "antidisestablishment", "x9"]) for _ in range(rng.choice([0, 1, 64, 65, 300])))) for i in range(60)]
+    frame = spark.createDataFrame(docs, DOCS).repartition(2)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = dict(zip((words := [b"alpha", b"the", b"antidisestablishment", b"x9"]), attention_lm.word_ids(path)(words), strict=True))
+    want = Counter()
+    for i, text in docs:
+        if zlib.crc32(str(i).encode()) % 10:
+            heads = [attention_lm.START_ID, *(int(ids[w][0]) for w in text.encode().split()), attention_lm.END_ID]
+            want.update(zip(heads, heads[1:], strict=False))
+    batch = attention_lm.chunks(frame, path, 8).where("windows is not null").select("n", "windows").toArrow().to_batches()
+    got = Counter()
+    for group in attention_lm.opened(iter(batch)):
+        for row in group[:, 0].tolist():
+            got.update((a, b) for a, b in zip(row, row[1:], strict=False) if b != attention_lm.PAD)
+    assert got == want
+
+
 def test_an_empty_table_and_one_without_training_texts(spark, odd_documents):
     assert attention_lm.score(spark, odd_documents.limit(0)).collect() == []
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
