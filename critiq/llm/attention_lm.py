@@ -7,10 +7,10 @@ of their first and last id (frequent ids have a vector of their own), its output
 classes of their own, the rest is cut into classes of equal count, ids of like company (TOPICS) together. A word w with ids p1, ..., pk after a context has probability
 
     P(class of p1 | context) * known * c(w) / C(class of p1)                      if the training texts have it, else
-    P(class of p1 | context) * (1 - known) * u(p1) * product over later pieces of (more * v(p)) * (1 - more)
+    P(class of p1 | context) * (1 - known) * u(p1) * product over later pieces of (more * v(p | class before)) * (1 - more)
 
 c(w) is the word's count in the training texts, C the count of words that begin with a class, u(p) an id's share of its
-class among first pieces, v(p) its share of all later pieces, more the share of pieces that another one follows, and 1 - known the share of tokens that are the only one
+class among first pieces, v(p) its share of the pieces after one of a class, more the share of pieces that another one follows, and 1 - known the share of tokens that are the only one
 of their word (Good-Turing: what a new token is unknown by). So the model says what kind of word follows, the counts which; unknown words are
 spelled. Counts, classes, shares and the network's weights all come from all training texts.
 
@@ -59,6 +59,8 @@ TOPICS, MARKERS = 8, 48
 #: Ids with a vector of their own; the others have that of their class.
 OWN_ROWS = 2048
 RATE = 0.01
+#: Weight, in pieces, of the shares without regard to the piece before.
+SMOOTH = 20.0
 #: Windows scored together.
 SCORE_BATCH = 64
 #: Weights are added up in units of 2**-SCALE, and leave tasks in blocks.
@@ -71,7 +73,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Buckets of words for each shuffle partition.
 BUCKETS = 8
 ROWS = "kind int, chunk long, bucket int, doc_id long, held_out boolean, size long, body binary, numbers binary, n long, windows binary"
-REPLIES = "kind int, chunk long, n long, begin long, size long, body binary"
+REPLIES = "kind int, chunk long, n long, begin long, size long, body binary, pairs binary"
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -223,15 +225,16 @@ def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 class Classes:
     of: np.ndarray  # class of each id
     first: np.ndarray  # log of an id's share of its class among ids that begin words
-    later: np.ndarray  # log of its share of all other ids, and of that there is one more
+    later: np.ndarray  # log of its share of all other ids
     row: np.ndarray  # input row of each id; PAD: of none
     prior: np.ndarray  # log share of each class
     begin: np.ndarray  # words that begin with each class
-    no_more: float  # log share of pieces that are their word's last
+    more: float  # log share of pieces that another one of their word follows
+    no_more: float  # and of those that end it
 
     def arrays(self) -> tuple:
         """What a broadcast carries: tasks need not be able to import this module."""
-        return self.of, self.first, self.later, self.row, self.prior, self.begin, self.no_more
+        return self.of, self.first, self.later, self.row, self.prior, self.begin, self.more, self.no_more
 
     @staticmethod
     def fit(counts: np.ndarray, starts: np.ndarray, topic: np.ndarray) -> Classes:
@@ -254,10 +257,11 @@ class Classes:
         return Classes(
             of,
             np.log(first / np.bincount(of, first, CLASSES)[of]).astype(np.float32),
-            np.log(more * later / later.sum()).astype(np.float32),
+            np.log(later / later.sum()).astype(np.float32),
             row,
             np.log(mass / mass.sum()).astype(np.float32),
             np.bincount(of, starts, CLASSES),
+            float(np.log(more)),
             float(np.log(1 - more)),
         )
 
@@ -530,7 +534,8 @@ def _counted(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.R
     every, first = np.zeros(N_IDS, np.int64), np.zeros(N_IDS, np.int64)
     n_words = n_kinds = n_once = 0
     names = [f.split()[0] for f in REPLIES.split(", ")]
-    kinds = [pa.int32(), *[pa.int64()] * 4, pa.binary()]
+    kinds = [pa.int32(), *[pa.int64()] * 4, pa.binary(), pa.binary()]
+    follows: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in sorted_groups(batches, 1):
         bucket = np.asarray(batch.column(0))
         cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
@@ -546,6 +551,12 @@ def _counted(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.R
             flat, at = np.concatenate(ids), np.cumsum(many) - many
             np.add.at(every, flat, np.repeat(c, many))
             np.add.at(first, flat[at], c)
+            inner = np.ones(len(flat), bool)
+            inner[at] = False
+            inner = np.flatnonzero(inner)
+            follows.append(added([(flat[inner - 1].astype(np.int64) << 16 | flat[inner], np.repeat(c, many)[inner])]))
+            if len(follows) >= 64:
+                follows = [added(follows)]
             n_words, n_kinds, n_once = n_words + int(c.sum()), n_kinds + int((c > 0).sum()), n_once + int((c == 1).sum())
             out = []
             for own, (codes, _) in zip(which, pairs, strict=True):
@@ -556,13 +567,45 @@ def _counted(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.R
             n, sizes, bodies = zip(*out, strict=True)
             none = pa.nulls(len(n), pa.int64())
             zero = pa.array(np.zeros(len(n), np.int32))
-            columns = [zero, batch.column(1).slice(a, b - a), pa.array(n, pa.int64()), none, pa.array(sizes, pa.int64()), pa.array(bodies, pa.binary())]
+            columns = [zero, batch.column(1).slice(a, b - a), pa.array(n, pa.int64()), none, pa.array(sizes, pa.int64()), pa.array(bodies, pa.binary()), pa.nulls(len(n), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
+    keys, times = added(follows)
+    packed = keys.astype("<i8").tobytes() + times.astype("<i8").tobytes()
     own = np.flatnonzero(every).tolist()
-    rows = [(1, i, int(every[i]), int(first[i]), None, None) for i in own] + [(2, None, n_words, n_kinds, n_once, None)]
+    rows = [(1, i, int(every[i]), int(first[i]), None, None, None) for i in own] + [(2, None, n_words, n_kinds, n_once, None, None)]
+    rows.append((3, None, None, None, None, None, packed))
     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
+def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their counts."""
+    if not parts:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    keys, own = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    sums = np.zeros(len(keys), np.int64)
+    np.add.at(sums, own, np.concatenate([n for _, n in parts]))
+    return keys, sums
+
+
+def following(replies: DataFrame, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pieces within the training words: (class of the piece before * N_IDS + id, how often), at most CLASSES * N_IDS."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                keys, times = np.frombuffer(raw, "<i8").reshape(2, -1)
+                parts = [added([*parts, (of[keys >> 16] * N_IDS + (keys & 0xFFFF), times)])]
+        keys, times = added(parts)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], ["key", "times"])
+
+    rows = replies.where("pairs is not null").select("pairs").mapInArrow(each, "key long, times long")
+    table = rows.groupBy("key").agg(F.sum("times").alias("times")).where("times > 0").toArrow()
+    keys, times = np.asarray(table["key"]), np.asarray(table["times"])
+    order = np.argsort(keys)
+    return keys[order], times[order]
+
+
 def _word_list(lists: pa.Table, codec: pa.Codec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(counts, numbers of ids, ids end to end) of a chunk's words, by code."""
     parts = []
@@ -603,12 +646,12 @@ def score(
     windows = table.where("windows is not null").select("n", "windows")
     classes = Classes.fit(counts, begin, topics(company(windows, by_count(begin)[1 : MARKERS + 1])))
     weights = train(spark, windows, classes, rate)
-    shared = spark.sparkContext.broadcast((weights, classes.arrays()))
+    shared = spark.sparkContext.broadcast((weights, classes.arrays(), following(replies, classes.of)))
     below = np.log10(total + 0.1 * (kinds + 1))
 
     def rate_chunk(docs: pa.Table, lists: pa.Table) -> pa.Table:
         one_blas_thread()
-        weights, classes = shared.value
+        weights, classes, (seen, times) = shared.value
         model, classes, codec = Attention(weights), Classes(*classes), pa.Codec("zstd")
         # the chunk's words by code, then the end symbol
         c, many, pieces = _word_list(lists, codec)
@@ -622,10 +665,21 @@ def score(
         with np.errstate(divide="ignore"):
             as_known = np.log(known * c / np.maximum(1, classes.begin[first_class]))
         as_known[n] = 0.0  # the end symbol is its class
-        later = classes.later[pieces].astype(np.float64)
-        later[at] = 0.0
-        spelled = np.log(1 - known) + classes.first[heads] + np.add.reduceat(later, at) + classes.no_more
-        own = np.where((c == 0) & (np.arange(n + 1) != n), spelled, as_known)  # within the class of the first id
+        own = as_known  # within the class of the first id
+        unknown = (c == 0) & (np.arange(n + 1) != n)
+        if unknown.any():
+            flat = pieces[np.repeat(unknown, many)]
+            begins = np.cumsum(many[unknown]) - many[unknown]
+            before = classes.of[np.r_[flat[:1], flat[:-1]]]
+            key = before * N_IDS + flat
+            place = np.searchsorted(seen, key)
+            hit = np.r_[seen, -1][place] == key
+            total = np.bincount(seen // N_IDS, times, CLASSES) if len(seen) else np.zeros(CLASSES)
+            share = np.exp(classes.later[flat].astype(np.float64))
+            later = np.log((np.where(hit, np.r_[times, 0][place], 0) + SMOOTH * share) / (total[before] + SMOOTH))
+            later[begins] = 0.0
+            more = classes.more * (many[unknown] - 1) + classes.no_more
+            own[unknown] = np.log(1 - known) + classes.first[flat[begins]] + np.add.reduceat(later, begins) + more
         docs = docs.sort_by([("size", "ascending"), ("doc_id", "ascending")])
         size = np.asarray(docs["size"])
         bodies = docs["body"].to_pylist()
