@@ -89,7 +89,7 @@ class _Numbers(dict):
 
 
 def word_ids(path: str):
-    """Ids of each of a list of words, as arrays."""
+    """(ids of a list of words, end to end, and how many each has)."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -98,16 +98,20 @@ def word_ids(path: str):
     encoded = word_encoder(path, cached_words=50_000)
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-    def one(word: bytes) -> np.ndarray:
-        ids = np.frombuffer(encoded(word), "<u4")
-        if len(ids) and ids.max() >= START_ID:
-            ids = np.array(tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        return ids.astype("<u2") if len(ids) else np.array([START_ID], "<u2")
-
-    def ids(words: list[bytes]) -> list[np.ndarray]:
-        encoded(b" ".join(words))  # looked up together, remembered for what follows
-        return [one(w) for w in words]
+    none = np.array([START_ID], "<u4").tobytes()
+
+    def ids(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        each = [x or none for x in encoded.each(words)]
+        many = np.array([len(x) >> 2 for x in each], np.int64)
+        flat = np.frombuffer(b"".join(each), "<u4")
+        special = np.unique(np.repeat(np.arange(len(each)), many)[flat >= START_ID]).tolist()
+        if special:
+            for i in special:
+                found = tokenizer.encode(words[i].decode("utf-8", "replace"), add_special_tokens=False).ids if each[i] is not none else []
+                each[i] = np.array(found, "<u4").tobytes() or none
+            many = np.array([len(x) >> 2 for x in each], np.int64)
+            flat = np.frombuffer(b"".join(each), "<u4")
+        return flat.astype("<u2"), many
 
     return ids
 
@@ -185,10 +189,10 @@ def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
                 return
             used = np.flatnonzero(n_train)
             heads, tails = np.full(len(names), PAD, "<u2"), np.full(len(names), PAD, "<u2")
-            for i, ids in zip(used.tolist(), ids_of([names[i] for i in used.tolist()]), strict=True):
-                heads[i] = ids[0]
-                if len(ids) > 1:
-                    tails[i] = ids[-1]
+            flat, many = ids_of([names[i] for i in used.tolist()])
+            last = np.cumsum(many) - 1
+            heads[used] = flat[last - many + 1]
+            tails[used] = np.where(many > 1, flat[last], np.uint16(PAD))
             windows = windows_of([codes for _, held, codes in docs if not held], heads, tails)
             order = np.random.default_rng(SEED).permutation(len(windows))
             for own in np.array_split(order, -(-len(order) // GROUP_WINDOWS)):
@@ -546,9 +550,8 @@ def _counted(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.R
                 which.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
                 pairs.append(np.frombuffer(both, "<u4").reshape(2, -1))
             c = np.bincount(np.concatenate(which), np.concatenate([p[1] for p in pairs]), len(numbers)).astype(np.int64)
-            ids = ids_of(list(numbers))
-            many = np.array([len(x) for x in ids])
-            flat, at = np.concatenate(ids), np.cumsum(many) - many
+            flat, many = ids_of(list(numbers))
+            at = np.cumsum(many) - many
             np.add.at(every, flat, np.repeat(c, many))
             np.add.at(first, flat[at], c)
             inner = np.ones(len(flat), bool)

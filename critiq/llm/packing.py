@@ -121,14 +121,17 @@ def word_encoder(tokenizer_path: str, cached_words: int = CACHED_WORDS):
         young.update((w, ids) for w, ids in out.items() if len(w) <= CACHED_BYTES)
         return out
 
-    def ids(text: bytes) -> bytes:
-        words = text.split()
+    def each(words: list[bytes]) -> list[bytes]:
         found = list(map(young.get, words))
         if None in found:
             more = look_up({w for w, f in zip(words, found, strict=True) if f is None})
             found = [more[w] if f is None else f for w, f in zip(words, found, strict=True)]
-        return b"".join(found)
+        return found
+
+    def ids(text: bytes) -> bytes:
+        return b"".join(each(text.split()))
 
+    ids.each = each  # of a list of words, the ids of each
     return ids
 
 
