@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from critiq.llm.common import one_blas_thread, per_worker, shuffle_partitions, sorted_groups, staged, text_bytes
-from critiq.llm.packing import word_encoder
+from critiq.llm.packing import CACHED_BYTES, word_encoder
 
 #: A document is held out if crc32 of its id as text is divisible by this.
 HELD_OUT = 10
@@ -70,6 +70,8 @@ SEED = 11
 #: No id: after a window's end, and for the last id of a word that has one.
 PAD = 0xFFFF
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Runs of letters whose ids a worker keeps.
+KNOWN_PARTS = 300_000
 #: Buckets of words for each shuffle partition.
 BUCKETS = 8
 ROWS = "kind int, chunk long, bucket int, doc_id long, held_out boolean, size long, body binary, numbers binary, n long, windows binary"
@@ -91,27 +93,49 @@ class _Numbers(dict):
 def word_ids(path: str):
     """(ids of a list of words, end to end, and how many each has)."""
     import os
+    from array import array
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     encoded = word_encoder(path, cached_words=50_000)
+    model, letters, plain = encoded.model, encoded.letters, encoded.plain
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    none = np.array([START_ID], "<u4").tobytes()
+    none = np.array([START_ID], "<u2").tobytes()
+    known: dict[str, bytes] = {}  # the ids of runs of letters, and of punctuation: words share them, and so do chunks
+
+    def direct(part: str) -> bytes:
+        written = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
+        known[part] = found = array("H", [t.id for t in model.tokenize(written)]).tobytes()
+        return found
 
     def ids(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        each = [x or none for x in encoded.each(words)]
-        many = np.array([len(x) >> 2 for x in each], np.int64)
-        flat = np.frombuffer(b"".join(each), "<u4")
+        if len(known) > KNOWN_PARTS:
+            known.clear()
+        each, others = [none] * len(words), range(len(words))
+        if plain is not None and words:
+            others = []
+            for i, match in enumerate(map(plain.fullmatch, b"\n".join(words).decode("utf-8", "replace").split("\n"))):
+                if match is None or len(words[i]) > CACHED_BYTES:
+                    others.append(i)
+                    continue
+                run, marks = match.groups()
+                run = run.lower()
+                found = known.get(run) or direct(run)
+                each[i] = (found + (known.get(marks) or direct(marks)) if marks else found) or none
+        for i, found in zip(others, encoded.each([words[i] for i in others]), strict=True):
+            each[i] = np.frombuffer(found, "<u4").astype("<u2").tobytes() or none
+        many = np.array([len(x) >> 1 for x in each], np.int64)
+        flat = np.frombuffer(b"".join(each), "<u2")
         special = np.unique(np.repeat(np.arange(len(each)), many)[flat >= START_ID]).tolist()
         if special:
             for i in special:
                 found = tokenizer.encode(words[i].decode("utf-8", "replace"), add_special_tokens=False).ids if each[i] is not none else []
-                each[i] = np.array(found, "<u4").tobytes() or none
-            many = np.array([len(x) >> 2 for x in each], np.int64)
-            flat = np.frombuffer(b"".join(each), "<u4")
-        return flat.astype("<u2"), many
+                each[i] = np.array(found, "<u2").tobytes() or none
+            many = np.array([len(x) >> 1 for x in each], np.int64)
+            flat = np.frombuffer(b"".join(each), "<u2")
+        return flat, many
 
     return ids
 
@@ -363,7 +387,7 @@ class Attention:
         v = np.ones((m, n, DIM + 1), np.float32)  # the last column adds up the weights
         v[..., :DIM] = each[:, 2 * DIM :].reshape(m, n, DIM)
         seen = np.tri(n, dtype=np.float32)  # no place sees a later one
-        s = exponentials(q @ k.transpose(0, 2, 1), longest(each[:, :DIM]) * longest(each[:, DIM : 2 * DIM]))
+        s = exponentials(q @ np.ascontiguousarray(k.transpose(0, 2, 1)), longest(each[:, :DIM]) * longest(each[:, DIM : 2 * DIM]))
         s *= seen
         a = s @ v
         total = np.maximum(a[..., DIM:], 1e-30)
@@ -390,20 +414,21 @@ class Attention:
         p, (m, n) = self.p, x.shape
         h0, q, k, v, s, total, a, h1, r, h2 = self.hidden(x, tail)
         z = self.logits(h2)
-        z /= z.sum(axis=1, keepdims=True)
-        z[np.arange(len(z)), target.ravel()] -= 1
-        z *= (mask / np.float32(max(1, mask.sum()))).reshape(-1, 1)
-        g = {"out": h2.T @ z, "bias": z.sum(axis=0)}
+        share = mask.ravel() / np.float32(max(1, mask.sum()))
+        z *= (share / (z @ np.ones(CLASSES, np.float32)))[:, None]
+        z[np.arange(len(z)), target.ravel()] -= share
+        ones = np.ones(len(z), np.float32)
+        g = {"out": h2.T @ z, "bias": ones @ z}
         d2 = z @ p["out"].T
         g["w2"] = r.T @ d2
         dr = (d2 @ p["w2"].T) * (r > 0)
-        g["w1"], g["b1"] = h1.T @ dr, dr.sum(axis=0)
+        g["w1"], g["b1"] = h1.T @ dr, ones @ dr
         d1 = d2 + dr @ p["w1"].T
         g["o"] = a.T @ d1
         da = (d1 @ p["o"].T).reshape(m, n, DIM)
-        s /= total
+        da /= total  # instead of the weights
         ds = da @ v.transpose(0, 2, 1)
-        ds -= (da * a.reshape(m, n, DIM)).sum(axis=2, keepdims=True)
+        ds -= np.einsum("ijk,ijk->ij", da, a.reshape(m, n, DIM))[..., None]
         ds *= s
         scale = np.float32(DIM**-0.5)
         dq, dk, dv = ((d).reshape(-1, DIM) for d in ((ds @ k) * scale, ds.transpose(0, 2, 1) @ q, s.transpose(0, 2, 1) @ da))
@@ -440,6 +465,7 @@ def trained(weights: np.ndarray, windows: np.ndarray, classes: Classes, rate: fl
     one_blas_thread()
     model = Attention(weights.copy())
     m, v = np.zeros_like(model.flat), np.zeros_like(model.flat)
+    step_, root = np.empty_like(m), np.empty_like(m)
     starts = range(0, len(windows), BATCH)
     for step in range(1, max(MIN_STEPS, len(starts)) + 1):
         at = starts[(step - 1) % len(starts)]
@@ -448,9 +474,19 @@ def trained(weights: np.ndarray, windows: np.ndarray, classes: Classes, rate: fl
         n = int(mask.any(axis=0).sum())
         of = classes.of[np.where(mask, heads[:, 1:], START_ID)[:, :n]]
         g = model.gradient(classes.row[heads[:, :n]], of, mask[:, :n].astype(np.float32), classes.row[tails[:, :n]])
-        m += 0.1 * (g - m)
-        v += 0.01 * (g * g - v)
-        model.flat -= np.float32(rate) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        np.subtract(g, m, out=step_)
+        step_ *= 0.1
+        m += step_
+        g *= g
+        g -= v
+        g *= 0.01
+        v += g
+        np.sqrt(v, out=root)
+        root *= (1 - 0.99**step) ** -0.5
+        root += 1e-8
+        np.divide(m, root, out=root)
+        root *= rate / (1 - 0.9**step)
+        model.flat -= root
     return model.flat
 
 

@@ -132,6 +132,8 @@ def word_encoder(tokenizer_path: str, cached_words: int = CACHED_WORDS):
         return b"".join(each(text.split()))
 
     ids.each = each  # of a list of words, the ids of each
+    # the model's pieces of letters, and the words that are letters and punctuation, if they may go to the model
+    ids.model, ids.letters, ids.plain = (model, letters, plain) if trusted else (None, None, None)
     return ids
 
 
