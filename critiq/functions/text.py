@@ -64,6 +64,17 @@ def word_pattern(words: tuple[str, ...]) -> str:
     return f"(?ium){_WORD_START}(?:{_alternation(words)}){_WORD_END}"
 
 
+def anywhere_pattern(words: tuple[str, ...]) -> str:
+    """Java regex: ``words`` anywhere, whole or not. A text without it has none of them as a word, and it is
+    found faster than a whole word, so it is asked first."""
+    return f"(?iu)(?:{_alternation(words)})"
+
+
+def has_word_sql(expr: str, words: tuple[str, ...]) -> str:
+    """SQL text: is one of ``words`` a word of the text (NULL text -> NULL)."""
+    return f"({expr} RLIKE {string_literal(anywhere_pattern(words))} AND {expr} RLIKE {string_literal(word_pattern(words))})"
+
+
 def negated_pattern(negators: tuple[str, ...]) -> str:
     """Java regex: each line's beginning, up to and with its last negator.
 
@@ -79,20 +90,21 @@ def lexicon_text_sql(expr: str, negators: tuple[str, ...]) -> str:
     so a listed word in it has no negator after it. Both lists are matched
     against this text.
     """
-    return f"regexp_replace({expr}, {string_literal(negated_pattern(negators))}, ' ')"
+    cut = f"regexp_replace({expr}, {string_literal(negated_pattern(negators))}, ' ')"
+    return f"CASE WHEN {expr} RLIKE {string_literal(anywhere_pattern(negators))} THEN {cut} ELSE {expr} END"
 
 
-def _checked(words: tuple[str, ...], negators: tuple[str, ...]) -> str:
-    """The pattern of ``words``. A word that is itself a negator is rejected: cutting through it would hide it."""
+def _checked(words: tuple[str, ...], negators: tuple[str, ...]) -> tuple[str, ...]:
+    """``words``. A word that is itself a negator is rejected: cutting through it would hide it."""
     both = {w.lower() for w in words} & {n.lower() for n in negators}
     if both:
         raise ValueError(f"words that are also negators: {sorted(both)}")
-    return string_literal(word_pattern(words))
+    return words
 
 
 def lexicon_flag_sql(expr: str, words: tuple[str, ...], negators: tuple[str, ...]) -> str:
     """SQL text: does the text match the lexicon list (NULL text -> NULL)."""
-    return f"({lexicon_text_sql(expr, negators)} RLIKE {_checked(words, negators)})"
+    return has_word_sql(f"({lexicon_text_sql(expr, negators)})", _checked(words, negators))
 
 
 # What is left of a text once its negated parts are cut (``classified``).
@@ -109,8 +121,8 @@ def classified(df: DataFrame, text: str, lexicon: Lexicon, keep: Sequence[str])
     names = [c for c in cut.columns if c != _LEFT]
     return cut.selectExpr(
         *map(ident, names),
-        f"({_LEFT} RLIKE {_checked(lexicon.positive, lexicon.negators)}) AS is_positive",
-        f"({_LEFT} RLIKE {_checked(lexicon.negative, lexicon.negators)}) AS is_negative",
+        f"{has_word_sql(_LEFT, _checked(lexicon.positive, lexicon.negators))} AS is_positive",
+        f"{has_word_sql(_LEFT, _checked(lexicon.negative, lexicon.negators))} AS is_negative",
     )
 
 
