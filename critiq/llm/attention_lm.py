@@ -414,21 +414,20 @@ class Attention:
         p, (m, n) = self.p, x.shape
         h0, q, k, v, s, total, a, h1, r, h2 = self.hidden(x, tail)
         z = self.logits(h2)
-        share = mask.ravel() / np.float32(max(1, mask.sum()))
-        z *= (share / (z @ np.ones(CLASSES, np.float32)))[:, None]
-        z[np.arange(len(z)), target.ravel()] -= share
-        ones = np.ones(len(z), np.float32)
-        g = {"out": h2.T @ z, "bias": ones @ z}
+        z /= z.sum(axis=1, keepdims=True)
+        z[np.arange(len(z)), target.ravel()] -= 1
+        z *= (mask / np.float32(max(1, mask.sum()))).reshape(-1, 1)
+        g = {"out": h2.T @ z, "bias": z.sum(axis=0)}
         d2 = z @ p["out"].T
         g["w2"] = r.T @ d2
         dr = (d2 @ p["w2"].T) * (r > 0)
-        g["w1"], g["b1"] = h1.T @ dr, ones @ dr
+        g["w1"], g["b1"] = h1.T @ dr, dr.sum(axis=0)
         d1 = d2 + dr @ p["w1"].T
         g["o"] = a.T @ d1
         da = (d1 @ p["o"].T).reshape(m, n, DIM)
-        da /= total  # instead of the weights
+        s /= total
         ds = da @ v.transpose(0, 2, 1)
-        ds -= np.einsum("ijk,ijk->ij", da, a.reshape(m, n, DIM))[..., None]
+        ds -= (da * a.reshape(m, n, DIM)).sum(axis=2, keepdims=True)
         ds *= s
         scale = np.float32(DIM**-0.5)
         dq, dk, dv = ((d).reshape(-1, DIM) for d in ((ds @ k) * scale, ds.transpose(0, 2, 1) @ q, s.transpose(0, 2, 1) @ da))
@@ -481,12 +480,13 @@ def trained(weights: np.ndarray, windows: np.ndarray, classes: Classes, rate: fl
         g -= v
         g *= 0.01
         v += g
-        np.sqrt(v, out=root)
-        root *= (1 - 0.99**step) ** -0.5
+        np.divide(v, 1 - 0.99**step, out=root)
+        np.sqrt(root, out=root)
         root += 1e-8
-        np.divide(m, root, out=root)
-        root *= rate / (1 - 0.9**step)
-        model.flat -= root
+        np.divide(m, 1 - 0.9**step, out=step_)
+        step_ *= np.float32(rate)
+        step_ /= root
+        model.flat -= step_
     return model.flat
 
 
