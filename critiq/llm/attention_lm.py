@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critiq.llm.common import one_blas_thread, per_worker, shuffle_partitions, sorted_groups, staged, text_bytes
+from critiq.llm.common import one_blas_thread, per_worker, pieces, shuffle_partitions, sorted_groups, staged, text_bytes
 from critiq.llm.packing import CACHED_BYTES, word_encoder
 
 #: A document is held out if crc32 of its id as text is divisible by this.
@@ -70,8 +70,11 @@ SEED = 11
 #: No id: after a window's end, and for the last id of a word that has one.
 PAD = 0xFFFF
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+SPACES = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 #: Runs of letters whose ids a worker keeps.
 KNOWN_PARTS = 300_000
+#: Punctuation that closes words of letters (see ``packing.word_encoder``).
+MARKS = ".,;:!?"
 #: Buckets of words for each shuffle partition.
 BUCKETS = 8
 ROWS = "kind int, chunk long, bucket int, doc_id long, held_out boolean, size long, body binary, numbers binary, n long, windows binary"
@@ -82,6 +85,19 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(LOWER).split()
 
 
+def words_in(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray]:
+    """The ``words_of`` texts, end to end, and how many each has."""
+    data = np.frombuffer(b"\n".join([x or b"" for x in texts]).translate(LOWER), np.uint8)
+    keep = ~SPACES[data]
+    begins = keep.copy()
+    begins[1:] &= ~keep[:-1]
+    letters = data[keep]
+    offsets = np.r_[np.flatnonzero(begins[keep]), len(letters)]
+    ends = np.cumsum([len(x or b"") + 1 for x in texts])
+    many = np.diff(np.searchsorted(np.flatnonzero(begins), ends), prepend=0)
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)]), many
+
+
 class _Numbers(dict):
     """Gives each new key the next number."""
 
@@ -103,27 +119,49 @@ def word_ids(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     none = np.array([START_ID], "<u2").tobytes()
-    known: dict[str, bytes] = {}  # the ids of runs of letters, and of punctuation: words share them, and so do chunks
+    # the ids of runs of letters (two generations), and of punctuation: words share them, and so do chunks
+    known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
+    marked: dict[str, bytes] = {"": b""}
 
     def direct(part: str) -> bytes:
         written = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
-        known[part] = found = array("H", [t.id for t in model.tokenize(written)]).tobytes()
+        return array("H", [t.id for t in model.tokenize(written)]).tobytes()
+
+    def of_run(run: str) -> bytes:
+        found = older.get(run)
+        known[run] = found = direct(run) if found is None else found
+        return found
+
+    def of_marks(marks: str) -> bytes:
+        marked[marks] = found = direct(marks)
         return found
 
     def ids(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        nonlocal known, older, marked
         if len(known) > KNOWN_PARTS:
-            known.clear()
+            known, older = {}, known
+        if len(marked) > KNOWN_PARTS:
+            marked = {"": b""}
         each, others = [none] * len(words), range(len(words))
         if plain is not None and words:
             others = []
-            for i, match in enumerate(map(plain.fullmatch, b"\n".join(words).decode("utf-8", "replace").split("\n"))):
-                if match is None or len(words[i]) > CACHED_BYTES:
-                    others.append(i)
-                    continue
-                run, marks = match.groups()
-                run = run.lower()
-                found = known.get(run) or direct(run)
-                each[i] = (found + (known.get(marks) or direct(marks)) if marks else found) or none
+            for i, word in enumerate(b"\n".join(words).decode("utf-8", "replace").split("\n")):
+                run = word.rstrip(MARKS)
+                found = known.get(run)  # only what has matched before is there
+                if found is None or len(words[i]) > CACHED_BYTES:
+                    if len(words[i]) > CACHED_BYTES or plain.fullmatch(word) is None:
+                        others.append(i)
+                        continue
+                    run_lower = run.lower()
+                    found = known.get(run_lower)
+                    if found is None:
+                        found = of_run(run_lower)
+                if len(run) < len(word):
+                    marks = word[len(run) :]
+                    more = marked.get(marks)
+                    found += of_marks(marks) if more is None else more
+                each[i] = found or none
         for i, found in zip(others, encoded.each([words[i] for i in others]), strict=True):
             each[i] = np.frombuffer(found, "<u4").astype("<u2").tobytes() or none
         many = np.array([len(x) >> 1 for x in each], np.int64)
@@ -170,19 +208,21 @@ def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
              ("size", pa.int64()), ("body", pa.binary()), ("numbers", pa.binary()), ("n", pa.int64()), ("windows", pa.binary())]
         )
         chunk = TaskContext.get().partitionId() << 32
-        numbers, docs, total = _Numbers(), [], 0
+        docs, total = [], 0  # (doc_id, held out, words)
+        parts: list[pa.Array] = []  # their words
 
         def table(kind: int, rows: int, **columns) -> pa.RecordBatch:
             given = {"kind": pa.array(np.full(rows, kind, np.int32)), "chunk": pa.array(np.full(rows, chunk, np.int64))} | columns
             return pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(rows, f.type)) for f in schema], schema=schema)
 
         def done() -> Iterator[pa.RecordBatch]:
-            n_train = np.zeros(len(numbers), np.int64)
-            bodies = []
-            for _, held, codes in docs:
-                if not held:
-                    np.add.at(n_train, codes, 1)
-                bodies.append(codec.compress(codes, asbytes=True) if len(codes) else b"")
+            coded = pa.concat_arrays(parts).dictionary_encode()  # words are numbered as they first come
+            names, flat = coded.dictionary.to_pylist(), np.asarray(coded.indices).astype("<u4")
+            cuts = np.cumsum([n for _, _, n in docs])
+            codes = [flat[b - n : b] for (_, _, n), b in zip(docs, cuts.tolist(), strict=True)]
+            bodies = [codec.compress(c, asbytes=True) if len(c) else b"" for c in codes]
+            train = [c for (_, held, _), c in zip(docs, codes, strict=True) if not held]
+            n_train = np.bincount(np.concatenate([*train, flat[:0]]), minlength=len(names))
             for a in range(0, len(docs), 1000):
                 part = docs[a : a + 1000]
                 yield table(
@@ -190,10 +230,9 @@ def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
                     len(part),
                     doc_id=pa.array([d for d, _, _ in part], pa.int64()),
                     held_out=pa.array([h for _, h, _ in part]),
-                    size=pa.array([len(c) for _, _, c in part], pa.int64()),
+                    size=pa.array([n for _, _, n in part], pa.int64()),
                     body=pa.array(bodies[a : a + 1000], pa.binary()),
                 )
-            names = list(numbers)
             bucket = np.array([zlib.crc32(w) % n_buckets for w in names], np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
@@ -209,7 +248,7 @@ def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
                 1, len(some), bucket=pa.array(some, pa.int32()), size=pa.array(sizes, pa.int64()),
                 body=pa.array(lists, pa.binary()), numbers=pa.array(pairs, pa.binary()),
             )
-            if all(held for _, held, _ in docs):
+            if not train:
                 return
             used = np.flatnonzero(n_train)
             heads, tails = np.full(len(names), PAD, "<u2"), np.full(len(names), PAD, "<u2")
@@ -217,23 +256,26 @@ def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
             last = np.cumsum(many) - 1
             heads[used] = flat[last - many + 1]
             tails[used] = np.where(many > 1, flat[last], np.uint16(PAD))
-            windows = windows_of([codes for _, held, codes in docs if not held], heads, tails)
+            windows = windows_of(train, heads, tails)
             order = np.random.default_rng(SEED).permutation(len(windows))
             for own in np.array_split(order, -(-len(order) // GROUP_WINDOWS)):
                 body = codec.compress(np.ascontiguousarray(windows[own]), asbytes=True)
                 yield table(2, 1, n=pa.array([len(own)], pa.int64()), windows=pa.array([body], pa.binary()))
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-                words = words_of(text)
+        for batch in pieces(batches):
+            words, many = words_in(list(text_bytes(batch.column(1))))
+            begin = end = 0
+            for doc_id, n in zip(batch.column(0).to_pylist(), many.tolist(), strict=True):
                 own = zlib.crc32(b"%d" % doc_id if doc_id is not None else b"")
-                held = own % HELD_OUT == 0
-                docs.append((doc_id, held, np.fromiter(map(numbers.__getitem__, words), "<u4", len(words))))
-                total += len(words) + 1
+                docs.append((doc_id, own % HELD_OUT == 0, n))
+                end += n
+                total += n + 1
                 if total >= CHUNK_WORDS:
+                    parts.append(words[begin:end])
                     yield from done()
                     chunk += 1
-                    numbers, docs, total = _Numbers(), [], 0
+                    docs, total, parts, begin = [], 0, [], end
+            parts.append(words[begin:end])
         if docs:
             yield from done()
 
