@@ -42,8 +42,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from critiq.llm import common
 from critiq.llm.common import one_blas_thread, per_worker, pieces, shuffle_partitions, sorted_groups, staged, text_bytes
-from critiq.llm.packing import CACHED_BYTES, word_encoder
+from critiq.llm.packing import CACHED_BYTES, MARKS, word_encoder
 
 #: A document is held out if crc32 of its id as text is divisible by this.
 HELD_OUT = 10
@@ -70,11 +71,8 @@ SEED = 11
 #: No id: after a window's end, and for the last id of a word that has one.
 PAD = 0xFFFF
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-SPACES = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 #: Runs of letters whose ids a worker keeps.
 KNOWN_PARTS = 300_000
-#: Punctuation that closes words of letters (see ``packing.word_encoder``).
-MARKS = ".,;:!?"
 #: Buckets of words for each shuffle partition.
 BUCKETS = 8
 ROWS = "kind int, chunk long, bucket int, doc_id long, held_out boolean, size long, body binary, numbers binary, n long, windows binary"
@@ -87,15 +85,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 def words_in(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray]:
     """The ``words_of`` texts, end to end, and how many each has."""
-    data = np.frombuffer(b"\n".join([x or b"" for x in texts]).translate(LOWER), np.uint8)
-    keep = ~SPACES[data]
-    begins = keep.copy()
-    begins[1:] &= ~keep[:-1]
-    letters = data[keep]
-    offsets = np.r_[np.flatnonzero(begins[keep]), len(letters)]
-    ends = np.cumsum([len(x or b"") + 1 for x in texts])
-    many = np.diff(np.searchsorted(np.flatnonzero(begins), ends), prepend=0)
-    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)]), many
+    return common.words_in(texts, LOWER)
 
 
 class _Numbers(dict):

@@ -34,13 +34,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from critiq.llm.common import per_worker, pieces, staged, text_bytes
+from critiq.llm.common import per_worker, pieces, staged, text_bytes, words_in
 
 CAPACITY = 4096
 END_ID = 1
 #: Words after which a task's memory of ids starts a new generation (it keeps two), and the
 #: longest word it remembers.
 CACHED_WORDS, CACHED_BYTES = 300_000, 48
+#: Punctuation that closes words of letters.
+MARKS = ".,;:!?"
+#: Texts whose words are looked up together.
+TEXTS = 1000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
@@ -68,70 +72,111 @@ def word_encoder(tokenizer_path: str, cached_words: int = CACHED_WORDS):
     Any other run between white space goes to the tokenizer as it is. Both are remembered up to a bound.
     """
     import re
+    from array import array
 
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
     model, letters = tokenizer.model, _byte_letters()
-    young: dict[bytes, bytes] = {}
-    old: dict[bytes, bytes] = {}
+    young: dict[str, bytes] = {}
+    old: dict[str, bytes] = {}
     # precomposed letters that normalize to themselves and have one lower-case letter
-    plain = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+)([.,;:!?]*)")
+    plain = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+)([" + MARKS + "]*)")
 
     def whole(words: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(f.ids, "<u4").tobytes() for f in found]
 
     def direct(word: str) -> bytes:
-        written = word.encode().decode("latin-1").translate(letters)
-        return b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(written)])
+        written = word if word.isascii() else word.encode().decode("latin-1").translate(letters)
+        return array("I", [t.id for t in model.tokenize(written)]).tobytes()
 
-    def part(word: bytes) -> tuple[str, str] | None:
-        match = plain.fullmatch(word.decode("utf-8", "replace"))
-        return (match[1].lower(), match[2]) if match else None
+    def of_run(run: str) -> bytes:
+        found = older.get(run)
+        runs[run] = found = direct(run) if found is None else found
+        return found
 
-    def by_part(pair: tuple[str, str]) -> bytes:
-        for p in pair:
-            if p and p not in parts:
-                parts[p] = direct(p)
-        return parts[pair[0]] + (parts[pair[1]] if pair[1] else b"")
+    def of_marks(marks: str) -> bytes:
+        marked[marks] = found = direct(marks)
+        return found
 
-    parts: dict[str, bytes] = {}
+    # ids of lower-case runs of letters (two generations), of punctuation, and of all other words (two generations)
+    runs: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
+    marked: dict[str, bytes] = {}
     trial = "The,words isn't, \u00dcber \u00c9t\u00e9!? na\u00efve \u0141\u00f3d\u017a \u0152uvre... Kurz: antidisestablishmentarianism;".split()
     try:
-        trusted = all(p is None or by_part(p) == ids for p, ids in zip([part(w.encode()) for w in trial], whole(trial), strict=True))
+        matches = [plain.fullmatch(w) for w in trial]
+        trusted = all(
+            m is None or direct(m[1].lower()) + (direct(m[2]) if m[2] else b"") == ids for m, ids in zip(matches, whole(trial), strict=True)
+        )
     except Exception:  # noqa: BLE001 - a model that does not take byte letters
         trusted = False
 
-    def look_up(words: set[bytes]) -> dict[bytes, bytes]:
-        nonlocal young, old, parts
+    def other(words: list[str]) -> list[bytes]:
+        nonlocal young, old
         if len(young) > cached_words:
             young, old = {}, young
-        if len(parts) > cached_words:
-            parts = {}
-        out, rest = {}, []
-        for w in words:
-            if w in old:
-                out[w] = old[w]
-            elif trusted and len(w) <= CACHED_BYTES and (pair := part(w)):
-                out[w] = by_part(pair)
-            else:
-                rest.append(w)
-        out.update(zip(rest, whole([w.decode("utf-8", "replace") for w in rest]), strict=True))
-        young.update((w, ids) for w, ids in out.items() if len(w) <= CACHED_BYTES)
-        return out
+        found = [young.get(w) for w in words]
+        found = [old.get(w) if f is None else f for w, f in zip(words, found, strict=True)]
+        new = list(dict.fromkeys([w for w, f in zip(words, found, strict=True) if f is None]))
+        more = dict(zip(new, whole(new), strict=True))
+        found = [more[w] if f is None else f for w, f in zip(words, found, strict=True)]
+        young.update((w, f) for w, f in zip(words, found, strict=True) if len(w) <= CACHED_BYTES)
+        return found
 
     def each(words: list[bytes]) -> list[bytes]:
-        found = list(map(young.get, words))
-        if None in found:
-            more = look_up({w for w, f in zip(words, found, strict=True) if f is None})
-            found = [more[w] if f is None else f for w, f in zip(words, found, strict=True)]
-        return found
+        nonlocal runs, older, marked
+        if not words:
+            return []
+        if len(runs) > cached_words:
+            runs, older = {}, runs
+        if len(marked) > cached_words:
+            marked = {}
+        written = b"\n".join(words).decode("utf-8", "replace").split("\n")
+        if not trusted:
+            return other(written)
+        out, rest = [b""] * len(words), []
+        for i, word in enumerate(written):
+            run = word.rstrip(MARKS)
+            found = runs.get(run)  # only what has matched before is there
+            if found is None:
+                if len(words[i]) > CACHED_BYTES or plain.fullmatch(word) is None:
+                    rest.append(i)
+                    continue
+                run_lower = run.lower()
+                found = runs.get(run_lower)
+                if found is None:
+                    found = of_run(run_lower)
+            if len(run) < len(word):
+                if len(words[i]) > CACHED_BYTES:
+                    rest.append(i)
+                    continue
+                marks = word[len(run) :]
+                more = marked.get(marks)
+                found += of_marks(marks) if more is None else more
+            out[i] = found
+        for i, ids in zip(rest, other([written[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
+
+    def many(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        words, n = words_in(texts)
+        coded = words.dictionary_encode()  # each word is looked up once for all texts
+        found = each(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        flat, begins = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+        which = np.asarray(coded.indices)
+        size, ends = size[which], np.cumsum(size[which])
+        at = np.repeat(begins[which] - (ends - size), size)
+        at += np.arange(len(at))
+        return flat[at], np.diff(np.r_[0, ends][np.r_[0, np.cumsum(n)]])
 
     def ids(text: bytes) -> bytes:
         return b"".join(each(text.split()))
 
     ids.each = each  # of a list of words, the ids of each
+    ids.many = many  # of a list of texts, the ids of all, end to end, and how many each has
     # the model's pieces of letters, and the words that are letters and punctuation, if they may go to the model
     ids.model, ids.letters, ids.plain = (model, letters, plain) if trusted else (None, None, None)
     return ids
@@ -155,13 +200,17 @@ def token_pieces(
         task, seen = TaskContext.get().partitionId(), Counter()
         for batch in pieces(batches):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-                tokens = ids(text or b"") + end
-                for k, at in enumerate(range(0, len(tokens), 4 * capacity)):
-                    piece = tokens[at : at + 4 * capacity]
-                    length = len(piece) // 4
-                    rows.append((doc_id, k, at // 4, length, zlib.crc32(piece), task, seen[length]))
-                    seen[length] += 1
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                flat, many = ids.many(list(text_bytes(part.column(1))))
+                upto = 0
+                for doc_id, n in zip(part.column(0).to_pylist(), many.tolist(), strict=True):
+                    tokens, upto = flat[upto : upto + n].tobytes() + end, upto + n
+                    for k, start in enumerate(range(0, len(tokens), 4 * capacity)):
+                        piece = tokens[start : start + 4 * capacity]
+                        length = len(piece) // 4
+                        rows.append((doc_id, k, start // 4, length, zlib.crc32(piece), task, seen[length]))
+                        seen[length] += 1
             columns = zip(*rows, strict=True) if rows else [()] * len(schema)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 

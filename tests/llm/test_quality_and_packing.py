@@ -142,6 +142,19 @@ def test_word_encoder_equals_the_tokenizer():
         assert ids(text.encode()) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_words_of_many_texts_are_looked_up_once():
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    tokenizer, ids = Tokenizer.from_file(path), packing.word_encoder(path, cached_words=3)
+    texts = [b"", None, b"The cat, the CAT!\tthe ...", " na\u00efve \u00dcber: x#y \u65e5\u672c cat".encode(), b"  ", b"a" * 60 + b"! cat." + b"!" * 60]
+    for _ in range(2):  # what is kept goes after three words
+        flat, many = ids.many(texts)
+        each = np.split(flat, np.cumsum(many)[:-1])
+        assert [x.tolist() for x in each] == [tokenizer.encode((t or b"").decode(), add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in ids.many([])] == [[], []]
+
+
 def test_pack_round_trip(spark, odd_documents):
     from tokenizers import Tokenizer
 
