@@ -17,10 +17,10 @@ spelled. Counts, classes, shares and the network's weights all come from all tra
 On Spark:
 
 1. Documents are dealt into chunks of at most CHUNK_WORDS words (a longer document is a chunk). A chunk's rows: its documents
-   as codes of its own word list, that list with training counts (dealt into buckets by a hash of the word, one row each), and groups of at most GROUP_WINDOWS
-   training windows, which together hold every training word once as what is to be said.
-2. Word lists are summed in their buckets, where each distinct word is tokenized once, and counts and ids of its words go back to each
-   chunk; no vocabulary is broadcast or gathered. Counts of ids and classes have the tokenizer's size.
+   as codes of its own word list, and that list with training counts (dealt into buckets by a hash of the word, one row each).
+2. Word lists are summed in their buckets, where each distinct word is tokenized, once, and counts and ids of its words go back to each
+   chunk; no vocabulary is broadcast or gathered. Counts of ids and classes have the tokenizer's size. With them a chunk writes groups of at most
+   GROUP_WINDOWS training windows, which together hold every training word once as what is to be said.
 3. Training: one of ROUNDS parts of every group is a round's. In each round every group goes on from the
    same weights with its own windows (Adam), and the new weights are averaged by window counts, added up as integers, so
    that their order does not matter. Windows are never shuffled. Only the average, of fixed size, comes to the driver.
@@ -75,7 +75,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 KNOWN_PARTS = 300_000
 #: Buckets of words for each shuffle partition.
 BUCKETS = 8
-ROWS = "kind int, chunk long, bucket int, doc_id long, held_out boolean, size long, body binary, numbers binary, n long, windows binary"
+ROWS = "kind int, chunk long, bucket int, doc_id long, held_out boolean, size long, body binary, numbers binary, n long"
 REPLIES = "kind int, chunk long, n long, begin long, size long, body binary, pairs binary"
 
 
@@ -182,20 +182,19 @@ def windows_of(codes: list[np.ndarray], heads: np.ndarray, tails: np.ndarray) ->
     return np.where(inside, both[:, np.minimum(at, len(every) - 1)], np.uint16(PAD)).transpose(1, 0, 2)
 
 
-def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
-    """``ROWS``: documents (kind 0: codes of words, compressed), words by bucket (1: the words, compressed, their codes and training counts)
-    and groups of training windows (2: how many, compressed, in a column of their own, so that a round of training reads no other) of all chunks."""
+def coded(documents: DataFrame, n_buckets: int) -> DataFrame:
+    """``ROWS``: documents (kind 0: their places in the chunk, n, and codes of words, compressed) and words by bucket (1: the words, compressed, their
+    codes and training counts) of all chunks."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
         from pyspark import TaskContext
 
-        ids_of = per_worker(f"word ids {tokenizer}", lambda: word_ids(tokenizer))
         codec = pa.Codec("zstd", 1)
         schema = pa.schema(
             [("kind", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
-             ("size", pa.int64()), ("body", pa.binary()), ("numbers", pa.binary()), ("n", pa.int64()), ("windows", pa.binary())]
+             ("size", pa.int64()), ("body", pa.binary()), ("numbers", pa.binary()), ("n", pa.int64())]
         )
         chunk = TaskContext.get().partitionId() << 32
         docs, total = [], 0  # (doc_id, held out, words)
@@ -222,6 +221,7 @@ def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
                     held_out=pa.array([h for _, h, _ in part]),
                     size=pa.array([n for _, _, n in part], pa.int64()),
                     body=pa.array(bodies[a : a + 1000], pa.binary()),
+                    n=pa.array(np.arange(a, a + len(part))),
                 )
             bucket = np.array([zlib.crc32(w) % n_buckets for w in names], np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -238,19 +238,6 @@ def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
                 1, len(some), bucket=pa.array(some, pa.int32()), size=pa.array(sizes, pa.int64()),
                 body=pa.array(lists, pa.binary()), numbers=pa.array(pairs, pa.binary()),
             )
-            if not train:
-                return
-            used = np.flatnonzero(n_train)
-            heads, tails = np.full(len(names), PAD, "<u2"), np.full(len(names), PAD, "<u2")
-            flat, many = ids_of([names[i] for i in used.tolist()])
-            last = np.cumsum(many) - 1
-            heads[used] = flat[last - many + 1]
-            tails[used] = np.where(many > 1, flat[last], np.uint16(PAD))
-            windows = windows_of(train, heads, tails)
-            order = np.random.default_rng(SEED).permutation(len(windows))
-            for own in np.array_split(order, -(-len(order) // GROUP_WINDOWS)):
-                body = codec.compress(np.ascontiguousarray(windows[own]), asbytes=True)
-                yield table(2, 1, n=pa.array([len(own)], pa.int64()), windows=pa.array([body], pa.binary()))
 
         for batch in pieces(batches):
             words, many = words_in(list(text_bytes(batch.column(1))))
@@ -272,6 +259,45 @@ def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(each, ROWS)
 
 
+def training_windows(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """``n, windows``: groups of training windows (how many, compressed) of all chunks, from their documents (of, held_out, size, body, n) and what
+    ``_counted`` gives back (chunk, n, size, body). The words' ids are there, so no word is tokenized again."""
+
+    def each(docs: pa.Table, lists: pa.Table) -> pa.Table:
+        codec = pa.Codec("zstd", 1)
+        docs = docs.sort_by("n")  # as they stand in the chunk
+        train = [
+            np.frombuffer(codec.decompress(x, 4 * s, asbytes=True), "<u4") if s else np.empty(0, "<u4")
+            for x, s, held in zip(*(docs[c].to_pylist() for c in ("body", "size", "held_out")), strict=True)
+            if not held
+        ]
+        rows, bodies = [], []
+        if train:
+            _, many, flat = _word_list(lists, codec)
+            last = np.cumsum(many) - 1
+            windows = windows_of(train, flat[last - many + 1], np.where(many > 1, flat[last], np.uint16(PAD)))
+            order = np.random.default_rng(SEED).permutation(len(windows))
+            for own in np.array_split(order, -(-len(order) // GROUP_WINDOWS)):
+                rows.append(len(own))
+                bodies.append(codec.compress(np.ascontiguousarray(windows[own]), asbytes=True))
+        return pa.table({"n": pa.array(rows, pa.int64()), "windows": pa.array(bodies, pa.binary())})
+
+    return docs.groupBy("of").cogroup(lists.groupBy("chunk")).applyInArrow(each, "n long, windows binary")
+
+
+def chunks(documents: DataFrame, tokenizer: str, n_buckets: int) -> DataFrame:
+    """All rows of chunks: those of ``coded``, those of ``_counted``, and training windows (kind 2: n, windows), each kind from a table that is written once."""
+    spark, n_parts = documents.sparkSession, shuffle_partitions(documents.sparkSession)
+    table = staged(spark, coded(documents, n_buckets), "lm-chunks")
+    lists = table.where("kind = 1").select("bucket", "chunk", "size", "body", "numbers")
+    lists = lists.repartition(n_parts, "bucket").sortWithinPartitions("bucket")
+    replies = staged(spark, lists.mapInArrow(lambda batches: _counted(batches, tokenizer), REPLIES), "lm-words")
+    docs = table.where("kind = 0").select(F.col("chunk").alias("of"), "held_out", "size", "body", "n")
+    lists = replies.where("kind = 3").select("chunk", "n", "size", "body")
+    windows = staged(spark, training_windows(docs, lists), "lm-windows").withColumn("kind", F.lit(2))
+    return table.unionByName(replies, allowMissingColumns=True).unionByName(windows, allowMissingColumns=True)
+
+
 def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     """The groups of windows (n, 2, WINDOW + 1) in rows (n, windows)."""
     codec = pa.Codec("zstd")
@@ -599,8 +625,8 @@ def scored(
 
 
 def _counted(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
-    """From word lists sorted by bucket, ``REPLIES``: what each chunk gets back (kind 0: codes, counts, numbers of ids and ids, compressed;
-    n: words), and of the task's words the counts of ids (1) and sums (2: occurrences, kinds, kinds that occur once)."""
+    """From word lists sorted by bucket, ``REPLIES``: what each chunk gets back (kind 3: codes, counts, numbers of ids and ids, compressed;
+    n: words), and of the task's words the counts of ids (4), sums (5: occurrences, kinds, kinds that occur once) and pairs of ids in a row (6)."""
     ids_of = per_worker(f"word ids {tokenizer}", lambda: word_ids(tokenizer))
     codec = pa.Codec("zstd", 1)
     every, first = np.zeros(N_IDS, np.int64), np.zeros(N_IDS, np.int64)
@@ -637,14 +663,14 @@ def _counted(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.R
                 out.append((len(own), len(raw), codec.compress(raw, asbytes=True)))
             n, sizes, bodies = zip(*out, strict=True)
             none = pa.nulls(len(n), pa.int64())
-            zero = pa.array(np.zeros(len(n), np.int32))
-            columns = [zero, batch.column(1).slice(a, b - a), pa.array(n, pa.int64()), none, pa.array(sizes, pa.int64()), pa.array(bodies, pa.binary()), pa.nulls(len(n), pa.binary())]
+            three = pa.array(np.full(len(n), 3, np.int32))
+            columns = [three, batch.column(1).slice(a, b - a), pa.array(n, pa.int64()), none, pa.array(sizes, pa.int64()), pa.array(bodies, pa.binary()), pa.nulls(len(n), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
     keys, times = added(follows)
     packed = keys.astype("<i8").tobytes() + times.astype("<i8").tobytes()
     own = np.flatnonzero(every).tolist()
-    rows = [(1, i, int(every[i]), int(first[i]), None, None, None) for i in own] + [(2, None, n_words, n_kinds, n_once, None, None)]
-    rows.append((3, None, None, None, None, None, packed))
+    rows = [(4, i, int(every[i]), int(first[i]), None, None, None) for i in own] + [(5, None, n_words, n_kinds, n_once, None, None)]
+    rows.append((6, None, None, None, None, None, packed))
     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
@@ -700,24 +726,20 @@ def score(
         import public_tokenizers
 
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
-    n_parts = shuffle_partitions(spark)
-    table = staged(spark, chunks(documents, tokenizer_path, n_parts * BUCKETS), "lm-chunks")
-    lists = table.where("kind = 1").select("bucket", "chunk", "size", "body", "numbers")
-    lists = lists.repartition(n_parts, "bucket").sortWithinPartitions("bucket")
-    replies = staged(spark, lists.mapInArrow(lambda batches: _counted(batches, tokenizer_path), REPLIES), "lm-words")
+    table = chunks(documents, tokenizer_path, shuffle_partitions(spark) * BUCKETS)
     n_docs = table.where("kind = 0 and not held_out").count()
     counts, begin = np.zeros(N_IDS, np.int64), np.zeros(N_IDS, np.int64)
-    by_id = replies.where("kind = 1").groupBy("chunk").agg(F.sum("n").alias("n"), F.sum("begin").alias("b"))
+    by_id = table.where("kind = 4").groupBy("chunk").agg(F.sum("n").alias("n"), F.sum("begin").alias("b"))
     for r in by_id.collect():  # at most N_IDS rows
         counts[r["chunk"]], begin[r["chunk"]] = r["n"], r["b"]
     counts[END_ID] = begin[END_ID] = n_docs
-    n_words, n_kinds, once = replies.where("kind = 2").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "begin", "size")]).first()
+    n_words, n_kinds, once = table.where("kind = 5").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "begin", "size")]).first()
     total, kinds = n_words + n_docs, n_kinds + (n_docs > 0)
     known = 1 - min(0.5, max(once / max(1, n_words), 1e-4))
     windows = table.where("windows is not null").select("n", "windows")
     classes = Classes.fit(counts, begin, topics(company(windows, by_count(begin)[1 : MARKERS + 1])))
     weights = train(spark, windows, classes, rate)
-    shared = spark.sparkContext.broadcast((weights, classes.arrays(), following(replies, classes.of)))
+    shared = spark.sparkContext.broadcast((weights, classes.arrays(), following(table, classes.of)))
     below = np.log10(total + 0.1 * (kinds + 1))
 
     def rate_chunk(docs: pa.Table, lists: pa.Table) -> pa.Table:
@@ -775,7 +797,8 @@ def score(
         names = ("n_tokens", "n_known", "base_score", "score")
         return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"]} | dict(zip(names, whole, strict=True)))
 
-    lists = replies.where("kind = 0").select("chunk", "n", "size", "body")
+    # columns of its own: both sides of the cogroup come from one table
+    lists = table.where("kind = 3").select(*[F.col(c).alias(c) for c in ("chunk", "n", "size", "body")])
     docs = table.where("kind = 0").select(F.col("chunk").alias("of"), "doc_id", "held_out", "size", "body")
     shape = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     rows = docs.groupBy("of").cogroup(lists.groupBy("chunk")).applyInArrow(rate_chunk, shape)
